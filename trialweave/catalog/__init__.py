@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("text",)
+FAMILIES = ("text", "safety", "metrics")
 
 
 def all_queries() -> dict:
