@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("text", "safety", "metrics")
+FAMILIES = ("text", "safety", "metrics", "prepare")
 
 
 def all_queries() -> dict:
