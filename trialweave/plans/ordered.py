@@ -81,27 +81,34 @@ def before_cells(
     return out.select(*keys, *levels, *merged)
 
 
+def _with_levels(df: DataFrame, levels) -> tuple[DataFrame, list[str], list[str]]:
+    """Levels are given as expressions, added for the time being, or as the names of columns
+    the table already has; the latter keep rows clustered over several computations."""
+    if isinstance(levels, dict):
+        return df.withColumns(levels), list(levels), list(levels)
+    return df, list(levels), []
+
+
 def number_rows(
-    df: DataFrame, keys: Sequence[str], levels: dict[str, Column], order: Sequence[Column], name: str = "rank"
+    df: DataFrame, keys: Sequence[str], levels: dict[str, Column] | Sequence[str], order: Sequence[Column], name: str = "rank"
 ) -> DataFrame:
     """Exact 1-based position of every row within its key (the whole table if no keys)."""
     keys = list(keys)
-    lv = list(levels)
-    df = df.withColumns(levels)
+    df, lv, extra = _with_levels(df, levels)
     before = before_cells(df, keys, lv, {"_before": (F.count(F.lit(1)), "sum")})
     local = F.row_number().over(W.partitionBy(*keys, *lv).orderBy(*order))
     return (
         df.withColumn("_local", local)
         .join(before, keys + lv, "inner")
         .withColumn(name, (F.col("_before") + F.col("_local")).cast("long"))
-        .drop("_before", "_local", *lv)
+        .drop("_before", "_local", *extra)
     )
 
 
 def running_before(
     df: DataFrame,
     keys: Sequence[str],
-    levels: dict[str, Column],
+    levels: dict[str, Column] | Sequence[str],
     order: Sequence[Column],
     measures: dict[str, tuple[Column, str]],
 ) -> DataFrame:
@@ -110,15 +117,14 @@ def running_before(
     ``measures`` maps a name to (value column, 'sum' | 'min' | 'max').
     """
     keys = list(keys)
-    lv = list(levels)
-    df = df.withColumns(levels)
+    df, lv, extra = _with_levels(df, levels)
     cells = before_cells(df, keys, lv, {f"_b_{n}": (_COMBINE[how][0](v), how) for n, (v, how) in measures.items()})
     w = W.partitionBy(*keys, *lv).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = df.withColumns({f"_w_{n}": _COMBINE[how][0](v).over(w) for n, (v, how) in measures.items()})
     out = local.join(cells, keys + lv, "inner")
     return out.withColumns(
         {n: _COMBINE[how][1](F.col(f"_b_{n}"), F.col(f"_w_{n}")) for n, (_, how) in measures.items()}
-    ).drop(*lv, *[f"_w_{n}" for n in measures], *[f"_b_{n}" for n in measures])
+    ).drop(*extra, *[f"_w_{n}" for n in measures], *[f"_b_{n}" for n in measures])
 
 
 def trailing_rows(df: DataFrame, keys: Sequence[str], seq: str, window: int, exprs: dict, cell: int = 4096) -> DataFrame:
