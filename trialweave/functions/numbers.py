@@ -25,3 +25,22 @@ def fixed(x: Column, digits: int) -> Column:
     halfway = (size < F.lit(9007199254740992.0)) & close & (size % 10 == 5)
     down = halfway & ((error < 0) | ((error == 0) & (F.floor(size / 10) % 2 == 0)))
     return F.format_string(f"%.{digits}f", F.when(down, x * F.lit(1.0 - 2.0**-40)).otherwise(x))
+
+
+def short_float(x: Column) -> Column:
+    """Shortest text of a double as config files show it: ``0.0001``, ``5e-05``, ``1000.0``."""
+    s = x.cast("string")
+    exponent = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int")
+    mantissa = F.regexp_replace(F.regexp_extract(s, r"^(.*)E", 1), r"\.0$", "")
+    scientific = F.concat(
+        mantissa, F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
+    )
+    plain = F.regexp_replace(x.try_cast("decimal(38,20)").cast("string"), r"(\.[0-9]*?)0+$", "$1")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    special = F.when(F.isnan(x), "nan").when(x > 0, "inf").otherwise("-inf")
+    return (
+        F.when(F.isnan(x) | (F.abs(x) == float("inf")), special)
+        .when(exponent.isNull(), s)
+        .when((exponent >= -4) & (exponent < 16), plain)
+        .otherwise(scientific)
+    )
