@@ -54,45 +54,47 @@ def _list_text(v: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(_as_array(v), lambda x: _shown(x, True)), ", "), F.lit("]"))
 
 
+_MEMBERS = """transform(map_entries(try_variant_get(n.v, '$', 'map<string,variant>')), e -> struct(
+  if(n.path = '', e.key, n.path || '.' || e.key) AS path, if(n.pattern = '', e.key, n.pattern || '.' || e.key) AS pattern,
+  n.path AS parent, e.key AS name, {kind} AS type, e.value AS v))"""
+_ITEMS = """transform(try_variant_get(n.v, '$', 'array<variant>'), (x, i) -> struct(
+  n.path || '.' || i AS path, n.pattern || '[]' AS pattern, n.path AS parent, cast(i AS string) AS name, {kind} AS type, x AS v))"""
+
+
+def _kind_sql(v: str) -> str:
+    names = ", ".join(f"'{a}', '{b}'" for a, b in _KINDS.items())
+    return f"coalesce(try_element_at(map({names}), regexp_extract(schema_of_variant({v}), '^[A-Z]+', 0)), 'number')"
+
+
+def _with_levels(df: DataFrame, config: str, out: str, arrays: bool, max_depth: int) -> tuple[DataFrame, list[str]]:
+    """Adds the nodes of every config, an array of (path, pattern, parent, name, type, v) per
+    level; a config that does not parse has none. Each level is unfolded from the one above it,
+    within the row."""
+    members = _MEMBERS.format(kind=_kind_sql("e.value"))
+    kids = members
+    if arrays:
+        kids = f"if(n.type = 'object', {members}, {_ITEMS.format(kind=_kind_sql('x'))})"
+    inner = "n.type IN ('object', 'array')" if arrays else "n.type = 'object'"
+    names = [f"{out}{i}" for i in range(max_depth + 1)]
+    root = f"struct('' AS path, '' AS pattern, '' AS parent, '' AS name, {_kind_sql(f'{out}_v')} AS type, {out}_v AS v)"
+    df = df.withColumn(f"{out}_v", F.try_parse_json(config))
+    df = df.withColumn(names[0], F.expr(f"if({out}_v IS NULL, filter(array({root}), n -> false), array({root}))"))
+    for above, level in zip(names, names[1:]):
+        df = df.withColumn(level, F.expr(f"flatten(transform(filter({above}, n -> {inner}), n -> {kids}))"))
+    return df.drop(f"{out}_v"), names
+
+
 def config_nodes(df: DataFrame, key: Sequence[str], config: str = "config", arrays: bool = False, max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row per node of every config: (key, path, pattern, parent, name, type, v).
 
     ``pattern`` is the path with ``[]`` in place of list positions. Lists are leaves unless
-    ``arrays``. Levels are unfolded in place: no join, no shuffle.
+    ``arrays``.
     """
     key = [key] if isinstance(key, str) else list(key)
-    no = F.lit("").alias
-    rows = df.select(*key, F.try_parse_json(config).alias("v")).filter(F.col("v").isNotNull())
-    root = F.struct(no("path"), no("pattern"), no("parent"), no("name"), _kind(F.col("v")).alias("type"), F.col("v"), F.lit(True).alias("open"))
-    rows = rows.select(*key, root.alias("n"))
-
-    def child(n: Column, name: Column, shape: Column, v: Column) -> Column:
-        dot = lambda a, b: F.when(a == "", b).otherwise(F.concat(a, F.lit("."), b))
-        return F.struct(
-            dot(n["path"], name).alias("path"), shape.alias("pattern"), n["path"].alias("parent"), name.alias("name"),
-            _kind(v).alias("type"), v.alias("v"), F.lit(True).alias("open"),
-        )
-
-    for _ in range(max_depth):
-        n = F.col("n")
-        members = F.transform(
-            F.map_entries(_as_map(n["v"])),
-            lambda e: child(
-                n, e["key"], F.when(n["pattern"] == "", e["key"]).otherwise(F.concat(n["pattern"], F.lit("."), e["key"])), e["value"]
-            ),
-        )
-        kind = n["type"]
-        kids = F.when(kind == OBJECT, members)
-        if arrays:
-            items = F.transform(
-                _as_array(n["v"]), lambda x, i: child(n, i.cast("string"), F.concat(n["pattern"], F.lit("[]")), x)
-            )
-            kids = kids.when(kind == "array", items)
-        closed = F.array(n.withField("open", F.lit(False)))
-        rows = rows.select(
-            *key, F.explode(F.when(n["open"] & kids.isNotNull(), F.concat(closed, kids)).otherwise(closed)).alias("n")
-        )
-    return rows.select(*key, "n.path", "n.pattern", "n.parent", "n.name", "n.type", "n.v")
+    rows, levels = _with_levels(df.select(*key, config), config, "_n", arrays, max_depth)
+    # exploded as an expression: for a plain column the optimizer would test its size first,
+    # which means to unfold every config twice
+    return rows.select(*key, F.explode(F.concat(*levels)).alias("n")).select(*key, "n.*")
 
 
 def _value(v: Column, kind: Column) -> Column:
@@ -110,46 +112,28 @@ def flatten_config(df: DataFrame, key: Sequence[str] | str = "config_id", config
     return leaves.select(*key, "path", "type", _value(F.col("v"), F.col("type")).alias("value"), _number(F.col("v"), F.col("type")).alias("num"))
 
 
-def _ancestors(path: Column) -> Column:
-    parts = F.split(path, r"\.")
-    return F.transform(
-        F.filter(F.sequence(F.lit(1), F.size(parts)), lambda n: n < F.size(parts)),
-        lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."),
-    )
-
-
-def merge_leaves(leaves: DataFrame, key: str = "config_id", layer: str = "layer") -> DataFrame:
-    """Deep merge in long form: rows (key, layer, path, type, value, num); the highest layer wins.
+def merge_configs(df: DataFrame, layers: Sequence[str], key: str = "config_id") -> DataFrame:
+    """Leaves of the deep merge of several config columns, later columns winning.
 
     A leaf goes when a later layer holds the same path, a value in place of one of its
-    ancestors, or an object in its place.
+    ancestors, or an object in its place. The configs of one row are merged within the row.
     """
-    rows = leaves.withColumn("_up", _ancestors(F.col("path")))
-    last = rows.groupBy(key, "path").agg(
-        F.max_by(F.struct(layer, "type", "value", "num", "_up"), layer).alias("_l")
-    ).select(key, "path", "_l.*")
-    plain = rows.filter(F.col("type") != OBJECT).groupBy(key, F.col("path").alias("_a")).agg(F.max(layer).alias("_m"))
-    below = rows.select(key, layer, F.explode("_up").alias("path")).groupBy(key, "path").agg(F.max(layer).alias("_m"))
-    cut_above = (
-        last.select(key, "path", layer, F.explode("_up").alias("_a"))
-        .join(plain, [key, "_a"])
-        .filter(F.col("_m") > F.col(layer))
-        .select(key, "path")
-        .distinct()
-    )
-    cut_below = last.join(below, [key, "path"]).filter(F.col("_m") > F.col(layer)).select(key, "path")
-    alive = last.join(cut_above, [key, "path"], "left_anti").join(cut_below, [key, "path"], "left_anti")
+    rows = df.select(key, *layers)
+    levels = []
+    for i, c in enumerate(layers):
+        rows, names = _with_levels(rows, c, f"_n{i}_", False, MAX_DEPTH)
+        levels.append(f"concat({', '.join(names)})")
+    leaf = "n.path <> '' AND (n.type <> 'object' OR size(try_variant_get(n.v, '$', 'map<string,variant>')) = 0)"
+    stack = [f"transform(filter({levels[i]}, n -> {leaf}), n -> struct({i} AS layer, n.path AS path, n.type AS type, n.v AS v))" for i in range(len(layers))]
+    rows = rows.select(key, F.expr(f"concat({', '.join(stack)})").alias("_all"))
+    gone = """exists(_all, o -> o.layer > l.layer AND (o.path = l.path
+        OR (o.type <> 'object' AND startswith(l.path, o.path || '.')) OR startswith(o.path, l.path || '.')))"""
+    rows = rows.withColumn("_left", F.expr(f"filter(_all, l -> NOT {gone})"))
     # an empty object next to members of the same object adds nothing
-    filled = alive.select(key, F.explode("_up").alias("path")).distinct().withColumn("_filled", F.lit(True))
-    alive = alive.join(filled, [key, "path"], "left")
-    return alive.filter((F.col("type") != OBJECT) | F.col("_filled").isNull()).select(key, "path", "type", "value", "num")
-
-
-def merge_configs(df: DataFrame, layers: Sequence[str], key: str = "config_id") -> DataFrame:
-    """Leaves of the deep merge of several config columns, later columns winning."""
-    stack = F.explode(F.array(*[F.struct(F.lit(i).alias("layer"), F.col(c).alias("config")) for i, c in enumerate(layers)]))
-    long = df.select(key, stack.alias("s")).select(key, "s.layer", "s.config")
-    return merge_leaves(flatten_config(long, [key, "layer"]), key)
+    filled = "l.type = 'object' AND exists(_left, o -> startswith(o.path, l.path || '.'))"
+    rows = rows.select(key, F.explode(F.expr(f"filter(_left, l -> NOT ({filled}))")).alias("l"))
+    v, kind = F.col("l.v"), F.col("l.type")
+    return rows.select(key, "l.path", "l.type", _value(v, kind).alias("value"), _number(v, kind).alias("num"))
 
 
 def apply_patch(df: DataFrame, base: str = "base", patch: str = "patch", key: str = "config_id") -> DataFrame:
