@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.draws import gate, pick, randint, u
 from ..functions.texts import join_words, words
 from ..plans.lookup import salted_lookup
+from .vector_augment import image_steps
 
 
 def gated(df: DataFrame, key: str, text: str, probability: float, expr: Column, seed: int, tag: str) -> DataFrame:
@@ -402,14 +403,14 @@ class TextAugmenter:
         self.enabled = bool(section.get("enabled", False))
         self.key, self.text, self.seed, self.tables = key, text, seed, tables
         self.entries: list[tuple[str, str, dict]] = []
-        self.image_entries: list[dict] = []
+        self.image_entries: list[tuple[str, dict]] = []
         if self.enabled:
             known = {**_ROW_ONLY, **_LOOKUP, **_REGISTERED}
             wanted = [e for e in section.get("text_augmentations", []) if e.get("enabled", False) and e["name"] in known]
             for i, e in enumerate(wanted):
                 params = {k: v for k, v in e.items() if k not in ("name", "enabled")}
                 self.entries.append((e["name"], f"{i}.{e['name']}", params))
-            self.image_entries = [e for e in section.get("image_augmentations", []) if e.get("enabled", False)]
+            self.image_entries = image_steps(config)
 
     def __len__(self) -> int:
         return len(self.entries)
