@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("text", "safety", "metrics", "prepare", "trials", "configs", "images", "models")
+FAMILIES = ("text", "safety", "metrics", "prepare", "trials", "configs", "images", "models", "streams")
 
 
 def all_queries() -> dict:

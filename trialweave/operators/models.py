@@ -88,11 +88,13 @@ def train_centroids(df: DataFrame, pixels: str = "pixels", label: str = "label")
     dimensions numbers, is checked before it is brought to the driver."""
     cells = df.select(F.col(label).alias("label"), F.posexplode(pixels).alias("pos", "x"))
     means = cells.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    per_class = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda c: c["m"]).alias("c"))
-    rows = per_class.limit(MAX_CENTROID_VALUES + 1).select("label", F.size("c").alias("n"))
-    if (rows.agg(F.sum("n")).first()[0] or 0) > MAX_CENTROID_VALUES:
+    rows = means.limit(MAX_CENTROID_VALUES + 1).collect()
+    if len(rows) > MAX_CENTROID_VALUES:
         raise ValueError("too many classes for a centroid model")
-    return sorted((r["label"], list(r["c"])) for r in per_class.collect())
+    model: dict = {}
+    for r in sorted(rows, key=lambda r: (r["label"], r["pos"])):
+        model.setdefault(r["label"], []).append(r["m"])
+    return list(model.items())
 
 
 def centroid_logits(model: list[tuple], pixels: Column) -> Column:

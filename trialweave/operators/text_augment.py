@@ -449,3 +449,8 @@ class TextAugmenter:
             if lookups or name not in _LOOKUP or name in _REGISTERED:
                 df = self._step(df, name, tag, params)
         return df
+
+
+def needs_lookup(augmenter: TextAugmenter) -> bool:
+    """Whether any step joins a dictionary or corpus table."""
+    return any(name in _LOOKUP and name not in _REGISTERED for name, _, _ in augmenter.entries)

@@ -121,6 +121,7 @@ def _accepted_chain(candidates: DataFrame, keys: Sequence[str], trial: str, thre
 def sequential_gate(
     trials: DataFrame, keys: Sequence[str] = ("experiment",), trial: str = "trial_id", metric: str = METRIC,
     direction: str = "minimize", threshold: float = THRESHOLD, baselines: DataFrame | None = None, patience: int | None = PATIENCE,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Decides every trial of every experiment in trial order.
 
@@ -133,6 +134,8 @@ def sequential_gate(
     A trial that moves the best value must be better than all trials before it, so only these
     running records are folded one by one; finding them and carrying the result back to all
     trials are cell-wise running computations, whatever the size of an experiment.
+
+    ``carry`` (keys, best, fails, stopped) is what earlier trials, decided before, have led to.
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
@@ -143,6 +146,11 @@ def sequential_gate(
         rows = rows.withColumn("baseline", F.lit(None).cast("double"))
     else:
         rows = salted_lookup(rows, baselines.select(*keys, F.col("baseline").cast("double")), keys, [trial])
+    if carry is None:
+        rows = rows.withColumns({"_c_best": F.lit(None).cast("double"), "_c_fails": F.lit(0).cast("bigint"), "_c_stop": F.lit(False)})
+    else:
+        known = carry.select(*keys, F.col("best").alias("_c_best"), F.col("fails").alias("_c_fails"), F.col("stopped").alias("_c_stop"))
+        rows = salted_lookup(rows, known, keys, [trial]).na.fill({"_c_fails": 0, "_c_stop": False})
     levels = ["_l0", "_l1"]
     sign = 1 if direction == "minimize" else -1
     status = _optional(rows, "status", F.lit(None).cast("string"))
@@ -158,22 +166,24 @@ def sequential_gate(
     v = F.col("_own")
     record = (F.col("_n") == 0) | (~F.isnan(v) & (F.col("_min").isNull() | (v < F.col("_min"))))
     candidates = rows.filter(v.isNotNull()) if threshold == 0 else rows.filter(v.isNotNull() & record)
-    base = (F.col("baseline") * sign).alias("_base")
+    base = (F.coalesce("_c_best", "baseline") * sign).alias("_base")
     chain = _accepted_chain(candidates.select(*keys, trial, v.alias("_v"), base), keys, trial, float(threshold))
     rows = rows.join(chain.withColumn("_moves", F.lit(True)), [*keys, trial], "left")
     last = F.when(F.col("_moves"), F.struct(F.col(trial).alias("t"), F.col("primary_metric").cast("double").alias("v")))
     rows = running_before(rows, keys, levels, [F.col(trial)], {"_last": (last, "max")})
-    rows = decide(rows.withColumn("best", F.col("_last.v")), metric, direction, threshold)
+    rows = decide(rows.withColumn("best", F.coalesce("_last.v", "_c_best")), metric, direction, threshold)
     rows = materialize(rows.drop("_last", "_moves", "_min", "_n", "_own"), "gate")
     pos = F.col("_pos") + 1
     rows = running_before(rows, keys, levels, [F.col(trial)], {"_hit": (F.when(F.col("accepted"), pos), "max")})
-    rows = rows.withColumn("fails", F.when(F.col("accepted"), 0).otherwise(pos - F.coalesce("_hit", F.lit(0))).cast("bigint"))
-    rows = rows.withColumn("_pos", pos).drop("_hit", *levels)
+    since = F.when(F.col("_hit").isNull(), pos + F.col("_c_fails")).otherwise(pos - F.col("_hit"))
+    rows = rows.withColumn("fails", F.when(F.col("accepted"), 0).otherwise(since).cast("bigint"))
+    rows = rows.withColumn("_pos", pos).drop("_hit", "_c_best", "_c_fails", *levels)
     if patience is None:
-        return rows.withColumn("ran", F.lit(True)).drop("_pos")
+        return rows.withColumn("ran", F.lit(True)).drop("_pos", "_c_stop")
     stops = rows.filter(F.col("fails") >= patience).groupBy(*keys).agg(F.min("_pos").alias("_stop"))
     rows = salted_lookup(rows, stops, keys, [trial])
-    return rows.withColumn("ran", F.coalesce(F.col("_pos") <= F.col("_stop"), F.lit(True))).drop("_pos", "_stop")
+    ran = ~F.col("_c_stop") & F.coalesce(F.col("_pos") <= F.col("_stop"), F.lit(True))
+    return rows.withColumn("ran", ran).drop("_pos", "_stop", "_c_stop")
 
 
 def stop_points(gated: DataFrame, keys: Sequence[str] = ("experiment",), trial: str = "trial_id", patience: int = PATIENCE) -> DataFrame:
