@@ -54,41 +54,41 @@ def decide(
     The rules in order: failed, metric missing, unsafe, first trial, threshold."""
     status = _optional(df, "status", F.lit(None).cast("string"))
     error = F.coalesce(_optional(df, "error", F.lit(None).cast("string")), F.lit("unknown error"))
-    safe = F.coalesce(_optional(df, "safe", F.lit(True)), F.lit(True))
-    value = primary_value(df, metric)
-    ref = F.coalesce(F.col(best), F.col(baseline))
-    gain = improvement(value, ref, direction)
-    failed = F.coalesce(status.isin(*FAILED), F.lit(False))
+    # steps that are used several times become columns, so that they are computed once
+    df = df.withColumns(
+        {
+            "_value": primary_value(df, metric),
+            "_ref": F.coalesce(F.col(best), F.col(baseline)),
+            "_failed": F.coalesce(status.isin(*FAILED), F.lit(False)),
+            "_safe": F.coalesce(_optional(df, "safe", F.lit(True)), F.lit(True)),
+        }
+    )
+    value, ref, failed, safe = (F.col(c) for c in ("_value", "_ref", "_failed", "_safe"))
+    df = df.withColumn("_gain", improvement(value, ref, direction))
+    gain = F.col("_gain")
     judged = ~failed & value.isNotNull() & safe
-    ok = judged & (ref.isNull() | _reaches(gain, threshold))
+    df = df.withColumn("accepted", F.coalesce(judged & (ref.isNull() | _reaches(gain, threshold)), F.lit(False)))
+    df = df.withColumns(
+        {
+            "_g4": fixed(gain, 4), "_g2": fixed(gain * 100, 2), "_r4": fixed(ref, 4), "_v4": fixed(value, 4),
+            "improvement": F.when(judged & ref.isNotNull(), gain).otherwise(0.0),
+        }
+    )
     against = F.when(F.col(best).isNotNull(), "best").otherwise("baseline")
-    percent = f"{threshold * 100:.2f}"
     reason = (
         F.when(failed, F.concat(F.lit("Trial failed: "), error))
         .when(value.isNull(), F.lit(f"Primary metric '{metric}' not found in results"))
         .when(~safe, F.lit("Safety checks failed (PII detected or license incompatible)"))
         .when(ref.isNull(), F.lit("First trial — accepted as initial baseline"))
-        .when(
-            ok,
-            F.format_string(
-                f"Improved {metric} by %s (%s%%) over %s (%s → %s)",
-                fixed(gain, 4), fixed(gain * 100, 2), against, fixed(ref, 4), fixed(value, 4),
-            ),
-        )
+        .when(F.col("accepted"), F.format_string(f"Improved {metric} by %s (%s%%) over %s (%s → %s)", "_g4", "_g2", against, "_r4", "_v4"))
         .otherwise(
             F.format_string(
-                f"Insufficient improvement: %s (%s%%) < threshold {percent}%% (current: %s, best: %s)",
-                fixed(gain, 4), fixed(gain * 100, 2), fixed(value, 4), fixed(ref, 4),
+                f"Insufficient improvement: %s (%s%%) < threshold {threshold * 100:.2f}%% (current: %s, best: %s)",
+                "_g4", "_g2", "_v4", "_r4",
             )
         )
     )
-    return df.withColumns(
-        {
-            "accepted": F.coalesce(ok, F.lit(False)),
-            "improvement": F.when(judged & ref.isNotNull(), gain).otherwise(0.0),
-            "reason": reason,
-        }
-    )
+    return df.withColumn("reason", reason).drop("_value", "_ref", "_failed", "_safe", "_gain", "_g4", "_g2", "_r4", "_v4")
 
 
 def _accepted_chain(candidates: DataFrame, keys: Sequence[str], trial: str, threshold: float) -> DataFrame:
