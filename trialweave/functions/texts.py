@@ -20,3 +20,10 @@ def words(text: Column) -> Column:
 
 def join_words(ws: Column) -> Column:
     return F.array_join(ws, " ")
+
+
+def unfolded(items: Column) -> Column:
+    """The array to explode, as an expression. When a plain column is exploded, the optimizer
+    first filters on its size, and so computes an array made on the way (the words of a text)
+    twice, the second time below any repartitioning."""
+    return F.concat(items)

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.draws import u
-from ..functions.texts import words
+from ..functions.texts import unfolded, words
 from ..plans.lookup import salted_lookup
 from ..plans.ordered import before_cells, draw_levels, id_levels, number_rows
 
@@ -24,7 +24,7 @@ def tokenize(df: DataFrame, text: str = "text", out: str = "tokens", lower: bool
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    return df.select(F.explode(tokens).alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("cnt"))
+    return df.select(F.explode(unfolded(F.col(tokens))).alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def rank_tokens(counts: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def encode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "
     """(key, input_ids). Texts are clustered by key before their tokens are exploded, so that
     they can be put together again without shuffling single tokens when the vocabulary is
     small enough to be broadcast; otherwise the lookup is a salted join."""
-    cells = df.select(key, tokens).repartition(F.col(key)).select(key, F.posexplode(tokens).alias("pos", "tok"))
+    cells = df.select(key, tokens).repartition(F.col(key)).select(key, F.posexplode(unfolded(F.col(tokens))).alias("pos", "tok"))
     ids = salted_lookup(cells, vocab.select("tok", "id"), ["tok"], [key, "pos"]).select(
         key, F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")).alias("c")
     )

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import gate, pick, randint, u
 from ..functions.texts import join_words, words
-from ..plans.lookup import salted_lookup
+from ..plans.lookup import salted_lookup, sparse_lookup
+from ..plans.session import materialize
 from .vector_augment import image_steps
 
 
@@ -128,7 +129,7 @@ def synonym_replacement(
             .select(key, F.explode(F.slice(order, 1, int(max_replacements))).alias("c"))
             .select(key, "c.pos", "c.word")
         )
-        hits = salted_lookup(chosen, lexicon, ["word"], [key, "pos"], how="inner").select(
+        hits = sparse_lookup(chosen, lexicon, ["word"], [key, "pos"], how="inner").select(
             key,
             F.struct(
                 F.col("pos"),
@@ -158,20 +159,17 @@ def random_insertion(
     def act(rows: DataFrame) -> DataFrame:
         rows = _gated_words(rows, key, text, probability, seed, tag)
         rows = rows.withColumn("_w", F.when(F.col("_n") >= 2, F.col("_w")))
+        # a row goes through the lookup itself, so that rounds add up instead of multiplying;
+        # rows that ask nothing get a key of their own, which no word can equal
+        nothing = F.concat(F.lit(" "), k.cast("string"))
         for t in range(int(max_insertions)):
-            asked = rows.filter(F.col("_w").isNotNull()).select(
-                key, F.get("_w", pick(u(seed, tag, k, 3 * t), n)).alias("word")
-            )
-            answer = salted_lookup(asked, lexicon, ["word"], [key], how="inner").select(
-                key, F.get("synonyms", pick(u(seed, tag, k, 3 * t + 2), F.size("synonyms"))).alias("_new")
-            )
+            rows = rows.withColumn("word", F.coalesce(F.get("_w", pick(u(seed, tag, k, 3 * t), n)), nothing))
+            rows = salted_lookup(rows, lexicon, ["word"], [key])
             at = randint(u(seed, tag, k, 3 * t + 1), F.lit(0), n)
-            grown = F.concat(F.slice("_w", F.lit(1), at), F.array("_new"), F.slice("_w", at + 1, F.greatest(n, F.lit(1))))
-            rows = (
-                rows.join(answer, key, "left")
-                .withColumn("_w", F.when(F.col("_new").isNotNull(), grown).otherwise(F.col("_w")))
-                .drop("_new")
-            )
+            found = F.get("synonyms", pick(u(seed, tag, k, 3 * t + 2), F.size("synonyms")))
+            grown = F.concat(F.slice("_w", F.lit(1), at), F.array(found), F.slice("_w", at + 1, F.greatest(n, F.lit(1))))
+            usable = F.col("_w").isNotNull() & F.col("synonyms").isNotNull()
+            rows = rows.withColumn("_w", F.when(usable, grown).otherwise(F.col("_w"))).drop("word", "synonyms")
         new = F.when(F.col("_w").isNotNull(), join_words(F.col("_w"))).otherwise(F.col(text))
         return rows.withColumn(text, new).drop("_w", "_n")
 
@@ -196,7 +194,7 @@ def back_translation(
     """Round trip through a pivot language, over the first 512 tokens of the text.
 
     With ``forward`` (word, pivot) and ``backward`` (pivot, word) phrase tables the trip is
-    two equi-joins; a word unknown to a table is kept. With ``model`` - a function without
+    two equi-joins over the distinct words; a word unknown to a table is kept. With ``model`` - a function without
     arguments returning ``translate(list[str]) -> list[str]`` - batches go through the
     model, loaded once per task; a text whose translation fails is returned as it was,
     while a model that cannot be loaded fails the job.
@@ -216,13 +214,13 @@ def back_translation(
         cells = rows.filter(F.col("_n") > 0).select(
             key, F.posexplode(F.slice("_w", 1, MAX_TRANSLATED_TOKENS)).alias("pos", "word")
         )
-        there = salted_lookup(cells, forward, ["word"], [key, "pos"]).select(
-            key, "pos", F.coalesce("pivot", "word").alias("pivot")
-        )
-        back = salted_lookup(there, backward, ["pivot"], [key, "pos"]).select(
-            key, F.struct("pos", F.coalesce("word", "pivot").alias("w")).alias("c")
-        )
-        said = back.groupBy(key).agg(
+        # the trip of every distinct word; no word is hot here
+        there = cells.select("word").distinct().join(forward, "word", "left")
+        there = there.select("word", F.coalesce("pivot", "word").alias("pivot"))
+        trips = there.join(backward.select("pivot", F.col("word").alias("_back")), "pivot", "left")
+        trips = trips.select("word", F.coalesce("_back", "pivot").alias("_said"))
+        told = salted_lookup(cells, trips, ["word"], [key, "pos"]).select(key, F.struct("pos", F.col("_said").alias("w")).alias("c"))
+        said = told.groupBy(key).agg(
             F.array_join(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["w"]), " ").alias("_said")
         )
         return (
@@ -309,8 +307,12 @@ def contextual_insertion(
             F.get("_w", F.col("_at") - 1).alias("left"),
             F.get("_w", F.col("_at")).alias("right"),
         )
-        after = _top(bigrams, "word", "follower", top_k).select(F.col("word").alias("left"), F.col("_best").alias("_after"))
-        ahead = _top(bigrams, "follower", "word", top_k).select(F.col("follower").alias("right"), F.col("_best").alias("_ahead"))
+        # neighbours are ranked for the words asked about only
+        lefts, rights = spots.select(F.col("left").alias("word")).distinct(), spots.select(F.col("right").alias("follower")).distinct()
+        after = _top(bigrams.join(lefts, "word", "left_semi"), "word", "follower", top_k)
+        after = after.select(F.col("word").alias("left"), F.col("_best").alias("_after"))
+        ahead = _top(bigrams.join(rights, "follower", "left_semi"), "follower", "word", top_k)
+        ahead = ahead.select(F.col("follower").alias("right"), F.col("_best").alias("_ahead"))
         spots = salted_lookup(salted_lookup(spots, after, ["left"], [key]), ahead, ["right"], [key])
         nothing = F.array().cast("array<string>")
         cands = spots.select(
@@ -445,9 +447,13 @@ class TextAugmenter:
         return looked_up.unionByName(self._fold(df.filter(~needs), lookups=False))
 
     def _fold(self, df: DataFrame, lookups: bool) -> DataFrame:
+        joins = [tag for name, tag, _ in self.entries if name in _LOOKUP and name not in _REGISTERED]
         for name, tag, params in self.entries:
-            if lookups or name not in _LOOKUP or name in _REGISTERED:
+            if lookups or tag not in joins:
                 df = self._step(df, name, tag, params)
+            if lookups and tag in joins[:-1]:
+                # a lookup reads its rows more than once; written here, the steps before it run once
+                df = materialize(df, "augmented")
         return df
 
 

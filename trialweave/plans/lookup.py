@@ -18,3 +18,13 @@ def salted_lookup(
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     right = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, on + ["_salt"], how).drop("_salt")
+
+
+def sparse_lookup(rows: DataFrame, dimension: DataFrame, on: list[str], salt_by: list[str], how: str = "left") -> DataFrame:
+    """A salted lookup for rows that ask for a small part of the dimension.
+
+    The dimension is first cut down to the keys asked for. Every key is there once on both
+    sides of that join, so it has no hot key, and only what is left is repeated per salt.
+    """
+    asked = rows.select(*on).distinct()
+    return salted_lookup(rows, dimension.join(asked, on, "left_semi"), on, salt_by, how)
