@@ -9,6 +9,7 @@ from ..functions.texts import words
 from ..operators import metrics as M
 from ..operators.prepare import assign_batches
 from ..plans.ordered import number_rows, time_levels
+from ..plans.session import materialize
 from ..sources.tables import table
 from .kit import u_sql, words_sql
 
@@ -22,6 +23,11 @@ def series(spark, d):
     return steps.select(F.col("event_type").alias("run"), "step", "value")
 
 
+def stored_series(spark, d):
+    """The series as a table of its own, for operators that read it several times."""
+    return materialize(series(spark, d), "series")
+
+
 SERIES_CTE = (
     "s AS (SELECT event_type AS run, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id)::BIGINT AS step, value FROM events)"
 )
@@ -114,7 +120,7 @@ SQL["g6_max_eval_steps"] = f"WITH {PRED_CTE} SELECT round(avg(l), 6) AS loss FRO
 
 
 def g7_improved(spark, d):
-    s = series(spark, d)
+    s = stored_series(spark, d)
     low = M.improved(s).withColumn("direction", F.lit("minimize"))
     return low.unionByName(M.improved(s, direction="maximize").withColumn("direction", F.lit("maximize")))
 
@@ -128,7 +134,7 @@ UNION ALL SELECT run, step, value, coalesce(value > max(value) {_prev}, true), '
 
 def nan_series(spark, d):
     """The series with NaN at every seventh step, and one run that starts with it."""
-    s = series(spark, d)
+    s = stored_series(spark, d)
     bad = (F.col("step") % 7 == 0) | ((F.col("step") == 1) & (F.col("run") == "click"))
     return s.withColumn("value", F.when(bad, float("nan")).otherwise(F.col("value")))
 
@@ -155,7 +161,7 @@ SQL["g8_latest"] = f"WITH {SERIES_CTE} SELECT run, max_by(value, step) AS latest
 
 
 def g9_best(spark, d):
-    s = series(spark, d)
+    s = stored_series(spark, d)
     return M.best(s).withColumn("direction", F.lit("minimize")).unionByName(
         M.best(s, direction="maximize").withColumn("direction", F.lit("maximize"))
     )
@@ -180,7 +186,7 @@ SELECT run, CASE WHEN any_value(stuck) THEN 1 ELSE arg_min(step, struct_pack(v :
 
 
 def g10_running_average(spark, d):
-    return M.running_average(series(spark, d)).select("run", "step", F.round("running_avg", 6).alias("running_avg"))
+    return M.running_average(stored_series(spark, d)).select("run", "step", F.round("running_avg", 6).alias("running_avg"))
 
 
 QUERIES["g10_running_average"] = g10_running_average
@@ -189,7 +195,7 @@ SELECT run, step, round(avg(value) OVER (PARTITION BY run ORDER BY step ROWS BET
 
 
 def g11_metric_summary(spark, d):
-    return M.metric_summary(series(spark, d)).withColumn("avg_last_10", F.round("avg_last_10", 6))
+    return M.metric_summary(stored_series(spark, d)).withColumn("avg_last_10", F.round("avg_last_10", 6))
 
 
 QUERIES["g11_metric_summary"] = g11_metric_summary

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.texts import words
 from ..operators import mixing as X
 from ..operators import prepare as P
 from ..plans.session import fresh_path, materialize
@@ -12,7 +11,7 @@ from ..sources import configs as SC
 from ..sources import corpus as C
 from ..sources import trials as ST
 from ..sources.tables import table
-from .kit import TOKENS_CTE, VOCAB_CTE, sql_str, u_sql, words_sql
+from .kit import TOKENS_CTE, VOCAB_CTE, u_sql, words_sql
 
 QUERIES, SQL = {}, {}
 
@@ -93,11 +92,13 @@ SQL["a4_read_images"] = f"SELECT vec_id AS id, 1 AS channels, 8 AS height, 8 AS
 
 
 def run_logs(spark, d):
-    """Events shaped as logs: one run per user and day, one point per event."""
-    e = table(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value")
+    """Events shaped as logs: one run per user and 512 consecutive event ids, which bounds the
+    points of a run; one point per event."""
+    e = table(spark, d, "events", "event_id", "user_id", "event_type", "value")
+    part = F.floor(F.col("event_id") / 512)
     point = F.create_map(F.lit("step"), F.col("event_id").cast("double"), F.col("event_type"), F.col("value"))
-    return e.groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.concat_ws("-", F.lit("run"), F.first("user_id").cast("string"), F.first(F.to_date("ts")).cast("string")).alias("name"),
+    return e.groupBy("user_id", part.alias("part")).agg(
+        F.concat_ws("-", F.lit("run"), F.first("user_id").cast("string"), F.first(part).cast("string")).alias("name"),
         F.lit("{}").alias("config"),
         F.create_map(F.lit("trial"), F.first("user_id").cast("string")).alias("tags"),
         F.collect_list(point).alias("metrics"),
@@ -105,7 +106,7 @@ def run_logs(spark, d):
             F.when(F.col("event_type") == "error", F.struct(F.concat(F.lit("out/"), F.col("event_id").cast("string")).alias("path"), F.lit("results").alias("type")))
         ).alias("artifacts"),
         (F.max("value") > 50).alias("accepted"),
-    ).drop("user_id", "day")
+    ).drop("user_id", "part")
 
 
 def _stored_logs(spark, d):
@@ -119,7 +120,7 @@ def a5_read_run_logs(spark, d):
 
 
 QUERIES["a5_read_run_logs"] = a5_read_run_logs
-_RUN = "'run-' || user_id || '-' || strftime(ts, '%Y-%m-%d')"
+_RUN = "'run-' || user_id || '-' || (event_id // 512)"
 SQL["a5_read_run_logs"] = f"SELECT {_RUN} AS run, event_id AS step, event_type AS metric, value FROM events"
 
 
@@ -270,7 +271,7 @@ SQL["b2_build_vocab"] = f"WITH {VOCAB_CTE} SELECT tok, cnt, (rank + 2)::INT AS i
 
 
 def encoded(spark, d):
-    return P.encode(P.tokenize(_docs(spark, d), lower=True), vocab_500(spark, d))
+    return P.encode(P.tokenize(_docs(spark, d), lower=True), materialize(vocab_500(spark, d), "vocab"))
 
 
 ENC_CTE = f"""{VOCAB_CTE}, ids AS (SELECT tok, rank + 2 AS id FROM vocab WHERE cnt >= 2 AND rank < 500),
@@ -320,7 +321,7 @@ SQL["b4_pack_sequences"] = f"WITH {BLOCKS_CTE} SELECT block_id, md5(array_to_str
 
 def b4_pack_padded(spark, d):
     """Rows padded to the block length before packing: every row is one block."""
-    return P.pack_sequences(encoded(spark, d), 128, prepad=True).select("block_id", *_ids(None, "input_ids"))
+    return P.pack_sequences(materialize(encoded(spark, d), "encoded"), 128, prepad=True).select("block_id", *_ids(None, "input_ids"))
 
 
 QUERIES["b4_pack_padded"] = b4_pack_padded

@@ -176,7 +176,7 @@ SQL["c6_token_cutoff"] = _rows(cutoff_sql("documents", "token_cutoff", 0.4, 0.2)
 
 def phrase_tables(spark, d):
     """A pivot dictionary from the corpus: two words of neighbouring rank share a pivot word."""
-    ranked = rank_tokens(token_counts(tokenize(_docs(spark, d), lower=True)))
+    ranked = materialize(rank_tokens(token_counts(tokenize(_docs(spark, d), lower=True))), "ranks")
     pivot = F.concat(F.lit("pv_"), F.floor(F.col("rank") / 2).cast("string")).alias("pivot")
     return ranked.select(F.col("tok").alias("word"), pivot), ranked.filter("rank % 2 = 0").select(pivot, F.col("tok").alias("word"))
 

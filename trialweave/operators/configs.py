@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import pick, u
 from ..functions.numbers import short_float
+from ..plans.session import materialize
 
 MAX_DEPTH = 8
 OBJECT = "object"
@@ -441,6 +442,8 @@ def extract_proposals(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         role == "wrapped_set", F.get_json_object("doc", "$.tuning")
     ).otherwise(F.col("doc"))
     routed = parsed.select(key, "pos", F.replace(role, F.lit("wrapped_"), F.lit("")).alias("role"), inner.alias("doc"))
+    # read several times below; the YAML is parsed once
+    routed = materialize(routed, "proposals")
     last = routed.groupBy(key).agg(
         F.max_by("doc", F.when(F.col("role") == "aug", F.col("pos"))).alias("augmentations"),
         F.max(F.when(F.col("role") == "set", F.col("pos"))).alias("_from"),
@@ -454,6 +457,7 @@ def extract_proposals(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     some = lambda c: F.when(F.size(_as_map(F.try_parse_json(c))) > 0, F.col(c))
     found = found.select(key, some("augmentations").alias("augmentations"), some("tuning").alias("tuning"))
     found = found.filter(F.col("augmentations").isNotNull() | F.col("tuning").isNotNull())
+    found = materialize(found, "proposals")
     rest = yaml_to_json(df.select(key, text).join(found.select(key), key, "left_anti"), key, text, "doc").select(
         key,
         F.get_json_object("doc", "$.augmentations").alias("augmentations"),

@@ -59,7 +59,11 @@ def score_lm(model: CountLM, df: DataFrame, text: str = "text", keys: Sequence[s
     joins see every distinct word once and no word is hot."""
     keys = list(keys)
     seen = _grams(df, text, model.order, keys).groupBy(*keys, "ctx", "tok").agg(F.count(F.lit(1)).alias("n"))
-    joined = seen.join(model.grams, ["ctx", "tok"], "left").join(model.contexts, "ctx", "left")
+    if model.order == 1:  # one context: its total is one number
+        joined = seen.join(model.grams.drop("ctx"), "tok", "left")
+        joined = joined.withColumn("total", model.contexts.agg(F.sum("total")).scalar())
+    else:
+        joined = seen.join(model.grams, ["ctx", "tok"], "left").join(model.contexts, "ctx", "left")
     k = F.lit(float(model.k))
     p = (F.coalesce("c", F.lit(0)) + k) / (F.coalesce("total", F.lit(0)) + k * model.vocabulary)
     out = joined.groupBy(*keys).agg(F.sum("n").alias("tokens"), (-F.sum(F.col("n") * F.log(p)) / F.sum("n")).alias("loss"))
@@ -205,9 +209,7 @@ def trial_sweep(
     per_trial = counts.join(seen, "tok", "left").groupBy("trial_id").agg(
         F.sum("c").alias("train_tokens"), F.count(F.lit(1)).alias("vocabulary"), F.sum(gain).alias("_gain")
     )
-    # the number of validation words as a one-row table, joined by a constant
-    total = seen.agg(F.sum("n").alias("_n")).withColumn("_one", F.lit(1))
-    out = per_trial.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+    out = per_trial.withColumn("_n", seen.agg(F.sum("n")).scalar())
     mean = F.coalesce("_gain", F.lit(0.0)) / F.col("_n") + F.log(k_) - F.log(F.col("train_tokens") + k_ * F.col("vocabulary"))
     return out.select("trial_id", "train_tokens", "vocabulary", (-mean).alias("loss"))
 

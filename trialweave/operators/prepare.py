@@ -12,6 +12,7 @@ from ..functions.draws import u
 from ..functions.texts import unfolded, words
 from ..plans.lookup import salted_lookup
 from ..plans.ordered import before_cells, draw_levels, id_levels, number_rows
+from ..plans.session import materialize
 
 # Reserved tokens come first in every vocabulary; padding has id 0.
 SPECIALS = ("<pad>", "<unk>")
@@ -207,8 +208,9 @@ def prepare(task: str, df: DataFrame, **options) -> DataFrame:
         tokens = tokenize(df, options.get("text", "text"))
         vocab = options.get("vocab")
         if vocab is None:
-            vocab = build_vocab(tokens, max_size=options.get("vocab_size", 50000))
-        encoded = encode(tokens, vocab, options.get("key", "doc_id"))
+            vocab = materialize(build_vocab(tokens, max_size=options.get("vocab_size", 50000)), "vocab")
+        # packing reads the rows twice, for their lengths and for their tokens
+        encoded = materialize(encode(tokens, vocab, options.get("key", "doc_id")), "encoded")
         return lm_labels(pack_sequences(encoded, length, options.get("key", "doc_id"), prepad=options.get("prepad", False)))
     if task == "text_classification":
         tokens = tokenize(df, options.get("text", "text"))

@@ -155,19 +155,13 @@ def pii_report(df: DataFrame, findings: DataFrame, key: str = "doc_id", shown: i
     order = [F.col(key), F.col("start"), F.col("type")]
     top = findings.orderBy(*order).limit(shown).select(F.struct(key, "start", "type", "score", "end", "text").alias("f"))
     top = top.agg(F.array_sort(F.collect_list("f")).alias("pii_found"))
-    counts = df.agg(F.count(F.lit(1)).alias("total_scanned")).withColumn("_one", F.lit(1))
-    found = findings.agg(F.count(F.lit(1)).alias("pii_count")).withColumn("_one", F.lit(1))
+    total = df.agg(F.count(F.lit(1)).alias("n"))
     line = lambda f: F.format_string("Found %s (score=%.2f): '%s'", f["type"], f["score"], f["text"])
-    return (
-        counts.join(found, "_one")
-        .join(top.withColumn("_one", F.lit(1)), "_one")
-        .select(
-            (F.col("pii_count") == 0).alias("safe"),
-            "total_scanned",
-            "pii_count",
-            "pii_found",
-            F.transform(F.slice("pii_found", 1, issues), line).alias("issues"),
-        )
+    out = findings.agg(F.count(F.lit(1)).alias("pii_count"))
+    out = out.withColumn("total_scanned", total.scalar()).withColumn("pii_found", top.scalar())
+    return out.select(
+        (F.col("pii_count") == 0).alias("safe"), "total_scanned", "pii_count", "pii_found",
+        F.transform(F.slice("pii_found", 1, issues), line).alias("issues"),
     )
 
 
