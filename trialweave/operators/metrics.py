@@ -74,19 +74,35 @@ def _signed(value: Column, direction: str) -> Column:
     return value if direction == "minimize" else -value
 
 
-def improved(df: DataFrame, keys: Sequence[str] = ("run",), step: str = "step", value: str = "value", direction: str = "minimize") -> DataFrame:
+def improved(
+    df: DataFrame, keys: Sequence[str] = ("run",), step: str = "step", value: str = "value", direction: str = "minimize",
+    carry: DataFrame | None = None,
+) -> DataFrame:
     """Adds ``improved``: strictly better than every value before. The first value always is;
-    NaN never is, and a series that starts with NaN keeps it as its best."""
+    NaN never is, and a series that starts with NaN keeps it as its best.
+
+    ``carry`` (keys, best, stuck) tells of series that have begun before these rows: their best
+    value, and whether they started with NaN.
+    """
+    keys = list(keys)
     v = _signed(F.col(value), direction)
     real = F.when(~F.isnan(v), v)
     out = running_before(
         df, keys, id_levels(F.col(step)), [F.col(step)],
         {"_best": (real, "min"), "_seen": (F.lit(1).cast("bigint"), "sum")},
     )
-    first = df.groupBy(*keys).agg(F.min_by(F.isnan(value), step).alias("_nan"))
-    out = salted_lookup(out, first, list(keys), [step])
-    better = ~F.col("_nan") & ~F.isnan(v) & (F.col("_best").isNull() | (v < F.col("_best")))
-    return out.withColumn("improved", F.when(F.col("_seen") == 0, True).otherwise(better)).drop("_best", "_seen", "_nan")
+    series = df.groupBy(*keys).agg(F.min_by(F.isnan(value), step).alias("_nan"))
+    if carry is None:
+        series = series.withColumns({"_c_best": F.lit(None).cast("double"), "_begun": F.lit(False)})
+    else:
+        before = carry.select(*keys, _signed(F.col("best"), direction).alias("_c_best"), F.col("stuck").alias("_c_stuck"))
+        series = series.join(before, keys, "left").withColumn("_begun", F.col("_c_stuck").isNotNull())
+        series = series.withColumn("_nan", F.coalesce("_c_stuck", "_nan")).drop("_c_stuck")
+    out = salted_lookup(out, series, keys, [step])
+    best = F.least("_best", "_c_best")
+    better = ~F.col("_nan") & ~F.isnan(v) & (best.isNull() | (v < best))
+    first = (F.col("_seen") == 0) & ~F.col("_begun")
+    return out.withColumn("improved", F.when(first, True).otherwise(better)).drop("_best", "_seen", "_nan", "_c_best", "_begun")
 
 
 def latest(df: DataFrame, keys: Sequence[str] = ("run",), step: str = "step", value: str = "value") -> DataFrame:

@@ -121,6 +121,8 @@ def color_jitter(
 def _shift_hue(df: DataFrame, n: int, shift: Column) -> DataFrame:
     """Hue rotation of ``_px``, whole batches of images at a time."""
 
+    import pandas as pd
+
     def turn(px, by):
         import numpy as np
         import pandas as pd
@@ -140,8 +142,8 @@ def _shift_hue(df: DataFrame, n: int, shift: Column) -> DataFrame:
                 out[i] = np.concatenate(bands).tolist()
         return pd.Series(out)
 
-    udf = F.pandas_udf(turn, "array<double>", F.PandasUDFType.SCALAR)
-    return df.withColumn("_px", udf(F.col("_px"), shift))
+    turn.__annotations__ = {"px": pd.Series, "by": pd.Series, "return": pd.Series}
+    return df.withColumn("_px", F.pandas_udf(turn, "array<double>")(F.col("_px"), shift))
 
 
 def random_rotation(df, shape: Shape, key="id", pixels="pixels", probability=0.5, degrees=15, seed=42, tag="random_rotation", **_) -> DataFrame:

@@ -73,21 +73,15 @@ def stream_metric_tracker(
     table ``late`` holds values at or before a step already passed, ``state`` the summary."""
     spark = stream.sparkSession
     store = BatchStore(spark, path)
-    sign = 1 if direction == "minimize" else -1
 
     def step(batch: DataFrame, i: int) -> None:
         state = store.state(i, TRACKER_STATE)
         rows = store.write(_split_late(batch.select("run", "step", "value"), state, "run", "step"), "input", i)
         store.write(rows.filter("_late").select("run", "step", "value"), "late", i)
         fresh = rows.filter("NOT _late")
-        v = F.col("value") * sign
-        flags = M.improved(fresh, ("run",), direction=direction)
-        again = ~F.coalesce("s_stuck", F.lit(False)) & ~F.isnan("value") & (v < F.col("s_best") * sign)
-        # the batch alone calls its first value an improvement; an older best value decides
-        new = F.when(F.col("s_n").isNull(), F.col("improved")).otherwise(
-            F.col("improved") & F.coalesce(again, F.lit(False))
-        )
-        store.write(flags.select("run", "step", "value", new.alias("improved")), "flags", i)
+        before = state.select("run", F.col("s_best").alias("best"), F.col("s_stuck").alias("stuck"))
+        flags = M.improved(fresh.select("run", "step", "value"), ("run",), direction=direction, carry=before)
+        store.write(flags, "flags", i)
         store.write(_next_tracker_state(fresh, state, direction, window), "state", i)
 
     return _run(stream, path, step, available_now)
