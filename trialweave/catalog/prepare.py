@@ -271,7 +271,7 @@ SQL["b2_build_vocab"] = f"WITH {VOCAB_CTE} SELECT tok, cnt, (rank + 2)::INT AS i
 
 
 def encoded(spark, d):
-    return P.encode(P.tokenize(_docs(spark, d), lower=True), materialize(vocab_500(spark, d), "vocab"))
+    return P.encode(P.tokenize(_docs(spark, d), lower=True), materialize(vocab_500(spark, d), "vocab"), vocab_size=500)
 
 
 ENC_CTE = f"""{VOCAB_CTE}, ids AS (SELECT tok, rank + 2 AS id FROM vocab WHERE cnt >= 2 AND rank < 500),

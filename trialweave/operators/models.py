@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.texts import words
+from ..plans.session import materialize
 from .metrics import bits_per_byte, perplexity
 from .prepare import exact_split
 from .text_augment import TextAugmenter
@@ -47,11 +48,11 @@ class CountLM:
 def train_lm(df: DataFrame, text: str = "text", order: int = 1, k: float = ADD_K) -> CountLM:
     if order not in (1, 2):
         raise ValueError("order must be 1 or 2")
-    grams = _grams(df, text, order).groupBy("ctx", "tok").agg(F.count(F.lit(1)).alias("c"))
+    # the counts are the model: written once, read by everything after
+    grams = materialize(_grams(df, text, order).groupBy("ctx", "tok").agg(F.count(F.lit(1)).alias("c")), "grams")
     contexts = grams.groupBy("ctx").agg(F.sum("c").alias("total"))
-    # distinct words; one number
-    vocabulary = grams.agg(F.count_distinct("tok")).first()[0]
-    return CountLM(grams, contexts, int(vocabulary), order, k)
+    vocabulary = grams.count() if order == 1 else grams.select("tok").distinct().count()
+    return CountLM(grams, contexts, vocabulary, order, k)
 
 
 def score_lm(model: CountLM, df: DataFrame, text: str = "text", keys: Sequence[str] = ()) -> DataFrame:

@@ -30,8 +30,8 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def rank_tokens(counts: DataFrame) -> DataFrame:
     """Adds the 0-based rank by (count descending, token). Tokens of equal count are ranked
-    within cells of a common two-letter beginning, so the long tail is not one task."""
-    levels = {"_l0": -F.col("cnt"), "_l1": F.substring("tok", 1, 2)}
+    within cells of a common beginning of three letters, so the long tail is not one task."""
+    levels = {"_l0": -F.col("cnt"), "_l1": F.substring("tok", 1, 3)}
     return number_rows(counts, [], levels, [F.col("tok")], "rank").withColumn("rank", F.col("rank") - 1)
 
 
@@ -47,14 +47,23 @@ def build_vocab(
     return ranked.select("tok", "cnt", (F.col("rank") + len(specials)).cast("int").alias("id"))
 
 
-def encode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", unk: int = 1) -> DataFrame:
-    """(key, input_ids). Texts are clustered by key before their tokens are exploded, so that
-    they can be put together again without shuffling single tokens when the vocabulary is
-    small enough to be broadcast; otherwise the lookup is a salted join."""
+# A vocabulary known to have at most this many tokens is small enough for every task to hold.
+BROADCAST_TOKENS = 200_000
+
+
+def encode(
+    df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", unk: int = 1, vocab_size: int | None = None
+) -> DataFrame:
+    """(key, input_ids). Texts are clustered by key before their tokens are exploded. With a
+    vocabulary of a known, small size the lookup is a broadcast, and texts are put together
+    again where they are: single tokens are never shuffled. Otherwise it is a salted join."""
     cells = df.select(key, tokens).repartition(F.col(key)).select(key, F.posexplode(unfolded(F.col(tokens))).alias("pos", "tok"))
-    ids = salted_lookup(cells, vocab.select("tok", "id"), ["tok"], [key, "pos"]).select(
-        key, F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")).alias("c")
-    )
+    known = vocab.select("tok", "id")
+    if vocab_size is not None and vocab_size <= BROADCAST_TOKENS:
+        found = cells.join(F.broadcast(known), "tok", "left")
+    else:
+        found = salted_lookup(cells, known, ["tok"], [key, "pos"])
+    ids = found.select(key, F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")).alias("c"))
     return ids.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["id"]).alias("input_ids"))
 
 
@@ -201,24 +210,23 @@ def standardize_channels(
     return df.withColumn(pixels, F.transform(F.col(pixels), value))
 
 
+def _encoded(df: DataFrame, options: dict) -> DataFrame:
+    tokens = tokenize(df, options.get("text", "text"))
+    vocab, size = options.get("vocab"), options.get("vocab_size", 50000)
+    if vocab is None:
+        vocab = materialize(build_vocab(tokens, max_size=size), "vocab")
+    return encode(tokens, vocab, options.get("key", "doc_id"), vocab_size=size)
+
+
 def prepare(task: str, df: DataFrame, **options) -> DataFrame:
-    """Chooses the preparation for a task."""
+    """Chooses the preparation for a task. A given ``vocab`` comes with its ``vocab_size``."""
+    key = options.get("key", "doc_id")
     if task == "language_modeling":
-        length = options.get("max_length", 512)
-        tokens = tokenize(df, options.get("text", "text"))
-        vocab = options.get("vocab")
-        if vocab is None:
-            vocab = materialize(build_vocab(tokens, max_size=options.get("vocab_size", 50000)), "vocab")
         # packing reads the rows twice, for their lengths and for their tokens
-        encoded = materialize(encode(tokens, vocab, options.get("key", "doc_id")), "encoded")
-        return lm_labels(pack_sequences(encoded, length, options.get("key", "doc_id"), prepad=options.get("prepad", False)))
+        encoded = materialize(_encoded(df, options), "encoded")
+        return lm_labels(pack_sequences(encoded, options.get("max_length", 512), key, prepad=options.get("prepad", False)))
     if task == "text_classification":
-        tokens = tokenize(df, options.get("text", "text"))
-        vocab = options.get("vocab")
-        if vocab is None:
-            vocab = build_vocab(tokens, max_size=options.get("vocab_size", 50000))
-        key = options.get("key", "doc_id")
-        encoded = truncate_pad(encode(tokens, vocab, key), options.get("max_length", 128))
+        encoded = truncate_pad(_encoded(df, options), options.get("max_length", 128))
         return encoded.join(df.select(key, F.col(options.get("label", "label")).alias("labels")), key)
     if task == "image_classification":
         h, w, c, size = options["height"], options["width"], options["channels"], options.get("image_size", 32)

@@ -169,12 +169,17 @@ def sequential_gate(
     base = (F.coalesce("_c_best", "baseline") * sign).alias("_base")
     chain = _accepted_chain(candidates.select(*keys, trial, v.alias("_v"), base), keys, trial, float(threshold))
     rows = rows.join(chain.withColumn("_moves", F.lit(True)), [*keys, trial], "left")
-    last = F.when(F.col("_moves"), F.struct(F.col(trial).alias("t"), F.col("primary_metric").cast("double").alias("v")))
+    pos = F.col("_pos") + 1
+    last = F.when(
+        F.col("_moves"), F.struct(F.col(trial).alias("t"), F.col("primary_metric").cast("double").alias("v"), pos.alias("pos"))
+    )
     rows = running_before(rows, keys, levels, [F.col(trial)], {"_last": (last, "max")})
     rows = decide(rows.withColumn("best", F.coalesce("_last.v", "_c_best")), metric, direction, threshold)
-    rows = materialize(rows.drop("_last", "_moves", "_min", "_n", "_own"), "gate")
-    pos = F.col("_pos") + 1
-    rows = running_before(rows, keys, levels, [F.col(trial)], {"_hit": (F.when(F.col("accepted"), pos), "max")})
+    rows = rows.withColumn("_hit", F.col("_last.pos")).drop("_last", "_moves", "_min", "_n", "_own")
+    if "eval_metrics" in rows.columns:
+        # trials accepted by a value under its short name end a row of rejections as well
+        rows = materialize(rows.drop("_hit"), "gate")
+        rows = running_before(rows, keys, levels, [F.col(trial)], {"_hit": (F.when(F.col("accepted"), pos), "max")})
     since = F.when(F.col("_hit").isNull(), pos + F.col("_c_fails")).otherwise(pos - F.col("_hit"))
     rows = rows.withColumn("fails", F.when(F.col("accepted"), 0).otherwise(since).cast("bigint"))
     rows = rows.withColumn("_pos", pos).drop("_hit", "_c_best", "_c_fails", *levels)

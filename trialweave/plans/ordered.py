@@ -2,7 +2,7 @@
 puts a whole key, or a whole table, into one task.
 
 An order is described by *levels*: columns from coarse to fine that never decrease along
-the order (for a timestamp: its day, then its hour). Rows of one finest cell are ordered
+the order (for a timestamp: its day, then its minute). Rows of one finest cell are ordered
 by a window of their own; what lies before a cell is found from per-cell totals, which
 are aggregated map-side and are small. A key holding a third of all rows is therefore
 spread over all its cells. Cells are pure functions of the row, so nothing has to be
@@ -32,17 +32,17 @@ def id_levels(col: Column, cell: int = 4096, fanout: int = 4096) -> dict[str, Co
     }
 
 
-def draw_levels(draw: Column, bits: int = 16) -> dict[str, Column]:
-    """Levels of a uniform draw in [0, 1)."""
+def draw_levels(draw: Column, bits: int = 20) -> dict[str, Column]:
+    """Levels of a uniform draw in [0, 1): ``2^bits`` cells of about equal size."""
     return {
         "_l0": F.floor(draw * F.lit(float(2 ** (bits // 2)))).cast("int"),
         "_l1": F.floor(draw * F.lit(float(2**bits))).cast("int"),
     }
 
 
-def time_levels(ts: Column) -> dict[str, Column]:
-    """Levels of a timestamp: day, then hour."""
-    return {"_l0": F.to_date(ts), "_l1": F.date_trunc("hour", ts)}
+def time_levels(ts: Column, unit: str = "minute") -> dict[str, Column]:
+    """Levels of a timestamp: day, then minute; seconds for very dense streams."""
+    return {"_l0": F.to_date(ts), "_l1": F.date_trunc(unit, ts)}
 
 
 def before_cells(
