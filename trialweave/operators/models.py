@@ -116,11 +116,11 @@ def centroid_logits(model: list[tuple], pixels: Column) -> Column:
 
 def predict(df: DataFrame, logits: str = "logits") -> DataFrame:
     """Adds ``prediction`` (arg-max, first of equals) and ``probability`` (max softmax)."""
-    values = F.transform(logits, lambda s: s["logit"])
-    top = F.array_max(values)
-    total = F.aggregate(F.transform(values, lambda v: F.exp(v - top)), F.lit(0.0), lambda a, v: a + v)
-    first = F.filter(logits, lambda s: s["logit"] == top)
-    return df.withColumn("prediction", F.get(first, F.lit(0))["label"]).withColumn("probability", 1 / total)
+    df = df.withColumn("_v", F.transform(logits, lambda s: s["logit"])).withColumn("_top", F.array_max("_v"))
+    total = F.aggregate("_v", F.lit(0.0), lambda a, v: a + F.exp(v - F.col("_top")))
+    first = F.filter(logits, lambda s: s["logit"] == F.col("_top"))
+    out = df.withColumn("prediction", F.get(first, F.lit(0))["label"]).withColumn("probability", 1 / total)
+    return out.drop("_v", "_top")
 
 
 def train_image_classifier(df: DataFrame, shape: Shape, key: str = "id", config: dict | None = None, seed: int = 42) -> tuple[list[tuple], DataFrame]:

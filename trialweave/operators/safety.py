@@ -70,13 +70,14 @@ def _score(kind: str, fixed, found: Column, before: Column) -> Column:
 def _matches(text: Column, kind: str, pattern: str, fixed) -> Column:
     """Findings of one rule with character offsets. The text is cut at the matches; the
     lengths of the pieces and of the matches before give the offsets."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
+    cut = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("pieces")
+    )
+    length = lambda acc, s: acc + F.length(s)
 
-    def finding(m: Column, i: Column) -> Column:
-        length = lambda acc, s: acc + F.length(s)
-        start = F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0), length) + F.aggregate(
-            F.slice(found, F.lit(1), i), F.lit(0), length
+    def finding(c: Column, m: Column, i: Column) -> Column:
+        start = F.aggregate(F.slice(c["pieces"], F.lit(1), i + 1), F.lit(0), length) + F.aggregate(
+            F.slice(c["found"], F.lit(1), i), F.lit(0), length
         )
         before = F.substr(
             text, F.greatest(start - CONTEXT_LENGTH + 1, F.lit(1)), F.least(start, F.lit(CONTEXT_LENGTH))
@@ -89,7 +90,9 @@ def _matches(text: Column, kind: str, pattern: str, fixed) -> Column:
             m.alias("text"),
         )
 
-    return F.when(text.rlike(pattern), F.transform(found, finding)).otherwise(F.array().cast(FINDING))
+    # the one-element array binds the cut text, so that it is not cut again for every match
+    found = F.get(F.transform(F.array(cut), lambda c: F.transform(c["found"], lambda m, i: finding(c, m, i))), F.lit(0))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(FINDING))
 
 
 def pii_findings(text: Column, threshold: float = DEFAULT_THRESHOLD) -> Column:
