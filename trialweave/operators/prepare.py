@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.draws import u
 from ..functions.texts import unfolded, words
 from ..plans.lookup import salted_lookup
-from ..plans.ordered import before_cells, draw_levels, id_levels, number_rows
+from ..plans.ordered import draw_levels, id_levels, number_rows, running_before
 from ..plans.session import materialize
 
 # Reserved tokens come first in every vocabulary; padding has id 0.
@@ -94,14 +93,7 @@ def pack_sequences(
     rows = df.select(F.col(key).alias("_key"), F.col(ids).alias("_ids"), F.size(ids).cast("long").alias("_len")).filter(
         F.col("_len") > 0
     )
-    rows = rows.withColumns(id_levels(F.col("_key"), cell))
-    cells = before_cells(rows, [], ["_l0", "_l1"], {"_b": (F.sum("_len"), "sum")})
-    w = W.partitionBy("_l0", "_l1").orderBy("_key").rowsBetween(W.unboundedPreceding, -1)
-    rows = (
-        rows.withColumn("_in", F.coalesce(F.sum("_len").over(w), F.lit(0)))
-        .join(cells, ["_l0", "_l1"])
-        .withColumn("_off", (F.col("_b") + F.col("_in")).cast("long"))
-    )
+    rows = running_before(rows, [], id_levels(F.col("_key"), cell), [F.col("_key")], {"_off": (F.col("_len"), "sum")})
     first, last = F.floor(F.col("_off") / L), F.floor((F.col("_off") + F.col("_len") - 1) / L)
     pieces = rows.select("_ids", "_off", "_len", F.explode(F.sequence(first, last)).alias("block_id"))
     start = F.greatest(F.col("block_id") * L, F.col("_off"))

@@ -3,10 +3,10 @@ puts a whole key, or a whole table, into one task.
 
 An order is described by *levels*: columns from coarse to fine that never decrease along
 the order (for a timestamp: its day, then its minute). Rows of one finest cell are ordered
-by a window of their own; what lies before a cell is found from per-cell totals, which
-are aggregated map-side and are small. A key holding a third of all rows is therefore
-spread over all its cells. Cells are pure functions of the row, so nothing has to be
-materialised to keep them stable when a task is run again.
+by a window of their own. What lies before a cell is found from per-cell totals, which are
+aggregated map-side and are small, and enters the cell as one more row at its beginning. A key
+holding a third of all rows is therefore spread over all its cells. Cells are pure functions of
+the row, so nothing has to be materialised to keep them stable when a task is run again.
 """
 
 from __future__ import annotations
@@ -17,11 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_COMBINE = {
-    "sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
-    "min": (F.min, lambda a, b: F.least(a, b)),
-    "max": (F.max, lambda a, b: F.greatest(a, b)),
-}
+_AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def id_levels(col: Column, cell: int = 4096, fanout: int = 4096) -> dict[str, Column]:
@@ -45,45 +41,25 @@ def time_levels(ts: Column, unit: str = "minute") -> dict[str, Column]:
     return {"_l0": F.to_date(ts), "_l1": F.date_trunc(unit, ts)}
 
 
-def before_cells(
-    df: DataFrame, keys: Sequence[str], levels: Sequence[str], measures: dict[str, tuple[Column, str]]
+def _running(
+    df: DataFrame, keys: list[str], levels: list[str], order: Sequence[Column], measures: dict[str, tuple[str, str]], last: int
 ) -> DataFrame:
-    """One row per (keys, levels): the measures aggregated over all earlier cells of the key.
-
-    ``measures`` maps a name to (aggregate column, 'sum' | 'min' | 'max').
-    """
-    keys, levels = list(keys), list(levels)
-    totals = {len(levels): df.groupBy(*keys, *levels).agg(*[m.alias(n) for n, (m, _) in measures.items()])}
-    for depth in range(len(levels) - 1, 0, -1):
-        totals[depth] = (
-            totals[depth + 1]
-            .groupBy(*keys, *levels[:depth])
-            .agg(*[_COMBINE[how][0](n).alias(n) for n, (_, how) in measures.items()])
-        )
-    out = None
-    for depth in range(1, len(levels) + 1):
-        parent = keys + levels[: depth - 1]
-        w = W.partitionBy(*parent).orderBy(levels[depth - 1]).rowsBetween(W.unboundedPreceding, -1)
-        part = totals[depth].select(
-            *parent,
-            levels[depth - 1],
-            *[_COMBINE[how][0](F.col(n)).over(w).alias(f"{n}__{depth}") for n, (_, how) in measures.items()],
-        )
-        out = part if out is None else out.join(part, parent, "inner")
-    merged = []
-    for n, (_, how) in measures.items():
-        c = F.col(f"{n}__1")
-        for depth in range(2, len(levels) + 1):
-            c = _COMBINE[how][1](c, F.col(f"{n}__{depth}"))
-        if how == "sum":
-            c = F.coalesce(c, F.lit(0))
-        merged.append(c.alias(n))
-    return out.select(*keys, *levels, *merged)
-
-
-def _with_levels(df: DataFrame, levels) -> tuple[DataFrame, list[str], list[str]]:
-    """Levels are given as expressions, added for the time being, or as the names of columns
-    the table already has; the latter keep rows clustered over several computations."""
+    """Adds, per measure, the aggregate of a column from the key's first row to ``last`` rows from
+    the current one. ``measures`` maps a new name to (column, how)."""
+    if levels:
+        cells = df.groupBy(*keys, *levels).agg(*[_AGGREGATE[how](c).alias(c) for c, how in measures.values()])
+        # what lies before a cell is a running computation over cells, one level coarser
+        before = _running(cells, keys, levels[:-1], [F.col(levels[-1])], measures, -1)
+        heads = before.select(*keys, *levels, *[F.col(n).alias(c) for n, (c, _) in measures.items()], F.lit(0).alias("_row"))
+        df = df.withColumn("_row", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+        order = [F.col("_row"), *order]
+    w = W.partitionBy(*keys, *levels).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
+    df = df.withColumns({n: _AGGREGATE[how](c).over(w) for n, (c, how) in measures.items()})
+    return df.filter("_row = 1").drop("_row") if levels else df
+
+
+def _with_levels(df: DataFrame, levels: dict[str, Column] | Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """Levels are given as expressions, added for the time being, or as names of columns."""
     if isinstance(levels, dict):
         return df.withColumns(levels), list(levels), list(levels)
     return df, list(levels), []
@@ -93,16 +69,9 @@ def number_rows(
     df: DataFrame, keys: Sequence[str], levels: dict[str, Column] | Sequence[str], order: Sequence[Column], name: str = "rank"
 ) -> DataFrame:
     """Exact 1-based position of every row within its key (the whole table if no keys)."""
-    keys = list(keys)
     df, lv, extra = _with_levels(df, levels)
-    before = before_cells(df, keys, lv, {"_before": (F.count(F.lit(1)), "sum")})
-    local = F.row_number().over(W.partitionBy(*keys, *lv).orderBy(*order))
-    return (
-        df.withColumn("_local", local)
-        .join(before, keys + lv, "inner")
-        .withColumn(name, (F.col("_before") + F.col("_local")).cast("long"))
-        .drop("_before", "_local", *extra)
-    )
+    one = df.withColumn("_one", F.lit(1).cast("bigint"))
+    return _running(one, list(keys), lv, order, {name: ("_one", "sum")}, 0).drop("_one", *extra)
 
 
 def running_before(
@@ -112,19 +81,16 @@ def running_before(
     order: Sequence[Column],
     measures: dict[str, tuple[Column, str]],
 ) -> DataFrame:
-    """Adds, per measure, the aggregate of ``value`` over all earlier rows of the key.
+    """Adds, per measure, the aggregate of a value over all earlier rows of the key; sums start
+    at 0, extremes at null.
 
     ``measures`` maps a name to (value column, 'sum' | 'min' | 'max').
     """
-    keys = list(keys)
     df, lv, extra = _with_levels(df, levels)
-    cells = before_cells(df, keys, lv, {f"_b_{n}": (_COMBINE[how][0](v), how) for n, (v, how) in measures.items()})
-    w = W.partitionBy(*keys, *lv).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    local = df.withColumns({f"_w_{n}": _COMBINE[how][0](v).over(w) for n, (v, how) in measures.items()})
-    out = local.join(cells, keys + lv, "inner")
-    return out.withColumns(
-        {n: _COMBINE[how][1](F.col(f"_b_{n}"), F.col(f"_w_{n}")) for n, (_, how) in measures.items()}
-    ).drop(*extra, *[f"_w_{n}" for n in measures], *[f"_b_{n}" for n in measures])
+    df = df.withColumns({f"_v_{n}": v for n, (v, _) in measures.items()})
+    out = _running(df, list(keys), lv, order, {n: (f"_v_{n}", how) for n, (_, how) in measures.items()}, -1)
+    zero = {n: F.coalesce(n, F.lit(0)) for n, (_, how) in measures.items() if how == "sum"}
+    return out.withColumns(zero).drop(*extra, *[f"_v_{n}" for n in measures])
 
 
 def trailing_rows(df: DataFrame, keys: Sequence[str], seq: str, window: int, exprs: dict, cell: int = 4096) -> DataFrame:
