@@ -52,6 +52,16 @@ def test_text_classifier_learns(spark, tmp_path):
     assert J.load_model(spark, path).stages[0].getNumFeatures() == 256
 
 
+def test_classifier_sweep_equals_single_runs(spark):
+    rows = [(i, ("good " if i % 2 else "bad ") + f"w{i % 7} w{i % 3}", i % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    cfg = {"pipeline": {"enabled": True, "text_augmentations": [{"name": "random_deletion", "enabled": True, "probability": 0.4}]}}
+    got = {r.trial_id: r for r in J.classifier_sweep(df, [{}, cfg], parallel=2, features=64).collect()}
+    for i, c in enumerate([{}, cfg]):
+        want = J.train_text_classifier(df, config=c, features=64)[2].first()
+        assert math.isclose(got[i].loss, want.loss, rel_tol=1e-6) and got[i].accuracy == want.accuracy
+
+
 def test_centroids(spark):
     rows = [(i, [float(i % 2) * 4, 1.0], i % 2) for i in range(40)]
     df = spark.createDataFrame(rows, "id bigint, pixels array<double>, label int")

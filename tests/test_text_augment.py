@@ -90,6 +90,8 @@ def test_back_translation(spark):
     bwd = spark.createDataFrame([("p1", "A"), ("p2", "B")], "pivot string, word string")
     out = texts(T.back_translation(docs(spark, "a b c d", "", "a"), probability=1.0, forward=fwd, backward=bwd))
     assert out == ["A B B d", "", "A"]
+    cut = texts(T.back_translation(docs(spark, "a b c d"), probability=1.0, forward=fwd, backward=bwd, max_tokens=2))
+    assert cut == ["A B"]
 
     def load():
         def translate(batch):
@@ -133,6 +135,9 @@ def test_registered_augmentation(spark):
     T.register_augmentation("shout", lambda df, text, **_: df.withColumn(text, F.upper(text)))
     out = T.TextAugmenter(config(True, {"name": "shout", "enabled": True})).apply(docs(spark, "a"))
     assert texts(out) == ["A"]
+    T.register_expression("mark", lambda t, sign="!": F.concat(t, F.lit(sign)))
+    half = T.TextAugmenter(config(True, {"name": "mark", "enabled": True, "sign": "?"})).apply(copies(spark, "a"))
+    assert 60 < texts(half).count("a?") < 140 and set(texts(half)) == {"a", "a?"}
 
 
 def test_same_result_for_any_partitioning(spark):

@@ -149,6 +149,14 @@ g AS (SELECT -1::BIGINT AS trial_id, NULL::DOUBLE AS primary_metric, NULL::DOUBL
 SELECT trial_id, primary_metric, baseline, accepted, fails FROM g WHERE trial_id >= 0"""
 
 
+def j4_classifier_sweep(spark, d):
+    """Text classifiers trained on differently augmented texts, a few at a time."""
+    return J.classifier_sweep(_labelled(spark, d), CANDIDATES[:3])
+
+
+QUERIES["j4_classifier_sweep"] = j4_classifier_sweep
+
+
 def j5_predict(spark, d):
     rows = image_rows(spark, d)
     model = J.train_centroids(rows)

@@ -189,7 +189,7 @@ def c7_back_translation(spark, d):
 QUERIES["c7_back_translation"] = c7_back_translation
 SQL["c7_back_translation"] = f"""
 WITH {TOKENS_CTE}, {VOCAB_CTE},
-g AS (SELECT doc_id, ws[1:512] AS ws FROM toks WHERE {gate_sql(42, 'back_translation', 'doc_id', 0.3)} AND len(ws) > 0),
+g AS (SELECT doc_id, ws FROM toks WHERE {gate_sql(42, 'back_translation', 'doc_id', 0.3)} AND len(ws) > 0),
 w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM g),
 f AS (SELECT tok AS word, 'pv_' || (rank // 2) AS pivot FROM vocab),
 b AS (SELECT 'pv_' || (rank // 2) AS pivot, tok AS word FROM vocab WHERE rank % 2 = 0),

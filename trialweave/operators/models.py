@@ -215,6 +215,30 @@ def trial_sweep(
     return out.select("trial_id", "train_tokens", "vocabulary", (-mean).alias("loss"))
 
 
+def classifier_sweep(df: DataFrame, candidates: Sequence[dict], parallel: int = 4, **options) -> DataFrame:
+    """(trial_id, loss, accuracy, samples): one text classifier per candidate config.
+
+    A few candidates train at a time, each by Spark jobs of its own; with the FAIR scheduler
+    they share the cluster evenly. Only the three numbers of a trial reach the driver.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    spark = df.sparkSession
+
+    @inheritable_thread_target(spark)
+    def run(trial: tuple[int, dict]) -> tuple:
+        number, config = trial
+        _, _, metrics = train_text_classifier(df, config=config, **options)
+        m = metrics.first()
+        return number, m["loss"], m["accuracy"], m["samples"]
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        rows = list(pool.map(run, enumerate(candidates)))
+    return spark.createDataFrame(rows, "trial_id bigint, loss double, accuracy double, samples bigint")
+
+
 def baseline_trial(train: DataFrame, validation: DataFrame, text: str = "text", config: str = "{}") -> DataFrame:
     """The model without augmentation as a trials row with trial id -1."""
     scores = score_lm(train_lm(train, text), validation, text)

@@ -175,6 +175,7 @@ def sample_for_scan(df: DataFrame, key: str = "doc_id", sample_size: int | None
     return df.orderBy(u(seed, "scan_sample", F.col(key), 0), F.col(key)).limit(sample_size)
 
 
+# Fixed value: the message for a config that mixes in external sources.
 MIXING_ISSUE = (
     "Data mixing with external sources is enabled. PII scanning will run on mixed data during training."
 )
@@ -221,6 +222,7 @@ LICENSE_STATEMENTS = (
     ("gpl-3.0", r"licensed under the GNU General Public License, version 3"),
     ("cc-by-nc-4.0", r"Licensed under CC BY-NC 4\.0"),
 )
+# Fixed value: the message for a config that fetches from the web.
 WEB_ISSUE = (
     "Web fetcher is enabled. Ensure fetched data sources have compatible licenses before using in training."
 )

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.draws import gate, pick, randint, u
-from ..functions.texts import join_words, words
+from ..functions.texts import join_words, unfolded, words
 from ..plans.lookup import salted_lookup, sparse_lookup
 from ..plans.session import materialize
 from .vector_augment import image_steps
@@ -184,14 +184,14 @@ def _no_lexicon(df: DataFrame) -> DataFrame:
 
 # Fixed value: the languages a text may be sent through.
 PIVOT_LANGUAGES = ("de", "fr", "es", "zh")
-MAX_TRANSLATED_TOKENS = 512
 
 
 def back_translation(
     df, key="doc_id", text="text", probability=0.15, source_lang="en", pivot_lang="de",
-    forward=None, backward=None, model=None, seed=42, tag="back_translation", split=True, **_,
+    forward=None, backward=None, model=None, max_tokens=None, seed=42, tag="back_translation", split=True, **_,
 ) -> DataFrame:
-    """Round trip through a pivot language, over the first 512 tokens of the text.
+    """Round trip through a pivot language, over whole texts. ``max_tokens`` keeps only so many
+    first words, as translation models with a limit of 512 tokens do.
 
     With ``forward`` (word, pivot) and ``backward`` (pivot, word) phrase tables the trip is
     two equi-joins over the distinct words; a word unknown to a table is kept. With ``model`` - a function without
@@ -210,10 +210,9 @@ def back_translation(
 
     def act(rows: DataFrame) -> DataFrame:
         rows = _gated_words(rows, key, text, probability, seed, tag)
-        # one row per word of at most 512 words of a gated text
-        cells = rows.filter(F.col("_n") > 0).select(
-            key, F.posexplode(F.slice("_w", 1, MAX_TRANSLATED_TOKENS)).alias("pos", "word")
-        )
+        kept = unfolded(F.col("_w")) if max_tokens is None else F.slice("_w", 1, int(max_tokens))
+        # one row per word of a gated text
+        cells = rows.filter(F.col("_n") > 0).select(key, F.posexplode(kept).alias("pos", "word"))
         # the trip of every distinct word; no word is hot here
         there = cells.select("word").distinct().join(forward, "word", "left")
         there = there.select("word", F.coalesce("pivot", "word").alias("pivot"))
@@ -392,6 +391,16 @@ def register_augmentation(name: str, fn: Callable[..., DataFrame]) -> None:
     _REGISTERED[name] = fn
 
 
+def register_expression(name: str, expr: Callable[..., Column], probability: float = 0.5) -> None:
+    """Make a text expression ``expr(text column, **params)`` usable in a config by name; it acts
+    on the share of rows given by the entry's probability."""
+
+    def apply(df, key, text, seed, tag, probability=probability, **params):
+        return gated(df, key, text, probability, expr(F.col(text), **params), seed, tag)
+
+    _REGISTERED[name] = apply
+
+
 class TextAugmenter:
     """Applies the enabled text augmentations of a config, in their order.
 

@@ -75,6 +75,7 @@ def decide(
         }
     )
     against = F.when(F.col(best).isNotNull(), "best").otherwise("baseline")
+    # The wording of the reasons.
     reason = (
         F.when(failed, F.concat(F.lit("Trial failed: "), error))
         .when(value.isNull(), F.lit(f"Primary metric '{metric}' not found in results"))
