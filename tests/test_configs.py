@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trialweave.functions.numbers import fixed, short_float
 from trialweave.operators import configs as I
-from trialweave.sources.configs import read_configs
+from trialweave.sources.configs import read_config_files, read_configs
 
 TUNING = {
     "optimizer": {"name": "adamw", "learning_rate": 5e-05, "weight_decay": 0.01, "betas": [0.9, 0.999], "eps": 1e-08, "momentum": 0.9},
@@ -191,6 +191,14 @@ def test_numbers(spark):
     assert [r.s for r in df.select(short_float(F.col("x")).alias("s")).limit(13).collect()] == [repr(x) for x in xs[:13]]
 
 
+def test_config_files(spark, tmp_path):
+    (tmp_path / "a.yaml").write_text("optimizer:\n  name: adam\n  betas: [0.9, 0.999]\n")
+    (tmp_path / "b.yaml").write_text("- no\n- mapping\n")
+    got = read_config_files(spark, str(tmp_path)).collect()
+    assert len(got) == 1 and got[0].config_id.endswith("a.yaml")
+    assert json.loads(got[0].config) == {"optimizer": {"name": "adam", "betas": [0.9, 0.999]}}
+
+
 def test_yaml_and_proposals(spark):
     docs = spark.createDataFrame([(0, "a: 1\nb: {c: x}"), (1, "- 1"), (2, "a: [1"), (3, "")], "config_id int, config string")
     assert [(r.config_id, json.loads(r.config)) for r in read_configs(docs, fmt="yaml").collect()] == [(0, {"a": 1, "b": {"c": "x"}})]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,9 @@ def read_configs(df: DataFrame, key: str = "config_id", text: str = "config", fm
     """(key, config): config documents as JSON strings that are known to be objects."""
     rows = yaml_to_json(df, key, text) if fmt == "yaml" else df.select(key, F.col(text).alias("config"))
     return rows.filter(F.json_object_keys("config").isNotNull())
+
+
+def read_config_files(spark: SparkSession, path: str, fmt: str = "yaml") -> DataFrame:
+    """(config_id, config): every file under a path is one config, named by its address."""
+    files = spark.read.text(path, wholetext=True)
+    return read_configs(files.select(F.input_file_name().alias("config_id"), F.col("value").alias("config")), fmt=fmt)
