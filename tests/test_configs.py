@@ -177,7 +177,7 @@ def test_loose_diff(spark):
 def test_hash(spark):
     other = changed(TUNING, ("optimizer", "learning_rate"), 1e-04)
     shuffled = dict(reversed(list(TUNING.items())))
-    h = {r.config_id: r.config_hash for r in I.config_hash(I.flatten_config(table(spark, TUNING, other, shuffled))).collect()}
+    h = {r.config_id: r.config_hash for r in I.config_hash(table(spark, TUNING, other, shuffled)).collect()}
     assert h[0] == h[2] != h[1] and len(h[0]) == 16
 
 

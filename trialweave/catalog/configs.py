@@ -121,7 +121,7 @@ FROM b WHERE fullkey <> '$' AND (ot IS DISTINCT FROM nt OR ov <> nv) AND NOT (co
 
 
 def i5_config_hash(spark, d):
-    return I.config_hash(I.flatten_config(_config(_events(spark, d), BASE)))
+    return I.config_hash(_config(_events(spark, d), BASE))
 
 
 QUERIES["i5_config_hash"] = i5_config_hash

@@ -161,39 +161,48 @@ def diff_configs(df: DataFrame, old: str = "old", new: str = "new", key: str = "
     """(key, path, line): changes between two config columns. An added or removed subtree is one
     line; an added or removed null is none. ``loose`` compares 1, 1.0 and true as equal."""
 
-    def side(c: str, s: str) -> DataFrame:
-        v = F.col("v")
+    def shape(n: Column) -> Column:
+        v, kind = n["v"], n["type"]
         if loose:
-            same = F.when(F.col("type") == "boolean", (F.try_variant_get(v, "$", "string") == "true").cast("double")).otherwise(
-                _number(v, F.col("type"))
-            )
-            canon = F.coalesce(same.cast("string"), F.concat(F.col("type"), F.lit(":"), F.to_json(v)))
+            same = F.when(kind == "boolean", (F.try_variant_get(v, "$", "string") == "true").cast("double")).otherwise(_number(v, kind))
+            canon = F.coalesce(same.cast("string"), F.concat(kind, F.lit(":"), F.to_json(v)))
         else:
-            canon = F.concat(F.col("type"), F.lit(":"), _value(v, F.col("type")))
-        return config_nodes(df, [key], c).select(
-            key, "path", "parent", F.col("type").alias(f"{s}_type"), canon.alias(f"{s}_canon"), _diff_text(v, F.col("type")).alias(f"{s}_text")
-        )
-
-    a, b = side(old, "o"), side(new, "n").withColumnRenamed("parent", "_p2")
-    both = a.join(b, [key, "path"], "full").withColumn("parent", F.coalesce("parent", "_p2"))
-    objects = (F.col("o_type") == OBJECT) & (F.col("n_type") == OBJECT)
-    inside = both.filter(objects).select(key, F.col("path").alias("parent"))
-    added, removed = F.col("o_type").isNull(), F.col("n_type").isNull()
-    silent = (added & (F.col("n_type") == "null")) | (removed & (F.col("o_type") == "null"))
-    differ = added | removed | (F.col("o_canon") != F.col("n_canon"))
-    lines = both.filter((F.col("path") != "") & differ & ~silent & ~F.coalesce(objects, F.lit(False)))
+            canon = F.concat(kind, F.lit(":"), _value(v, kind))
+        return F.struct(n["path"], n["parent"], kind.alias("type"), canon.alias("canon"), _diff_text(v, kind).alias("text"))
+
+    rows = df.select(key, old, new)
+    rows, a = _with_levels(rows, old, "_a", False, MAX_DEPTH)
+    rows, b = _with_levels(rows, new, "_b", False, MAX_DEPTH)
+    rows = rows.select(key, F.transform(F.concat(*a), shape).alias("_o"), F.transform(F.concat(*b), shape).alias("_n"))
+    # old and new nodes side by side; a config has some dozens of nodes
+    rows = rows.withColumn(
+        "_both",
+        F.expr(
+            """concat(transform(_o, o -> struct(o.path AS path, o.parent AS parent, o AS o, get(filter(_n, n -> n.path = o.path), 0) AS n)),
+            transform(filter(_n, n -> NOT exists(_o, o -> o.path = n.path)),
+              n -> struct(n.path AS path, n.parent AS parent, get(filter(_o, o -> false), 0) AS o, n AS n)))"""
+        ),
+    )
+    rows = rows.withColumn("_in", F.expr("transform(filter(_both, p -> p.o.type = 'object' AND p.n.type = 'object'), p -> p.path)"))
+    changed = """p -> p.path <> '' AND array_contains(_in, p.parent) AND NOT array_contains(_in, p.path)
+        AND coalesce(p.o.canon <> p.n.canon, true)
+        AND NOT (p.o IS NULL AND p.n.type = 'null') AND NOT (p.n IS NULL AND p.o.type = 'null')"""
     line = (
-        F.when(added, F.format_string("+ %s: %s", F.col("path"), F.col("n_text")))
-        .when(removed, F.format_string("- %s: %s", F.col("path"), F.col("o_text")))
-        .otherwise(F.format_string("  %s: %s → %s", F.col("path"), F.col("o_text"), F.col("n_text")))
+        F.when(F.col("p.o").isNull(), F.format_string("+ %s: %s", F.col("p.path"), F.col("p.n.text")))
+        .when(F.col("p.n").isNull(), F.format_string("- %s: %s", F.col("p.path"), F.col("p.o.text")))
+        .otherwise(F.format_string("  %s: %s → %s", F.col("p.path"), F.col("p.o.text"), F.col("p.n.text")))
     )
-    return lines.join(inside, [key, "parent"], "left_semi").select(key, "path", line.alias("line"))
+    return rows.select(key, F.explode(F.expr(f"filter(_both, {changed})")).alias("p")).select(key, "p.path", line.alias("line"))
 
 
-def config_hash(leaves: DataFrame, key: str = "config_id") -> DataFrame:
+def config_hash(df: DataFrame, key: str = "config_id", config: str = "config") -> DataFrame:
     """(key, config_hash): 16 hex digits over the sorted ``path=value`` lines of a config."""
-    lines = leaves.groupBy(key).agg(F.array_sort(F.collect_list(F.concat_ws("=", "path", "value"))).alias("l"))
-    return lines.select(key, F.left(F.sha2(F.array_join("l", "\n"), 256), F.lit(16)).alias("config_hash"))
+    rows, levels = _with_levels(df.select(key, config), config, "_n", False, MAX_DEPTH)
+    leaves = F.filter(
+        F.concat(*levels), lambda n: (n["path"] != "") & ((n["type"] != OBJECT) | (F.size(_as_map(n["v"])) == 0))
+    )
+    lines = F.array_sort(F.transform(leaves, lambda n: F.concat_ws("=", n["path"], _value(n["v"], n["type"]))))
+    return rows.select(key, F.left(F.sha2(F.array_join(lines, "\n"), 256), F.lit(16)).alias("config_hash"))
 
 
 def flatten_params(df: DataFrame, key: str = "config_id", config: str = "config", max_depth: int = 3, max_chars: int = 250) -> DataFrame:
