@@ -154,3 +154,32 @@ def test_same_result_for_any_partitioning(spark):
     )
     d = copies(spark, SENTENCE, 300)
     assert texts(chain.apply(d.repartition(1))) == texts(chain.apply(d.repartition(7)))
+
+
+def test_every_entry_of_a_full_config(spark):
+    entries = [
+        {"name": "synonym_replacement", "probability": 0.5, "max_replacements": 2, "method": "wordnet"},
+        {"name": "random_insertion", "probability": 0.5, "max_insertions": 1},
+        {"name": "random_deletion", "probability": 0.2},
+        {"name": "random_swap", "probability": 0.2, "max_swaps": 1},
+        {"name": "back_translation", "probability": 0.3, "source_lang": "en", "pivot_lang": "de"},
+        {"name": "token_cutoff", "probability": 0.3, "cutoff_ratio": 0.1},
+        {"name": "contextual_insertion", "probability": 0.3, "model": "some-masked-model"},
+    ]
+    d = copies(spark, SENTENCE, 120)
+    tables = dict(
+        lexicon=lexicon(spark, {"quick": ["fast"], "lazy": ["idle"]}),
+        forward=spark.createDataFrame([("dog", "Hund")], "word string, pivot string"),
+        backward=spark.createDataFrame([("Hund", "hound")], "pivot string, word string"),
+        bigrams=T.bigram_counts(d),
+    )
+    chain = T.TextAugmenter(config(True, *[{**e, "enabled": True} for e in entries]), **tables)
+    out = texts(chain.apply(d))
+    assert len(chain) == 7 and len(out) == 120 and len(set(out)) > 60
+    assert any("fast" in t for t in out) and any("hound" in t for t in out)
+    named = {"some-masked-model": lambda: lambda ts: [["FILLED"] for _ in ts]}
+    assert any("FILLED" in t for t in texts(T.TextAugmenter(chain_config(entries), models=named, **tables).apply(d)))
+
+
+def chain_config(entries):
+    return config(True, *[{**e, "enabled": True} for e in entries])

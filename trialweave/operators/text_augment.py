@@ -407,6 +407,9 @@ class TextAugmenter:
     The position of an entry is part of its draw key, so the same augmentation listed twice
     acts differently each time. Whether a row needs a dictionary at all follows from its
     key alone, so rows that need none skip every join of the whole chain.
+
+    ``tables`` are what the enabled entries look things up in: ``lexicon``, ``forward`` and
+    ``backward`` phrase tables, ``bigrams``, and ``models``, a dict from model names to loaders.
     """
 
     def __init__(self, config: dict, key: str = "doc_id", text: str = "text", seed: int = 42, **tables):
@@ -433,6 +436,9 @@ class TextAugmenter:
 
     def _step(self, df: DataFrame, name: str, tag: str, params: dict) -> DataFrame:
         common = dict(key=self.key, text=self.text, seed=self.seed, tag=tag)
+        if isinstance(params.get("model"), str):
+            # a config names its model; without a loader of that name the corpus counts are used
+            params = {**params, "model": self.tables.get("models", {}).get(params["model"])}
         if name in _REGISTERED:
             return _REGISTERED[name](df, **common, **params)
         if name in _LOOKUP:
