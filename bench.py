@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -46,7 +47,8 @@ def main() -> None:
     from trialweave.catalog import all_queries
     from trialweave.plans.session import build_session
 
-    spark = build_session("bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, memory="16g")
+    scratch = tempfile.mkdtemp(prefix="trialweave-bench-")
+    spark = build_session("bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, memory="16g", scratch=scratch)
     spark.sparkContext.setLogLevel("ERROR")
     queries, times = all_queries(), {}
     for name in names:

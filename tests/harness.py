@@ -64,7 +64,10 @@ def compare(spark, con, name, fn, sql, folder):
 def session(shuffle=8):
     from trialweave.plans.session import build_session
 
-    spark = build_session("check", "local[8]", shuffle, memory=os.environ.get("CHECK_MEMORY", "8g"))
+    import tempfile
+
+    folder = tempfile.mkdtemp(prefix="trialweave-tests-")
+    spark = build_session("check", "local[8]", shuffle, memory=os.environ.get("CHECK_MEMORY", "8g"), scratch=folder)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

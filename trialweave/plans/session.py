@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
-    app: str = "trialweave", master: str | None = None, shuffle_partitions: int | None = None, memory: str | None = None
+    app: str = "trialweave",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    memory: str | None = None,
+    scratch: str | None = None,
 ) -> SparkSession:
+    """A session with the settings the library relies on. ``scratch``: the shared folder, if not configured elsewhere."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -18,6 +22,8 @@ def build_session(
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if memory:
         b = b.config("spark.driver.memory", memory)
+    if scratch:
+        b = b.config("spark.checkpoint.dir", scratch)
     return (
         b.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -29,18 +35,17 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the one given to ``setCheckpointDir``.
 
-    Only a local session without that setting (tests) gets a folder of its own.
+    The library makes none by itself, as a folder of the driver's machine is not seen by executors.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    path = tempfile.mkdtemp(prefix="trialweave-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if not path:
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        path = given.get() if given.isDefined() else None
+    if not path:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (or call setCheckpointDir)")
+    return path.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
