@@ -9,6 +9,7 @@ MODULES = (
     "line_dedup",
     "warc",
     "quality_rules",
+    "jaccard_join",
 )
 
 
