@@ -7,6 +7,7 @@ from importlib import import_module
 
 MODULES = (
     "line_dedup",
+    "suffix_dedup",
     "warc",
     "quality_rules",
     "jaccard_join",
