@@ -10,6 +10,7 @@ MODULES = (
     "suffix_dedup",
     "warc",
     "quality_rules",
+    "packing",
     "jaccard_join",
 )
 
