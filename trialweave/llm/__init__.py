@@ -11,6 +11,7 @@ MODULES = (
     "warc",
     "quality_rules",
     "packing",
+    "suffix_tree_lm",
     "jaccard_join",
 )
 
