@@ -12,6 +12,8 @@ MODULES = (
     "quality_rules",
     "packing",
     "suffix_tree_lm",
+    "multi_index",
+    "neighbour_quality",
     "jaccard_join",
 )
 
