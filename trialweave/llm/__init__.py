@@ -11,6 +11,7 @@ MODULES = (
     "warc",
     "quality_rules",
     "packing",
+    "byte_bpe",
     "suffix_tree_lm",
     "multi_index",
     "neighbour_quality",
