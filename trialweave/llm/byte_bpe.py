@@ -1,26 +1,29 @@
-"""Byte-level BPE by column functions.
+"""Byte-level BPE.
 
 The ranks are a map in the plan: a literal perfect hash table, found by two array accesses. A word starts as the array of its bytes, and
-each step of a fold merges the leftmost pair of lowest rank, until no pair has a rank. Bytes are written as two hex digits, so that
-joining pieces is joining strings.
+each step of a fold over it, in Spark's higher-order functions, merges the leftmost pair of lowest rank, until no pair has a rank. Bytes are written
+as two hex digits, so that joining pieces is joining strings.
 
-The commonest words of the corpus (at most ``WORDS``, each of at most ``WORD_BYTES`` bytes, counted over all texts) are folded once, as a table of
-distinct words, and become a second literal map; what is not in it is folded where it stands. Which words these are changes the speed only.
-Ids become bytes, and pieces again, through literal arrays.
+Folded that way are the distinct words: the commonest of the corpus (at most ``WORDS``, each of at most ``WORD_BYTES`` bytes), counted over all texts. Their ids
+are broadcast, and texts are encoded by Arrow batches; a rarer word is merged there by the same rule, with a heap, so a word of any length costs no more
+than n log n. Which words are common changes the speed only. Decoding concatenates the pieces of the ids.
 
-A fold takes steps in the square of a word's length. Texts with a run of more than ``LONG_RUN`` letters, digits, symbols or blanks therefore go through the
-merges of tiktoken, in Arrow batches; it is the same encoding.
+Texts are not encoded inside the plan, too, because a lookup in interpreted lambda functions takes microseconds: see the README.
 
-Defined results: null and empty texts have no tokens; strings of special tokens are ordinary text; texts with equal ids are encoded row by row.
+Defined results: null and empty texts have no tokens; strings of special tokens are ordinary text; rows are encoded one by one, whatever their ids.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
+import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from .kit import let, materialize, read
 
 RANKS = "byte_bpe_50k.tiktoken"
-WORDS, WORD_BYTES, LONG_RUN = 1 << 17, 40, 200
+WORDS, WORD_BYTES = 1 << 17, 40
 SEPARATOR = "\x1f"
 
 
@@ -37,11 +40,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def java_pattern(pattern: str) -> str:
-    """The pattern with blanks as Unicode has them."""
-    return "(?U)" + pattern
-
-
 def literal_strings(values: list[str]) -> Column:
     """An array literal: one string that the optimizer splits once."""
     return F.split(F.lit(SEPARATOR.join(values)), SEPARATOR)
@@ -105,22 +103,13 @@ class LiteralMap:
 
 
 class Bpe:
-    """Encoding and decoding columns for one set of ranks."""
+    """The folding column for one set of ranks."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
         tokens = sorted(ranks, key=ranks.__getitem__)
         self.map = LiteralMap([t.hex() for t in tokens])
         self.rank = literal_ints(self.map.values([ranks[t] for t in tokens]))
-        size = max(ranks.values()) + 1
-        pieces = [""] * size
-        for t, r in ranks.items():
-            pieces[r] = t.hex()
-        self.pieces = literal_strings(pieces)
-        self.packed = literal_strings([i.to_bytes(4, "little").hex() for i in range(size)])
-
-    def words(self, text: Column) -> Column:
-        return F.regexp_extract_all(text, F.lit(java_pattern(self.pattern)), F.lit(0))
 
     def rank_of(self, piece: Column) -> Column:
         return self.map.slot(piece, lambda s: F.get(self.rank, s))
@@ -157,69 +146,125 @@ class Bpe:
         """A word that is a token is that token."""
         return let(self.rank_of(h), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(start(h)))
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of the ids' pieces, one behind the other."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
 
-    def pack(self, ids: Column) -> Column:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.packed, i)), ""))
+def count_words(texts: DataFrame, pattern: str) -> DataFrame:
+    """``word`` and ``n`` of the pattern's matches in all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, held = regex.compile(pattern).findall, Counter()
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                held.update(find(text.as_py()))
+                if len(held) > 300_000:
+                    yield flush()
+                    held.clear()
+        if held:
+            yield flush()
+
+    return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def common_words(bpe: Bpe, texts: DataFrame, most: int = WORDS) -> tuple[list[str], list[list[int]]]:
-    """The commonest distinct words of all texts with their ids; at most ``most``."""
-    words = texts.select(F.explode(bpe.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    fitting = words.filter((F.col("n") > 1) & (F.octet_length("word") <= WORD_BYTES) & ~F.col("word").contains(SEPARATOR))
+    """The commonest distinct words of all texts with their ids, folded by column functions; at most ``most`` of at most ``WORD_BYTES`` bytes."""
+    words = count_words(texts, bpe.pattern)
+    fitting = words.filter((F.col("n") > 1) & (F.octet_length("word") <= WORD_BYTES))
     top = materialize(fitting.orderBy(F.col("n").desc(), "word").limit(most).select("word"), "bpe-words")
-    # distinct words are folded where they lie
-    table = top.repartition(texts.sparkSession.sparkContext.defaultParallelism, "word").select("word", bpe.fold(F.col("word")).alias("ids")).toArrow()
+    tasks = texts.sparkSession.sparkContext.defaultParallelism
+    table = top.repartition(tasks, "word").select("word", bpe.fold(F.col("word")).alias("ids")).toArrow()
     return table.column("word").to_pylist(), table.column("ids").to_pylist()
 
 
-def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words: int = WORDS) -> tuple[DataFrame, Bpe]:
-    """Adds ``ids`` (array of int) to a table with the column ``text`` (no nulls)."""
+def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: the leftmost pair of lowest rank is merged until none has a rank."""
+    if word in ranks:
+        return [ranks[word]]
+    n = len(word)
+    parts: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[word[i : i + 2]], i, 2) for i in range(n - 1) if word[i : i + 2] in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        j = after[i] if parts[i] is not None else n
+        if j >= n or len(parts[i]) + len(parts[j]) != size:
+            continue  # one of the two was merged meanwhile
+        parts[i] += parts[j]
+        parts[j] = None
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+        for left, right in ((before[i], i), (i, k)):
+            if left >= 0 and right < n:
+                joined = parts[left] + parts[right]
+                rank = ranks.get(joined)
+                if rank is not None:
+                    heapq.heappush(heap, (rank, left, len(joined)))
+    return [ranks[x] for x in parts if x is not None]
+
+
+class _Packed(dict):
+    """Packed ids by word; a word that is not there is merged and kept, while there is room."""
+
+    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int], room: int = 200_000):
+        super().__init__(known)
+        self.ranks, self.room = ranks, len(known) + room
+
+    def __missing__(self, word: str) -> bytes:
+        ids = merge_word(word.encode(), self.ranks)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) < self.room:
+            self[word] = packed
+        return packed
+
+
+def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words: int = WORDS) -> DataFrame:
+    """Adds ``ids``, the packed token ids (little-endian unsigned 32-bit), to a table with the column ``text`` (no nulls)."""
     import public_tokenizers
 
     pattern = pattern or public_tokenizers.PATTERN
     ranks = load_ranks(path)
-    bpe = Bpe(ranks, pattern)
-    long_run = F.col("text").rlike(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
-    usual = texts.filter(~long_run)
-    words, ids = common_words(bpe, usual, most_words)
-    known = LiteralMap(words)
-    starts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(int) if ids else np.zeros(1, int)
-    first = literal_ints(known.values([int(s) + 1 for s in starts[:-1]]))
-    count = literal_ints(known.values([len(x) for x in ids]))
-    flat = literal_ints([i for x in ids for i in x] or [0])
+    words, ids = common_words(Bpe(ranks, pattern), texts, most_words)
+    # at most most_words * (WORD_BYTES + 4 * WORD_BYTES) bytes
+    known = texts.sparkSession.sparkContext.broadcast({w: np.array(i, "<u4").tobytes() for w, i in zip(words, ids)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, packed = regex.compile(pattern).findall, _Packed(known.value, load_ranks(path))
+        for batch in batches:
+            found = [b"".join(map(packed.__getitem__, find(t.as_py()))) for t in batch.column("text")]
+            yield batch.append_column("ids", pa.array(found, pa.binary()))
 
-    def one(word: Column) -> Column:
-        return F.coalesce(known.slot(word, lambda s: F.slice(flat, F.get(first, s), F.get(count, s))), bpe.fold(word))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
+    return texts.mapInArrow(run, f"{fields}, ids binary")
 
-    folded = usual.withColumn("ids", F.flatten(F.transform(bpe.words(F.col("text")), one)))
 
-    def merges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """Adds ``decoded``, the bytes of the pieces of ``ids`` one behind the other."""
 
-        encoding = tiktoken.Encoding("long", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = load_ranks(path)
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
         for batch in batches:
-            found = [encoding.encode_ordinary(t.as_py()) for t in batch.column("text")]
-            yield batch.append_column("ids", pa.array(found, pa.list_(pa.int32())))
+            found = [b"".join(map(pieces.__getitem__, np.frombuffer(i.as_py(), "<u4").tolist())) for i in batch.column("ids")]
+            yield batch.append_column("decoded", pa.array(found, pa.binary()))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
-    return folded.unionByName(texts.filter(long_run).mapInArrow(merges, f"{fields}, ids array<int>")), bpe
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
+    return encoded.mapInArrow(run, f"{fields}, decoded binary")
 
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
+    path = public_tokenizers.path(RANKS)
     docs = read(spark, folder, "documents", "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    encoded, bpe = encode(docs, public_tokenizers.path(RANKS))
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.pack(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"),
-    )
+    out = decode(encode(docs, path).select("doc_id", "ids"), path)
+    n = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return out.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 QUERIES = {"op8_byte_bpe": op8_byte_bpe}
