@@ -409,6 +409,19 @@ def _leftover_links(links: DataFrame, dealt: DataFrame, reps: DataFrame, own: Da
     return materialize(_meet(sent, own, percent, words), "shingle-links")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, that of its smallest id, with all its columns. Rows without words stay, but one that is there twice stays once."""
+    found = materialize(similar_components(docs, id_col, text_col, words, percent), "shingle-components")
+    linked = found.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("id", "_h")).alias("k"))
+    # a component without any id goes by its texts
+    linked = linked.filter("component is not null").select("k.*").unionByName(found.filter("n_shingles > 0 and component is null").select("id", "_h"))
+    kept = linked.unionByName(found.filter("n_shingles = 0").select("id", "_h")).distinct().select(F.col("id").alias("__id"), F.col("_h").alias("__h"))
+    own_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    out = docs.withColumn("__text_hash", own_hash).join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__h")), "left_semi")
+    twice = found.groupBy("id", "_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+    return (out.dropDuplicates([id_col, "__text_hash"]) if twice else out).drop("__text_hash")
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     out = similar_components(read(spark, folder, "documents", "doc_id", "text"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))

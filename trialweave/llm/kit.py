@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.session import fresh_path, materialize, shared_dir  # noqa: F401
 
@@ -38,14 +39,21 @@ def null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return cond
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The columns ``_id``, ``_h`` (hash of the text) and ``_text`` (null text: empty).
+def keyed(docs: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``_id``, ``_text`` (null text: empty), ``_h`` (hash of the text) and, in a struct ``_keep``, those named by ``keep``.
 
     Rows are told apart by id and text, so ids that are null or repeated are no special case; rows equal in both
-    are the same document written twice and get the same result.
+    are the same document written twice and get the same result. Other columns, whatever their names, are left behind.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("_id"), text.alias("_text")).withColumn("_h", F.xxhash64("_text"))
+    kept = [F.struct(*keep).alias("_keep")] if keep else []
+    return docs.select(F.col(id_col).alias("_id"), text.alias("_text"), *kept).withColumn("_h", F.xxhash64("_text"))
+
+
+def schema_with(df: DataFrame, names: dict[str, str], more: str) -> T.StructType:
+    """Some columns of a table under new names, followed by the columns of a DDL string."""
+    fields = [T.StructField(new, df.schema[old].dataType) for old, new in names.items() if old in df.columns]
+    return T.StructType(fields + T.StructType.fromDDL(more).fields)
 
 
 def join_text(texts: DataFrame, facts: DataFrame, how: str = "left") -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kit import batches_of, join_text, keyed, materialize, read
+from .kit import batches_of, join_text, keyed, materialize, read, schema_with
 
 NGRAM, WINDOW = 2, 2
 _BLANK = " \t\n\x0b\x0c\r"
@@ -97,24 +97,26 @@ def remove_runs(text: str, starts: list[int], run: int) -> tuple[str, int, int,
     return "\n".join(x for i, x in enumerate(lines) if i not in drop), len(lines), len(drop), stretches
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, window: int = WINDOW) -> DataFrame:
-    """Per row: its id, ``_h`` (hash of the old text), the text left, ``n_lines``, ``n_removed`` and ``n_runs``."""
-    own = keyed(docs, id_col, text_col)
+def line_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, ngram: int = NGRAM, window: int = WINDOW
+) -> DataFrame:
+    """Per row: its ``id``, the columns of ``keep`` as a struct, the ``text`` left, ``n_lines``, ``n_removed`` and ``n_runs``."""
+    own = keyed(docs, id_col, text_col, keep)
     run = ngram + window - 1
     starts = repeated_places(own, ngram, window).groupBy("_id", "_h").agg(F.collect_set("at").alias("starts"))
-    id_type = own.schema["_id"].dataType.simpleString()
+    passed = {"_id": "id", "_keep": "keep"} if keep else {"_id": "id"}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [remove_runs(t.as_py(), s.as_py() or [], run) for t, s in zip(batch.column("_text"), batch.column("starts"))]
             cols = list(zip(*out)) if out else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_h"), pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
-                names=["id", "_h", "text", "n_lines", "n_removed", "n_runs"],
+                [*[batch.column(c) for c in passed], pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
+                names=[*passed.values(), "text", "n_lines", "n_removed", "n_runs"],
             )
 
-    joined = join_text(own, starts).select("_id", "_h", "_text", "starts")
-    return joined.mapInArrow(cut, f"id {id_type}, _h long, text string, n_lines long, n_removed long, n_runs long")
+    joined = join_text(own, starts).select(*passed, "_text", "starts")
+    return joined.mapInArrow(cut, schema_with(own, passed, "text string, n_lines long, n_removed long, n_runs long"))
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kit import batches_of, join_text, keyed, materialize, read, sorted_groups
+from .kit import batches_of, join_text, keyed, materialize, read, schema_with, sorted_groups
 from .suffix_sort import suffix_array
 
 LENGTH, GRAM, BLOCK = 400, 32, 40
@@ -117,6 +117,7 @@ def _spots(held: list[tuple[int, int, bytes]], hasher: Hasher, length: int) -> I
 
 def find_spots(own: DataFrame, length: int = LENGTH) -> DataFrame:
     id_type = own.schema["_id"].dataType.simpleString()
+    own = own.select("_id", "_h", "_text")
     schema = pa.schema([("row", pa.int64()), ("anchor", pa.int64()), ("context", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("p", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +248,7 @@ def repeated_ranges(own: DataFrame, length: int = LENGTH, most_contexts: int = M
 
         yield from batches_of(rows(), schema, 2000)
 
-    bytes_ = join_text(own, asked, "inner").select("_text", "asked")
+    bytes_ = join_text(own.select("_id", "_h", "_text"), asked, "inner").select("_text", "asked")
     bytes_ = bytes_.mapInArrow(cut, "anchor long, context long, kinds long, p long, bytes binary")
     columns = "anchor long, context long, ranges array<bigint>"
     few = bytes_.filter(F.col("kinds") <= most_contexts).select("anchor", "context", "p", "bytes")
@@ -302,10 +303,12 @@ def remove_ranges(data: bytes, ranges: list[int], length: int = LENGTH) -> tuple
     return b"".join(parts), removed, stretches
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
-    """Per row: ``id``, ``_h`` (hash of the old text), ``text`` and ``kept_sha256`` of what is left, ``n_bytes``, ``n_removed``, ``n_spans``."""
-    own = keyed(docs, id_col, text_col)
-    id_type = own.schema["_id"].dataType.simpleString()
+def suffix_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS
+) -> DataFrame:
+    """Per row: ``id``, the columns of ``keep`` as a struct, ``text`` and ``kept_sha256`` of what is left, ``n_bytes``, ``n_removed``, ``n_spans``."""
+    own = keyed(docs, id_col, text_col, keep)
+    passed = {"_id": "id", "_keep": "keep"} if keep else {"_id": "id"}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,12 +322,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 gone.append(removed)
                 spans.append(stretches)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_h"), pa.array(left, pa.string()), pa.array(digest, pa.string()), *[pa.array(x, pa.int64()) for x in (size, gone, spans)]],
-                names=["id", "_h", "text", "kept_sha256", "n_bytes", "n_removed", "n_spans"],
+                [*[batch.column(c) for c in passed], pa.array(left, pa.string()), pa.array(digest, pa.string()), *[pa.array(x, pa.int64()) for x in (size, gone, spans)]],
+                names=[*passed.values(), "text", "kept_sha256", "n_bytes", "n_removed", "n_spans"],
             )
 
-    joined = join_text(own, repeated_ranges(own, length, most_contexts)).select("_id", "_h", "_text", "ranges")
-    return joined.mapInArrow(cut, f"id {id_type}, _h long, text string, kept_sha256 string, n_bytes long, n_removed long, n_spans long")
+    joined = join_text(own, repeated_ranges(own, length, most_contexts)).select(*passed, "_text", "ranges")
+    return joined.mapInArrow(cut, schema_with(own, passed, "text string, kept_sha256 string, n_bytes long, n_removed long, n_spans long"))
 
 
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
