@@ -235,3 +235,60 @@ def test_mutation_bounds(spark, exploring, factors):
     assert {r.learning_rate for r in rows} == allowed
     assert all(r.augs[0].enabled and 0.05 <= r.augs[0].probability <= 0.3 and r.pipeline_enabled for r in rows)
     assert {r.train_batch_size for r in rows} == {2, 4, 8, 16, 32} and all(0 <= r.dropout <= 0.4 for r in rows)
+
+
+@pytest.mark.parametrize("depth", [9, 20, 60])
+def test_any_depth(spark, depth):
+    def nest(leaf, d):
+        return {"k": nest(leaf, d - 1)} if d else leaf
+
+    a, b = nest({"x": 1}, depth), nest({"x": 2, "text": 'braces "{[" in strings'}, depth)
+    df = table(spark, a, b)
+    path = ".".join(["k"] * depth)
+    leaves = {(r.config_id, r.path) for r in I.flatten_config(df).collect()}
+    assert leaves == {(0, f"{path}.x"), (1, f"{path}.x"), (1, f"{path}.text")}
+    assert len({r.config_hash for r in I.config_hash(df).collect()}) == 2
+    pair = spark.createDataFrame([(0, json.dumps(a), json.dumps(b))], "config_id bigint, old string, new string")
+    assert {r.path for r in I.diff_configs(pair).collect()} == {f"{path}.x", f"{path}.text"}
+    assert {(r.path, r.value) for r in I.merge_configs(pair, ["old", "new"]).collect()} >= {(f"{path}.x", "2")}
+
+
+def test_schema_documents(spark):
+    schema = {"type": "object", "properties": {"a": {"type": "object", "properties": {"b": {"type": "integer", "minimum": 2}}, "additionalProperties": False}}}
+    bad = I.validate(table(spark, {"a": {"b": 1, "c": 0}, "free": 1}, {"a": {"b": 2}}), schema).select("config_id", "violation").collect()
+    assert sorted(map(tuple, bad)) == [
+        (0, "[a → b] 1 is less than the minimum of 2"),
+        (0, "[a] Additional properties are not allowed ('c' was unexpected)"),
+    ]
+    for wrong in ({}, "null", "[1]", {"type": "thing"}, {"type": "string", "pattern": "x"}, {"properties": {"a.b": {"type": "string"}}}):
+        with pytest.raises(ValueError):
+            I.compile_schema(wrong)
+
+
+def test_compiled_schema_equals_rules(spark):
+    schema = {"type": "object", "required": ["n"], "additionalProperties": False, "properties": {"n": {"type": "number", "minimum": 0, "maximum": 1}}}
+    assert I.compile_schema(json.dumps(schema)) == (("", "object", {"req": ("n",)}), ("n", "number", {"range": (0, 1), "open": True}))
+
+
+def test_neighbours_of_configs(spark):
+    rows = [(1, json.dumps(AUGMENTATION), json.dumps(TUNING)), (2, json.dumps({"pipeline": {"enabled": True}}), json.dumps({"optimizer": {"learning_rate": 0.01}}))]
+    df = spark.createDataFrame(rows, "config_id bigint, augmentations string, tuning string")
+    out = I.mutate_configs(df, 8, lora=True).collect()
+    assert len({r.config_hash for r in out}) == len(out) > 8
+    one = [r for r in out if r.config_id == 1]
+    for r in one:
+        tuning, augs = json.loads(r.tuning), json.loads(r.augmentations)
+        assert tuning["scheduler"] == TUNING["scheduler"] and tuning["optimizer"]["betas"] == [0.9, 0.999]
+        assert 1e-7 <= tuning["optimizer"]["learning_rate"] <= 1e-2
+        assert augs["pipeline"]["image_augmentations"] == AUGMENTATION["pipeline"]["image_augmentations"]
+        assert augs["pipeline"]["text_augmentations"][0]["enabled"] is True and augs["pipeline"]["enabled"] is True
+    two = [json.loads(r.tuning) for r in out if r.config_id == 2]
+    assert all(set(t) <= {"optimizer", "batch", "regularization", "lora"} and t["optimizer"]["learning_rate"] <= 0.01 for t in two)
+    again = I.mutate_configs(df, 8, spark.createDataFrame([(r.config_hash,) for r in one], "config_hash string"), lora=True).collect()
+    assert {r.config_id for r in again} == {2}
+
+
+def test_unreadable_yaml_is_no_config(spark):
+    texts = ["a: 1", None, "when: 2024-13-45", "{", "1: {2: x}", "- 1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "config_id bigint, config string")
+    assert {r.config_id for r in read_configs(df, fmt="yaml").collect()} >= {0}

@@ -89,10 +89,12 @@ def test_mixed_labels_sum_to_one(spark, mix):
             assert kept == pytest.approx(r.labels[r.label])
 
 
-def test_beta_draws_have_the_right_mean_and_spread(spark):
-    x = spark.range(4000).select(V.beta_draw(1, "b", F.col("id"), 0.4).alias("x"))
-    r = x.agg(F.avg("x").alias("m"), F.var_samp("x").alias("v")).first()
-    assert abs(r.m - 0.5) < 0.03 and abs(r.v - 1 / (4 * (2 * 0.4 + 1))) < 0.02
+@pytest.mark.parametrize("alpha", [0.1, 0.4, 1.0, 2.0, 10.0])
+def test_beta_draws_have_the_right_mean_and_spread(spark, alpha):
+    x = spark.range(4000).select(V.beta_draw(1, "b", F.col("id"), alpha).alias("x"))
+    r = x.agg(F.avg("x").alias("m"), F.var_samp("x").alias("v"), F.max((F.col("x") == 0.5).cast("int")).alias("half")).first()
+    spread = 1 / (4 * (2 * alpha + 1))
+    assert abs(r.m - 0.5) < 0.03 and abs(r.v - spread) < 0.1 * spread and not r.half
 
 
 def test_config(spark):

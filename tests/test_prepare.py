@@ -141,3 +141,24 @@ def test_mixing(spark):
         X.mix_external(base, [ext] * 6, 0.1)
     got = X.fetch_union({"a": base, "b": ext}, ["b", "nowhere", "a"], max_results=35).collect()
     assert [r.source for r in got] == ["b"] * 30 + ["a"] * 5
+
+
+def test_labelled_csv_goes_by_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,label,text\n7,1,"one, two"\n8,x,three\n')
+    assert sorted((r.text, r.label) for r in C.read_labelled(spark, str(tmp_path)).collect()) == [("one, two", 1), ("three", None)]
+
+
+def test_texts_without_tokens_are_encoded(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, " "), (3, None), (4, "c")], "doc_id bigint, text string")
+    tokens = P.tokenize(df)
+    got = {r.doc_id: r.input_ids for r in P.encode(tokens, P.build_vocab(tokens)).collect()}
+    assert got == {1: [2, 3, 2], 2: [], 3: [], 4: [4]}
+    labelled = df.withColumn("label", F.lit(1))
+    rows = P.prepare("text_classification", labelled, max_length=4).collect()
+    assert len(rows) == 4 and {tuple(r.input_ids) for r in rows if r.doc_id in (2, 3)} == {(0, 0, 0, 0)}
+
+
+def test_paragraphs_with_attributes(spark):
+    html = '<p class="x">' + "a &lt; b &amp;amp; " * 5 + "</p><pre>no</pre><P>no</P><p>two</p>"
+    df = spark.createDataFrame([(1, html)], "id bigint, payload string")
+    assert C.extract_payloads(df, "id", "payload", "html").first().text == ("a < b &amp; " * 5).strip() + "\ntwo"

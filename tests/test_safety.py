@@ -86,3 +86,18 @@ def test_gate_on_missing_results(spark):
     lic = spark.createDataFrame([(0, True), (1, True), (3, True)], "config_id int, passed boolean")
     assert {r.config_id: r.safe for r in S.safety_gate(pii, lic).collect()} == {0: True, 1: False, 2: True, 3: True}
     assert {r.config_id: r.safe for r in S.safety_gate(pii, lic, on_error="fail").collect()} == {0: True, 1: False, 2: False, 3: False}
+
+
+def test_offsets_of_many_findings(spark):
+    text = "".join(f"é{i} mail u{i}@x.org, " for i in range(700))
+    rows = S.pii_scan(docs(spark, text, None)).filter("type = 'EMAIL_ADDRESS'").collect()
+    assert len(rows) == 700 and all(text[r.start : r.end] == r.text for r in rows)
+
+
+def test_license_names_and_tags(spark):
+    df = docs(spark, "Licensed under the BSD-3-Clause license.", "// SPDX-License-Identifier: MIT.", "SPDX-License-Identifier: GPL-3.0-only", "released under the Foo License", None)
+    got = sorted((r.doc_id, r.license) for r in S.license_mentions(df).collect())
+    assert got == [(0, "bsd-3-clause"), (1, "mit"), (2, "gpl-3.0-only")]
+    named = df.withColumn("source", F.when(F.col("doc_id") < 3, "a").otherwise("b"))
+    report = {r.source: (r.passed, r.licenses) for r in S.license_report(S.license_mentions(named, keep=("source",)), "source", named).collect()}
+    assert report == {"a": (False, ["bsd-3-clause", "gpl-3.0-only", "mit"]), "b": (True, [])}

@@ -115,9 +115,9 @@ o AS {_diff_nodes('old')}, n AS {_diff_nodes('new')},
 b AS (SELECT config_id, fullkey, coalesce(o.up, n.up) AS up, o.type AS ot, n.type AS nt, o.v AS ov, n.v AS nv, o.txt AS otx, n.txt AS ntx FROM o FULL JOIN n USING (config_id, fullkey))
 SELECT config_id, substr(fullkey, 3) AS path, CASE WHEN ot IS NULL THEN '+ ' || substr(fullkey, 3) || ': ' || ntx WHEN nt IS NULL THEN '- ' || substr(fullkey, 3) || ': ' || otx
   ELSE '  ' || substr(fullkey, 3) || ': ' || otx || ' → ' || ntx END AS line
-FROM b WHERE fullkey <> '$' AND (ot IS DISTINCT FROM nt OR ov <> nv) AND NOT (coalesce(ot, '') = 'OBJECT' AND coalesce(nt, '') = 'OBJECT')
- AND coalesce(ot, nt) IS NOT NULL AND NOT (ot IS NULL AND nt = 'NULL') AND NOT (nt IS NULL AND ot = 'NULL')
- AND EXISTS (SELECT 1 FROM b p WHERE p.config_id = b.config_id AND p.fullkey = b.up AND p.ot = 'OBJECT' AND p.nt = 'OBJECT')"""
+FROM b JOIN (SELECT config_id AS pc, fullkey AS pk FROM b WHERE ot = 'OBJECT' AND nt = 'OBJECT') p ON pc = config_id AND pk = up
+WHERE fullkey <> '$' AND (ot IS DISTINCT FROM nt OR ov <> nv) AND NOT (coalesce(ot, '') = 'OBJECT' AND coalesce(nt, '') = 'OBJECT')
+ AND coalesce(ot, nt) IS NOT NULL AND NOT (ot IS NULL AND nt = 'NULL') AND NOT (nt IS NULL AND ot = 'NULL')"""
 
 
 def i5_config_hash(spark, d):
@@ -129,6 +129,40 @@ SQL["i5_config_hash"] = f"""WITH {EV}, c AS (SELECT config_id, {_fill_sql(BASE)}
 SELECT config_id, left(sha256(string_agg(path || '=' || coalesce(value, CASE WHEN type = 'integer' THEN num::BIGINT::VARCHAR ELSE num::VARCHAR END), chr(10) ORDER BY path)), 16) AS config_hash
 FROM {leaves_sql('c', 'config')} GROUP BY config_id"""
 
+# configs of fourteen levels, whose leaves differ only at the bottom
+_LEVELS = [f"l{i}" for i in range(13)]
+DEEP14 = "".join(f'{{"{x}":' for x in _LEVELS) + '{"leaf":<k>,"name":"<event_type>"}' + "}" * len(_LEVELS)
+DEEP14_PATCH = "".join(f'{{"{x}":' for x in _LEVELS) + '{"leaf":<user_id>,"more":{"x":true}}' + "}" * len(_LEVELS)
+
+
+def i1_flatten_deep(spark, d):
+    return _typed(I.flatten_config(_config(_events(spark, d), DEEP14)))
+
+
+def i2_merge_deep(spark, d):
+    return _typed(I.merge_configs(_config(_config(_events(spark, d), DEEP14, "a"), DEEP14_PATCH, "b"), ["a", "b"]))
+
+
+def i4_diff_deep(spark, d):
+    return I.diff_configs(_config(_config(_events(spark, d), DEEP14, "old"), DEEP14_PATCH, "new"))
+
+
+def i5_hash_deep(spark, d):
+    return I.config_hash(_config(_events(spark, d), DEEP14))
+
+
+_PATH = ".".join(_LEVELS)
+QUERIES |= {"i1_flatten_deep": i1_flatten_deep, "i2_merge_deep": i2_merge_deep, "i4_diff_deep": i4_diff_deep, "i5_hash_deep": i5_hash_deep}
+SQL["i1_flatten_deep"] = f"WITH {EV}, c AS (SELECT config_id, {_fill_sql(DEEP14)} AS config FROM ev) SELECT * FROM {leaves_sql('c', 'config')}"
+SQL["i2_merge_deep"] = f"""WITH {EV}, c AS (SELECT config_id, json_merge_patch({_fill_sql(DEEP14)}::JSON, {_fill_sql(DEEP14_PATCH)}::JSON) AS config FROM ev)
+SELECT * FROM {leaves_sql('c', 'config')}"""
+SQL["i4_diff_deep"] = f"""WITH {EV}
+SELECT config_id, '{_PATH}.leaf' AS path, '  {_PATH}.leaf: ' || k || ' → ' || user_id AS line FROM ev WHERE k <> user_id
+UNION ALL SELECT config_id, '{_PATH}.name', '- {_PATH}.name: ' || event_type FROM ev
+UNION ALL SELECT config_id, '{_PATH}.more', '+ {_PATH}.more: {{...}}' FROM ev"""
+SQL["i5_hash_deep"] = f"""WITH {EV}
+SELECT config_id, left(sha256('{_PATH}.leaf=' || k || chr(10) || '{_PATH}.name="' || event_type || '"'), 16) AS config_hash FROM ev"""
+
 TUNING = (
     '{"optimizer":{"name":"<opt>","learning_rate":<lr>,"betas":<betas>},"scheduler":{"name":"cosine"<warm>},'
     '"batch":{"train_batch_size":<bs>,"eval_batch_size":16},"regularization":{"dropout":<drop>}<more>}'
@@ -166,6 +200,44 @@ UNION ALL SELECT config_id, '[optimizer → betas] [0.9] is too short' FROM ev W
 UNION ALL SELECT config_id, '[regularization → dropout] ''high'' is not of type ''number''' FROM ev WHERE k % 7 = 6
 UNION ALL SELECT config_id, '[(root)] Additional properties are not allowed (''colour'', ''size'' were unexpected)' FROM ev WHERE k % 5 = 4"""
 
+# a schema that is given with the data; each kind of constraint is broken by one kind of event
+SCHEMA = """{"type": "object", "required": ["name", "size"], "additionalProperties": false, "properties": {
+ "name": {"type": "string", "enum": ["one", "two"]}, "size": {"type": "integer", "minimum": 1, "maximum": 9}, "step": {"type": "integer", "enum": [1, 2, 4]},
+ "list": {"type": "array", "minItems": 1, "maxItems": 2, "items": {"type": "string"}},
+ "free": {"type": "object", "properties": {"deep": {"type": "object", "properties": {"on": {"type": "boolean"}}}}}}}"""
+BROKEN = '{"name":"<name>",<size>"step":<step>,"list":<list>,"free":{"deep":{"on":<on>,"more":1},"any":[]}<extra>}'
+
+
+def i6_validate_schema(spark, d):
+    k = F.col("k") % 10
+    e = _events(spark, d).withColumns(
+        {
+            "name": F.when(k == 1, "six").otherwise("one"),
+            "size": F.when(k == 2, "").when(k == 3, '"size":0,').when(k == 4, '"size":10,').otherwise('"size":3,'),
+            "step": F.when(k == 5, "3").otherwise("4"),
+            "list": F.when(k == 6, "[]").when(k == 7, '["a","b","c"]').when(k == 8, '["a",7]').otherwise('["a"]'),
+            "on": F.when(k == 9, "null").otherwise("true"),
+            "extra": F.when(F.col("k") % 7 == 0, ',"odd":true').otherwise(""),
+        }
+    )
+    return I.validate(_config(e, BROKEN), SCHEMA).select("config_id", "violation")
+
+
+QUERIES["i6_validate_schema"] = i6_validate_schema
+_broken = (
+    ("k % 10 = 1", "[name] 'six' is not one of ['one', 'two']"),
+    ("k % 10 = 2", "[(root)] 'size' is a required property"),
+    ("k % 10 = 3", "[size] 0 is less than the minimum of 1"),
+    ("k % 10 = 4", "[size] 10 is greater than the maximum of 9"),
+    ("k % 10 = 5", "[step] 3 is not one of [1, 2, 4]"),
+    ("k % 10 = 6", "[list] [] is too short"),
+    ("k % 10 = 7", "[list] ['a', 'b', 'c'] is too long"),
+    ("k % 10 = 8", "[list → 1] 7 is not of type 'string'"),
+    ("k % 10 = 9", "[free → deep → on] None is not of type 'boolean'"),
+    ("k % 7 = 0", "[(root)] Additional properties are not allowed ('odd' was unexpected)"),
+)
+SQL["i6_validate_schema"] = f"WITH {EV} " + " UNION ALL ".join(f"SELECT config_id, {sql_str(m)} AS violation FROM ev WHERE {c}" for c, m in _broken)
+
 AUGS = (
     '{"pipeline":{"enabled":true,"text_augmentations":[{"name":"random_swap","enabled":true,"probability":0.1},'
     '{"name":"<event_type>","enabled":false,"probability":<p>,"max_swaps":<k>}],"data_mixing":{"sources":<src>}}}'
@@ -311,6 +383,50 @@ SELECT candidate, learning_rate, array_to_string(list_transform(na, lambda a: a.
 SQL["i9_mutate"] = _mutate_sql()
 
 
+MUTATION_AUGS = '{"pipeline":{"enabled":true,"text_augmentations":[{"name":"random_swap","enabled":<flag>,"probability":0.1,"max_swaps":3}],"note":"<event_type>"}}'
+MUTATION_TUNING = (
+    '{"optimizer":{"name":"adamw","learning_rate":0.001},"batch":{"train_batch_size":8},"regularization":{"dropout":0.1},"lora":{"enabled":false,"rank":8,"alpha":16},"seed":<k>}'
+)
+
+
+def i9_mutate_configs(spark, d):
+    """Three neighbours of every config, as configs; what a mutation leaves alone is still there."""
+    e = _events(spark, d).withColumn("flag", F.when(F.col("k") % 2 == 0, "true").otherwise("false"))
+    e = _config(_config(e, MUTATION_AUGS, "augmentations"), MUTATION_TUNING, "tuning")
+    m = I.mutate_configs(e, 3, exploring=F.col("k") < 40, lora=True)
+    t = lambda p, kind: F.get_json_object("tuning", p).cast(kind)
+    a = lambda p, kind: F.get_json_object("augmentations", f"$.pipeline.{p}").cast(kind)
+    # which of equal neighbours is kept does not matter here
+    return m.select(
+        "config_id", t("$.optimizer.learning_rate", "double").alias("learning_rate"), t("$.optimizer.name", "string").alias("optimizer"),
+        t("$.batch.train_batch_size", "int").alias("batch"), t("$.regularization.dropout", "double").alias("dropout"), t("$.lora.enabled", "boolean").alias("lora_enabled"),
+        t("$.lora.rank", "int").alias("lora_rank"), t("$.lora.alpha", "int").alias("lora_alpha"), t("$.seed", "int").alias("seed"), a("enabled", "boolean").alias("enabled"),
+        a("note", "string").alias("note"), a("text_augmentations[0].enabled", "boolean").alias("aug_enabled"),
+        a("text_augmentations[0].probability", "double").alias("probability"), a("text_augmentations[0].max_swaps", "int").alias("max_swaps"),
+    )
+
+
+QUERIES["i9_mutate_configs"] = i9_mutate_configs
+
+
+def _mutate_configs_sql() -> str:
+    d = lambda i: u_sql(42, "mutate", "candidate", i)
+    lst = lambda xs: "[" + ", ".join(f"{float(x)!r}::DOUBLE" if isinstance(x, float) else str(x) for x in xs) + "]"
+    one = lambda draw, xs: f"({lst(xs)})[floor({draw} * {len(xs)})::INT + 1]"
+    between = lambda draw, lo, hi: f"round({lo}::DOUBLE + {draw} * {hi - lo}::DOUBLE, 2)"
+    return f"""
+WITH {EV}, b AS (SELECT config_id, config_id || '/' || i AS candidate, k, event_type, k < 40 AS exploring FROM ev, range(3) AS r(i)),
+m AS (SELECT *, greatest(1e-7::DOUBLE, least(1e-2::DOUBLE, 0.001::DOUBLE * CASE WHEN exploring THEN {one(d(0), I.EXPLORE_FACTORS)} ELSE {one(d(0), I.EXPLOIT_FACTORS)} END)) AS learning_rate,
+  CASE WHEN {d(3)} < 0.3::DOUBLE THEN {one(d(4), I.BATCH_SIZES)} ELSE 8 END::INT AS batch,
+  CASE WHEN {d(5)} < 0.3::DOUBLE THEN {between(d(6), 0.0, 0.4)} ELSE 0.1::DOUBLE END AS dropout, {d(7)} < 0.2::DOUBLE AS lora_enabled, k % 2 <> 0 AS aug_enabled FROM b)
+SELECT DISTINCT config_id, learning_rate, 'adamw' AS optimizer, batch, dropout, lora_enabled, CASE WHEN lora_enabled THEN {one(d(8), I.LORA_RANKS)} ELSE 8 END::INT AS lora_rank,
+ CASE WHEN lora_enabled THEN {one(d(8), I.LORA_RANKS)} * 2 ELSE 16 END::INT AS lora_alpha, k AS seed, aug_enabled AS enabled, event_type AS note, aug_enabled,
+ CASE WHEN aug_enabled THEN {between(d(2), 0.05, 0.3)} ELSE 0.1::DOUBLE END AS probability, 3::INT AS max_swaps FROM m"""
+
+
+SQL["i9_mutate_configs"] = _mutate_configs_sql()
+
+
 def i10_accept_proposals(spark, d):
     p = broken_tuning(spark, d)
     v = I.validate(p, I.TUNING_RULES)

@@ -154,12 +154,27 @@ _a = f"pow({u_sql(42, 'mixup:lambda', 'id', 't * 2')}, 2.5::DOUBLE)"
 _b = f"pow({u_sql(42, 'mixup:lambda', 'id', 't * 2 + 1')}, 2.5::DOUBLE)"
 SQL["d7_mixup"] = f"""
 WITH {pairs_cte('mixup')},
-s AS (SELECT *, {gate_sql(42, 'mixup', 'id', 0.5)} AS hit, coalesce(list_filter(list_transform(range(0, 8), lambda t:
+s AS (SELECT *, {gate_sql(42, 'mixup', 'id', 0.5)} AS hit, coalesce(list_filter(list_transform(range(0, {V.beta_tries(0.4)}), lambda t:
   CASE WHEN {_a} + {_b} > 0 AND {_a} + {_b} <= 1 THEN {_a} / ({_a} + {_b}) END), lambda x: x IS NOT NULL)[1], 0.5::DOUBLE) AS l FROM q),
 z AS (SELECT id, CASE WHEN NOT hit OR label = ol THEN 1.0 ELSE round(l, 6) END::DOUBLE AS weight, CASE WHEN NOT hit OR label = ol THEN 1 ELSE 2 END::BIGINT AS n_labels,
   CASE WHEN hit THEN list_transform(px, lambda v, i: l * v + (1 - l) * opx[i]) ELSE px END AS px FROM s)
 SELECT id, weight, n_labels, {digest_sql('px')} FROM z"""
 
+
+def d7_mixup_alpha_2(spark, d):
+    return _paired(V.mixup(image_rows(spark, d), S, probability=0.5, alpha=2.0))
+
+
+QUERIES["d7_mixup_alpha_2"] = d7_mixup_alpha_2
+_a2, _b2 = (u_sql(42, "mixup:lambda", "id", f"t * 2{x}") for x in ("", " + 1"))
+SQL["d7_mixup_alpha_2"] = f"""
+WITH {pairs_cte('mixup')},
+s AS (SELECT *, {gate_sql(42, 'mixup', 'id', 0.5)} AS hit, list_filter(list_transform(range(0, {V.beta_tries(2.0)}), lambda t:
+  CASE WHEN {_b2} <= 4 * {_a2} * (1 - {_a2}) THEN {_a2} END), lambda x: x IS NOT NULL)[1] AS l FROM q),
+z AS (SELECT id, CASE WHEN NOT hit OR label = ol THEN 1.0 ELSE round(l, 6) END::DOUBLE AS weight, CASE WHEN NOT hit OR label = ol THEN 1 ELSE 2 END::BIGINT AS n_labels,
+  CASE WHEN hit THEN list_transform(px, lambda v, i: l * v + (1 - l) * opx[i]) ELSE px END AS px FROM s)
+SELECT id, weight, n_labels, {digest_sql('px')} FROM z"""
+
 IMAGE_CONFIG = {
     "pipeline": {
         "enabled": True,

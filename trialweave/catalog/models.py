@@ -151,7 +151,7 @@ SELECT trial_id, primary_metric, baseline, accepted, fails FROM g WHERE trial_id
 
 def j4_classifier_sweep(spark, d):
     """Text classifiers trained on differently augmented texts, a few at a time."""
-    return J.classifier_sweep(_labelled(spark, d), CANDIDATES[:3])
+    return J.classifier_sweep(_labelled(spark, d), CANDIDATES)
 
 
 QUERIES["j4_classifier_sweep"] = j4_classifier_sweep

@@ -157,8 +157,9 @@ def a7_extract_html(spark, d):
 
 QUERIES["a7_extract_html"] = a7_extract_html
 SQL["a7_extract_html"] = r"""
-WITH p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1),
-  lambda p: trim(regexp_replace(p, '<[^>]*>', ' ', 'g'), ' ')), lambda p: p <> '') AS ps FROM pages),
+WITH p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '(?s)<p(?:\s[^>]*)?>(.*?)</p>', 1),
+  lambda p: trim(replace(replace(replace(replace(replace(replace(replace(regexp_replace(p, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'),
+   '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), ' ')), lambda p: p <> '') AS ps FROM pages),
 t AS (SELECT page_id, array_to_string(ps, chr(10)) AS text FROM p)
 SELECT page_id, md5(text) AS text_md5 FROM t WHERE length(text) > 50
 """
@@ -223,15 +224,15 @@ SQL["a8_write_results"] = (
 
 
 def a9_read_configs(spark, d):
-    """Configs written as YAML, one per event; every 13th is no mapping."""
+    """Configs written as JSON, one per event; every 13th is no object."""
     e = table(spark, d, "events", "event_id", "value", "event_type")
-    text = F.when(F.col("event_id") % 13 == 0, "- just\n- a list").otherwise(
+    text = F.when(F.col("event_id") % 13 == 0, '["just", "a list"]').otherwise(
         F.concat(
-            F.lit("optimizer:\n  name: "), F.col("event_type"), F.lit("\n  learning_rate: "), F.col("value").cast("string"), F.lit("\nseed: "),
-            F.col("event_id").cast("string"),
+            F.lit('{"optimizer": {"name": "'), F.col("event_type"), F.lit('", "learning_rate": '), F.col("value").cast("string"), F.lit('}, "seed": '),
+            F.col("event_id").cast("string"), F.lit("}"),
         )
     )
-    rows = SC.read_configs(e.select(F.col("event_id").alias("config_id"), text.alias("config")), fmt="yaml")
+    rows = SC.read_configs(e.select(F.col("event_id").alias("config_id"), text.alias("config")))
     return rows.select(
         "config_id", F.get_json_object("config", "$.optimizer.name").alias("name"),
         F.get_json_object("config", "$.optimizer.learning_rate").cast("double").alias("learning_rate"),
@@ -271,12 +272,13 @@ SQL["b2_build_vocab"] = f"WITH {VOCAB_CTE} SELECT tok, cnt, (rank + 2)::INT AS i
 
 
 def encoded(spark, d):
-    return P.encode(P.tokenize(_docs(spark, d), lower=True), materialize(vocab_500(spark, d), "vocab"), vocab_size=500)
+    return P.encode(P.tokenize(_docs(spark, d), lower=True), materialize(vocab_500(spark, d), "vocab"))
 
 
 ENC_CTE = f"""{VOCAB_CTE}, ids AS (SELECT tok, rank + 2 AS id FROM vocab WHERE cnt >= 2 AND rank < 500),
 w AS (SELECT doc_id, unnest(ws) AS tok, generate_subscripts(ws, 1) AS pos FROM (SELECT doc_id, {words_sql('lower(text)')} AS ws FROM documents)),
-enc AS (SELECT doc_id, list(coalesce(id, 1)::INT ORDER BY pos) AS input_ids FROM w LEFT JOIN ids ON ids.tok = w.tok GROUP BY doc_id)"""
+full_ AS (SELECT doc_id, list(coalesce(id, 1)::INT ORDER BY pos) AS input_ids FROM w LEFT JOIN ids ON ids.tok = w.tok GROUP BY doc_id),
+enc AS (SELECT doc_id, coalesce(input_ids, []) AS input_ids FROM documents LEFT JOIN full_ USING (doc_id))"""
 
 
 def _ids(df, *cols):
@@ -287,7 +289,21 @@ def b2_encode(spark, d):
     return encoded(spark, d).select("doc_id", *_ids(None, "input_ids"))
 
 
+def b2_encode_whole_vocab(spark, d):
+    """Every seventh text is blank; no limit on the vocabulary."""
+    docs = _docs(spark, d).withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.lit(" ")).otherwise(F.col("text")))
+    tokens = P.tokenize(docs, lower=True)
+    return P.encode(tokens, materialize(P.build_vocab(tokens), "vocab")).select("doc_id", *_ids(None, "input_ids"))
+
+
 QUERIES["b2_encode"] = b2_encode
+QUERIES["b2_encode_whole_vocab"] = b2_encode_whole_vocab
+SQL["b2_encode_whole_vocab"] = f"""
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN [] ELSE {words_sql('lower(text)')} END AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS tok, generate_subscripts(ws, 1) AS pos FROM d),
+v AS (SELECT tok, row_number() OVER (ORDER BY count(*) DESC, tok) + 1 AS id FROM w GROUP BY tok),
+e AS (SELECT doc_id, string_agg(id::VARCHAR, ',' ORDER BY pos) AS ids FROM w JOIN v USING (tok) GROUP BY doc_id)
+SELECT doc_id, md5(coalesce(ids, '')) AS input_ids_md5 FROM d LEFT JOIN e USING (doc_id)"""
 SQL["b2_encode"] = f"WITH {ENC_CTE} SELECT doc_id, md5(array_to_string(input_ids, ',')) AS input_ids_md5 FROM enc"
 
 
@@ -401,7 +417,7 @@ SELECT id, size, {digest_sql('px')} FROM p"""
 def b9_task_router(spark, d):
     """The three preparations behind one call, as row counts and lengths."""
     docs = _docs(spark, d).join(table(spark, d, "labels", "doc_id", "quality"), "doc_id")
-    lm = P.prepare("language_modeling", docs, max_length=64, vocab_size=500)
+    lm = P.prepare("language_modeling", _docs(spark, d), max_length=64, vocab_size=500)
     tc = P.prepare("text_classification", docs, max_length=64, vocab_size=500, label="quality")
     im = P.prepare("image_classification", image_rows(spark, d), height=8, width=8, channels=1, image_size=4)
     one = lambda df, task, c: df.agg(
@@ -414,10 +430,10 @@ def b9_task_router(spark, d):
 
 QUERIES["b9_task_router"] = b9_task_router
 SQL["b9_task_router"] = f"""
-WITH t AS (SELECT doc_id, len({words_sql('text')}) AS n FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
-b AS (SELECT sum(n)::BIGINT // 64 AS k FROM t)
+WITH t AS (SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+b AS (SELECT sum(len({words_sql('text')}))::BIGINT // 64 AS k FROM documents)
 SELECT 'language_modeling' AS task, k::BIGINT AS rows, (k * 64)::BIGINT AS elements FROM b
-UNION ALL SELECT 'text_classification', count(*)::BIGINT, (count(*) * 64)::BIGINT FROM t WHERE n > 0
+UNION ALL SELECT 'text_classification', count(*)::BIGINT, (count(*) * 64)::BIGINT FROM t
 UNION ALL SELECT 'image_classification', count(*)::BIGINT, (count(*) * 16)::BIGINT FROM embeddings"""
 
 # -- mixing -----------------------------------------------------------------------------
@@ -428,8 +444,9 @@ def _external(spark, d):
     return C.extract_payloads(pages, "page_id", "html", "html").withColumnRenamed("page_id", "id")
 
 
-PAGES_CTE = "ext AS (" + r"""WITH p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1),
-  lambda p: trim(regexp_replace(p, '<[^>]*>', ' ', 'g'), ' ')), lambda p: p <> '') AS ps FROM pages)
+PAGES_CTE = "ext AS (" + r"""WITH p AS (SELECT page_id, list_filter(list_transform(regexp_extract_all(html, '(?s)<p(?:\s[^>]*)?>(.*?)</p>', 1),
+  lambda p: trim(replace(replace(replace(replace(replace(replace(replace(regexp_replace(p, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'),
+   '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), ' ')), lambda p: p <> '') AS ps FROM pages)
  SELECT page_id AS id, array_to_string(ps, chr(10)) AS text FROM p WHERE length(array_to_string(ps, chr(10))) > 50)"""
 
 

@@ -147,8 +147,12 @@ SQL["f4_mixing_risk"] = (
     f"SELECT config_id, NOT {RISK_SQL} AS safe, CASE WHEN {RISK_SQL} THEN {sql_str(S.MIXING_ISSUE)} END AS issue FROM {EVENTS_K}"
 )
 
-MENTIONS_SQL = " UNION ALL ".join(
-    f"SELECT doc_id, source, '{i}' AS license FROM documents WHERE regexp_matches(text, {sql_str(p)})" for i, p in S.LICENSE_STATEMENTS
+_policy = ", ".join(sql_str(n) for n in S.PERMISSIVE_LICENSES + S.RESEARCH_ONLY_LICENSES)
+_names = "regexp_replace(lower(unnest(regexp_extract_all(text, {}, 1))), '\\.$', '')"
+MENTIONS_SQL = " UNION ".join(
+    [f"SELECT doc_id, source, '{i}' AS license FROM documents WHERE regexp_matches(text, {sql_str(p)})" for i, p in S.LICENSE_STATEMENTS]
+    + [f"SELECT * FROM (SELECT doc_id, source, {_names.format(sql_str(S.NAMED_LICENSE))} AS license FROM documents) WHERE license IN ({_policy})"]
+    + [f"SELECT doc_id, source, {_names.format(sql_str(S.LICENSE_TAG))} AS license FROM documents"]
 )
 
 
@@ -191,16 +195,17 @@ SQL["f5_license_violations"] = f"SELECT doc_id, license FROM ({MENTIONS_SQL}) WH
 
 
 def f7_license_report(spark, d):
-    r = S.license_report(S.license_mentions(_docs(spark, d, "source"), keep=("source",)), "source")
+    docs = _docs(spark, d, "source")
+    r = S.license_report(S.license_mentions(docs, keep=("source",)), "source", docs)
     return r.select("source", "passed", F.array_join("licenses", ",").alias("licenses"), F.array_join("issues", "\n").alias("issues"))
 
 
 QUERIES["f7_license_report"] = f7_license_report
 SQL["f7_license_report"] = f"""
-SELECT source, bool_and({class_sql('license')} <> 'other') AS passed, string_agg(license, ',' ORDER BY license) AS licenses,
+SELECT source, coalesce(bool_and({class_sql('license')} <> 'other'), true) AS passed, coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses,
  coalesce(string_agg('Dataset ''' || source || ''' has license ''' || license || ''' which may restrict augmentation/modification.', chr(10) ORDER BY license)
    FILTER ({class_sql('license')} = 'other'), '') AS issues
-FROM (SELECT DISTINCT source, license FROM ({MENTIONS_SQL})) GROUP BY source
+FROM (SELECT source, license FROM ({MENTIONS_SQL}) UNION SELECT source, NULL FROM documents) GROUP BY source
 """
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,6 @@ from ..functions.draws import pick, u
 from ..functions.numbers import short_float
 from ..plans.session import materialize
 
-MAX_DEPTH = 8
 OBJECT = "object"
 
 
@@ -67,6 +67,24 @@ def _kind_sql(v: str) -> str:
     return f"coalesce(try_element_at(map({names}), regexp_extract(schema_of_variant({v}), '^[A-Z]+', 0)), 'number')"
 
 
+def nesting(df: DataFrame, *configs: str) -> int:
+    """How deep the deepest of these configs goes, counted by its brackets outside of strings."""
+
+    def depth(c: str) -> Column:
+        brackets = F.regexp_replace(F.regexp_replace(c, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', ""), r"[^\[\]{}]", "")
+        step = F.aggregate(
+            F.split(brackets, ""),
+            F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")),
+            lambda a, b: F.struct(
+                (a["at"] + F.when(b.isin("{", "["), 1).when(b.isin("}", "]"), -1).otherwise(0)).alias("at"),
+                F.greatest(a["most"], a["at"] + F.when(b.isin("{", "["), 1).otherwise(0)).alias("most"),
+            ),
+        )
+        return F.coalesce(F.max(step["most"]), F.lit(0))
+
+    return max(df.agg(*[depth(c).alias(f"d{i}") for i, c in enumerate(configs)]).first())
+
+
 def _with_levels(df: DataFrame, config: str, out: str, arrays: bool, max_depth: int) -> tuple[DataFrame, list[str]]:
     """Adds the nodes of every config, an array of (path, pattern, parent, name, type, v) per
     level; a config that does not parse has none. Each level is unfolded from the one above it,
@@ -85,13 +103,16 @@ def _with_levels(df: DataFrame, config: str, out: str, arrays: bool, max_depth:
     return df.drop(f"{out}_v"), names
 
 
-def config_nodes(df: DataFrame, key: Sequence[str], config: str = "config", arrays: bool = False, max_depth: int = MAX_DEPTH) -> DataFrame:
+def config_nodes(df: DataFrame, key: Sequence[str], config: str = "config", arrays: bool = False, max_depth: int | None = None) -> DataFrame:
     """One row per node of every config: (key, path, pattern, parent, name, type, v).
 
+    All levels there are, or the first ``max_depth``.
+
     ``pattern`` is the path with ``[]`` in place of list positions. Lists are leaves unless
     ``arrays``.
     """
     key = [key] if isinstance(key, str) else list(key)
+    max_depth = nesting(df, config) if max_depth is None else max_depth
     rows, levels = _with_levels(df.select(*key, config), config, "_n", arrays, max_depth)
     # exploded as an expression: for a plain column the optimizer would test its size first,
     # which means to unfold every config twice
@@ -120,9 +141,10 @@ def merge_configs(df: DataFrame, layers: Sequence[str], key: str = "config_id")
     ancestors, or an object in its place. The configs of one row are merged within the row.
     """
     rows = df.select(key, *layers)
+    deepest = nesting(df, *layers)
     levels = []
     for i, c in enumerate(layers):
-        rows, names = _with_levels(rows, c, f"_n{i}_", False, MAX_DEPTH)
+        rows, names = _with_levels(rows, c, f"_n{i}_", False, deepest)
         levels.append(f"concat({', '.join(names)})")
     leaf = "n.path <> '' AND (n.type <> 'object' OR size(try_variant_get(n.v, '$', 'map<string,variant>')) = 0)"
     stack = [f"transform(filter({levels[i]}, n -> {leaf}), n -> struct({i} AS layer, n.path AS path, n.type AS type, n.v AS v))" for i in range(len(layers))]
@@ -171,8 +193,9 @@ def diff_configs(df: DataFrame, old: str = "old", new: str = "new", key: str = "
         return F.struct(n["path"], n["parent"], kind.alias("type"), canon.alias("canon"), _diff_text(v, kind).alias("text"))
 
     rows = df.select(key, old, new)
-    rows, a = _with_levels(rows, old, "_a", False, MAX_DEPTH)
-    rows, b = _with_levels(rows, new, "_b", False, MAX_DEPTH)
+    deepest = nesting(df, old, new)
+    rows, a = _with_levels(rows, old, "_a", False, deepest)
+    rows, b = _with_levels(rows, new, "_b", False, deepest)
     rows = rows.select(key, F.transform(F.concat(*a), shape).alias("_o"), F.transform(F.concat(*b), shape).alias("_n"))
     # old and new nodes side by side; a config has some dozens of nodes
     rows = rows.withColumn(
@@ -197,7 +220,7 @@ def diff_configs(df: DataFrame, old: str = "old", new: str = "new", key: str = "
 
 def config_hash(df: DataFrame, key: str = "config_id", config: str = "config") -> DataFrame:
     """(key, config_hash): 16 hex digits over the sorted ``path=value`` lines of a config."""
-    rows, levels = _with_levels(df.select(key, config), config, "_n", False, MAX_DEPTH)
+    rows, levels = _with_levels(df.select(key, config), config, "_n", False, nesting(df, config))
     leaves = F.filter(
         F.concat(*levels), lambda n: (n["path"] != "") & ((n["type"] != OBJECT) | (F.size(_as_map(n["v"])) == 0))
     )
@@ -259,6 +282,7 @@ TUNING_RULES = (
 )
 _TEXT, _IMAGE = "pipeline.text_augmentations", "pipeline.image_augmentations"
 _ENTRY = {"req": ("name", "enabled", "probability")}
+# Fixed values, as above.
 AUGMENTATION_RULES = (
     ("", "object", {"req": ("pipeline",)}),
     ("pipeline", "object", {"req": ("enabled",)}),
@@ -331,6 +355,53 @@ _RULE_SCHEMA = (
 )
 
 
+_ANNOTATIONS = {"$schema", "$id", "title", "description", "default", "examples", "$comment"}
+_KEYWORDS = {"type", "properties", "required", "enum", "minimum", "maximum", "items", "minItems", "maxItems", "additionalProperties"}
+_TYPES = {"object", "array", "string", "number", "integer", "boolean", "null"}
+
+
+def compile_schema(schema: dict | str) -> tuple:
+    """The rules of a JSON Schema, given as a document or its text.
+
+    Raises ``ValueError`` for what is no schema and for keywords that have no rule, so that nothing goes unchecked.
+    """
+    if isinstance(schema, str):
+        schema = json.loads(schema)
+    if not isinstance(schema, dict) or not schema:
+        raise ValueError("a schema is a non-empty JSON object")
+    rules = []
+
+    def walk(path: str, s: dict) -> None:
+        if not isinstance(s, dict):
+            raise ValueError(f"the schema of '{path}' is no object")
+        if unknown := set(s) - _KEYWORDS - _ANNOTATIONS:
+            raise ValueError(f"keywords without a rule at '{path}': {sorted(unknown)}")
+        kind = s.get("type")
+        if kind is not None and kind not in _TYPES:
+            raise ValueError(f"unknown type at '{path}': {kind}")
+        c: dict = {}
+        if "minimum" in s or "maximum" in s:
+            c["range"] = (s.get("minimum"), s.get("maximum"))
+        if "enum" in s:
+            c["enum"] = tuple(s["enum"])
+        if "minItems" in s or "maxItems" in s:
+            c["items"] = (s.get("minItems"), s.get("maxItems"))
+        if s.get("required"):
+            c["req"] = tuple(s["required"])
+        if s.get("additionalProperties", True) is not False:
+            c["open"] = True
+        rules.append((path, kind, c))
+        for name, member in s.get("properties", {}).items():
+            if set(name) & set(".[]"):
+                raise ValueError(f"a name that paths can't hold: '{name}'")
+            walk(f"{path}.{name}" if path else name, member)
+        if "items" in s:
+            walk(f"{path}[]", s["items"])
+
+    walk("", schema)
+    return tuple(rules)
+
+
 def rules_table(spark, rules) -> DataFrame:
     """Rules as a table of one row per path; the few members of a schema, by construction."""
     out = []
@@ -347,7 +418,7 @@ def rules_table(spark, rules) -> DataFrame:
                 path, kind, None if low is None else float(low), None if high is None else float(high),
                 None if low is None else str(low), None if high is None else str(high),
                 strings, numbers, None if enum is None else str(list(enum)), least, most,
-                list(c.get("req", ())), members if kind == "object" else None,
+                list(c.get("req", ())), members if kind == "object" and not c.get("open") else None,
             )
         )
     return spark.createDataFrame(out, _RULE_SCHEMA)
@@ -356,9 +427,10 @@ def rules_table(spark, rules) -> DataFrame:
 def validate(df: DataFrame, rules, key: str = "config_id", config: str = "config") -> DataFrame:
     """(key, path, message, violation): every violation of every config; none for a valid one.
 
-    The rules are a fixed table of some dozens of rows and join the nodes by path pattern;
+    ``rules`` is a JSON Schema (see ``compile_schema``) or a tuple of rules. The rules are a fixed table of some dozens of rows and join the nodes by path pattern;
     every check is then local to a node.
     """
+    rules = rules if isinstance(rules, tuple) else compile_schema(rules)
     nodes = config_nodes(df, [key], config, arrays=True)
     r = nodes.join(F.broadcast(rules_table(df.sparkSession, rules)), "pattern")
     v, kind, want, num = F.col("v"), F.col("type"), F.col("want"), F.col("num")
@@ -531,6 +603,65 @@ def mutate(bases: DataFrame, key: str = "candidate", seed: int = 42, lora: bool
     return out
 
 
+def mutate_configs(
+    configs: DataFrame, n: int, history: DataFrame | None = None, key: str = "config_id", augmentations: str = "augmentations", tuning: str = "tuning",
+    exploring: Column | None = None, seed: int = 42, lora: bool = False,
+) -> DataFrame:
+    """(key, candidate, augmentations, tuning, config_hash): up to ``n`` random neighbours of every config, as configs.
+
+    Members that a mutation does not touch are kept. Neighbours that are equal, or whose hash ``history`` (a ``config_hash`` column) has, are left out.
+    ``candidate`` names a neighbour by the config's key and its number.
+    """
+    number = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = configs.select(key, augmentations, tuning, (F.lit(True) if exploring is None else exploring).alias("exploring"), number.alias("_n"))
+    rows = rows.withColumns({"candidate": F.concat_ws("/", F.col(key).cast("string"), "_n"), "_t": F.try_parse_json(tuning), "_a": F.try_parse_json(augmentations)})
+    as_map = "map<string,variant>"
+    section = lambda v, path: F.coalesce(F.try_variant_get(v, path, as_map), F.create_map().cast(as_map))
+    entry = "array<struct<name:string,enabled:boolean,probability:double>>"
+    rows = rows.withColumns(
+        {
+            "learning_rate": F.try_variant_get("_t", "$.optimizer.learning_rate", "double"),
+            "augs": F.coalesce(F.try_variant_get("_a", "$.pipeline.text_augmentations", entry), F.array().cast(entry)),
+            "pipeline_enabled": F.coalesce(F.try_variant_get("_a", "$.pipeline.enabled", "boolean"), F.lit(False)),
+            "train_batch_size": F.try_variant_get("_t", "$.batch.train_batch_size", "int"),
+            "dropout": F.try_variant_get("_t", "$.regularization.dropout", "double"),
+            "lora_enabled": F.coalesce(F.try_variant_get("_t", "$.lora.enabled", "boolean"), F.lit(False)),
+            "lora_rank": F.try_variant_get("_t", "$.lora.rank", "int"),
+            "lora_alpha": F.try_variant_get("_t", "$.lora.alpha", "int"),
+        }
+    )
+    m = mutate(rows, "candidate", seed, lora)
+
+    def put(old: Column, **new: Column) -> Column:
+        """A section with some members set; members without a value stay away."""
+        names = F.array(*[F.lit(k) for k in new])
+        kept = F.map_filter(old, lambda k, _: ~F.array_contains(names, k))
+        added = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.cast("variant").alias("value")) for k, v in new.items()]), lambda e: e["value"].isNotNull())
+        return F.map_concat(kept, F.map_from_entries(added))
+
+    obj = F.to_variant_object
+    sections = {
+        "optimizer": put(section(F.col("_t"), "$.optimizer"), learning_rate=F.col("learning_rate")),
+        "batch": put(section(F.col("_t"), "$.batch"), train_batch_size=F.col("train_batch_size")),
+        "regularization": put(section(F.col("_t"), "$.regularization"), dropout=F.col("dropout")),
+    }
+    if lora:
+        sections["lora"] = put(section(F.col("_t"), "$.lora"), enabled=F.col("lora_enabled"), rank=F.col("lora_rank"), alpha=F.col("lora_alpha"))
+    new_tuning = F.to_json(put(section(F.col("_t"), "$"), **{k: obj(v) for k, v in sections.items()}))
+    members = F.coalesce(F.try_variant_get("_a", "$.pipeline.text_augmentations", f"array<{as_map}>"), F.array().cast(f"array<{as_map}>"))
+    entries = F.zip_with(members, "augs", lambda old, a: put(old, name=a["name"], enabled=a["enabled"], probability=a["probability"]))
+    pipeline = put(section(F.col("_a"), "$.pipeline"), enabled=F.col("pipeline_enabled"), text_augmentations=F.when(F.size("augs") > 0, obj(entries)))
+    out = m.select(key, "candidate", F.to_json(put(section(F.col("_a"), "$"), pipeline=obj(pipeline))).alias(augmentations), new_tuning.alias(tuning))
+    both = F.concat(F.lit('{"augmentations":'), F.col(augmentations), F.lit(',"tuning":'), F.col(tuning), F.lit("}"))
+    hashes = config_hash(materialize(out.withColumn("_both", both), "neighbours"), "candidate", "_both")
+    out = out.join(hashes, "candidate")
+    first = out.groupBy(key, "config_hash").agg(F.min("candidate").alias("candidate"))
+    out = out.join(first, [key, "config_hash", "candidate"], "left_semi")
+    if history is not None:
+        out = out.join(history.select("config_hash").distinct(), "config_hash", "left_anti")
+    return out.select(key, "candidate", augmentations, tuning, "config_hash")
+
+
 def grid(bases: DataFrame, space: dict[str, Sequence]) -> DataFrame:
     """Every combination of the listed values for every base config."""
     for name, values in space.items():

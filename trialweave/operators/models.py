@@ -178,11 +178,12 @@ def load_classifier(path: str):
 
 
 def load_model(spark: SparkSession, path: str):
-    """Whichever kind of model lies under a path: a fitted MLlib model, else a count model."""
-    try:
+    """Whichever kind of model lies under a path: a fitted MLlib model, which has metadata, or a count model."""
+    jvm = spark.sparkContext._jvm
+    metadata = jvm.org.apache.hadoop.fs.Path(f"{path}/metadata")
+    if metadata.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(metadata):
         return load_classifier(path)
-    except Exception:  # no MLlib metadata there
-        return load_lm(spark, path)
+    return load_lm(spark, path)
 
 
 # -- sweeps -------------------------------------------------------------------------------

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import u
 from ..functions.texts import unfolded, words
-from ..plans.lookup import salted_lookup
 from ..plans.ordered import draw_levels, id_levels, number_rows, running_before
 from ..plans.session import materialize
 
@@ -35,10 +34,10 @@ def rank_tokens(counts: DataFrame) -> DataFrame:
 
 
 def build_vocab(
-    df: DataFrame, tokens: str = "tokens", max_size: int | None = 50000, min_count: int = 1,
+    df: DataFrame, tokens: str = "tokens", max_size: int | None = None, min_count: int = 1,
     specials: Sequence[str] = SPECIALS,
 ) -> DataFrame:
-    """(tok, cnt, id): ids follow the reserved tokens by descending count."""
+    """(tok, cnt, id): ids follow the reserved tokens by descending count. ``max_size`` keeps the commonest only."""
     counts = token_counts(df, tokens).filter(F.col("cnt") >= min_count)
     ranked = rank_tokens(counts)
     if max_size is not None:
@@ -46,24 +45,16 @@ def build_vocab(
     return ranked.select("tok", "cnt", (F.col("rank") + len(specials)).cast("int").alias("id"))
 
 
-# A vocabulary known to have at most this many tokens is small enough for every task to hold.
-BROADCAST_TOKENS = 200_000
+def encode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", unk: int = 1) -> DataFrame:
+    """(key, input_ids); a text without tokens has no ids. Texts are clustered by key before their tokens are exploded.
 
-
-def encode(
-    df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", unk: int = 1, vocab_size: int | None = None
-) -> DataFrame:
-    """(key, input_ids). Texts are clustered by key before their tokens are exploded. With a
-    vocabulary of a known, small size the lookup is a broadcast, and texts are put together
-    again where they are: single tokens are never shuffled. Otherwise it is a salted join."""
-    cells = df.select(key, tokens).repartition(F.col(key)).select(key, F.posexplode(unfolded(F.col(tokens))).alias("pos", "tok"))
-    known = vocab.select("tok", "id")
-    if vocab_size is not None and vocab_size <= BROADCAST_TOKENS:
-        found = cells.join(F.broadcast(known), "tok", "left")
-    else:
-        found = salted_lookup(cells, known, ["tok"], [key, "pos"])
+    Spark broadcasts a stored vocabulary that its size check admits, and texts are then put together where they are; beyond
+    that it shuffles tokens, and adaptive execution splits the partitions of common ones."""
+    cells = df.select(key, tokens).repartition(F.col(key)).select(key, F.posexplode_outer(unfolded(F.col(tokens))).alias("pos", "tok"))
+    found = cells.join(vocab.select("tok", "id"), "tok", "left")
     ids = found.select(key, F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")).alias("c"))
-    return ids.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["id"]).alias("input_ids"))
+    real = F.filter(F.array_sort(F.collect_list("c")), lambda c: c["pos"].isNotNull())
+    return ids.groupBy(key).agg(F.transform(real, lambda c: c["id"]).alias("input_ids"))
 
 
 def truncate_pad(
@@ -204,14 +195,14 @@ def standardize_channels(
 
 def _encoded(df: DataFrame, options: dict) -> DataFrame:
     tokens = tokenize(df, options.get("text", "text"))
-    vocab, size = options.get("vocab"), options.get("vocab_size", 50000)
+    vocab = options.get("vocab")
     if vocab is None:
-        vocab = materialize(build_vocab(tokens, max_size=size), "vocab")
-    return encode(tokens, vocab, options.get("key", "doc_id"), vocab_size=size)
+        vocab = materialize(build_vocab(tokens, max_size=options.get("vocab_size")), "vocab")
+    return encode(tokens, vocab, options.get("key", "doc_id"))
 
 
 def prepare(task: str, df: DataFrame, **options) -> DataFrame:
-    """Chooses the preparation for a task. A given ``vocab`` comes with its ``vocab_size``."""
+    """Chooses the preparation for a task. Without a ``vocab`` one is built, of the ``vocab_size`` commonest tokens if that is given."""
     key = options.get("key", "doc_id")
     if task == "language_modeling":
         # packing reads the rows twice, for their lengths and for their tokens

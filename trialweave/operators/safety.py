@@ -67,21 +67,44 @@ def _score(kind: str, fixed, found: Column, before: Column) -> Column:
     return F.when(near, 0.8).otherwise(0.3)
 
 
+#: Numbers that are summed up at once.
+_SUM_BLOCK = 128
+
+
+def _let(value: Column, body) -> Column:
+    """Binds a value by a one-element array, so that it is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums_before(numbers: Column) -> Column:
+    """The sum of all numbers before each one: by blocks, so the work is in proportion to the numbers."""
+    add = lambda a, x: a + x
+
+    def spread(n: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor(F.size(n) / F.lit(_SUM_BLOCK)).cast("int"))
+        sums = F.transform(blocks, lambda b: F.aggregate(F.slice(n, b * _SUM_BLOCK + 1, F.lit(_SUM_BLOCK)), F.lit(0), add))
+        heads = F.aggregate(sums, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+        block = lambda i: F.floor(i / F.lit(_SUM_BLOCK)).cast("int")
+        return _let(
+            heads,
+            lambda h: F.transform(n, lambda _, i: F.get(h, block(i)) + F.aggregate(F.slice(n, block(i) * _SUM_BLOCK + 1, F.pmod(i, F.lit(_SUM_BLOCK))), F.lit(0), add)),
+        )
+
+    return _let(numbers, spread)
+
+
 def _matches(text: Column, kind: str, pattern: str, fixed) -> Column:
-    """Findings of one rule with character offsets. The text is cut at the matches; the
-    lengths of the pieces and of the matches before give the offsets."""
-    cut = F.struct(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("pieces")
-    )
-    length = lambda acc, s: acc + F.length(s)
+    """Findings of one rule with character offsets. The text is cut at the matches; running sums of the
+    lengths of pieces and matches give the offsets, and the pieces before a match its context."""
+    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    lengths = F.zip_with(pieces, found, lambda p, m: F.length(p) + F.coalesce(F.length(m), F.lit(0)))
+    cut = F.struct(found.alias("found"), pieces.alias("pieces"), _sums_before(lengths).alias("at"))
 
     def finding(c: Column, m: Column, i: Column) -> Column:
-        start = F.aggregate(F.slice(c["pieces"], F.lit(1), i + 1), F.lit(0), length) + F.aggregate(
-            F.slice(c["found"], F.lit(1), i), F.lit(0), length
-        )
-        before = F.substr(
-            text, F.greatest(start - CONTEXT_LENGTH + 1, F.lit(1)), F.least(start, F.lit(CONTEXT_LENGTH))
-        )
+        start = F.get(c["at"], i) + F.length(F.get(c["pieces"], i))
+        first = F.greatest(i - CONTEXT_LENGTH, F.lit(0))  # every match has a character at least
+        parts = F.zip_with(F.slice(c["pieces"], first + 1, i - first), F.slice(c["found"], first + 1, i - first), lambda p, m: F.concat(p, m))
+        before = F.right(F.concat(F.array_join(parts, ""), F.get(c["pieces"], i)), F.lit(CONTEXT_LENGTH))
         return F.struct(
             F.lit(kind).alias("type"),
             _score(kind, fixed, m, before).alias("score"),
@@ -90,9 +113,8 @@ def _matches(text: Column, kind: str, pattern: str, fixed) -> Column:
             m.alias("text"),
         )
 
-    # the one-element array binds the cut text, so that it is not cut again for every match
-    found = F.get(F.transform(F.array(cut), lambda c: F.transform(c["found"], lambda m, i: finding(c, m, i))), F.lit(0))
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(FINDING))
+    findings = _let(cut, lambda c: F.transform(c["found"], lambda m, i: finding(c, m, i)))
+    return F.when(text.rlike(pattern), findings).otherwise(F.array().cast(FINDING))
 
 
 def pii_findings(text: Column, threshold: float = DEFAULT_THRESHOLD) -> Column:
@@ -222,6 +244,9 @@ LICENSE_STATEMENTS = (
     ("gpl-3.0", r"licensed under the GNU General Public License, version 3"),
     ("cc-by-nc-4.0", r"Licensed under CC BY-NC 4\.0"),
 )
+# Statements that name one of the licenses above, and tags that name any.
+NAMED_LICENSE = r"(?i)(?:licensed|released|distributed) under (?:the )?([a-z0-9][a-z0-9.+-]*) licen[cs]e"
+LICENSE_TAG = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9][A-Za-z0-9.+-]*)"
 # Fixed value: the message for a config that fetches from the web.
 WEB_ISSUE = (
     "Web fetcher is enabled. Ensure fetched data sources have compatible licenses before using in training."
@@ -244,18 +269,23 @@ def license_compatible(name: Column) -> Column:
 
 
 def license_mentions(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple = ()) -> DataFrame:
-    """One row per license stated in a text."""
+    """One row per license stated in a text: by a known sentence, by its name, or by a tag."""
+    found = lambda p: F.transform(F.regexp_extract_all(F.col(text), F.lit(p), F.lit(1)), lambda n: F.regexp_replace(F.lower(n), r"\.$", ""))
     hits = F.array_compact(F.array(*[F.when(F.col(text).rlike(p), F.lit(i)) for i, p in LICENSE_STATEMENTS]))
-    return df.select(key, *keep, F.explode(hits).alias("license"))
+    named = F.filter(found(NAMED_LICENSE), lambda n: n.isin(*PERMISSIVE_LICENSES, *RESEARCH_ONLY_LICENSES))
+    return df.select(key, *keep, F.explode(F.array_distinct(F.concat(hits, named, found(LICENSE_TAG)))).alias("license"))
 
 
 def license_violations(mentions: DataFrame) -> DataFrame:
     return mentions.filter(~license_compatible(F.col("license")))
 
 
-def license_report(mentions: DataFrame, by: str) -> DataFrame:
-    """Per group: passed, its licenses and a message per incompatible one."""
-    distinct = mentions.select(by, "license").distinct()
+def license_report(mentions: DataFrame, by: str, groups: DataFrame | None = None) -> DataFrame:
+    """Per group: passed, its licenses and a message per incompatible one. Those of ``groups`` without a mention have passed."""
+    rows = mentions.select(by, "license")
+    if groups is not None:
+        rows = rows.unionByName(groups.select(by, F.lit(None).cast("string").alias("license")))
+    distinct = rows.distinct()
     message = F.when(
         ~license_compatible(F.col("license")),
         F.format_string(

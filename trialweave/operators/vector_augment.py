@@ -199,20 +199,30 @@ def random_erasing(
 
 # -- mixing two samples -----------------------------------------------------------------
 
-BETA_ATTEMPTS = 8
+
+def beta_tries(alpha: float) -> int:
+    """Tries after which a rejection method has failed with a probability of less than 1e-18."""
+    g = math.lgamma
+    if alpha < 1:
+        accepted = math.exp(2 * g(1 + alpha) - g(1 + 2 * alpha))
+    else:
+        accepted = math.exp((alpha - 1) * math.log(4) + 2 * g(alpha) - g(2 * alpha))
+    return math.ceil(math.log(1e-18) / math.log1p(-min(accepted, 1 - 1e-9)))
 
 
 def beta_draw(seed: int, tag: str, key: Column, alpha: float) -> Column:
-    """Beta(alpha, alpha): the first of eight tries of Joehnk's rejection method, else 0.5."""
+    """Beta(alpha, alpha): the first accepted try of a rejection method (Joehnk's below 1, uniform proposals above)."""
     if alpha == 1.0:
         return u(seed, tag, key, 0)
 
     def attempt(t: Column) -> Column:
-        a = F.pow(u(seed, tag, key, t * 2), F.lit(1.0 / alpha))
-        b = F.pow(u(seed, tag, key, t * 2 + 1), F.lit(1.0 / alpha))
+        first, second = u(seed, tag, key, t * 2), u(seed, tag, key, t * 2 + 1)
+        if alpha > 1:
+            return F.when(second <= F.pow(4 * first * (1 - first), F.lit(alpha - 1.0)), first)
+        a, b = F.pow(first, F.lit(1.0 / alpha)), F.pow(second, F.lit(1.0 / alpha))
         return F.when((a + b > 0) & (a + b <= 1), F.try_divide(a, a + b))
 
-    tries = F.transform(F.sequence(F.lit(0), F.lit(BETA_ATTEMPTS - 1)), attempt)
+    tries = F.transform(F.sequence(F.lit(0), F.lit(beta_tries(alpha) - 1)), attempt)
     return F.coalesce(F.get(F.filter(tries, lambda x: x.isNotNull()), F.lit(0)), F.lit(0.5))
 
 

@@ -62,9 +62,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give small inputs (one file, one task) as many tasks as there are cores.
+    """Gives an input of a single split as many tasks as there are cores.
 
-    Large inputs already have more splits than cores and are returned unchanged.
+    A split holds at most ``spark.sql.files.maxPartitionBytes``, which bounds what is dealt out; any larger input is returned as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() > 1 else df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -20,9 +20,9 @@ def yaml_to_json(df: DataFrame, key: str, text: str, out: str = "config") -> Dat
             docs = []
             for t in pdf[text]:
                 try:
-                    doc = yaml.safe_load(t)
+                    doc = yaml.safe_load(t) if isinstance(t, str) else None
                     docs.append(json.dumps(doc, default=str) if isinstance(doc, dict) else None)
-                except yaml.YAMLError:
+                except (yaml.YAMLError, ValueError, TypeError, OverflowError, RecursionError):  # dates that are none, keys JSON lacks
                     docs.append(None)
             yield pdf[[key]].assign(**{out: docs})
 

@@ -31,17 +31,11 @@ def read_labelled(
     which reads each file as a whole; without it files are split among tasks."""
     text_col = TEXT_COLUMNS.get(name, "text")
     if fmt == "csv":
-        rows = (
-            spark.read.schema(f"`{text_col}` string, `{label_col}` int")
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            .csv(path)
-        )
+        # columns go by the header's names, in any order and among others
+        rows = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     else:
         rows = spark.read.format(fmt).load(path)
-    return rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
+    return rows.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{label_col}`").try_cast("int").alias("label"))
 
 
 def resolve_splits(df: DataFrame, split: str = "split") -> DataFrame:
@@ -118,6 +112,16 @@ def feed_summaries(feed: Column) -> Column:
     return F.transform(F.xpath(feed, F.lit(path)), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
 
 
+# The named entities that texts of pages use, the ampersand last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def unescaped(text: Column) -> Column:
+    for name, letter in ENTITIES:
+        text = F.replace(text, F.lit(name), F.lit(letter))
+    return text
+
+
 def page_extract(response: Column) -> Column:
     """The first page extract longer than 50 characters in an encyclopedia response, or null."""
     pages = F.from_json(response, "struct<query:struct<pages:map<string,struct<extract:string>>>>")["query"]["pages"]
@@ -132,8 +136,8 @@ def extract_payloads(df: DataFrame, key: str, payload: str, kind: str) -> DataFr
     if kind == "wikipedia":
         return df.select(key, page_extract(F.col(payload)).alias("text")).filter("text is not null")
     if kind == "html":
-        body = F.regexp_extract_all(F.col(payload), F.lit(r"(?s)<p>(.*?)</p>"), F.lit(1))
-        plain = F.transform(body, lambda p: F.trim(F.regexp_replace(p, r"<[^>]*>", " ")))
+        body = F.regexp_extract_all(F.col(payload), F.lit(r"(?s)<p(?:\s[^>]*)?>(.*?)</p>"), F.lit(1))
+        plain = F.transform(body, lambda p: F.trim(unescaped(F.regexp_replace(p, r"<[^>]*>", " "))))
         return df.select(key, F.array_join(F.filter(plain, lambda p: p != ""), "\n").alias("text")).filter(
             F.length("text") > MIN_EXTRACT_LENGTH
         )
