@@ -31,7 +31,7 @@ def test_vocabulary_and_encoding(spark):
     vocab = {r.tok: r.id for r in P.build_vocab(d, max_size=3).collect()}
     assert vocab == {"b": 2, "a": 3, "c": 4}
     enc = {r.doc_id: r.input_ids for r in P.encode(d, P.build_vocab(d, max_size=3)).collect()}
-    assert enc == {0: [2, 3, 2], 1: [4, 3, 2, 1]}
+    assert enc == {0: [2, 3, 2], 1: [4, 3, 2, 1], 2: []}  # a text without tokens is kept
 
 
 def test_padding(spark):
@@ -162,3 +162,20 @@ def test_paragraphs_with_attributes(spark):
     html = '<p class="x">' + "a &lt; b &amp;amp; " * 5 + "</p><pre>no</pre><P>no</P><p>two</p>"
     df = spark.createDataFrame([(1, html)], "id bigint, payload string")
     assert C.extract_payloads(df, "id", "payload", "html").first().text == ("a < b &amp; " * 5).strip() + "\ntwo"
+
+
+def test_packing_by_sparse_and_text_keys(spark):
+    rows = [(hash((i, "x")) % (1 << 60), list(range(i % 5))) for i in range(120)]
+    for kind, keys in (("bigint", [k for k, _ in rows]), ("string", [str(k) for k, _ in rows])):
+        df = spark.createDataFrame([(k, ids) for k, (_, ids) in zip(keys, rows)], f"doc_id {kind}, input_ids array<int>")
+        flat = [t for _, ids in sorted(zip(keys, (ids for _, ids in rows))) for t in ids]
+        got = P.pack_sequences(df, 8, cell=16).orderBy("block_id").collect()
+        assert [r.input_ids for r in got] == [flat[i : i + 8] for i in range(0, len(flat) // 8 * 8, 8)]
+        order = {r.doc_id: r.batch_id for r in P.assign_batches(df, "doc_id", size=7, shuffle=False, drop_last=False).collect()}
+        assert [order[k] for k in sorted(keys)] == [i // 7 for i in range(120)]
+
+
+def test_ranks_of_tokens_that_begin_alike(spark):
+    counts = spark.createDataFrame([(f"http{i:04d}", 1) for i in range(500)] + [("the", 9)], "tok string, cnt bigint")
+    got = {r.tok: r["rank"] for r in P.rank_tokens(counts).collect()}
+    assert got["the"] == 0 and [got[f"http{i:04d}"] for i in range(500)] == list(range(1, 501))

@@ -111,10 +111,10 @@ def gated(spark, d, **kw):
     return H.sequential_gate(event_trials(spark, d), baselines=event_baselines(spark, d), **kw)
 
 
-def gate_cte(direction: str = "minimize", patience: int = 10) -> str:
+def gate_cte(direction: str = "minimize", patience: int = 10, threshold: float = 0.005) -> str:
     """The fold, one trial after the other, as a recursive query."""
     gain = _gain(direction, "n.v", "coalesce(g.best, n.baseline)")
-    hit = f"(n.judged AND (coalesce(g.best, n.baseline) IS NULL OR {gain} >= 0.005::DOUBLE))"
+    hit = f"(n.judged AND (coalesce(g.best, n.baseline) IS NULL OR {gain} >= {threshold}::DOUBLE))"
     return f"""{TRIALS_CTE},
 r AS (SELECT t.*, b.baseline, {METRIC_VALUE} AS v, coalesce(status <> 'error', true) AND {METRIC_VALUE} IS NOT NULL AND safe AS judged,
   row_number() OVER (PARTITION BY experiment ORDER BY trial_id) AS pos FROM t LEFT JOIN b USING (experiment) WHERE coalesce(status, '') <> 'exception'),
@@ -150,6 +150,17 @@ SQL["h3_sequential_gate_maximize"] = (
 )
 
 
+def h3_sequential_gate_ties(spark, d):
+    """Without a threshold, a trial as good as the best moves it."""
+    return gated(spark, d, threshold=0).select("experiment", "trial_id", "best", "accepted", "fails", "ran")
+
+
+QUERIES["h3_sequential_gate_ties"] = h3_sequential_gate_ties
+SQL["h3_sequential_gate_ties"] = (
+    f"WITH RECURSIVE {gate_cte(threshold=0.0)} SELECT experiment, trial_id, best, hit AS accepted, fails, ran FROM z"
+)
+
+
 def h4_early_stop(spark, d):
     return H.stop_points(gated(spark, d))
 

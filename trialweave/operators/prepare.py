@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import u
 from ..functions.texts import unfolded, words
-from ..plans.ordered import draw_levels, id_levels, number_rows, running_before
+from ..plans.ordered import draw_levels, number_rows, range_cells, running_before
 from ..plans.session import materialize
 
 # Reserved tokens come first in every vocabulary; padding has id 0.
@@ -27,10 +27,11 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 
 def rank_tokens(counts: DataFrame) -> DataFrame:
-    """Adds the 0-based rank by (count descending, token). Tokens of equal count are ranked
-    within cells of a common beginning of three letters, so the long tail is not one task."""
-    levels = {"_l0": -F.col("cnt"), "_l1": F.substring("tok", 1, 3)}
-    return number_rows(counts, [], levels, [F.col("tok")], "rank").withColumn("rank", F.col("rank") - 1)
+    """Adds the 0-based rank by (count descending, token), within cells whose bounds follow the data, so neither the long
+    tail of rare tokens nor tokens of one beginning are one task."""
+    order = [F.col("cnt").desc(), F.col("tok")]
+    ranked = number_rows(range_cells(counts, order), [], ["_l0", "_l1"], order, "rank")
+    return ranked.withColumn("rank", F.col("rank") - 1).drop("_l0", "_l1")
 
 
 def build_vocab(
@@ -73,18 +74,20 @@ def truncate_pad(
 
 
 def pack_sequences(
-    df: DataFrame, max_length: int, key: str = "doc_id", ids: str = "input_ids", prepad: bool = False, cell: int = 4096
+    df: DataFrame, max_length: int, key: str = "doc_id", ids: str = "input_ids", prepad: bool = False, cell: int = 100_000
 ) -> DataFrame:
-    """(block_id, input_ids): token streams joined in key order and cut into exact blocks;
-    the remainder is dropped. Only the length of a row enters the running offset; a row is
-    then cut into its pieces, and a block gathers at most ``max_length`` tokens."""
+    """(block_id, input_ids): token streams joined in the order of their keys, which are unique and of any type, and cut into exact
+    blocks; the remainder is dropped. Only keys and lengths enter the running offset, which then joins the tokens; a row is
+    cut into its pieces, and a block gathers at most ``max_length`` tokens."""
     if prepad:
         df = truncate_pad(df, max_length, ids)
     L = F.lit(max_length)
     rows = df.select(F.col(key).alias("_key"), F.col(ids).alias("_ids"), F.size(ids).cast("long").alias("_len")).filter(
         F.col("_len") > 0
     )
-    rows = running_before(rows, [], id_levels(F.col("_key"), cell), [F.col("_key")], {"_off": (F.col("_len"), "sum")})
+    lengths = range_cells(rows.select("_key", "_len"), [F.col("_key")], cell)
+    offsets = running_before(lengths, [], ["_l0", "_l1"], [F.col("_key")], {"_off": (F.col("_len"), "sum")})
+    rows = rows.join(offsets.select("_key", "_off"), "_key")
     first, last = F.floor(F.col("_off") / L), F.floor((F.col("_off") + F.col("_len") - 1) / L)
     pieces = rows.select("_ids", "_off", "_len", F.explode(F.sequence(first, last)).alias("block_id"))
     start = F.greatest(F.col("block_id") * L, F.col("_off"))
@@ -136,7 +139,7 @@ def assign_batches(
     ranked = (
         _shuffled_rank(keys, key, seed, tag, "_rank")
         if shuffle
-        else number_rows(keys, [], id_levels(F.col(key)), [F.col(key)], "_rank")
+        else number_rows(range_cells(keys, [F.col(key)]), [], ["_l0", "_l1"], [F.col(key)], "_rank")
     )
     if drop_last:
         n = df.count()

@@ -265,11 +265,12 @@ def bigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _top(bigrams: DataFrame, by: str, of: str, k: int) -> DataFrame:
-    # rank <= k lets every task drop all but its own k best before the shuffle,
-    # so a word with a million neighbours costs k rows per task
-    w = W.partitionBy(by).orderBy(F.desc("n"), F.col(of))
-    best = bigrams.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    return best.groupBy(by).agg(F.collect_list(of).alias("_best"))
+    # the k best of each sixteenth of a word's neighbours first, so that no task ranks all neighbours of a common word
+    part = F.pmod(F.xxhash64(of), F.lit(16))
+    for keys in ([by, part], [by]):
+        w = W.partitionBy(*keys).orderBy(F.desc("n"), F.col(of))
+        bigrams = bigrams.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    return bigrams.groupBy(by).agg(F.collect_list(of).alias("_best"))
 
 
 def contextual_insertion(
@@ -306,16 +307,16 @@ def contextual_insertion(
             F.get("_w", F.col("_at") - 1).alias("left"),
             F.get("_w", F.col("_at")).alias("right"),
         )
-        # neighbours are ranked for the words asked about only
+        # every pair of neighbours is worked out once, however many rows have it; neighbours are ranked for the words asked about only
+        asked = spots.select("left", "right").distinct()
         lefts, rights = spots.select(F.col("left").alias("word")).distinct(), spots.select(F.col("right").alias("follower")).distinct()
         after = _top(bigrams.join(lefts, "word", "left_semi"), "word", "follower", top_k)
         after = after.select(F.col("word").alias("left"), F.col("_best").alias("_after"))
         ahead = _top(bigrams.join(rights, "follower", "left_semi"), "follower", "word", top_k)
         ahead = ahead.select(F.col("follower").alias("right"), F.col("_best").alias("_ahead"))
-        spots = salted_lookup(salted_lookup(spots, after, ["left"], [key]), ahead, ["right"], [key])
+        asked = salted_lookup(salted_lookup(asked, after, ["left"], ["right"]), ahead, ["right"], ["left"])
         nothing = F.array().cast("array<string>")
-        cands = spots.select(
-            key,
+        cands = asked.select(
             "left",
             "right",
             F.explode(
@@ -324,15 +325,16 @@ def contextual_insertion(
         )
         lc = bigrams.select(F.col("word").alias("left"), F.col("follower").alias("cand"), F.col("n").alias("_ln"))
         rc = bigrams.select(F.col("word").alias("cand"), F.col("follower").alias("right"), F.col("n").alias("_rn"))
-        # pairs of words are far less uneven than words: adaptive skew handling is enough here
-        scored = cands.join(lc, ["left", "cand"], "left").join(rc, ["cand", "right"], "left").select(
-            key,
+        scored = salted_lookup(salted_lookup(cands, lc, ["left", "cand"], ["right"]), rc, ["cand", "right"], ["left"]).select(
+            "left",
+            "right",
             F.struct(
                 (-(1 + F.coalesce("_ln", F.lit(0))) * (1 + F.coalesce("_rn", F.lit(0)))).alias("s"), F.col("cand").alias("w")
             ).alias("c"),
         )
-        # at most 2 * top_k candidates per row
-        best = scored.groupBy(key).agg(F.slice(F.array_sort(F.collect_list("c")), 1, top_k).alias("_c"))
+        # at most 2 * top_k candidates per pair
+        best = scored.groupBy("left", "right").agg(F.slice(F.array_sort(F.collect_list("c")), 1, top_k).alias("_c"))
+        best = salted_lookup(spots, best, ["left", "right"], [key], how="inner")
         best = best.select(key, F.get("_c", pick(u(seed, tag, k, 1), F.size("_c")))["w"].alias("_new"))
         return insert(rows.join(best, key, "left"))
 

@@ -161,12 +161,16 @@ def sequential_gate(
     real = F.when(~F.isnan(own), own)
     rows = running_before(
         rows.withColumn("_own", own), keys, levels, [F.col(trial)],
-        {"_min": (real, "min"), "_pos": (F.lit(1).cast("bigint"), "sum"), "_n": (own.isNotNull().cast("bigint"), "sum")},
+        {"_min": (real, "min"), "_pos": (F.lit(1).cast("bigint"), "sum"), "_n": (own.isNotNull().cast("bigint"), "sum"),
+         "_zero": ((own == 0).cast("int"), "max")},
     )
     rows = materialize(rows, "gate")
     v = F.col("_own")
     record = (F.col("_n") == 0) | (~F.isnan(v) & (F.col("_min").isNull() | (v < F.col("_min"))))
-    candidates = rows.filter(v.isNotNull()) if threshold == 0 else rows.filter(v.isNotNull() & record)
+    if threshold == 0:
+        # ties move the best value, too, and against a best value of 0 every trial does
+        record = record | (v <= F.col("_min")) | F.col("_min").isNull() | (F.coalesce("_zero", F.lit(0)) == 1)
+    candidates = rows.filter(v.isNotNull() & record)
     base = (F.coalesce("_c_best", "baseline") * sign).alias("_base")
     chain = _accepted_chain(candidates.select(*keys, trial, v.alias("_v"), base), keys, trial, float(threshold))
     rows = rows.join(chain.withColumn("_moves", F.lit(True)), [*keys, trial], "left")
@@ -176,7 +180,7 @@ def sequential_gate(
     )
     rows = running_before(rows, keys, levels, [F.col(trial)], {"_last": (last, "max")})
     rows = decide(rows.withColumn("best", F.coalesce("_last.v", "_c_best")), metric, direction, threshold)
-    rows = rows.withColumn("_hit", F.col("_last.pos")).drop("_last", "_moves", "_min", "_n", "_own")
+    rows = rows.withColumn("_hit", F.col("_last.pos")).drop("_last", "_moves", "_min", "_n", "_own", "_zero")
     if "eval_metrics" in rows.columns:
         # trials accepted by a value under its short name end a row of rejections as well
         rows = materialize(rows.drop("_hit"), "gate")

@@ -17,17 +17,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .session import materialize
+
 _AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def id_levels(col: Column, cell: int = 4096, fanout: int = 4096) -> dict[str, Column]:
-    """Levels of a dense integer order."""
+    """Levels of a dense integer order; for sparse numbers see ``range_cells``."""
     return {
         "_l0": F.floor(col / F.lit(cell * fanout)).cast("long"),
         "_l1": F.floor(col / F.lit(cell)).cast("long"),
     }
 
 
+def range_cells(df: DataFrame, order: Sequence[Column], rows: int = 100_000, fanout: int = 1024) -> DataFrame:
+    """A stored table with the levels ``_l0`` and ``_l1`` of an order of any kind: hashes, texts, several columns.
+
+    Cells of about ``rows`` rows are cut at bounds that Spark samples from the data; rows of equal order share a cell.
+    """
+    cells = max(1, -(-df.count() // rows))
+    cut = df.repartitionByRange(cells, *order).withColumn("_l1", F.spark_partition_id().cast("long"))
+    return materialize(cut.withColumn("_l0", F.floor(F.col("_l1") / F.lit(fanout)).cast("long")), "ordered")
+
+
 def draw_levels(draw: Column, bits: int = 20) -> dict[str, Column]:
     """Levels of a uniform draw in [0, 1): ``2^bits`` cells of about equal size."""
     return {
