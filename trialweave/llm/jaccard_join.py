@@ -2,11 +2,11 @@
 
 1. Every document becomes its set of distinct 5-word shingles, 64-bit hashes. Documents with equal sets are one class.
 2. All sets are ordered alike: shingles by hash, then the commonest ones (a bounded list, counted over all documents) by their count.
-   Sets with a similarity of t share a shingle among the first ``n - ceil(t n) + 1`` of each. Common shingles come last, so passages
-   that many documents share rarely bring documents together.
-3. Every shingle of those prefixes that several classes have names a leader, the smallest of these classes; a class belongs to
-   the groups of its shingles' leaders. Two similar classes share a group, and each class is sent to each of its groups once.
-   Common shingles' leaders come from partial minima, so a hot shingle is never gathered.
+   The first ``l`` shingles that two sets of a similarity of t share are among the first ``n - ceil(t n) + l`` of each; ``l`` is a share of n. Common
+   shingles come last, so passages that many documents share rarely bring documents together.
+3. Every shingle of those prefixes that several classes of near sizes have names a leader among them; a class belongs to
+   the groups of its shingles' leaders. A class of which fewer than ``l`` shingles are found elsewhere is similar to none. Two similar classes share a
+   group, and each class is sent to each of its groups once. Common shingles' leaders come from partial minima, so a hot shingle is never gathered.
 4. Within a group, sets are put one by one into a prefix tree, commonest shingles first. Before that, each walks the tree: classes
    below a node share the overlap counted so far, and a subtree is left when that overlap and what remains on either side can't reach the
    similarity, or when all of it is already connected with the set that walks.
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ from .kit import batches_of, join_text, keyed, materialize, read, sorted_groups
 WORDS, PERCENT = 5, 80
 #: Most shingles that count as common, and how often a block of texts must have one to report it.
 COMMON, REPORT = 1 << 17, 4
+#: Of every so many shingles of a set, one more is asked to be shared.
+SHARE = 12
 #: Shingles that a task holds of one group.
 BLOCK_SHINGLES = 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -73,9 +76,10 @@ def shingles(text: bytes, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
 
 
 def prefix(own: np.ndarray, common: np.ndarray, rank: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first shingles of a set in the order of all sets, as many as any similar set shares one of."""
+    """The first shingles of a set in the order of all sets: so many that each similar set has ``n // SHARE + 1`` of them, or as many as
+    its own size asks for, in its own prefix."""
     n = len(own)
-    take = n - (percent * n + 99) // 100 + 1
+    take = n - (percent * n + 99) // 100 + n // SHARE + 1
     if not n or not len(common):
         return own[:take]
     at = np.minimum(np.searchsorted(common, own), len(common) - 1)
@@ -249,13 +253,14 @@ def _group_links(percent: int, words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def rows():
-            for table in sorted_groups(batches, "grp", 8 << 20):
+            for table in sorted_groups(batches, "grp", 3 << 20):
                 keys = table.column("grp").to_numpy()
                 cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
                 nodes = table.column("node").to_numpy()
-                texts = table.column("_text").cast(pa.binary())
+                texts = table.column("packed")
                 labels, probe = table.column("label").to_numpy(), table.column("probe").to_numpy(zero_copy_only=False)
                 for a, b in zip(cuts, cuts[1:]):
                     if b - a < 2:
@@ -268,7 +273,7 @@ def _group_links(percent: int, words: int):
                     at = list(first.values())
                     if len(at) < 2:
                         continue
-                    sets = [shingles(texts[i].as_py(), hashes, words) for i in at]
+                    sets = [shingles(unpack(texts[i].as_py()), hashes, words) for i in at]
                     only = [bool(probe[i]) for i in at]
                     known = [int(labels[i]) for i in at]
                     yield from link_group([int(nodes[i]) for i in at], sets, percent, known, None if all(only) else only)
@@ -281,8 +286,17 @@ def _group_links(percent: int, words: int):
 def _meet(sent: DataFrame, own: DataFrame, percent: int, words: int) -> DataFrame:
     """Links found in groups. ``sent``: node, representative (``_id``, ``_h``), ``grp``, ``label``, ``probe``."""
     per_doc = sent.groupBy("_id", "_h").agg(F.collect_list(F.struct("grp", "node", "label", "probe")).alias("to"))
-    texts = join_text(own, per_doc, "inner").select("_text", F.explode("to").alias("to"))
-    texts = texts.select("to.grp", "to.node", "to.label", "to.probe", "_text")
+    to = per_doc.schema["to"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = [squeeze(t.as_py()) for t in batch.column("_text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column("to")], names=["packed", "to"])
+
+    # a text goes to several groups: it is packed once, tighter than shuffles do it
+    texts = join_text(own, per_doc, "inner").select("_text", "to").mapInArrow(pack, f"packed binary, to {to}")
+    texts = texts.select("packed", F.explode("to").alias("to")).select("to.grp", "to.node", "to.label", "to.probe", "packed")
     return texts.repartition("grp").sortWithinPartitions("grp").mapInArrow(_group_links(percent, words), "a long, b long")
 
 
@@ -332,25 +346,32 @@ def similar_components(
 
     slim = known.select("prefix", "node", "n").filter("n > 0")
     columns = "token long, node long, n long"
-    rare = slim.mapInArrow(explode(False), columns).repartition("token").sortWithinPartitions("token", "node")
+    rare = slim.mapInArrow(explode(False), columns).repartition("token").sortWithinPartitions("token", "n", "node")
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """From rows sorted by shingle and class: (leader, class) of shingles that several classes have."""
-        last, leader, open_ = None, None, False
+        """From rows sorted by shingle and size: (leader, class) of each shingle that several classes have, between gaps in size
+        that no similarity bridges."""
+        carried = None  # token, size, whether it began a group, its leader and the leader's size
         for batch in batches:
             if not batch.num_rows:
                 continue
             token, node, n = (batch.column(c).to_numpy() for c in ("token", "node", "n"))
-            new = np.empty(len(token), bool)
-            new[0] = last is None or token[0] != last
-            new[1:] = token[1:] != token[:-1]
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (percent * n[1:] > 100 * n[:-1])
+            if carried:
+                new[0] = token[0] != carried[0] or percent * n[0] > 100 * carried[1]
             first = np.maximum.accumulate(np.where(new, np.arange(len(token)), -1))
-            lead_ = np.where(first < 0, leader if leader is not None else 0, node[first])
-            out = node != lead_  # the leader joins its groups afterwards
-            last, leader = token[-1], int(lead_[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(lead_[out]), pa.array(node[out]), pa.array(n[out])], names=["leader", "node", "n"])
-
-    members = rare.mapInArrow(lead, "leader long, node long, n long").distinct()
+            head = np.where(first < 0, carried[3] if carried else 0, node[first])
+            size = np.where(first < 0, carried[4] if carried else 0, n[first])
+            second = ~new & np.concatenate([[bool(carried and carried[2])], new[:-1]])
+            carried = (token[-1], n[-1], bool(new[-1]), head[-1], size[-1])
+            rows = (np.concatenate([head[~new], head[second]]), np.concatenate([node[~new], head[second]]), np.concatenate([n[~new], size[second]]))
+            # several shingles of a batch name the same leader
+            key, count = np.unique(np.stack(rows, axis=1), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*[pa.array(key[:, i].copy()) for i in range(3)], pa.array(count.astype(np.int64))], names=["leader", "node", "n", "shared"])
+
+    group = "leader long, node long, n long, shared long"
+    members = rare.mapInArrow(lead, group)
     hot = slim.mapInArrow(explode(True), columns).groupBy("token").agg(F.min("node").alias("leader")).toArrow()  # as many rows as common shingles at the most
     order = np.argsort(hot.column("token").to_numpy())
     leaders = spark.sparkContext.broadcast((hot.column("token").to_numpy()[order], hot.column("leader").to_numpy()[order]))
@@ -360,19 +381,26 @@ def similar_components(
         for batch in explode(True)(batches):
             if batch.num_rows:
                 lead_ = leader[np.searchsorted(token, batch.column("token").to_numpy())]
-                rows = np.unique(np.stack([lead_, batch.column("node").to_numpy(), batch.column("n").to_numpy()], axis=1), axis=0)
-                rows = rows[rows[:, 0] != rows[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(rows[:, i].copy()) for i in range(3)], names=["leader", "node", "n"])
-
-    members = materialize(members.unionByName(slim.mapInArrow(follow, "leader long, node long, n long")).distinct(), "shingle-members")
+                rows, count = np.unique(np.stack([lead_, batch.column("node").to_numpy(), batch.column("n").to_numpy()], axis=1), axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([*[pa.array(rows[:, i].copy()) for i in range(3)], pa.array(count.astype(np.int64))], names=["leader", "node", "n", "shared"])
+
+    # rows of equal documents name the same class: counted once for each, which is never too few
+    members = members.unionByName(slim.mapInArrow(follow, group)).groupBy("leader", "node").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"))
+    members = materialize(members, "shingle-members")
+    least = F.floor((F.col("n") * percent + 99) / 100 / SHARE) + 1
+    able = members.groupBy("node").agg(F.sum("shared").alias("shared"), F.max("n").alias("n")).filter(F.col("shared") >= least).select("node")
+    members = members.join(able, "node", "left_semi")
+    several = members.groupBy("leader").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("leader")
+    members = materialize(members.join(several, "leader", "left_semi").select("leader", "node", "n"), "shingle-groups")
 
     classes = known.groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("rep"), F.first("n").alias("n"))
     sizes = members.groupBy("leader").agg(F.sum("n").alias("shingles"))
     parts = F.ceil(F.col("shingles") / F.lit(block)).cast("long").alias("parts")
-    sizes = materialize(sizes.select("leader", parts), "shingle-groups")
+    sizes = materialize(sizes.select("leader", parts), "shingle-parts")
     salt = F.pmod(F.xxhash64("node"), F.col("parts"))
     dealt = members.join(sizes, "leader").select("leader", "node", "parts", salt.alias("part"))
-    dealt = dealt.unionByName(sizes.select("leader", F.col("leader").alias("node"), "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
+    # the leader is in every part of a group that has several
+    dealt = dealt.unionByName(sizes.filter("parts > 1").select("leader", F.col("leader").alias("node"), "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
     reps = classes.select("node", F.col("rep._id").alias("_id"), F.col("rep._h").alias("_h"))
     sent = dealt.join(reps, "node").select("node", "_id", "_h", F.xxhash64("leader", "part").alias("grp"), F.col("node").alias("label"), F.lit(True).alias("probe"))
     links = materialize(_meet(sent, own, percent, words), "shingle-links")
