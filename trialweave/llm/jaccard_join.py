@@ -393,7 +393,7 @@ def similar_components(
     several = members.groupBy("leader").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("leader")
     members = materialize(members.join(several, "leader", "left_semi").select("leader", "node", "n"), "shingle-groups")
 
-    classes = known.groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("rep"), F.first("n").alias("n"))
+    classes = known.groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("rep"), F.min("_id").alias("least"), F.first("n").alias("n"))
     sizes = members.groupBy("leader").agg(F.sum("n").alias("shingles"))
     parts = F.ceil(F.col("shingles") / F.lit(block)).cast("long").alias("parts")
     sizes = materialize(sizes.select("leader", parts), "shingle-parts")
@@ -409,7 +409,7 @@ def similar_components(
     if large.limit(1).count():
         links = links.unionByName(_leftover_links(links, dealt.join(large.select("leader"), "leader", "left_semi"), reps, own, percent, words, block))
     labels = components(links)
-    named = classes.select("node", "n", F.col("rep._id").alias("least")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = classes.select("node", "n", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = named.filter("n > 0")
     least = named.groupBy("label").agg(F.min("least").alias("component"))
     by_class = named.join(least, "label").select("node", "component")
@@ -440,9 +440,9 @@ def _leftover_links(links: DataFrame, dealt: DataFrame, reps: DataFrame, own: Da
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component, that of its smallest id, with all its columns. Rows without words stay, but one that is there twice stays once."""
     found = materialize(similar_components(docs, id_col, text_col, words, percent), "shingle-components")
-    linked = found.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("id", "_h")).alias("k"))
-    # a component without any id goes by its texts
-    linked = linked.filter("component is not null").select("k.*").unionByName(found.filter("n_shingles > 0 and component is null").select("id", "_h"))
+    linked = found.filter("n_shingles > 0 and id = component").groupBy("id").agg(F.min("_h").alias("_h"))
+    # rows of a component without any id all stay
+    linked = linked.unionByName(found.filter("n_shingles > 0 and component is null").select("id", "_h"))
     kept = linked.unionByName(found.filter("n_shingles = 0").select("id", "_h")).distinct().select(F.col("id").alias("__id"), F.col("_h").alias("__h"))
     own_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     out = docs.withColumn("__text_hash", own_hash).join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__h")), "left_semi")
