@@ -175,6 +175,12 @@ def test_packing_by_sparse_and_text_keys(spark):
         assert [order[k] for k in sorted(keys)] == [i // 7 for i in range(120)]
 
 
+def test_broken_feeds_are_passed_over(spark):
+    good = "<feed><entry><summary> a &lt; b </summary></entry></feed>"
+    df = spark.createDataFrame([(0, "<feed><entry><summary>x</summary>"), (1, "no xml"), (2, None), (3, good)], "id int, payload string")
+    assert [tuple(r) for r in C.extract_payloads(df, "id", "payload", "arxiv").collect()] == [(3, "a < b")]
+
+
 def test_ranks_of_tokens_that_begin_alike(spark):
     counts = spark.createDataFrame([(f"http{i:04d}", 1) for i in range(500)] + [("the", 9)], "tok string, cnt bigint")
     got = {r.tok: r["rank"] for r in P.rank_tokens(counts).collect()}

@@ -200,26 +200,31 @@ SQL["a7_extract_json"] = "SELECT doc_id, md5(text) AS text_md5 FROM documents WH
 
 def a8_write_results(spark, d):
     """Training results per trial; here every user is a trial and every event an evaluation."""
-    e = table(spark, d, "events", "event_id", "user_id", "value")
-    # totals only: the history of a trial stays in the metric table
+    e = table(spark, d, "events", "event_id", "user_id", "value", "ts")
     rows = e.groupBy(F.col("user_id").alias("trial_id")).agg(
         F.avg("value").alias("train_loss"),
         F.create_map(F.lit("loss"), F.min("value"), F.lit("last"), F.max_by("value", "event_id")).alias("eval_metrics"),
         F.count(F.lit(1)).alias("steps_completed"),
+        # as many entries as a trial has evaluations
+        F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("step"), F.col("value").alias("loss")))).alias("eval_history"),
+        (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))).alias("elapsed_us"),
     )
     path = fresh_path(spark, "results")
     ST.write_results(rows, path)
     back = spark.read.parquet(path)
     return back.select(
         "trial_id", F.round("train_loss", 6).alias("train_loss"), F.col("eval_metrics")["loss"].alias("loss"),
-        F.col("eval_metrics")["last"].alias("last"), "steps_completed",
+        F.col("eval_metrics")["last"].alias("last"), "steps_completed", "elapsed_us",
+        F.array_join(F.transform("eval_history", lambda h: h["step"].cast("string")), ",").alias("history_steps"),
+        F.element_at("eval_history", -1)["loss"].alias("history_last"),
     )
 
 
 QUERIES["a8_write_results"] = a8_write_results
 SQL["a8_write_results"] = (
     "SELECT user_id AS trial_id, round(avg(value), 6) AS train_loss, min(value) AS loss, max_by(value, event_id) AS last, "
-    "count(*)::BIGINT AS steps_completed FROM events GROUP BY user_id"
+    "count(*)::BIGINT AS steps_completed, epoch_us(max(ts)) - epoch_us(min(ts)) AS elapsed_us, "
+    "string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS history_steps, max_by(value, event_id) AS history_last FROM events GROUP BY user_id"
 )
 
 

@@ -107,9 +107,10 @@ def pixel_rows(df: DataFrame, key: str, vector: str, height: int, width: int, ch
 
 
 def feed_summaries(feed: Column) -> Column:
-    """The trimmed summaries of an Atom feed's entries."""
-    path = '/*[local-name()="feed"]/*[local-name()="entry"]/*[local-name()="summary"][1]/text()'
-    return F.transform(F.xpath(feed, F.lit(path)), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
+    """The trimmed summaries of an Atom feed's entries; none for text that is no XML."""
+    entries = F.from_xml(feed, "entry array<struct<summary:string>>", {"ignoreNamespace": "true", "mode": "PERMISSIVE"})["entry"]
+    said = F.transform(entries, lambda e: F.regexp_replace(e["summary"], r"^\s+|\s+$", ""))
+    return F.filter(said, lambda s: s.isNotNull())
 
 
 # The named entities that texts of pages use, the ampersand last.
