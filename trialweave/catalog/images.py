@@ -78,6 +78,29 @@ def d3_color_jitter_rgb(spark, d):
 
 
 QUERIES["d3_color_jitter_rgb"] = d3_color_jitter_rgb
+_span = lambda x: (f"{1 - x!r}::DOUBLE", f"{(1 + x) - (1 - x)!r}::DOUBLE")
+_factor = lambda i, x: f"({_span(x)[0]} + {u_sql(42, 'color_jitter', 'id', i)} * {_span(x)[1]})"
+_unit = lambda x: f"least(1.0::DOUBLE, greatest(0.0::DOUBLE, {x}))"
+_grey = lambda p, i: " + ".join(f"{p}[{i} + {c * 64}] * {w!r}::DOUBLE" for c, w in enumerate(V.GREY))
+_band = lambda c: (
+    f"list_transform(hsv, lambda x: x.v - x.v * x.s * {_unit(f'least({c} + x.h * 6 - 6 * floor(({c} + x.h * 6) / 6), 4 - ({c} + x.h * 6 - 6 * floor(({c} + x.h * 6) / 6)))')})"
+)
+SQL["d3_color_jitter_rgb"] = f"""
+WITH u AS (SELECT *, list_transform(px, lambda x: least(1.0::DOUBLE, abs(x::DOUBLE))) AS un FROM {SRC}),
+src AS (SELECT id, label, list_concat(list_concat(un, list_reverse(un)), list_transform(un, lambda x: 1 - x)) AS px FROM u),
+a AS (SELECT *, {_factor(0, 0.2)} AS fb, {_factor(1, 0.2)} AS fc, {_factor(2, 0.2)} AS fs, -0.1::DOUBLE + {u_sql(42, 'color_jitter', 'id', 3)} * 0.2::DOUBLE AS turn FROM src),
+b AS (SELECT *, list_transform(px, lambda x: {_unit('x * fb')}) AS p1 FROM a),
+c AS (SELECT *, list_sum(list_transform(range(1, 65), lambda i: {_grey('p1', 'i')})) / 64.0::DOUBLE AS mean FROM b),
+d AS (SELECT *, list_transform(p1, lambda x: {_unit('fc * x + (1 - fc) * mean')}) AS p2 FROM c),
+e AS (SELECT *, list_transform(range(0, 192), lambda i: {_unit(f"fs * p2[i + 1] + (1 - fs) * ({_grey('p2', 'i % 64 + 1')})")}) AS p3 FROM d),
+f AS (SELECT *, list_transform(range(1, 65), lambda i: {{'r': p3[i], 'g': p3[i + 64], 'b': p3[i + 128], 'top': greatest(p3[i], p3[i + 64], p3[i + 128]),
+  'low': least(p3[i], p3[i + 64], p3[i + 128])}}) AS rgb FROM e),
+g AS (SELECT *, list_transform(rgb, lambda x: {{'v': x.top, 's': CASE WHEN x.top > 0 THEN (x.top - x.low) / x.top ELSE 0.0::DOUBLE END,
+  'h': CASE WHEN x.top = x.low THEN CASE WHEN x.top = x.r THEN 0.0::DOUBLE END WHEN x.top = x.r THEN (x.g - x.b) / (x.top - x.low)
+    WHEN x.top = x.g THEN 2 + (x.b - x.r) / (x.top - x.low) ELSE 4 + (x.r - x.g) / (x.top - x.low) END / 6}}) AS h0 FROM f),
+h AS (SELECT *, list_transform(h0, lambda x: {{'v': x.v, 's': x.s, 'h': x.h - floor(x.h) + turn - floor(x.h - floor(x.h) + turn)}}) AS hsv FROM g),
+z AS (SELECT id, CASE WHEN {gate_sql(42, 'color_jitter', 'id', 0.5)} THEN list_concat(list_concat({_band(5)}, {_band(3)}), {_band(1)}) ELSE px END AS px FROM h)
+{_sql('z')}"""
 
 
 def d4_random_rotation(spark, d):
