@@ -8,7 +8,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import prose
+from cases import prose
 from pyspark.sql import functions as F
 
 from trialweave.llm import byte_bpe, jaccard_join, line_dedup, neighbour_quality, packing, quality_rules, suffix_dedup, suffix_tree_lm
