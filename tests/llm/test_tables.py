@@ -85,7 +85,7 @@ def test_recall_with_a_short_reach(spark):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     df = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {}
-    for r in multi_index.nearest(df, F.col("id") % 20 == 0, k=10, reach=800).collect():
+    for r in multi_index.nearest(df, F.col("id") % 20 == 0, k=10, reach=800, share=0.2).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     hits = 0
     for q in range(0, 4000, 20):

@@ -2,8 +2,8 @@
 
 Vectors are cut into halves, and each half is quantised by its own centroids (k-means on at most ``SAMPLE`` vectors). A cell is a pair of
 centroids; every distinct vector is in the index, under its cell. A query orders the centroids of each half by its inner product with them, and a heap
-walks the pairs by their summed products until the cells seen hold ``reach`` vectors. Those are reranked exactly, in double precision, by
-products of blocks: the queries that ask for a cell against the vectors of the cell, in salted parts of bounded size.
+walks the pairs by their summed products until the cells seen hold ``reach`` vectors, or ``SHARE`` of all, whichever is more. Those are reranked exactly, in
+double precision, by products of blocks: the queries that ask for cells of one first centroid against the vectors there, in salted parts of bounded size.
 
 Equal vectors are one entry that carries the ``k + 1`` smallest ids of its rows; no more of them can be among the ``k`` nearest of any query, so a vector
 that a third of all rows share costs no more than another. Queries with equal vectors are searched once.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .kit import batches_of, materialize, read
 
-K, REACH, SAMPLE = 20, 6000, 20_000
+K, REACH, SHARE, SAMPLE = 20, 6000, 0.5, 20_000
 #: Vectors to a cell aimed at, and the most centroids of a half: there are at most ``MOST_CENTROIDS ** 2`` cells.
 PER_CELL, MOST_CENTROIDS, PART = 32, 1024, 4096
 
@@ -88,7 +88,7 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, reach: int = REACH, sample: int = SAMPLE) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, reach: int = REACH, sample: int = SAMPLE, share: float = SHARE) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's ``k`` nearest. ``is_query`` is a condition on ``id``."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -119,13 +119,15 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     held = np.zeros(n * n2, np.int64)
     held[count.column("cell").to_numpy()] = count.column("n").to_numpy()
     shared = spark.sparkContext.broadcast(held)
+    strips = held.reshape(n, n2).sum(axis=1)
+    reach = max(reach, int(share * total))
 
     queries = rows.filter(is_query).select(F.col("id").alias("query_id"), "v").distinct()
     queries = materialize(queries.join(index.select("key", "v"), "v").select("query_id", "key"), "vector-queries")
     asked = index.join(queries.select("key").distinct(), "key", "left_semi").select("key", "v")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("row", pa.int64()), ("cell", pa.int64()), ("part", pa.int64())])
+        schema = pa.schema([("row", pa.int64()), ("strip", pa.int64()), ("part", pa.int64()), ("seconds", pa.list_(pa.int64()))])
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -134,40 +136,50 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
 
             def pairs(a=a, b=b):
                 for i in range(len(a)):
+                    seconds: dict[int, list[int]] = {}
                     for cell in walk_cells(a[i], b[i], shared.value, reach):
-                        for part in range(-(-int(shared.value[cell]) // PART)):
-                            yield i, cell, part
+                        seconds.setdefault(cell // n2, []).append(cell % n2)
+                    for strip, found in seconds.items():
+                        for part in range(-(-int(strips[strip]) // PART)):
+                            yield i, strip, part, found
 
             for out in batches_of(pairs(), schema, 20_000):
                 take = out.column("row")
-                yield pa.RecordBatch.from_arrays([batch.column("key").take(take), batch.column("v").take(take), out.column("cell"), out.column("part")], names=["key", "v", "cell", "part"])
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(take), batch.column("v").take(take), *out.columns[1:]], names=["key", "v", *schema.names[1:]])
 
-    routed = asked.repartition("key").mapInArrow(route, "key long, v array<double>, cell long, part long")
+    routed = asked.repartition("key").mapInArrow(route, "key long, v array<double>, strip long, part long, seconds array<bigint>")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = -(-shared.value[batch.column("cell").to_numpy()] // PART)
+            strip = batch.column("cell").to_numpy() // n2
+            parts = -(-strips[strip] // PART)
             key = batch.column("key").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            yield batch.append_column("part", pa.array(((key >> np.uint64(33)) % parts.astype(np.uint64)).astype(np.int64)))
+            part = ((key >> np.uint64(33)) % parts.astype(np.uint64)).astype(np.int64)
+            yield batch.append_column("strip", pa.array(strip)).append_column("part", pa.array(part))
 
-    entries = cells.mapInArrow(split, "key long, v array<double>, ids array<bigint>, cell long, part long")
+    entries = cells.mapInArrow(split, "key long, v array<double>, ids array<bigint>, cell long, strip long, part long")
 
     def rerank(asking: pa.Table, entries: pa.Table) -> pa.Table:
         keys, ids, scores = [], [], []
         if asking.num_rows and entries.num_rows:
             x, q = matrix(entries.column("v")), matrix(asking.column("v"))
             own = entries.column("ids").to_pylist()
+            second = entries.column("cell").to_numpy() % n2
             for at in range(0, len(q), 128):
                 block = products(q[at : at + 128], x)
+                seen = np.zeros((len(block), n2), bool)
+                for row, cells_ in enumerate(asking.column("seconds")[at : at + 128].to_pylist()):
+                    seen[row, cells_] = True
+                block[~seen[:, second]] = -np.inf
                 for key, s in zip(asking.column("key")[at : at + 128].to_pylist(), block):
                     least = np.partition(s, -(k + 1))[-(k + 1)] if len(s) > k + 1 else -np.inf
-                    found = sorted((-s[e], i) for e in np.flatnonzero(s >= least).tolist() for i in own[e])[: k + 1]
+                    found = sorted((-s[e], i) for e in np.flatnonzero((s >= least) & (s > -np.inf)).tolist() for i in own[e])[: k + 1]
                     keys.append(key)
                     ids.append([i for _, i in found])
                     scores.append([-m for m, _ in found])
         return pa.table({"key": pa.array(keys, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64())), "scores": pa.array(scores, pa.list_(pa.float64()))})
 
-    found = routed.groupBy("cell", "part").cogroup(entries.groupBy("cell", "part")).applyInArrow(rerank, "key long, ids array<bigint>, scores array<double>")
+    found = routed.groupBy("strip", "part").cogroup(entries.groupBy("strip", "part")).applyInArrow(rerank, "key long, ids array<bigint>, scores array<double>")
     best = found.select("key", F.arrays_zip(F.transform("scores", lambda s: -s).alias("m"), F.col("ids").alias("i")).alias("z"))
     best = best.groupBy("key").agg(F.slice(F.sort_array(F.flatten(F.collect_list("z"))), 1, k + 1).alias("z"))
     per_query = queries.join(best, "key").select("query_id", F.slice(F.filter("z", lambda z: z["i"] != F.col("query_id")), 1, k).alias("z"))
