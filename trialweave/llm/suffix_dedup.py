@@ -228,7 +228,8 @@ def _each_string(length: int):
 def repeated_ranges(own: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
     """``_id``, ``_h`` and ``ranges``: first and last starts of the repeated strings of a document, one pair after the other."""
     found = materialize(find_spots(own, length), "spots")
-    several = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # stored, so that the spots of a hot anchor, which periodic texts have, are only joined and can be split among tasks
+    several = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
     found = materialize(found.join(several, "anchor", "left_semi"), "spots-shared")
     contexts = found.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_h", "a", "b", "p")).alias("rep"))
     contexts = materialize(contexts, "contexts")
