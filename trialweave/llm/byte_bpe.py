@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kit import let, materialize, read
+from .kit import let, materialize, read, schema_with
 
 RANKS = "byte_bpe_50k.tiktoken"
 WORDS, WORD_BYTES = 1 << 17, 40
@@ -183,6 +183,8 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n <= WORD_BYTES:
+        return _merge_short(word, ranks)
     parts: list[bytes | None] = [word[i : i + 1] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(ranks[word[i : i + 2]], i, 2) for i in range(n - 1) if word[i : i + 2] in ranks]
@@ -206,10 +208,46 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[x] for x in parts if x is not None]
 
 
+def _merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same for a few bytes: all pairs are looked over at each merge."""
+    get, none = ranks.get, 1 << 60
+    parts = [word[i : i + 1] for i in range(len(word))]
+    pairs = [get(word[i : i + 2], none) for i in range(len(word) - 1)]
+    while pairs:
+        least = min(pairs)
+        if least == none:
+            break
+        i = pairs.index(least)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+        if i < len(pairs):
+            pairs[i] = get(parts[i] + parts[i + 1], none)
+    return [ranks[x] for x in parts]
+
+
+class _Pieces(dict):
+    """Bytes by the packed ids of a word, from the pieces of the ids; kept while there is room."""
+
+    def __init__(self, ranks: dict[bytes, int], room: int = 200_000):
+        super().__init__()
+        self.pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.pieces[rank] = token
+        self.room = room
+
+    def __missing__(self, packed: bytes) -> bytes:
+        found = b"".join([self.pieces[i] for i in struct.unpack(f"<{len(packed) // 4}I", packed)])
+        if len(self) < self.room:
+            self[packed] = found
+        return found
+
+
 class _Packed(dict):
     """Packed ids by word; a word that is not there is merged and kept, while there is room."""
 
-    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int], room: int = 200_000):
+    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int], room: int = 150_000):
         super().__init__(known)
         self.ranks, self.room = ranks, len(known) + room
 
@@ -221,8 +259,11 @@ class _Packed(dict):
         return packed
 
 
-def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words: int = WORDS) -> DataFrame:
-    """Adds ``ids``, the packed token ids (little-endian unsigned 32-bit), to a table with the column ``text`` (no nulls)."""
+def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words: int = WORDS, decoded: bool = False) -> DataFrame:
+    """Adds ``ids``, the packed token ids (little-endian unsigned 32-bit), to a table with the column ``text`` (no nulls).
+
+    With ``decoded``, the ids are decoded again in the same pass, word by word, into the column ``decoded``.
+    """
     import public_tokenizers
 
     pattern = pattern or public_tokenizers.PATTERN
@@ -232,29 +273,32 @@ def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words:
     known = texts.sparkSession.sparkContext.broadcast({w: np.array(i, "<u4").tobytes() for w, i in zip(words, ids)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, packed = regex.compile(pattern).findall, _Packed(known.value, load_ranks(path))
+        ranks = load_ranks(path)
+        find, packed, pieces = regex.compile(pattern).findall, _Packed(known.value, ranks), _Pieces(ranks)
         for batch in batches:
-            found = [b"".join(map(packed.__getitem__, find(t.as_py()))) for t in batch.column("text")]
-            yield batch.append_column("ids", pa.array(found, pa.binary()))
+            ids, back = [], []
+            for text in batch.column("text"):
+                words = list(map(packed.__getitem__, find(text.as_py())))
+                ids.append(b"".join(words))
+                if decoded:
+                    back.append(b"".join(map(pieces.__getitem__, words)))
+            out = batch.append_column("ids", pa.array(ids, pa.binary()))
+            yield out.append_column("decoded", pa.array(back, pa.binary())) if decoded else out
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
-    return texts.mapInArrow(run, f"{fields}, ids binary")
+    more = "ids binary, decoded binary" if decoded else "ids binary"
+    return texts.mapInArrow(run, schema_with(texts, {c: c for c in texts.columns}, more))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded``, the bytes of the pieces of ``ids`` one behind the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(path)
-        pieces = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            pieces[rank] = token
+        pieces = _Pieces(load_ranks(path)).pieces
         for batch in batches:
             found = [b"".join(map(pieces.__getitem__, np.frombuffer(i.as_py(), "<u4").tolist())) for i in batch.column("ids")]
             yield batch.append_column("decoded", pa.array(found, pa.binary()))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, f"{fields}, decoded binary")
+    return encoded.mapInArrow(run, schema_with(encoded, {c: c for c in encoded.columns}, "decoded binary"))
 
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,7 +306,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     path = public_tokenizers.path(RANKS)
     docs = read(spark, folder, "documents", "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
-    out = decode(encode(docs, path).select("doc_id", "ids"), path)
+    out = encode(docs, path, decoded=True)
     n = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return out.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
