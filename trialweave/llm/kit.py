@@ -79,11 +79,12 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str, most_bytes: int)
             last = held[-1].column(batch.schema.get_field_index(key))[held[-1].num_rows - 1]
             while start < batch.num_rows and keys[start] == last:
                 start += 1
-            if start < batch.num_rows:
-                if start:
-                    held.append(batch.slice(0, start))
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
+            if start:
+                held.append(batch.slice(0, start))
+            if start == batch.num_rows:  # the group goes on beyond this batch
+                continue
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
         rest = batch.slice(start)
         held.append(rest)
         size += rest.nbytes
