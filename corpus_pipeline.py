@@ -49,7 +49,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path(packing.TOKENIZER)).withColumnRenamed("id", "doc_id")
+    return packing.pack(docs, public_tokenizers.path(packing.TOKENIZER), added=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("passages", passages), ("packing", pack)]

@@ -38,32 +38,36 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def load_encoding(path: str):
-    """The byte-level BPE of a tokenizers file, as an encoder that releases ids as arrays; its ids are those of the tokenizers library."""
+def load_encoding(path: str, added: bool = False):
+    """The byte-level BPE of a tokenizers file, as an encoder that releases ids as arrays; its ids are those of the tokenizers library.
+
+    ``added``: the file's added tokens are found in texts, as the library does unless told to ``encode_special_tokens``.
+    """
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
+        stored = json.load(f)
+    vocab, extra = stored["model"]["vocab"], {t["content"]: t["id"] for t in stored["added_tokens"]}
     letters = byte_letters()
     ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if all(c in letters for c in token)}
-    for special in [t for t in ranks if t == b"<|endoftext|>"]:
-        del ranks[special]
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for token in extra:
+        ranks.pop(token.encode(), None)
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=extra if added else {})
 
 
-def cut_documents(docs: DataFrame, path: str, size: int = SIZE, close: int = CLOSE) -> DataFrame:
+def cut_documents(docs: DataFrame, path: str, size: int = SIZE, close: int = CLOSE, added: bool = False) -> DataFrame:
     """One row per piece: ``_id``, ``_h``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``."""
     id_type = docs.schema["_id"].dataType.simpleString()
     schema = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = load_encoding(path)
+        encoding = load_encoding(path, added)
         for batch in batches:
 
             def rows(batch=batch):
                 for i, text in enumerate(batch.column("_text")):
-                    ids = np.append(np.asarray(encoding.encode_to_numpy(text.as_py(), disallowed_special=()), np.uint32), np.uint32(close)).astype("<u4")
+                    ids = np.append(np.asarray(encoding.encode_to_numpy(text.as_py(), allowed_special="all", disallowed_special=()), np.uint32), np.uint32(close)).astype("<u4")
                     n = len(ids)
                     for start in range(0, n, size):
                         piece = ids[start : start + size]
@@ -174,9 +178,9 @@ def plan_sequences(histogram: dict[int, int], room: int) -> list[tuple[dict[int,
     return plan + [(b[1], 1) for b in bins]
 
 
-def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, unit: int = UNIT, close: int = CLOSE) -> DataFrame:
+def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, unit: int = UNIT, close: int = CLOSE, added: bool = False) -> DataFrame:
     """One row per piece: ``id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``."""
-    pieces = materialize(cut_documents(keyed(docs, id_col, text_col), path, size, close), "pieces")
+    pieces = materialize(cut_documents(keyed(docs, id_col, text_col), path, size, close, added), "pieces")
     pieces = pieces.withColumn("cls", F.ceil(F.col("length") / F.lit(unit)).cast("int"))
     histogram = {r["cls"]: r["n"] for r in pieces.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most size / unit rows
     plan = plan_sequences(histogram, size // unit)
@@ -213,7 +217,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
-    out = pack(read(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path(TOKENIZER))
+    out = pack(read(spark, folder, "documents", "doc_id", "text"), public_tokenizers.path(TOKENIZER), added=True)
     return out.withColumnRenamed("id", "doc_id")
 
 
