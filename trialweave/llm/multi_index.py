@@ -2,8 +2,10 @@
 
 Vectors are cut into halves, and each half is quantised by its own centroids (k-means on at most ``SAMPLE`` vectors). A cell is a pair of
 centroids; every distinct vector is in the index, under its cell. A query orders the centroids of each half by its inner product with them, and a heap
-walks the pairs by their summed products until the cells seen hold ``reach`` vectors, or ``SHARE`` of all, whichever is more. Those are reranked exactly, in
-double precision, by products of blocks: the queries that ask for cells of one first centroid against the vectors there, in salted parts of bounded size.
+walks the pairs by their summed products until the cells seen hold ``reach`` vectors, or ``share`` of all, whichever is more. Those are reranked exactly, in
+double precision, by products of blocks: the queries that ask for cells of one first centroid against the vectors there, both in salted parts of bounded size.
+No vector of a cell is worth more than the product with the centroids and the query's length times the cell's radius. In a second round every cell left
+that could so reach the last score found is reranked, too: the result is exact, and ``reach`` and ``share`` only divide the work between the rounds.
 
 Equal vectors are one entry that carries the ``k + 1`` smallest ids of its rows; no more of them can be among the ``k`` nearest of any query, so a vector
 that a third of all rows share costs no more than another. Queries with equal vectors are searched once.
@@ -25,9 +27,11 @@ from pyspark.sql import functions as F
 
 from .kit import batches_of, materialize, read
 
-K, REACH, SHARE, SAMPLE = 20, 6000, 0.5, 20_000
+K, REACH, SHARE, SAMPLE = 20, 6000, 0.0, 20_000
 #: Vectors to a cell aimed at, and the most centroids of a half: there are at most ``MOST_CENTROIDS ** 2`` cells.
 PER_CELL, MOST_CENTROIDS, PART = 32, 1024, 4096
+#: Queries of a block, about.
+BLOCK = 4096
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -88,7 +92,7 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, reach: int = REACH, sample: int = SAMPLE, share: float = SHARE) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, reach: int = REACH, sample: int = SAMPLE, share: float = SHARE, block: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's ``k`` nearest. ``is_query`` is a condition on ``id``."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -112,32 +116,45 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
             if batch.num_rows:
                 v = matrix(batch.column("v"))
                 near = [np.argmin((c * c).sum(axis=1) - 2 * v[:, cut] @ c.T, axis=1) for c, cut in ((c1, slice(None, half)), (c2, slice(half, None)))]
-                yield batch.append_column("cell", pa.array(near[0] * n2 + near[1], pa.int64()))
+                far = np.sqrt(((v - np.hstack([c1[near[0]], c2[near[1]]])) ** 2).sum(axis=1))
+                yield batch.append_column("cell", pa.array(near[0] * n2 + near[1], pa.int64())).append_column("far", pa.array(far))
 
-    cells = materialize(index.mapInArrow(assign, "key long, v array<double>, ids array<bigint>, cell long"), "vector-cells")
-    count = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most MOST_CENTROIDS ** 2 rows
-    held = np.zeros(n * n2, np.int64)
+    cells = materialize(index.mapInArrow(assign, "key long, v array<double>, ids array<bigint>, cell long, far double"), "vector-cells")
+    count = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).toArrow()  # at most MOST_CENTROIDS ** 2 rows
+    held, radius = np.zeros(n * n2, np.int64), np.zeros(n * n2)
     held[count.column("cell").to_numpy()] = count.column("n").to_numpy()
-    shared = spark.sparkContext.broadcast(held)
+    radius[count.column("cell").to_numpy()] = count.column("far").to_numpy()
+    # beyond a rounding error of the products
+    radius += 1e-9 * (radius + np.sqrt((c1 * c1).sum(axis=1)[:, None] + (c2 * c2).sum(axis=1)[None, :]).ravel())
+    shared = spark.sparkContext.broadcast((held, radius))
     strips = held.reshape(n, n2).sum(axis=1)
     reach = max(reach, int(share * total))
 
     queries = rows.filter(is_query).select(F.col("id").alias("query_id"), "v").distinct()
     queries = materialize(queries.join(index.select("key", "v"), "v").select("query_id", "key"), "vector-queries")
-    asked = index.join(queries.select("key").distinct(), "key", "left_semi").select("key", "v")
+    asked = index.join(queries.select("key").distinct(), "key", "left_semi")
+    blocks = max(1, -(-asked.count() // block))
+    asked = asked.select("key", "v", F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("row", pa.int64()), ("strip", pa.int64()), ("part", pa.int64()), ("seconds", pa.list_(pa.int64()))])
         for batch in batches:
             if not batch.num_rows:
                 continue
-            v = matrix(batch.column("v"))
+            v, (held, radius) = matrix(batch.column("v")), shared.value
+            least = batch.column("least").to_numpy(zero_copy_only=False) if "least" in batch.schema.names else None
             a, b = v[:, :half] @ c1.T, v[:, half:] @ c2.T
 
-            def pairs(a=a, b=b):
+            def pairs(a=a, b=b, v=v, held=held, radius=radius, least=least):
                 for i in range(len(a)):
                     seconds: dict[int, list[int]] = {}
-                    for cell in walk_cells(a[i], b[i], shared.value, reach):
+                    asks = walk_cells(a[i], b[i], held, reach)
+                    if least is not None:
+                        most = (a[i][:, None] + b[i][None, :]).ravel() + np.sqrt((v[i] * v[i]).sum()) * radius
+                        left = (held > 0) & ~(most < least[i])
+                        left[asks] = False
+                        asks = np.flatnonzero(left).tolist()
+                    for cell in asks:
                         seconds.setdefault(cell // n2, []).append(cell % n2)
                     for strip, found in seconds.items():
                         for part in range(-(-int(strips[strip]) // PART)):
@@ -145,9 +162,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
 
             for out in batches_of(pairs(), schema, 20_000):
                 take = out.column("row")
-                yield pa.RecordBatch.from_arrays([batch.column("key").take(take), batch.column("v").take(take), *out.columns[1:]], names=["key", "v", *schema.names[1:]])
-
-    routed = asked.repartition("key").mapInArrow(route, "key long, v array<double>, strip long, part long, seconds array<bigint>")
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(take) for c in ("key", "v", "block")], *out.columns[1:]], names=["key", "v", "block", *schema.names[1:]])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,7 +172,8 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
             part = ((key >> np.uint64(33)) % parts.astype(np.uint64)).astype(np.int64)
             yield batch.append_column("strip", pa.array(strip)).append_column("part", pa.array(part))
 
-    entries = cells.mapInArrow(split, "key long, v array<double>, ids array<bigint>, cell long, strip long, part long")
+    entries = cells.drop("far").mapInArrow(split, "key long, v array<double>, ids array<bigint>, cell long, strip long, part long")
+    entries = entries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def rerank(asking: pa.Table, entries: pa.Table) -> pa.Table:
         keys, ids, scores = [], [], []
@@ -179,9 +195,18 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
                     scores.append([-m for m, _ in found])
         return pa.table({"key": pa.array(keys, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64())), "scores": pa.array(scores, pa.list_(pa.float64()))})
 
-    found = routed.groupBy("strip", "part").cogroup(entries.groupBy("strip", "part")).applyInArrow(rerank, "key long, ids array<bigint>, scores array<double>")
-    best = found.select("key", F.arrays_zip(F.transform("scores", lambda s: -s).alias("m"), F.col("ids").alias("i")).alias("z"))
-    best = best.groupBy("key").agg(F.slice(F.sort_array(F.flatten(F.collect_list("z"))), 1, k + 1).alias("z"))
+    def search(asking: DataFrame) -> DataFrame:
+        routed = asking.repartition("key").mapInArrow(route, "key long, v array<double>, block long, strip long, part long, seconds array<bigint>")
+        group = ["strip", "part", "block"]
+        found = routed.groupBy(*group).cogroup(entries.groupBy(*group)).applyInArrow(rerank, "key long, ids array<bigint>, scores array<double>")
+        return found.select("key", F.arrays_zip(F.transform("scores", lambda s: -s).alias("m"), F.col("ids").alias("i")).alias("z"))
+
+    def merged(found: DataFrame) -> DataFrame:
+        return found.groupBy("key").agg(F.slice(F.sort_array(F.flatten(F.collect_list("z"))), 1, k + 1).alias("z"))
+
+    first = materialize(merged(search(asked)), "vector-first")
+    least = F.when(F.size("z") > k, -F.col("z")[k]["m"]).otherwise(F.lit(float("-inf")))
+    best = merged(first.unionByName(search(asked.join(first.select("key", least.alias("least")), "key"))))
     per_query = queries.join(best, "key").select("query_id", F.slice(F.filter("z", lambda z: z["i"] != F.col("query_id")), 1, k).alias("z"))
     out = per_query.select("query_id", F.posexplode("z").alias("p", "x"))
     return out.select("query_id", (F.col("p") + 1).alias("rank"), F.col("x.i").alias("vec_id"), (-F.col("x.m")).alias("score"))
