@@ -16,6 +16,7 @@ MODULES = (
     "multi_index",
     "neighbour_quality",
     "jaccard_join",
+    "merkle_manifest",
 )
 
 
