@@ -17,6 +17,7 @@ MODULES = (
     "neighbour_quality",
     "jaccard_join",
     "merkle_manifest",
+    "whitening",
 )
 
 
