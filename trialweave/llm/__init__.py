@@ -18,6 +18,7 @@ MODULES = (
     "jaccard_join",
     "merkle_manifest",
     "whitening",
+    "debruijn_dedup",
 )
 
 
