@@ -29,8 +29,8 @@ def removed_strings(texts, length=400):
     return out
 
 
-def left_lines(rows, run=3):
-    """Lines left of each (id, text) when runs that begin earlier somewhere are cut; rows that are equal are one document."""
+def left_lines(rows, run=3, words=50):
+    """Lines left of each (id, text) when stretches of ``run`` lines, or with more than ``words`` words, that begin earlier somewhere are cut; equal rows are one document."""
     seen = {}
     docs = sorted(set((-math.inf if i is None else i, t or "") for i, t in rows))
     out = {}
@@ -38,14 +38,34 @@ def left_lines(rows, run=3):
         lines = t.split("\n")
         at = [k for k, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
         gone = set()
-        for p in range(len(at) - run + 1):
-            key = tuple(lines[at[p + k]] for k in range(run))
-            if seen.setdefault(key, (i, t, p)) != (i, t, p):
-                gone.update(at[p : p + run])
+        for size in range(1, run + 1):
+            for p in range(len(at) - size + 1):
+                key = tuple(lines[at[p + k]] for k in range(size))
+                if size < run and sum(len(x.encode().split()) for x in key) <= words:
+                    continue
+                if seen.setdefault(key, (i, t, p)) != (i, t, p):
+                    gone.update(at[p : p + size])
         out[i, t] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return [out[-math.inf if i is None else i, t or ""] for i, t in rows]
 
 
+def left_passages(texts, length=51):
+    """The texts without the passages of ``length`` words that start anywhere else too; each from its first word to its last."""
+    cut = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    data = [(t or "").encode() for t in texts]
+    words = [[d[a:b] for a, b in c] for d, c in zip(data, cut)]
+    count = collections.Counter(tuple(w[k : k + length]) for w in words for k in range(len(w) - length + 1))
+    out = []
+    for d, c, w in zip(data, cut, words):
+        mark = bytearray(len(d))
+        for k in range(len(w) - length + 1):
+            if count[tuple(w[k : k + length])] > 1:
+                a, b = c[k][0], c[k + length - 1][1]
+                mark[a:b] = b"\1" * (b - a)
+        out.append(bytes(x for x, m in zip(d, mark) if not m).decode())
+    return out
+
+
 def shingles(text, n=5):
     w = words(text)
     return {tuple(w[k : k + n]) for k in range(max(len(w) - n + 1, 1))} if w else set()

@@ -1,16 +1,20 @@
-"""Removes runs of lines that are already there earlier in the corpus.
-
-Lines with a word are hashed. Winnowing picks, of each ``window`` consecutive ``ngram``-line hashes, the smallest (the first of
-equal ones) as a fingerprint; any two equal runs of ``window + ngram - 1`` lines pick the same one at the same place, so no
-such match is missed. Fingerprints found at one position only are dropped. The positions that share a fingerprint are joined and the match is
-extended both ways: to every run of ``window + ngram - 1`` lines whose smallest hash this fingerprint is. A run equal to one that
-begins earlier, by (id, position), is a later repeat, and all its lines are deleted; longer matches are covered by several such runs.
-Runs are grouped with partial minima, so a run that a third of all documents share costs one row per task, and pairs
-of positions are never listed.
-
-Defined results: a null text is empty; lines without a word are kept and don't interrupt a run; a document shorter than a run loses nothing;
-runs may overlap themselves in one document (the first stays); null ids come before others; rows equal in id and text are one
-document and keep their lines alike.
+"""Removes stretches of lines that are already there earlier in the corpus.
+
+A *repeat* is a stretch of consecutive lines with a word, of at least ``RUN`` lines or with more than ``WORDS`` words, that is equal to one which begins earlier, by (id, position). All lines
+of repeats are deleted. Every repeat is the union of repeats of ``RUN`` lines, or it is one of fewer lines; so these *runs* are what has to be found:
+
+1. *Winnowing.* Lines are hashed. The smallest hash (the first of equal ones) of every ``RUN`` consecutive lines is a fingerprint, so each run of ``RUN`` lines has one, at the
+   same place as in every equal run. A run of fewer lines has a line with more than ``WORDS // (RUN - 1)`` words; such lines are always fingerprints.
+   Only fingerprints are kept, each with the hashes of the ``RUN - 1`` lines on either side.
+2. *Positions.* Fingerprints at one position only are dropped. The others are joined with the first position that has the same fingerprint and the same lines around it,
+   for each run of lines around it that is long enough: the match is extended to both sides as far as a run goes.
+   First positions are partial minima, so a line that a third of all documents share costs one row per task, and pairs of positions are never listed.
+3. *Deletion.* Runs behind their first position are united in their documents; where they overlap or meet they are one longer match.
+
+Runs are told apart by the fingerprint's 64 bits and 64 more of the lines around it, runs of one line by 64 bits.
+
+Defined results: a null text is empty; lines without a word are kept and don't interrupt a stretch; stretches may overlap themselves in one document (the first stays); null ids come
+before others; rows equal in id and text are one document and keep their lines alike.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .kit import batches_of, join_text, keyed, materialize, read, schema_with
 
-NGRAM, WINDOW = 2, 2
+RUN, WORDS = 3, 50
 _BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -34,88 +38,92 @@ def worded_lines(text: str) -> tuple[list[str], list[int]]:
     return lines, [i for i, x in enumerate(lines) if x.strip(_BLANK)]
 
 
-def fingerprints(lines: list[str], ngram: int, window: int) -> Iterator[tuple[int, int, list[bytes]]]:
-    """(hash, place of the first run it stands for, digests of those runs) of each fingerprint."""
-    run = ngram + window - 1
-    n = len(lines) - run + 1
-    if n <= 0:
-        return
-    grams = [xxhash.xxh3_64_intdigest("\n".join(lines[i : i + ngram]).encode("utf-8", "surrogatepass")) for i in range(len(lines) - ngram + 1)]
-    held: list[bytes] = []
-    last = first = -1
-    for i in range(n):
-        low = min(range(i, i + window), key=grams.__getitem__)
-        if low != last:
-            if held:
-                yield grams[last] - (1 << 63), first, held
-            held, last, first = [], low, i
-        held.append(xxhash.xxh3_128_digest("\n".join(lines[i : i + run]).encode("utf-8", "surrogatepass")))
-    yield grams[last] - (1 << 63), first, held
-
-
-def repeated_places(docs: DataFrame, ngram: int = NGRAM, window: int = WINDOW) -> DataFrame:
-    """``_id``, ``_h`` and the starts (among lines with a word) of the later repeated runs, one row per run."""
-    schema = pa.schema([("row", pa.int64()), ("h", pa.int64()), ("fp", pa.int64()), ("first", pa.int32()), ("runs", pa.list_(pa.binary(16)))])
+def fingerprints(lines: list[str], run: int, words: int) -> Iterator[tuple[int, int, list[int | None], list[int]]]:
+    """(hash, place, hashes of the lines around, runs shorter than ``run`` with enough words) of each fingerprint.
+
+    The lines around are those from ``run - 1`` before to ``run - 1`` after, None where there is none. A short run is its first line's distance before the fingerprint times ``run``, plus its lines.
+    """
+    data = [x.encode("utf-8", "surrogatepass") for x in lines]
+    hashes = [xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in data]
+    sizes = [len(x.split()) for x in data]
+    n = len(lines)
+    chosen = {min(range(i, i + run), key=hashes.__getitem__) for i in range(n - run + 1)}
+    chosen.update(i for i in range(n) if sizes[i] > words // (run - 1))
+    for i in sorted(chosen):
+        around = [hashes[k] if 0 <= k < n else None for k in range(i - run + 1, i + run)]
+        short = [
+            before * run + size
+            for size in range(1, run)
+            for before in range(size)
+            if i >= before and i - before + size <= n and sum(sizes[i - before : i - before + size]) > words
+        ]
+        yield hashes[i], i, around, short
+
+
+def repeated_runs(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
+    """``_id``, ``_h``, ``start`` (among lines with a word) and ``size`` of the later ones of equal runs."""
+    schema = pa.schema([("row", pa.int64()), ("fp", pa.int64()), ("at", pa.int64()), ("around", pa.list_(pa.int64())), ("short", pa.list_(pa.int64()))])
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_text")
-            at = {"i": 0}
 
-            def rows(texts=texts, at=at):
+            def rows(texts=batch.column("_text")):
                 for i in range(len(texts)):
                     lines, places = worded_lines(texts[i].as_py())
-                    for fp, first, runs in fingerprints([lines[p] for p in places], ngram, window):
-                        at["i"] = i
-                        yield i, 0, fp, first, runs
+                    for found in fingerprints([lines[p] for p in places], run, words):
+                        yield i, *found
 
             for out in batches_of(rows(), schema):
                 take = out.column("row")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id").take(take), batch.column("_h").take(take), out.column("fp"), out.column("first"), out.column("runs").cast(pa.list_(pa.binary()))],
-                    names=["_id", "_h", "fp", "first", "runs"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column("_id").take(take), batch.column("_h").take(take), *out.columns[1:]], names=["_id", "_h", *schema.names[1:]])
 
-    found = docs.select("_id", "_h", "_text").mapInArrow(pick, f"_id {id_type}, _h long, fp long, first int, runs array<binary>")
+    found = docs.select("_id", "_h", "_text").mapInArrow(pick, f"_id {id_type}, _h long, fp long, at long, around array<bigint>, short array<bigint>")
     found = materialize(found, "line-fingerprints")
-    shared = found.groupBy("fp").agg(F.sum(F.size("runs")).alias("n")).filter("n > 1").select("fp")
-    # every run the shared fingerprints stand for
-    runs = found.join(shared, "fp", "left_semi").select("_id", "_h", "first", F.posexplode("runs").alias("k", "run"))
-    runs = runs.select("run", F.struct("_id", "_h", (F.col("first") + F.col("k")).alias("at")).alias("place"))
-    firsts = runs.groupBy("run").agg(F.min("place").alias("origin"), F.max("place").alias("latest"))
-    firsts = firsts.filter(F.col("origin") < F.col("latest")).select("run", "origin")
-    return runs.join(firsts, "run").filter(F.col("place") > F.col("origin")).select(F.col("place._id").alias("_id"), F.col("place._h").alias("_h"), F.col("place.at").alias("at"))
-
-
-def remove_runs(text: str, starts: list[int], run: int) -> tuple[str, int, int, int]:
+    shared = found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fp")
+    found = found.join(shared, "fp", "left_semi")
+    shapes = []
+    for size in range(1, run + 1):
+        for before in range(size):
+            lines = [F.col("around")[run - 1 - before + k] for k in range(size)]
+            there = F.forall(F.array(lines[0], lines[-1]), lambda h: h.isNotNull()) if size == run else F.array_contains("short", before * run + size)
+            shapes.append(F.when(there, F.struct(F.lit(before).alias("before"), F.lit(size).alias("size"), F.xxhash64(*lines).alias("lines"))))
+    runs = found.select("_id", "_h", "fp", "at", F.explode(F.array_compact(F.array(*shapes))).alias("s"))
+    runs = runs.select("fp", "s.*", F.struct("_id", "_h", "at").alias("place"))
+    key = ["fp", "before", "size", "lines"]
+    firsts = runs.groupBy(*key).agg(F.min("place").alias("origin"), F.max("place").alias("latest"))
+    firsts = firsts.filter(F.col("origin") < F.col("latest")).drop("latest")
+    later = runs.join(firsts, key).filter(F.col("place") > F.col("origin"))
+    return later.select("place._id", "place._h", (F.col("place.at") - F.col("before")).alias("start"), "size")
+
+
+def remove_runs(text: str, runs: list[dict]) -> tuple[str, int, int, int]:
     """The text without the runs, its number of lines, of removed lines and of maximal removed stretches."""
     lines, places = worded_lines(text)
-    gone = sorted({i for s in starts for i in range(s, s + run)})
+    gone = sorted({i for r in runs for i in range(r["start"], r["start"] + r["size"])})
     drop = {places[i] for i in gone}
     stretches = sum(1 for i, x in enumerate(gone) if not i or gone[i - 1] != x - 1)
     return "\n".join(x for i, x in enumerate(lines) if i not in drop), len(lines), len(drop), stretches
 
 
 def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, ngram: int = NGRAM, window: int = WINDOW
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, run: int = RUN, words: int = WORDS
 ) -> DataFrame:
     """Per row: its ``id``, the columns of ``keep`` as a struct, the ``text`` left, ``n_lines``, ``n_removed`` and ``n_runs``."""
     own = keyed(docs, id_col, text_col, keep)
-    run = ngram + window - 1
-    starts = repeated_places(own, ngram, window).groupBy("_id", "_h").agg(F.collect_set("at").alias("starts"))
+    runs = repeated_runs(own, run, words).groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "size")).alias("runs"))
     passed = {"_id": "id", "_keep": "keep"} if keep else {"_id": "id"}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [remove_runs(t.as_py(), s.as_py() or [], run) for t, s in zip(batch.column("_text"), batch.column("starts"))]
+            out = [remove_runs(t.as_py(), r.as_py() or []) for t, r in zip(batch.column("_text"), batch.column("runs"))]
             cols = list(zip(*out)) if out else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in passed], pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
                 names=[*passed.values(), "text", "n_lines", "n_removed", "n_runs"],
             )
 
-    joined = join_text(own, starts).select(*passed, "_text", "starts")
+    joined = join_text(own, runs).select(*passed, "_text", "runs")
     return joined.mapInArrow(cut, schema_with(own, passed, "text string, n_lines long, n_removed long, n_runs long"))
 
 
@@ -126,11 +134,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL = f"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS no FROM documents),
-w AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS pos FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-r AS (SELECT doc_id, pos, string_agg(line, chr(10)) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {NGRAM + WINDOW - 2} FOLLOWING) AS run,
- count(*) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {NGRAM + WINDOW - 2} FOLLOWING) AS n FROM w),
-later AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS k FROM r WHERE n = {NGRAM + WINDOW - 1}) WHERE k > 1),
-gone AS (SELECT DISTINCT doc_id, pos + d AS pos FROM later, generate_series(0, {NGRAM + WINDOW - 2}) AS g(d)),
+w AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS pos, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+r AS (SELECT doc_id, pos, k, string_agg(line, chr(10)) OVER f AS run, count(*) OVER f AS n, sum(words) OVER f AS words FROM w, generate_series(1, {RUN}) AS g(k)
+ WINDOW f AS (PARTITION BY doc_id, k ORDER BY pos ROWS BETWEEN CURRENT ROW AND k - 1 FOLLOWING)),
+later AS (SELECT doc_id, pos, k FROM (SELECT *, row_number() OVER (PARTITION BY k, run ORDER BY doc_id, pos) AS nth FROM r WHERE n = k AND (k = {RUN} OR words > {WORDS})) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, pos + d AS pos FROM later, generate_series(0, {RUN - 1}) AS g(d) WHERE d < k),
 m AS (SELECT l.doc_id, l.no, l.line, w.pos, gone.pos IS NOT NULL AS dropped FROM l LEFT JOIN w USING (doc_id, no) LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.pos = w.pos),
 s AS (SELECT doc_id, count(*) AS n FROM gone g WHERE NOT EXISTS (FROM gone h WHERE h.doc_id = g.doc_id AND h.pos = g.pos - 1) GROUP BY doc_id)
 SELECT m.doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (dropped))::BIGINT AS n_removed, coalesce(any_value(s.n), 0)::BIGINT AS n_runs,

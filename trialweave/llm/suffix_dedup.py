@@ -116,6 +116,7 @@ def _spots(held: list[tuple[int, int, bytes]], hasher: Hasher, length: int) -> I
 
 
 def find_spots(own: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``_id``, ``_h``, ``anchor``, ``context``, first and last string ``a`` and ``b``, place ``p`` of the anchor: all spots of ``_text``."""
     id_type = own.schema["_id"].dataType.simpleString()
     own = own.select("_id", "_h", "_text")
     schema = pa.schema([("row", pa.int64()), ("anchor", pa.int64()), ("context", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("p", pa.int64())])
@@ -197,13 +198,36 @@ def repeated_strings(contexts: list[bytes], anchors: list[int], length: int = LE
     return flags
 
 
-def _sort_groups(length: int):
+class Bytes:
+    """Strings are judged as bytes."""
+
+    length = LENGTH
+    find_spots = staticmethod(find_spots)
+    repeated = staticmethod(repeated_strings)
+    #: Bytes that a unit takes in a context.
+    width = 1
+
+    @staticmethod
+    def units(text: bytes) -> bytes:
+        return text
+
+    @staticmethod
+    def cut(units: bytes, a: int, b: int) -> bytes:
+        return units[a:b]
+
+    @staticmethod
+    def places(text: bytes, ranges: list[int], length: int) -> list[tuple[int, int]]:
+        """Begin and end, in bytes, of what the strings cover."""
+        return [(a, b + length) for a, b in zip(ranges[::2], ranges[1::2])]
+
+
+def _sort_groups(length: int, unit=Bytes):
     schema = pa.schema([("anchor", pa.int64()), ("context", pa.int64()), ("ranges", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, "anchor", 6 << 20):
             contexts = [x.as_py() for x in table.column("bytes")]
-            flags = repeated_strings(contexts, table.column("p").to_pylist(), length)
+            flags = unit.repeated(contexts, table.column("p").to_pylist(), length)
             found = [(i, _ranges(f)) for i, f in enumerate(flags) if f.any()]
             if found:
                 take = pa.array([i for i, _ in found])
@@ -214,20 +238,21 @@ def _sort_groups(length: int):
     return run
 
 
-def _each_string(length: int):
+def _each_string(length: int, unit=Bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for anchor, context, data, p in zip(*[batch.column(c).to_pylist() for c in ("anchor", "context", "bytes", "p")]):
-                n = len(data) - length + 1
-                strings = [xxhash.xxh3_128_digest(data[i : i + length], seed=p - i + length) for i in range(n)]
+                size = unit.width
+                n = len(data) // size - length + 1
+                strings = [xxhash.xxh3_128_digest(data[i * size : (i + length) * size], seed=p - i + length) for i in range(n)]
                 yield pa.RecordBatch.from_arrays([pa.array([anchor] * n), pa.array([context] * n), pa.array(range(n), pa.int64()), pa.array(strings, pa.binary())], names=["anchor", "context", "at", "string"])
 
     return run
 
 
-def repeated_ranges(own: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
+def repeated_ranges(own: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS, unit=Bytes) -> DataFrame:
     """``_id``, ``_h`` and ``ranges``: first and last starts of the repeated strings of a document, one pair after the other."""
-    found = materialize(find_spots(own, length), "spots")
+    found = materialize(unit.find_spots(own, length), "spots")
     # stored, so that the spots of a hot anchor, which periodic texts have, are only joined and can be split among tasks
     several = materialize(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
     found = materialize(found.join(several, "anchor", "left_semi"), "spots-shared")
@@ -243,9 +268,9 @@ def repeated_ranges(own: DataFrame, length: int = LENGTH, most_contexts: int = M
         def rows():
             for batch in batches:
                 for text, spots_ in zip(batch.column("_text").cast(pa.binary()), batch.column("asked")):
-                    data = text.as_py()
+                    data = unit.units(text.as_py())
                     for x in spots_.as_py():
-                        yield x["anchor"], x["context"], x["kinds"], x["p"] - x["a"], data[x["a"] : x["b"] + length]
+                        yield x["anchor"], x["context"], x["kinds"], x["p"] - x["a"], unit.cut(data, x["a"], x["b"] + length)
 
         yield from batches_of(rows(), schema, 2000)
 
@@ -253,11 +278,11 @@ def repeated_ranges(own: DataFrame, length: int = LENGTH, most_contexts: int = M
     bytes_ = bytes_.mapInArrow(cut, "anchor long, context long, kinds long, p long, bytes binary")
     columns = "anchor long, context long, ranges array<bigint>"
     few = bytes_.filter(F.col("kinds") <= most_contexts).select("anchor", "context", "p", "bytes")
-    few = few.repartition("anchor").sortWithinPartitions("anchor", "context").mapInArrow(_first_of_each(_sort_groups(length)), columns)
+    few = few.repartition("anchor").sortWithinPartitions("anchor", "context").mapInArrow(_first_of_each(_sort_groups(length, unit)), columns)
     whole = contexts.filter("n > 1").select("anchor", "context", F.array(F.lit(0).cast("long"), F.col("rep.b") - F.col("rep.a")).alias("ranges"))
     ranges = whole.unionByName(materialize(few, "contexts-sorted").join(whole.select("anchor", "context"), ["anchor", "context"], "left_anti"))
     if kinds.filter(F.col("kinds") > most_contexts).limit(1).count():
-        strings = bytes_.filter(F.col("kinds") > most_contexts).select("anchor", "context", "p", "bytes").mapInArrow(_each_string(length), "anchor long, context long, at long, string binary")
+        strings = bytes_.filter(F.col("kinds") > most_contexts).select("anchor", "context", "p", "bytes").mapInArrow(_each_string(length, unit), "anchor long, context long, at long, string binary")
         strings = materialize(strings.distinct(), "strings")
         twice = strings.groupBy("anchor", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
         hit = strings.join(twice, ["anchor", "string"], "left_semi").join(whole.select("anchor", "context"), ["anchor", "context"], "left_anti")
@@ -284,30 +309,30 @@ def _first_of_each(inner):
     return run
 
 
-def remove_ranges(data: bytes, ranges: list[int], length: int = LENGTH) -> tuple[bytes, int, int]:
+def remove_ranges(data: bytes, ranges: list[int], length: int = LENGTH, unit=Bytes) -> tuple[bytes, int, int]:
     """The bytes left, how many were removed, and in how many stretches."""
-    parts, at, removed, stretches = [], 0, 0, 0
-    end = -1
-    for a, b in sorted(zip(ranges[::2], ranges[1::2])):
-        stop = b + length
-        if a > end:
-            if end >= 0:
-                at = end
-            parts.append(data[at:a])
+    parts, removed, stretches, end = [], 0, 0, 0
+    for a, stop in sorted(unit.places(data, ranges, length)):
+        if not stretches or a > end:
+            parts.append(data[end:a])
             removed += stop - a
             stretches += 1
             end = stop
         elif stop > end:
             removed += stop - end
             end = stop
-    parts.append(data[max(end, 0) :])
+    parts.append(data[end:])
     return b"".join(parts), removed, stretches
 
 
 def suffix_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, length: int | None = None, most_contexts: int = MOST_CONTEXTS, unit=Bytes
 ) -> DataFrame:
-    """Per row: ``id``, the columns of ``keep`` as a struct, ``text`` and ``kept_sha256`` of what is left, ``n_bytes``, ``n_removed``, ``n_spans``."""
+    """Per row: ``id``, the columns of ``keep`` as a struct, ``text`` and ``kept_sha256`` of what is left, ``n_bytes``, ``n_removed``, ``n_spans``.
+
+    ``unit`` and ``length``: strings of so many bytes (``Bytes``) or words (``word_passages.Words``).
+    """
+    length = length or unit.length
     own = keyed(docs, id_col, text_col, keep)
     passed = {"_id": "id", "_keep": "keep"} if keep else {"_id": "id"}
 
@@ -316,7 +341,7 @@ def suffix_dedup(
             left, digest, size, gone, spans = [], [], [], [], []
             for text, ranges in zip(batch.column("_text").cast(pa.binary()), batch.column("ranges")):
                 data = text.as_py()
-                kept, removed, stretches = remove_ranges(data, ranges.as_py() or [], length)
+                kept, removed, stretches = remove_ranges(data, ranges.as_py() or [], length, unit)
                 left.append(kept.decode("utf-8", "ignore"))
                 digest.append(hashlib.sha256(kept).hexdigest())
                 size.append(len(data))
@@ -327,7 +352,7 @@ def suffix_dedup(
                 names=[*passed.values(), "text", "kept_sha256", "n_bytes", "n_removed", "n_spans"],
             )
 
-    joined = join_text(own, repeated_ranges(own, length, most_contexts)).select(*passed, "_text", "ranges")
+    joined = join_text(own, repeated_ranges(own, length, most_contexts, unit)).select(*passed, "_text", "ranges")
     return joined.mapInArrow(cut, schema_with(own, passed, "text string, kept_sha256 string, n_bytes long, n_removed long, n_spans long"))
 
 

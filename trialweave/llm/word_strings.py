@@ -34,7 +34,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def spots(texts: list[bytes], hasher: Hasher, length: int, gram: int) -> Iterator[dict[str, np.ndarray]]:
-    """Arrays of equal length: ``row`` (of the text), ``anchor``, ``context``, first and last start ``a`` and ``b`` of each spot."""
+    """Arrays of equal length: ``row`` (of the text), ``anchor``, ``context``, first and last start ``a`` and ``b`` and the anchor's place ``p`` of each spot."""
     held: list[tuple[int, int, np.ndarray]] = []
     size = 0
     for t, text in enumerate(texts):
@@ -72,11 +72,12 @@ def _spots(held: list[tuple[int, int, np.ndarray]], hasher: Hasher, length: int,
     context = mixed((total[b + length] - total[a]) * hasher.down[a] + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     row = np.array([x[0] for x in held])
     shift = np.array([x[1] for x in held]) - (ends - sizes)
-    yield {"row": row[o], "anchor": grams[p].view(np.int64), "context": context.view(np.int64), "a": a + shift[o], "b": b + shift[o]}
+    yield {"row": row[o], "anchor": grams[p].view(np.int64), "context": context.view(np.int64), "a": a + shift[o], "b": b + shift[o], "p": p + shift[o]}
 
 
-def find_spots(own: DataFrame, length: int, gram: int) -> DataFrame:
-    """``_id``, ``_h``, ``anchor``, ``context``, ``a``, ``b`` of all spots of ``_text``."""
+def find_spots(own: DataFrame, length: int, gram: int, places: bool = False) -> DataFrame:
+    """``_id``, ``_h``, ``anchor``, ``context``, ``a``, ``b`` and, with ``places``, ``p`` of all spots of ``_text``."""
+    names = ["anchor", "context", "a", "b", *(["p"] if places else [])]
     id_type = own.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,9 +85,9 @@ def find_spots(own: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             texts = [t.as_py() for t in batch.column("_text").cast(pa.binary())]
             for out in spots(texts, hasher, length, gram):
-                take = pa.array(out.pop("row"))
-                whole = pa.RecordBatch.from_arrays([batch.column("_id").take(take), batch.column("_h").take(take), *[pa.array(v, pa.int64()) for v in out.values()]], names=["_id", "_h", *out])
+                take = pa.array(out["row"])
+                whole = pa.RecordBatch.from_arrays([batch.column("_id").take(take), batch.column("_h").take(take), *[pa.array(out[c], pa.int64()) for c in names]], names=["_id", "_h", *names])
                 for k in range(0, whole.num_rows, 50_000):
                     yield whole.slice(k, 50_000)
 
-    return own.select("_id", "_h", "_text").mapInArrow(run, f"_id {id_type}, _h long, anchor long, context long, a long, b long")
+    return own.select("_id", "_h", "_text").mapInArrow(run, f"_id {id_type}, _h long, " + ", ".join(f"{c} long" for c in names))
