@@ -3,9 +3,9 @@
 Each stage works on all that the stage before it kept, and its result is written to the shared folder and read again.
 
 * ``quality``: documents that break a base rule or leave the bounds of their language and source go.
-* ``lines``: runs of lines that are there earlier are cut out; a document that has no word left by that goes.
+* ``lines``: stretches of three lines, or of more than 50 words, that are there earlier are cut out; a document that has no word left by that goes.
 * ``near_duplicates``: of documents linked by 80 % of their five-word shingles, the one with the smallest id stays.
-* ``passages``: strings of 400 bytes that are there more than once are cut out; a document that has no word left by that goes.
+* ``passages``: strings of 51 words that are there more than once are cut out; a document that has no word left by that goes.
 * ``packing``: the pieces of the documents in sequences of 1024 tokens.
 
 All but the last return the columns of ``documents``; ``n_chars`` follows the text. Null texts have no words, so the first stage drops them;
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialweave.llm import jaccard_join, line_dedup, packing, quality_rules, suffix_dedup
+from trialweave.llm import jaccard_join, line_dedup, packing, quality_rules, suffix_dedup, word_passages
 from trialweave.llm.kit import WORD_CHAR, materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -43,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_texts(docs, suffix_dedup.suffix_dedup(docs, keep=["lang", "source"]))
+    return _with_texts(docs, suffix_dedup.suffix_dedup(docs, keep=["lang", "source"], unit=word_passages.Words))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
