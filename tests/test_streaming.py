@@ -1,3 +1,4 @@
+import datetime
 import os
 import random
 import time
@@ -39,6 +40,12 @@ def test_tracker_over_batches(spark, tmp_path):
     q = K.stream_metric_tracker(stream(spark, folder, schema), out, direction="maximize")
     q.awaitTermination()
     assert q.lastProgress["batchId"] == 2
+    # the last micro-batch once more, as after a failure between output and commit
+    before = sorted(map(str, K.state_of(spark, out).collect()))
+    os.remove(f"{out}/checkpoint/commits/2")
+    os.remove(f"{out}/checkpoint/commits/.2.crc")
+    K.stream_metric_tracker(stream(spark, folder, schema), out, direction="maximize").awaitTermination()
+    assert sorted(map(str, K.state_of(spark, out).collect())) == before
     df = spark.createDataFrame(rows, schema)
     show = lambda d: sorted((r.run, r.step, str(r.value), r.improved) for r in d.collect())
     assert show(K.tracker_flags(spark, out)) == show(M.improved(df, direction="maximize"))
@@ -49,6 +56,24 @@ def test_tracker_over_batches(spark, tmp_path):
     assert text(K.tracker_summary(spark, out, 2)) == text(M.metric_summary(df, direction="maximize"))
 
 
+def test_only_touched_series_are_updated(spark, tmp_path):
+    schema = "run string, step bigint, value double"
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    os.makedirs(folder)
+    parts = [[("a", 1, 3.0), ("b", 1, None), ("a", 5000, 2.0), ("a", 5000, 2.5)], [("b", 2, 1.0), ("b", 2, float("nan"))], [("a", 4999, 0.0), ("c", 1, 1.0)]]
+    for b, part in enumerate(parts):
+        drop(spark.createDataFrame(part, schema), folder, str(b))
+    K.stream_metric_tracker(stream(spark, folder, schema), out).awaitTermination()
+    for b, touched in enumerate(("ab", "b", "ac")):
+        arrived = spark.read.parquet(K.BatchStore(spark, out).part("arrived", b)).filter("carry IS NOT NULL")
+        assert sorted(r[0] for r in arrived.select("carry.run").collect()) == list(touched)
+    state = {r["run"]: (r["s_last"], r["s_n"], str(r["s_best"]), r["s_stuck"]) for r in K.state_of(spark, out).collect()}
+    # a: its late value changes nothing; b began with NaN and stays there
+    assert state == {"a": (5000, 2, "2.0", False), "b": (2, 2, "nan", True), "c": (1, 1, "1.0", False)}
+    flags = {(r["run"], r["step"]): r["improved"] for r in K.tracker_flags(spark, out).collect()}
+    assert flags == {("a", 1): True, ("a", 5000): True, ("b", 1): True, ("b", 2): False, ("c", 1): True}
+
+
 def test_gate_over_batches(spark, tmp_path):
     rnd = random.Random(8)
     rows = [(rnd.choice("abc"), i, rnd.random() * 100, rnd.random() > 0.1) for i in range(240)]
@@ -65,6 +90,46 @@ def test_gate_over_batches(spark, tmp_path):
     assert show(K.gate_decisions(spark, out)) == want and len(want) == 240 and not all(w[5] for w in want)
 
 
+def test_gate_state_follows_the_batch_gate(spark, tmp_path):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(400):
+        own = None if i % 7 == 0 else float("nan") if i % 23 == 0 else round(rnd.random() * 100 - (i > 200) * 60, 1)
+        short = {"loss": rnd.random() * 100} if i % 7 == 0 and i % 2 else None
+        rows.append((rnd.choice("abcd"), i * 37, "exception" if i % 19 == 0 else "failed" if i % 31 == 0 else None, own, short, rnd.random() > 0.1))
+    schema = "experiment string, trial_id bigint, status string, primary_metric double, eval_metrics map<string,double>, safe boolean"
+    base = spark.createDataFrame([("a", 60.0), ("b", 0.0)], "experiment string, baseline double")
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    os.makedirs(folder)
+    for b in range(4):
+        drop(spark.createDataFrame(rows[b * 100 : b * 100 + 100] + rows[b * 50 : b * 50 + 3], schema), folder, str(b))
+    for direction, threshold in (("minimize", 0.005), ("maximize", 0.0)):
+        at = f"{out}-{direction}"
+        K.stream_trial_gate(stream(spark, folder, schema), at, baselines=base, patience=15, direction=direction, threshold=threshold).awaitTermination()
+        cols = ["experiment", "trial_id", "best", "accepted", "fails", "ran", "reason"]
+        show = lambda d: sorted(map(str, d.select(*cols).collect()))
+        gate = H.sequential_gate(spark.createDataFrame(rows, schema), baselines=base, patience=15, direction=direction, threshold=threshold)
+        assert show(K.gate_decisions(spark, at)) == show(gate)
+        ends = {r["experiment"]: r for r in gate.groupBy("experiment").agg(F.max_by("fails", "trial_id").alias("fails"), F.max("trial_id").alias("last")).collect()}
+        for r in K.state_of(spark, at).collect():
+            assert (r["s_last"], r["fails"]) == (ends[r["experiment"]]["last"], ends[r["experiment"]]["fails"])
+
+
+def test_runs_closed_by_end_or_timer(spark, tmp_path):
+    schema = "run string, kind string, ts timestamp, accepted boolean, reason string"
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    os.makedirs(folder)
+    at = lambda m: datetime.datetime(2026, 1, 1) + datetime.timedelta(minutes=m)
+    first = [("a", "metric", at(0), None, None), ("b", "metric", at(1), None, None), ("b", "end", at(2), True, "good"), ("c", "metric", at(3), None, None)]
+    second = [("c", "metric", at(50), None, None), ("d", "metric", at(100), None, None)]
+    third = [("e", "metric", at(300), None, None), ("b", "metric", at(301), None, None)]
+    for b, part in enumerate((first, second, third)):
+        drop(spark.createDataFrame(part, schema), folder, str(b))
+    K.stream_run_ends(stream(spark, folder, schema), out, timeout="1 hour").awaitTermination()
+    got = sorted((r["run"], r["closed_by"], r["accepted"], r["reason"], r["ended_at"], r["points"]) for r in spark.read.parquet(f"{out}/data").collect())
+    assert got == [("a", "timeout", None, None, at(60), 1), ("b", "end", True, "good", at(2), 1), ("c", "timeout", None, None, at(110), 2), ("d", "timeout", None, None, at(160), 1)]
+
+
 def test_replayed_batch_replaces_its_output(spark, tmp_path):
     store = K.BatchStore(spark, str(tmp_path))
     for _ in range(2):

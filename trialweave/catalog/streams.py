@@ -47,9 +47,8 @@ SQL["k1_stream_metric_tracker"] = (
 
 def k1_stream_metric_summary(spark, d):
     path = fresh_path(spark, "tracker")
-    q = K.stream_metric_tracker(_series(spark, d), path, direction="maximize")
-    _finish(q)
-    s = K.tracker_summary(spark, path, q.lastProgress["batchId"])
+    _finish(K.stream_metric_tracker(_series(spark, d), path, direction="maximize"))
+    s = K.tracker_summary(spark, path)
     return s.withColumn("avg_last_10", F.round("avg_last_10", 6))
 
 
@@ -147,3 +146,30 @@ def k5_stream_run_metrics(spark, d):
 
 QUERIES["k5_stream_run_metrics"] = k5_stream_run_metrics
 SQL["k5_stream_run_metrics"] = f"SELECT 'run-' || user_id AS run, event_id AS step, event_type AS metric, value FROM events WHERE NOT {_end}"
+
+
+# fixed value: how long a run may be silent
+SILENCE = "2 hours"
+
+
+def k5_stream_run_timeouts(spark, d):
+    """Users are runs; errors with an event id divisible by 7 end them, and so does a silence that the stream has gone on for."""
+    e = table_stream(spark, d, "events")
+    end = (F.col("event_type") == "error") & (F.col("event_id") % 7 == 0)
+    rows = e.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run"), F.when(end, "end").otherwise("metric").alias("kind"),
+        F.col("ts").cast("timestamp").alias("ts"), F.when(end, F.col("value") < 10).alias("accepted"), F.when(end, F.concat(F.lit("event "), F.col("event_id").cast("string"))).alias("reason"),
+    )
+    path = fresh_path(spark, "run-ends")
+    _finish(K.stream_run_ends(rows, path, timeout=SILENCE))
+    out = spark.read.parquet(f"{path}/data")
+    return out.select("run", "closed_by", "accepted", "reason", F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss.SSS").alias("ended_at"), "points")
+
+
+QUERIES["k5_stream_run_timeouts"] = k5_stream_run_timeouts
+SQL["k5_stream_run_timeouts"] = f"""
+WITH r AS (SELECT 'run-' || user_id AS run, max(struct_pack(ts := date_trunc('millisecond', ts), reason := 'event ' || event_id, accepted := value < 10)) FILTER ({_end}) AS e,
+ date_trunc('millisecond', max(ts)) AS last, count(*) FILTER (NOT {_end})::BIGINT AS points FROM events GROUP BY user_id)
+SELECT run, CASE WHEN e IS NULL THEN 'timeout' ELSE 'end' END AS closed_by, e.accepted AS accepted, e.reason AS reason,
+ strftime(CASE WHEN e IS NULL THEN last + INTERVAL {SILENCE} ELSE e.ts END, '%Y-%m-%d %H:%M:%S.%g') AS ended_at, points
+FROM r WHERE e IS NOT NULL OR last + INTERVAL {SILENCE} < (SELECT date_trunc('millisecond', max(ts)) FROM events)"""

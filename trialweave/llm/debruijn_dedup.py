@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .kit import batches_of, join_text, keyed, materialize, read, schema_with
 from .suffix_dedup import Hasher
-from .word_strings import find_spots, mixed, symbols
+from .word_strings import PIECE, find_spots, mixed, symbols
 
 WINDOW, GRAM = 13, 5
 _SPAN = "struct<start:bigint,n:bigint,hid:{id},hh:bigint,hpos:bigint>"
@@ -46,11 +46,10 @@ def _edges(asked: DataFrame, window: int) -> DataFrame:
     id_type = asked.schema["_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(PIECE)
         for batch in batches:
             for i, (text, wanted) in enumerate(zip(batch.column("_text").cast(pa.binary()), batch.column("asked"))):
-                sym = symbols(text.as_py())
-                total = Hasher(len(sym))
-                nodes = mixed(total.grams(sym, window - 1)).view(np.int64)
+                nodes = node_names(symbols(text.as_py()), hasher, window - 1)
                 ranges = wanted.as_py()
                 for k in range(0, len(ranges), 5000):
                     part = ranges[k : k + 5000]
@@ -67,6 +66,13 @@ def _edges(asked: DataFrame, window: int) -> DataFrame:
     return asked.select("_id", "_h", "_text", "asked").mapInArrow(cut, f"src long, dst long, _id {id_type}, _h long, pos long, cid long, off long")
 
 
+def node_names(sym: np.ndarray, hasher: Hasher, size: int) -> np.ndarray:
+    """The hashes of all strings of ``size`` words, of texts of any length."""
+    step = PIECE - size
+    parts = [mixed(hasher.grams(sym[k : k + step + size - 1], size)) for k in range(0, max(len(sym) - size + 1, 0), step)]
+    return np.concatenate(parts or [np.empty(0, np.uint64)]).view(np.int64)
+
+
 def compacted(edges: DataFrame) -> DataFrame:
     """Per edge (``src``, ``dst``): its source ``hid``, ``hh``, ``hpos`` and ``path``, the place in the source where its nonbranching path begins.
 
@@ -103,10 +109,11 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(own: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per ``_id`` and ``_h``: ``spans``, stretches of windows (first start, number of starts) and where their source has them."""
     id_type = own.schema["_id"].dataType.simpleString()
-    found = materialize(find_spots(own, window, gram), "spots")
-    shared = found.groupBy("anchor").agg(F.min(F.struct("_id")).alias("low"), F.max(F.struct("_id")).alias("high")).filter("low < high").select("anchor")
-    # stored, so that the spots of a hot anchor are only joined and can be split among tasks
-    found = materialize(found.join(materialize(shared, "anchors"), "anchor", "left_semi"), "spots-shared")
+    found = find_spots(own, window, gram).withColumns({"a": F.col("a").cast("int"), "b": F.col("b").cast("int")})
+    # spots move once, by anchor; a spot is one of about a hundred of its document, so even an anchor that a third of all documents have is a small share of all
+    w = W.partitionBy("anchor")
+    found = found.withColumns({"low": F.min(F.struct("_id")).over(w), "high": F.max(F.struct("_id")).over(w)}).filter("low < high").drop("low", "high")
+    found = materialize(found.withColumns({"a": F.col("a").cast("long"), "b": F.col("b").cast("long")}), "spots-shared")
     contexts = found.groupBy("anchor", "context").agg(F.min(F.struct("_id", "_h", "a", "b")).alias("rep"))
     contexts = materialize(contexts.withColumn("cid", F.monotonically_increasing_id()), "contexts")
     kinds = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))

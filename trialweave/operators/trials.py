@@ -45,6 +45,19 @@ def primary_value(df: DataFrame, metric: str = METRIC) -> Column:
     return value
 
 
+def raised(df: DataFrame) -> Column:
+    """Trials with status 'exception'."""
+    return F.coalesce(_optional(df, "status", F.lit(None).cast("string")) == "exception", F.lit(False))
+
+
+def judged_values(df: DataFrame, metric: str = METRIC) -> tuple[Column, Column]:
+    """For trials that neither failed nor are unsafe: their own primary metric, and the value under its short name where they have none."""
+    failed = F.coalesce(_optional(df, "status", F.lit(None).cast("string")).isin(*FAILED), F.lit(False))
+    judged = ~failed & F.coalesce(_optional(df, "safe", F.lit(True)), F.lit(True))
+    own = F.col("primary_metric").cast("double")
+    return F.when(judged, own), F.when(judged & own.isNull(), primary_value(df, metric))
+
+
 def decide(
     df: DataFrame, metric: str = METRIC, direction: str = "minimize", threshold: float = THRESHOLD,
     baseline: str = "baseline", best: str = "best",
@@ -141,7 +154,7 @@ def sequential_gate(
     if threshold < 0:
         raise ValueError("threshold must not be negative")
     keys = list(keys)
-    rows = trials.filter(~F.coalesce(_optional(trials, "status", F.lit(None).cast("string")) == "exception", F.lit(False)))
+    rows = trials.filter(~raised(trials))
     rows = rows.withColumns(id_levels(F.col(trial)))
     if baselines is None:
         rows = rows.withColumn("baseline", F.lit(None).cast("double"))
@@ -154,10 +167,8 @@ def sequential_gate(
         rows = salted_lookup(rows, known, keys, [trial]).na.fill({"_c_fails": 0, "_c_stop": False})
     levels = ["_l0", "_l1"]
     sign = 1 if direction == "minimize" else -1
-    status = _optional(rows, "status", F.lit(None).cast("string"))
-    judged = ~F.coalesce(status.isin(*FAILED), F.lit(False)) & F.coalesce(_optional(rows, "safe", F.lit(True)), F.lit(True))
     # a value found under its short name only is judged, but does not become the best value
-    own = F.when(judged, F.col("primary_metric").cast("double") * sign)
+    own = judged_values(rows, metric)[0] * sign
     real = F.when(~F.isnan(own), own)
     rows = running_before(
         rows.withColumn("_own", own), keys, levels, [F.col(trial)],
