@@ -1,3 +1,4 @@
+import json
 import math
 
 from pyspark.sql import functions as F
@@ -62,10 +63,49 @@ def test_classifier_sweep_equals_single_runs(spark):
         assert math.isclose(got[i].loss, want.loss, rel_tol=1e-6) and got[i].accuracy == want.accuracy
 
 
-def test_centroids(spark):
-    rows = [(i, [float(i % 2) * 4, 1.0], i % 2) for i in range(40)]
+def test_centroids(spark, tmp_path, monkeypatch):
+    rows = [(i, [float(i % 5) * 4, 1.0, float(i % 2)], i % 5) for i in range(40)]
     df = spark.createDataFrame(rows, "id bigint, pixels array<double>, label int")
-    model = J.train_centroids(df)
-    assert model == [(0, [0.0, 1.0]), (1, [4.0, 1.0])]
-    out = J.predict(df.withColumn("logits", J.centroid_logits(model, F.col("pixels"))))
-    assert out.filter("prediction <> label").count() == 0
+    centre = {k: [4.0 * k, 1.0, 0.5] for k in range(5)}
+    want = {}
+    for i, x, _ in rows:
+        logit = {k: -sum((a - b) ** 2 for a, b in zip(x, c)) for k, c in centre.items()}
+        top = max(logit.values())
+        want[i] = (min(k for k in logit if logit[k] == top), 1 / sum(math.exp(v - top) for v in logit.values()))
+    for values in (1 << 16, 6, 1):  # one block, blocks of two, a block for each
+        monkeypatch.setattr(J, "BLOCK_VALUES", values)
+        model = J.train_centroids(df)
+        assert model.count == {1 << 16: 1, 6: 3, 1: 5}[values]
+        path = str(tmp_path / str(values))
+        J.save_centroids(model, path)
+        for m in (model, J.load_model(spark, path)):
+            got = {r["id"]: (r["prediction"], r["probability"], r["label"]) for r in J.predict_centroids(df, m, keep=["label"], salts=3).collect()}
+            assert all(got[i][0] == want[i][0] and math.isclose(got[i][1], want[i][1]) and got[i][2] == i % 5 for i in want)
+
+
+def test_sweep_reads_the_texts_once(spark, tmp_path):
+    words = "a b c d e f g h".split()
+    train = docs(spark, *[" ".join(words[: 1 + i % 8] * 2) for i in range(30)])
+    held = docs(spark, "a b zz", "h h")
+    entry = lambda name, p: {"pipeline": {"enabled": True, "text_augmentations": [{"name": name, "enabled": True, "probability": p}]}}
+    configs = [entry("random_deletion", 0.1 * i) if i % 2 else entry("random_swap", 0.1 * i) for i in range(10)]
+    table = spark.createDataFrame([(i + 5, json.dumps(c)) for i, c in enumerate(configs)], "trial_id bigint, config string")
+    got = {r["trial_id"]: r for r in J.trial_sweep(train, held, table).collect()}
+    for i, c in enumerate(configs):
+        texts = J.TextAugmenter(c).apply(train)
+        model = J.train_lm(texts)
+        r = got[i + 5]
+        assert math.isclose(r["loss"], J.score_lm(model, held).first().loss) and r["vocabulary"] == model.vocabulary
+        assert r["train_tokens"] == model.contexts.agg(F.sum("total")).first()[0]
+    path = str(tmp_path / "train")
+    train.write.parquet(path)
+    for n in (2, 10):
+        read = spark.read.parquet(path)
+        scans = []
+        real = J.materialize
+        J.materialize = lambda df, name: scans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")) or real(df, name)
+        try:
+            J.trial_sweep(read, held, configs[:n])
+        finally:
+            J.materialize = real
+        assert scans[0] == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..operators import models as J
@@ -127,6 +129,29 @@ sweep AS (SELECT w.trial_id, any_value(train_tokens) AS train_tokens, any_value(
 SQL["j4_trial_sweep"] = f"WITH {SWEEP_CTE} SELECT trial_id, train_tokens, vocabulary, round(loss, 6) AS loss FROM sweep"
 
 
+def candidate_table(spark, n):
+    """Candidates as a table: deletion and swapping at several strengths."""
+    made = []
+    for i in range(n):
+        name = "random_swap" if i % 4 == 3 else "random_deletion"
+        made.append((i, json.dumps({"pipeline": {"enabled": i % 4 != 2, "text_augmentations": [{"name": name, "enabled": True, "probability": 0.05 + 0.01 * i}]}})))
+    return spark.createDataFrame(made, "trial_id bigint, config string")
+
+
+def j4_sweep_table(spark, d):
+    """Twelve candidates of a table, one pass over the documents."""
+    return J.trial_sweep(_docs(spark, d), _bench(spark, d), candidate_table(spark, 12)).withColumn("loss", F.round("loss", 6))
+
+
+QUERIES["j4_sweep_table"] = j4_sweep_table
+_many = "\nUNION ALL ".join(
+    f"SELECT {i}::BIGINT AS trial_id, unnest({words_sql('lower(text)')}) AS tok FROM "
+    + ("documents" if i % 4 == 2 else swap_sql("documents", "0.random_swap", 0.05 + 0.01 * i) if i % 4 == 3 else deletion_sql("documents", "0.random_deletion", 0.05 + 0.01 * i, 0.05 + 0.01 * i))
+    for i in range(12)
+)
+SQL["j4_sweep_table"] = f"WITH {SWEEP_CTE.replace(_sweep, _many)} SELECT trial_id, train_tokens, vocabulary, round(loss, 6) AS loss FROM sweep"
+
+
 def j4_sweep_and_gate(spark, d):
     """The sweep's results, held against the baseline in trial order."""
     docs, bench = _docs(spark, d), _bench(spark, d)
@@ -160,7 +185,7 @@ QUERIES["j4_classifier_sweep"] = j4_classifier_sweep
 def j5_predict(spark, d):
     rows = image_rows(spark, d)
     model = J.train_centroids(rows)
-    out = J.predict(rows.withColumn("logits", J.centroid_logits(model, F.col("pixels"))))
+    out = J.predict_centroids(rows, model)
     return out.select("id", "prediction", F.round("probability", 6).alias("probability"))
 
 
@@ -195,6 +220,18 @@ def j6_save_load_classifier(spark, d):
 QUERIES["j6_save_load_classifier"] = j6_save_load_classifier
 
 
+def j6_save_load_centroids(spark, d):
+    rows = image_rows(spark, d)
+    path = fresh_path(spark, "centroids")
+    J.save_centroids(J.train_centroids(rows), path)
+    out = J.predict_centroids(rows, J.load_model(spark, path))
+    return out.select("id", "prediction", F.round("probability", 6).alias("probability"))
+
+
+QUERIES["j6_save_load_centroids"] = j6_save_load_centroids
+SQL["j6_save_load_centroids"] = SQL["j5_predict"]
+
+
 def j8_baseline(spark, d):
     out = J.baseline_trial(_docs(spark, d), _bench(spark, d))
     return out.select("trial_id", "decision", F.round("primary_metric", 6).alias("primary_metric"), "tokens")

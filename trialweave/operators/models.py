@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.texts import words
+from ..plans.ordered import number_rows, range_cells
 from ..plans.session import materialize
 from .metrics import bits_per_byte, perplexity
 from .prepare import exact_split
@@ -85,33 +86,78 @@ def load_lm(spark: SparkSession, path: str) -> CountLM:
 
 # -- nearest centroid ---------------------------------------------------------------------
 
-MAX_CENTROID_VALUES = 1_000_000
+#: Numbers of a block of centroids, which one row holds.
+BLOCK_VALUES = 1 << 16
 
 
-def train_centroids(df: DataFrame, pixels: str = "pixels", label: str = "label") -> list[tuple]:
-    """(label, centroid) per class. The sums are partial per task; the result, classes times
-    dimensions numbers, is checked before it is brought to the driver."""
+@dataclass
+class CentroidModel:
+    """``blocks`` (block, many: the labels and centroids of a block, labels ascending) and how many there are."""
+
+    blocks: DataFrame
+    count: int
+
+
+def train_centroids(df: DataFrame, pixels: str = "pixels", label: str = "label") -> CentroidModel:
+    """One centroid per class, as a stored table. Sums are partial per task, and no class is brought to the driver."""
     cells = df.select(F.col(label).alias("label"), F.posexplode(pixels).alias("pos", "x"))
     means = cells.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    rows = means.limit(MAX_CENTROID_VALUES + 1).collect()
-    if len(rows) > MAX_CENTROID_VALUES:
-        raise ValueError("too many classes for a centroid model")
-    model: dict = {}
-    for r in sorted(rows, key=lambda r: (r["label"], r["pos"])):
-        model.setdefault(r["label"], []).append(r["m"])
-    return list(model.items())
+    each = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda x: x["m"]).alias("c"))
+    each = materialize(each, "centroids")
+    size = each.agg(F.coalesce(F.max(F.size("c")), F.lit(1))).first()[0]
+    per_block = max(1, BLOCK_VALUES // size)
+    placed = number_rows(range_cells(each, [F.col("label")]), [], ["_l0", "_l1"], [F.col("label")], "n")
+    block = F.floor((F.col("n") - 1) / F.lit(per_block)).cast("int")
+    blocks = placed.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("many"))
+    blocks = materialize(blocks, "centroid-blocks")
+    return CentroidModel(blocks, blocks.count())
 
 
-def centroid_logits(model: list[tuple], pixels: Column) -> Column:
-    """array<struct<label, logit>>: minus the squared distance to every centroid."""
-    text = json.dumps([{"label": l, "c": c} for l, c in model])
-    known = F.from_json(F.lit(text), "array<struct<label:int,c:array<double>>>")
+def centroid_logits(many: Column, pixels: Column) -> Column:
+    """array<struct<label, logit>>: minus the squared distance to each of some centroids."""
 
     def logit(m: Column) -> Column:
         gaps = F.zip_with(m["c"], pixels, lambda a, b: (a - b.cast("double")) * (a - b.cast("double")))
         return F.struct(m["label"].alias("label"), (-F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g)).alias("logit"))
 
-    return F.transform(known, logit)
+    return F.transform(many, logit)
+
+
+def predict_centroids(df: DataFrame, model: CentroidModel, key: str = "id", pixels: str = "pixels", keep: Sequence[str] = (), salts: int | None = None) -> DataFrame:
+    """(key, keep, prediction, probability): the nearest centroid, first label of equals, and its softmax probability.
+
+    Rows meet the centroids block by block, a block being one bounded row; what is left of a row's block is its best logit, the label and the sum of
+    exponents. Blocks are joined by number and salt: Spark broadcasts them if they are small, and shuffles rows and blocks alike if not. ``key`` names a row.
+    """
+    salts = salts or df.sparkSession.sparkContext.defaultParallelism
+    blocks = model.blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    numbers = F.sequence(F.lit(0), F.lit(max(model.count, 1) - 1))
+    kept = [F.struct(*keep).alias("_keep")] if keep else []
+    rows = df.select(key, *kept, F.col(pixels).alias("_x"), F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("_salt"), F.explode(numbers).alias("block"))
+    kept = ["_keep"] if keep else []
+    met = rows.join(blocks, ["block", "_salt"]).select(key, *kept, "block", centroid_logits(F.col("many"), F.col("_x")).alias("logits"))
+    best = met.select(key, *kept, "block", predict_top(F.col("logits")).alias("t"))
+    top = F.max(F.struct(F.col("t.logit").alias("logit"), (-F.col("block")).alias("_b"), F.col("t.label").alias("label"), *kept))
+    out = best.groupBy(key).agg(top.alias("b"), F.collect_list("t").alias("all"))
+    total = F.aggregate("all", F.lit(0.0), lambda acc, t: acc + t["total"] * F.exp(t["logit"] - F.col("b.logit")))
+    return out.select(key, *[F.col(f"b._keep.{c}").alias(c) for c in keep], F.col("b.label").alias("prediction"), (1 / total).alias("probability"))
+
+
+def predict_top(logits: Column) -> Column:
+    """struct<logit, label, total>: the largest logit, its first label, and the sum of exponents against it."""
+    top = F.array_max(F.transform(logits, lambda s: s["logit"]))
+    first = F.get(F.filter(logits, lambda s: s["logit"] == top), F.lit(0))
+    total = F.aggregate(logits, F.lit(0.0), lambda a, s: a + F.exp(s["logit"] - top))
+    return F.struct(top.alias("logit"), first["label"].alias("label"), total.alias("total"))
+
+
+def save_centroids(model: CentroidModel, path: str) -> None:
+    model.blocks.write.parquet(f"{path}/centroids")
+
+
+def load_centroids(spark: SparkSession, path: str) -> CentroidModel:
+    blocks = spark.read.parquet(f"{path}/centroids")
+    return CentroidModel(blocks, blocks.count())
 
 
 def predict(df: DataFrame, logits: str = "logits") -> DataFrame:
@@ -123,14 +169,14 @@ def predict(df: DataFrame, logits: str = "logits") -> DataFrame:
     return out.drop("_v", "_top")
 
 
-def train_image_classifier(df: DataFrame, shape: Shape, key: str = "id", config: dict | None = None, seed: int = 42) -> tuple[list[tuple], DataFrame]:
+def train_image_classifier(df: DataFrame, shape: Shape, key: str = "id", config: dict | None = None, seed: int = 42) -> tuple[CentroidModel, DataFrame]:
     """Splits, augments the training part, fits centroids; returns them with the scored
     validation rows."""
     rows = exact_split(df, key, seed=seed, approx=True)
     train, _ = augment_images(rows.filter("split = 'train'"), config or {}, shape, key=key, seed=seed)
     model = train_centroids(train)
     held = rows.filter("split = 'validation'")
-    return model, predict(held.withColumn("logits", centroid_logits(model, F.col("pixels"))))
+    return model, predict_centroids(held, model, key, keep=["label"])
 
 
 # -- MLlib text classifier ----------------------------------------------------------------
@@ -179,42 +225,78 @@ def load_classifier(path: str):
 
 
 def load_model(spark: SparkSession, path: str):
-    """Whichever kind of model lies under a path: a fitted MLlib model, which has metadata, or a count model."""
-    jvm = spark.sparkContext._jvm
-    metadata = jvm.org.apache.hadoop.fs.Path(f"{path}/metadata")
-    if metadata.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(metadata):
+    """Whichever kind of model lies under a path: a fitted MLlib model, which has metadata, a centroid model or a count model."""
+
+    def there(name: str) -> bool:
+        part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        return part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(part)
+
+    if there("metadata"):
         return load_classifier(path)
-    return load_lm(spark, path)
+    return load_centroids(spark, path) if there("centroids") else load_lm(spark, path)
 
 
 # -- sweeps -------------------------------------------------------------------------------
 
 
 def trial_sweep(
-    train: DataFrame, validation: DataFrame, candidates: Sequence[dict], key: str = "doc_id", text: str = "text", seed: int = 42,
+    train: DataFrame, validation: DataFrame, candidates: Sequence[dict] | DataFrame, key: str = "doc_id", text: str = "text", seed: int = 42,
     k: float = ADD_K, **tables,
 ) -> DataFrame:
-    """One result row per candidate config: (trial_id, train_tokens, vocabulary, loss).
+    """One result row per candidate: (trial_id, train_tokens, vocabulary, loss).
+
+    ``candidates``: configs, numbered from 0, or a table (trial_id, config as JSON), whose rows become expressions of the plan.
 
-    Every candidate augments the training texts and counts words; all candidates are one job.
-    Validation words are counted once. A word a candidate never saw adds ``ln k``, so only
-    words it has seen need to be joined, and no candidate is crossed with the vocabulary.
+    The training texts are read once, whatever the number of candidates. A row passes through all of them, and only where a candidate changes its text
+    are the words before and after counted for that candidate, as -1 and +1; the words of all texts are counted once for all. A candidate is thus what differs from
+    the unchanged corpus: its sums are corrections to the corpus' own, and neither texts nor vocabulary are multiplied by candidates.
+    Candidates that look words up are joined in the same pass.
     """
-    seen = _grams(validation, text, 1).groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
-    parts = None
-    for i, config in enumerate(candidates):
-        texts = TextAugmenter(config, key=key, text=text, seed=seed, **tables).apply(train.select(key, text))
-        part = _grams(texts, text, 1).select(F.lit(i).cast("bigint").alias("trial_id"), "tok")
-        parts = part if parts is None else parts.unionByName(part)
-    counts = parts.groupBy("trial_id", "tok").agg(F.count(F.lit(1)).alias("c"))
+    if isinstance(candidates, DataFrame):
+        listed = [(r["trial_id"], json.loads(r["config"])) for r in candidates.select("trial_id", "config").orderBy("trial_id").collect()]
+    else:
+        listed = list(enumerate(candidates))
+    spark = train.sparkSession
+    rows = train.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    acting = []
+    for i, config in listed:
+        augmenter = TextAugmenter(config, key="_key", text=f"_text{i}", seed=seed, **tables)
+        if len(augmenter):
+            rows = augmenter.apply(rows.withColumn(f"_text{i}", F.col("_text")))
+            acting.append(i)
+
+    def part(trial: Column, sign: int, value: Column) -> Column:
+        return F.struct(trial.cast("bigint").alias("trial_id"), F.lit(sign).alias("sign"), value.alias("text"))
+
+    changes = [F.when(F.col(f"_text{i}") != F.col("_text"), F.array(part(F.lit(i), 1, F.col(f"_text{i}")), part(F.lit(i), -1, F.col("_text")))) for i in acting]
+    parts = F.array(F.array(part(F.lit(None), 1, F.col("_text"))), *changes)
+    each = rows.select(F.explode(F.flatten(F.array_compact(parts))).alias("p")).select("p.*")
+    words_of = each.select("trial_id", "sign", F.explode(words(F.lower(F.col("text")))).alias("tok"))
+    counts = materialize(words_of.groupBy("trial_id", "tok").agg(F.sum("sign").alias("c")), "sweep-counts")
+
+    seen = materialize(_grams(validation, text, 1).groupBy("tok").agg(F.count(F.lit(1)).alias("n")), "sweep-validation")
+    base = counts.filter("trial_id IS NULL").select("tok", F.col("c").alias("base")).join(seen, "tok", "left")
     k_ = F.lit(float(k))
-    gain = F.col("n") * (F.log(F.col("c") + k_) - F.log(k_))
-    per_trial = counts.join(seen, "tok", "left").groupBy("trial_id").agg(
-        F.sum("c").alias("train_tokens"), F.count(F.lit(1)).alias("vocabulary"), F.sum(gain).alias("_gain")
+    whole = base.agg(
+        F.coalesce(F.sum("base"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words"),
+        F.coalesce(F.sum(F.col("n") * (F.log(F.col("base") + k_) - F.log(k_))), F.lit(0.0)).alias("gain"),
+    )
+    changed = counts.filter("trial_id IS NOT NULL AND c <> 0").join(base.drop("n"), "tok", "left").join(seen, "tok", "left")
+    was = F.coalesce("base", F.lit(0))
+    now = was + F.col("c")
+    moved = changed.groupBy("trial_id").agg(
+        F.sum("c").alias("d_tokens"),
+        F.sum(F.when(was == 0, 1).when(now == 0, -1).otherwise(0)).alias("d_words"),
+        F.sum(F.col("n") * (F.log(now + k_) - F.log(was + k_))).alias("d_gain"),
     )
-    out = per_trial.withColumn("_n", seen.agg(F.sum("n")).scalar())
-    mean = F.coalesce("_gain", F.lit(0.0)) / F.col("_n") + F.log(k_) - F.log(F.col("train_tokens") + k_ * F.col("vocabulary"))
-    return out.select("trial_id", "train_tokens", "vocabulary", (-mean).alias("loss"))
+    trials = spark.createDataFrame([(i,) for i, _ in listed], "trial_id bigint").join(moved, "trial_id", "left")
+    one = whole.first()  # three numbers of the corpus
+    total = seen.agg(F.sum("n")).first()[0]
+    tokens = F.lit(one["tokens"]) + F.coalesce("d_tokens", F.lit(0))
+    vocabulary = F.lit(one["words"]) + F.coalesce("d_words", F.lit(0))
+    gain = F.lit(one["gain"]) + F.coalesce("d_gain", F.lit(0.0))
+    mean = F.try_divide(gain, F.lit(total)) + F.log(k_) - F.log(tokens + k_ * vocabulary)
+    return trials.select("trial_id", tokens.cast("bigint").alias("train_tokens"), vocabulary.cast("bigint").alias("vocabulary"), (-mean).alias("loss"))
 
 
 def classifier_sweep(df: DataFrame, candidates: Sequence[dict], parallel: int = 4, **options) -> DataFrame:

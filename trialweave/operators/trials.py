@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import fixed
 from ..plans.lookup import salted_lookup
-from ..plans.ordered import id_levels, running_before
+from ..plans.ordered import id_levels, range_cells, running_before
 from ..plans.session import materialize
 
 # The defaults of a run.
@@ -105,9 +107,68 @@ def decide(
     return df.withColumn("reason", reason).drop("_value", "_ref", "_failed", "_safe", "_gain", "_g4", "_g2", "_r4", "_v4")
 
 
+def largest_accepted(ref: np.ndarray, threshold: float) -> np.ndarray:
+    """For each reference the largest value that still improves on it by the threshold, NaN where none does; exact, by halving the numbers between."""
+    fine = np.isfinite(ref) & (ref != 0)
+    r = np.where(fine, ref, 1.0)
+
+    def number(key: np.ndarray) -> np.ndarray:  # whole numbers in the order of doubles
+        return np.where(key < 0, np.iinfo(np.int64).min - key, key).view(np.float64)
+
+    def key(x: np.ndarray) -> np.ndarray:
+        i = np.ascontiguousarray(x).view(np.int64)
+        return np.where(i < 0, np.iinfo(np.int64).min - i, i)
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        good, bad = key(r - 2 * threshold * np.abs(r) - np.finfo(float).tiny), key(r)
+        for _ in range(64):
+            middle = (good >> 1) + (bad >> 1) + (good & bad & 1)
+            hit = (r - number(middle)) / np.abs(r) >= threshold
+            good, bad = np.where(hit, middle, good), np.where(hit, bad, middle)
+        return np.where(fine, number(good), np.nan)
+
+
 def _accepted_chain(candidates: DataFrame, keys: Sequence[str], trial: str, threshold: float) -> DataFrame:
-    """(keys, trial): the trials that move the best value. Reads (keys, trial, _v, _base) in
-    trial order, batch by batch, holding one number per experiment at a time."""
+    """(keys, trial): the trials that move the best value, from candidates (keys, trial, _v, _base) whose values fall from one to the next.
+
+    Every candidate points to the one that is accepted after it: the first below its bound, which is the largest value below it, found by a running maximum
+    over cells of values. From the first accepted one the chain is followed by doubling: after k rounds what is reached from it in fewer than 2^k steps is
+    known, and pointers lead 2^k steps on. No task holds an experiment's candidates."""
+    keys = list(keys)
+    nodes = candidates
+
+    @F.pandas_udf("double")
+    def bound(ref: pd.Series) -> pd.Series:
+        return pd.Series(largest_accepted(ref.to_numpy(np.float64), threshold))
+
+    first = nodes.groupBy(*keys).agg(F.min(F.struct(trial, "_base")).alias("f")).select(*keys, F.col(f"f.{trial}").alias("dst"), "f._base")
+    real = nodes.filter(~F.isnan("_v"))
+    asked = real.select(*keys, F.col(trial).alias("src"), F.col("_v").alias("ref")).unionByName(
+        first.filter("_base IS NOT NULL").select(*keys, F.lit(None).cast(dict(nodes.dtypes)[trial]).alias("src"), F.col("_base").alias("ref"))
+    )
+    asked = asked.withColumn("at", bound("ref")).filter(~F.isnan("at")).select(*keys, "src", "at", F.lit(1).alias("asks"))
+    values = real.select(*keys, F.col(trial).alias("own"), F.col("_v").alias("at"), F.lit(0).alias("asks"))
+    order = [F.col("at"), F.col("asks")]
+    cells = range_cells(asked.unionByName(values, allowMissingColumns=True), [*map(F.col, keys), *order])
+    below = running_before(cells, keys, ["_l0", "_l1"], order, {"_to": (F.when(F.col("asks") == 0, F.struct("at", "own")), "max")})
+    links = below.filter("asks = 1 AND _to IS NOT NULL").select(*keys, "src", F.col("_to.own").alias("dst"))
+    starts = first.filter("_base IS NULL").select(*keys, F.lit(None).cast(dict(nodes.dtypes)[trial]).alias("src"), "dst")
+    # rows without ``src`` are reached, the others are pointers; a round is one table
+    now = materialize(links.unionByName(starts), "gate-links")
+    reached = now.filter("src IS NULL")
+    while True:
+        step = now.filter("src IS NOT NULL").select(*keys, F.col("src").alias("dst"), F.col("dst").alias("_next"))
+        fresh = reached.unionByName(now.filter("src IS NOT NULL"))
+        now = materialize(fresh.join(step, [*keys, "dst"]).select(*keys, "src", F.col("_next").alias("dst")), "gate-links")
+        more = now.filter("src IS NULL")
+        if more.isEmpty():
+            return reached.select(*keys, F.col("dst").alias(trial))
+        reached = reached.unionByName(more)
+
+
+def _accepted_fold(candidates: DataFrame, keys: Sequence[str], trial: str) -> DataFrame:
+    """The same without a threshold, where ties and, once the best value is 0, any value move it, so that values need not fall: candidates are read in trial
+    order, batch by batch, holding one number per experiment at a time."""
     keys = list(keys)
     kinds = dict(candidates.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, trial])
@@ -120,10 +181,7 @@ def _accepted_chain(candidates: DataFrame, keys: Sequence[str], trial: str, thre
                 if k != group:
                     group, best = k, None
                 ref = best if best is not None else (None if base != base or base is None else base)
-                if ref is None:
-                    ok = True
-                else:
-                    ok = (0.0 if ref == 0 else (ref - v) / abs(ref)) >= threshold
+                ok = ref is None or (0.0 if ref == 0 else (ref - v) / abs(ref)) >= 0
                 if ok:
                     best = v
                 took.append(ok)
@@ -145,8 +203,8 @@ def sequential_gate(
     (consecutive rejections up to and including this trial) and ``ran`` (false after
     ``patience`` rejections in a row).
 
-    A trial that moves the best value must be better than all trials before it, so only these
-    running records are folded one by one; finding them and carrying the result back to all
+    A trial that moves the best value must be better than all trials before it. Of these running records each points to the one
+    accepted after it, and the chain of pointers is followed by doubling; finding records and pointers and carrying the result back to all
     trials are cell-wise running computations, whatever the size of an experiment.
 
     ``carry`` (keys, best, fails, stopped) is what earlier trials, decided before, have led to.
@@ -183,7 +241,8 @@ def sequential_gate(
         record = record | (v <= F.col("_min")) | F.col("_min").isNull() | (F.coalesce("_zero", F.lit(0)) == 1)
     candidates = rows.filter(v.isNotNull() & record)
     base = (F.coalesce("_c_best", "baseline") * sign).alias("_base")
-    chain = _accepted_chain(candidates.select(*keys, trial, v.alias("_v"), base), keys, trial, float(threshold))
+    candidates = candidates.select(*keys, trial, v.alias("_v"), base)
+    chain = _accepted_chain(candidates, keys, trial, float(threshold)) if threshold else _accepted_fold(candidates, keys, trial)
     rows = rows.join(chain.withColumn("_moves", F.lit(True)), [*keys, trial], "left")
     pos = F.col("_pos") + 1
     last = F.when(
