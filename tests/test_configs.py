@@ -292,3 +292,28 @@ def test_unreadable_yaml_is_no_config(spark):
     texts = ["a: 1", None, "when: 2024-13-45", "{", "1: {2: x}", "- 1"]
     df = spark.createDataFrame(list(enumerate(texts)), "config_id bigint, config string")
     assert {r.config_id for r in read_configs(df, fmt="yaml").collect()} >= {0}
+
+
+def test_depth_and_broken_configs(spark):
+    """Deep and broken configs next to flat ones: each has its own nodes, and broken ones none."""
+    deep_one = {"leaf": 1}
+    for i in range(300):
+        deep_one = {f"k{i % 3}": deep_one, **({"side": i} if i % 100 == 0 else {})}
+    rows = [(0, '{"a":1}', '{"a":2}'), (1, "{" * 10_000, '{"a":1}'), (2, json.dumps(deep_one), '{"a":1}'), (3, None, None), (4, "[[1,{}]]", "7"), (5, '{"a":1,"a":2}', "{}")]
+    df = spark.createDataFrame(rows, "config_id int, config string, other string")
+    got = {}
+    for r in I.flatten_config(df).collect():
+        got.setdefault(r.config_id, {})[r.path] = json.loads(r.value)
+    assert got == {0: {"a": 1}, 2: leaves(deep_one)}
+    assert {r.config_id for r in I.config_nodes(df, "config_id", arrays=True).collect()} == {0, 2, 4}
+    lines = {(r.config_id, r.line) for r in I.diff_configs(df, "config", "other").collect()}
+    assert (0, "  a: 1 → 2") in lines and {i for i, _ in lines} == {0, 2}
+    left = [(r.config_id, r.path) for r in I.merge_configs(df, ["config", "other"]).collect()]
+    assert sorted(p for i, p in left if i == 2) == sorted([*leaves(deep_one), "a"]) and (1, "a") in left
+
+
+def test_params_as_python_writes_them(spark):
+    config = {"a": {"b": {"c": {"d": {"z": 1.0, "e": [1e-07, None, "x'y"]}}, "none": {}}}, "t": True, "n": None, "l": ["q", {"k": False}]}
+    df = spark.createDataFrame([(1, json.dumps(config)), (2, "[1]"), (3, "{")], "config_id int, config string")
+    got = {r.name: r.value for r in I.flatten_params(df).collect()}
+    assert got == {"a.b.c.d": str(config["a"]["b"]["c"]["d"]), "t": "True", "n": "None", "l": str(config["l"])}

@@ -110,14 +110,17 @@ def _diff_nodes(col: str) -> str:
  FROM c, json_tree({col}::JSON) j WHERE NOT contains(fullkey, '['))"""
 
 
-SQL["i4_diff_configs"] = f"""WITH {EV}, c AS (SELECT config_id, {_fill_sql(OLD)} AS old, {_fill_sql(NEW)} AS new FROM ev),
-o AS {_diff_nodes('old')}, n AS {_diff_nodes('new')},
-b AS (SELECT config_id, fullkey, coalesce(o.up, n.up) AS up, o.type AS ot, n.type AS nt, o.v AS ov, n.v AS nv, o.txt AS otx, n.txt AS ntx FROM o FULL JOIN n USING (config_id, fullkey))
+_nodes = lambda side, col: f"SELECT '{side}' AS side, * FROM {_diff_nodes(col)}"
+_side = lambda col, side: f"max({col}) FILTER (side = '{side}')"
+SQL["i4_diff_configs"] = f"""WITH {EV}, c AS MATERIALIZED (SELECT config_id, {_fill_sql(OLD)} AS old, {_fill_sql(NEW)} AS new FROM ev),
+b AS MATERIALIZED (SELECT config_id, fullkey, any_value(up) AS up, {_side('type', 'o')} AS ot, {_side('type', 'n')} AS nt, {_side('v', 'o')} AS ov, {_side('v', 'n')} AS nv,
+ {_side('txt', 'o')} AS otx, {_side('txt', 'n')} AS ntx FROM ({_nodes('o', 'old')} UNION ALL {_nodes('n', 'new')}) GROUP BY config_id, fullkey),
+p AS (SELECT config_id, list(fullkey) AS objects FROM b WHERE ot = 'OBJECT' AND nt = 'OBJECT' GROUP BY config_id)
 SELECT config_id, substr(fullkey, 3) AS path, CASE WHEN ot IS NULL THEN '+ ' || substr(fullkey, 3) || ': ' || ntx WHEN nt IS NULL THEN '- ' || substr(fullkey, 3) || ': ' || otx
   ELSE '  ' || substr(fullkey, 3) || ': ' || otx || ' → ' || ntx END AS line
-FROM b JOIN (SELECT config_id AS pc, fullkey AS pk FROM b WHERE ot = 'OBJECT' AND nt = 'OBJECT') p ON pc = config_id AND pk = up
-WHERE fullkey <> '$' AND (ot IS DISTINCT FROM nt OR ov <> nv) AND NOT (coalesce(ot, '') = 'OBJECT' AND coalesce(nt, '') = 'OBJECT')
- AND coalesce(ot, nt) IS NOT NULL AND NOT (ot IS NULL AND nt = 'NULL') AND NOT (nt IS NULL AND ot = 'NULL')"""
+FROM b JOIN p USING (config_id)
+WHERE fullkey <> '$' AND list_contains(objects, up) AND (ot IS DISTINCT FROM nt OR ov <> nv) AND NOT (coalesce(ot, '') = 'OBJECT' AND coalesce(nt, '') = 'OBJECT')
+ AND NOT (ot IS NULL AND nt = 'NULL') AND NOT (nt IS NULL AND ot = 'NULL')"""
 
 
 def i5_config_hash(spark, d):
@@ -269,7 +272,7 @@ def i7_flatten_params(spark, d):
 
 QUERIES["i7_flatten_params"] = i7_flatten_params
 SQL["i7_flatten_params"] = f"""WITH {EV}, r AS (
-SELECT config_id, 'a/x.b.c.d' AS name, '{{"e":' || k || '}}' AS value FROM ev
+SELECT config_id, 'a/x.b.c.d' AS name, '{{''e'': ' || k || '}}' AS value FROM ev
 UNION ALL SELECT config_id, 'a/x.b.l', '[' || value || ', ''' || event_type || ''']' FROM ev
 UNION ALL SELECT config_id, 'long', left(repeat(event_type, 60), 250) FROM ev
 UNION ALL SELECT config_id, 't', 'True' FROM ev UNION ALL SELECT config_id, 'none', 'None' FROM ev)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,68 +57,99 @@ def _list_text(v: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(_as_array(v), lambda x: _shown(x, True)), ", "), F.lit("]"))
 
 
-_MEMBERS = """transform(map_entries(try_variant_get(n.v, '$', 'map<string,variant>')), e -> struct(
-  if(n.path = '', e.key, n.path || '.' || e.key) AS path, if(n.pattern = '', e.key, n.pattern || '.' || e.key) AS pattern,
-  n.path AS parent, e.key AS name, {kind} AS type, e.value AS v))"""
-_ITEMS = """transform(try_variant_get(n.v, '$', 'array<variant>'), (x, i) -> struct(
-  n.path || '.' || i AS path, n.pattern || '[]' AS pattern, n.path AS parent, cast(i AS string) AS name, {kind} AS type, x AS v))"""
+# -- nodes ------------------------------------------------------------------------------
+#
+# A config is unfolded in one pass over its text, by Arrow batches, so that neither the plan nor the number of jobs depends on how deep configs go; values stay
+# text until Spark parses them. Only configs that Spark's parser takes get that far.
 
 
-def _kind_sql(v: str) -> str:
-    names = ", ".join(f"'{a}', '{b}'" for a, b in _KINDS.items())
-    return f"coalesce(try_element_at(map({names}), regexp_extract(schema_of_variant({v}), '^[A-Z]+', 0)), 'number')"
+class _Number(str):
+    """A number as it is written."""
 
 
-def nesting(df: DataFrame, *configs: str) -> int:
-    """How deep the deepest of these configs goes, counted by its brackets outside of strings."""
+def _load(text: str | None):
+    return None if text is None else json.loads(text, parse_float=_Number, parse_int=_Number)
 
-    def depth(c: str) -> Column:
-        brackets = F.regexp_replace(F.regexp_replace(c, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', ""), r"[^\[\]{}]", "")
-        step = F.aggregate(
-            F.split(brackets, ""),
-            F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")),
-            lambda a, b: F.struct(
-                (a["at"] + F.when(b.isin("{", "["), 1).when(b.isin("}", "]"), -1).otherwise(0)).alias("at"),
-                F.greatest(a["most"], a["at"] + F.when(b.isin("{", "["), 1).otherwise(0)).alias("most"),
-            ),
-        )
-        return F.coalesce(F.max(step["most"]), F.lit(0))
 
-    return max(df.agg(*[depth(c).alias(f"d{i}") for i, c in enumerate(configs)]).first())
+def _dump(v) -> str:
+    if isinstance(v, _Number):
+        return str(v)
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{json.dumps(k)}:{_dump(x)}" for k, x in v.items()) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(_dump, v)) + "]"
+    return json.dumps(v)
+
+
+def _plain(name: str) -> str:
+    """A member's name without halves of surrogate pairs, which Arrow can't hold."""
+    return name.encode("utf-8", "replace").decode("utf-8")
+
+
+def _walk(config, arrays: bool = False) -> Iterator[tuple[str, str, str, str, object]]:
+    """(path, pattern, parent, name, value) of every node, each after its parent."""
+    todo = [("", "", "", "", config)]
+    while todo:
+        node = todo.pop()
+        yield node
+        path, pattern, _, _, value = node
+        if isinstance(value, dict):
+            for k, v in value.items():
+                k = _plain(k)
+                todo.append((f"{path}.{k}" if path else k, f"{pattern}.{k}" if pattern else k, path, k, v))
+        elif arrays and isinstance(value, list):
+            todo += [(f"{path}.{i}", f"{pattern}[]", path, str(i), v) for i, v in enumerate(value)]
+
+
+def _sketch(v) -> str:
+    """A value as text; of an object only whether it has members, as these are nodes of their own."""
+    return ('{"":null}' if v else "{}") if isinstance(v, dict) else _dump(v)
+
+
+def _per_row(kind: str, f: Callable) -> Callable:
+    """A function of JSON texts (null where Spark can't parse them) as a column function."""
+
+    def run(*texts: pd.Series) -> pd.Series:
+        old = sys.getrecursionlimit()
+        sys.setrecursionlimit(max(old, 20_000))
+        try:
+            return pd.Series([f(*row) for row in zip(*texts)], dtype=object)
+        finally:
+            sys.setrecursionlimit(old)
 
+    def of(*configs: Column) -> Column:
+        return F.pandas_udf(run, kind)(*[F.when(F.try_parse_json(c).isNotNull(), c) for c in configs])
 
-def _with_levels(df: DataFrame, config: str, out: str, arrays: bool, max_depth: int) -> tuple[DataFrame, list[str]]:
-    """Adds the nodes of every config, an array of (path, pattern, parent, name, type, v) per
-    level; a config that does not parse has none. Each level is unfolded from the one above it,
-    within the row."""
-    members = _MEMBERS.format(kind=_kind_sql("e.value"))
-    kids = members
-    if arrays:
-        kids = f"if(n.type = 'object', {members}, {_ITEMS.format(kind=_kind_sql('x'))})"
-    inner = "n.type IN ('object', 'array')" if arrays else "n.type = 'object'"
-    names = [f"{out}{i}" for i in range(max_depth + 1)]
-    root = f"struct('' AS path, '' AS pattern, '' AS parent, '' AS name, {_kind_sql(f'{out}_v')} AS type, {out}_v AS v)"
-    df = df.withColumn(f"{out}_v", F.try_parse_json(config))
-    df = df.withColumn(names[0], F.expr(f"if({out}_v IS NULL, filter(array({root}), n -> false), array({root}))"))
-    for above, level in zip(names, names[1:]):
-        df = df.withColumn(level, F.expr(f"flatten(transform(filter({above}, n -> {inner}), n -> {kids}))"))
-    return df.drop(f"{out}_v"), names
+    return of
 
 
-def config_nodes(df: DataFrame, key: Sequence[str], config: str = "config", arrays: bool = False, max_depth: int | None = None) -> DataFrame:
-    """One row per node of every config: (key, path, pattern, parent, name, type, v).
+_NODE = "array<struct<path:string,pattern:string,parent:string,name:string,raw:string>>"
 
-    All levels there are, or the first ``max_depth``.
+
+def _unfolded(arrays: bool = False, whole: bool = False) -> Callable:
+    """The nodes of a config as an array; with ``whole`` objects come with all they hold."""
+    show = _dump if whole else _sketch
+
+    def nodes(text):
+        return [] if text is None else [(*head, show(v)) for *head, v in _walk(_load(text), arrays)]
+
+    return _per_row(_NODE, nodes)
+
+
+def config_nodes(df: DataFrame, key: Sequence[str], config: str = "config", arrays: bool = False) -> DataFrame:
+    """One row per node of every config: (key, path, pattern, parent, name, type, v); a config that does not parse has none.
 
     ``pattern`` is the path with ``[]`` in place of list positions. Lists are leaves unless
     ``arrays``.
     """
     key = [key] if isinstance(key, str) else list(key)
-    max_depth = nesting(df, config) if max_depth is None else max_depth
-    rows, levels = _with_levels(df.select(*key, config), config, "_n", arrays, max_depth)
-    # exploded as an expression: for a plain column the optimizer would test its size first,
-    # which means to unfold every config twice
-    return rows.select(*key, F.explode(F.concat(*levels)).alias("n")).select(*key, "n.*")
+    rows = df.select(*key, F.explode(_unfolded(arrays, whole=True)(F.col(config))).alias("n"))
+    return _typed(rows.select(*key, "n.*"), key)
+
+
+def _typed(nodes: DataFrame, key: list[str]) -> DataFrame:
+    nodes = nodes.withColumn("v", F.try_parse_json("raw")).withColumn("type", _kind(F.col("v")))
+    return nodes.select(*key, *[c for c in ("path", "pattern", "parent", "name") if c in nodes.columns], "type", "v")
 
 
 def _value(v: Column, kind: Column) -> Column:
@@ -128,10 +161,53 @@ def flatten_config(df: DataFrame, key: Sequence[str] | str = "config_id", config
     """(key, path, type, value, num): the leaves; lists and empty objects are leaves. ``num`` is
     the value of a number."""
     key = [key] if isinstance(key, str) else list(key)
-    nodes = config_nodes(df, key, config)
-    empty = (F.col("type") == OBJECT) & (F.size(_as_map(F.col("v"))) == 0)
-    leaves = nodes.filter((F.col("path") != "") & ((F.col("type") != OBJECT) | empty))
-    return leaves.select(*key, "path", "type", _value(F.col("v"), F.col("type")).alias("value"), _number(F.col("v"), F.col("type")).alias("num"))
+    return _leaf_rows(df.select(*key, F.explode(_merged(F.col(config))).alias("n")), key)
+
+
+def _leaf_rows(rows: DataFrame, key: list[str]) -> DataFrame:
+    rows = _typed(rows.select(*key, "n.path", "n.raw"), key)
+    return rows.select(*key, "path", "type", _value(F.col("v"), F.col("type")).alias("value"), _number(F.col("v"), F.col("type")).alias("num"))
+
+
+def _above(path: str) -> Iterator[str]:
+    """The paths a path lies under."""
+    at = path.find(".")
+    while at >= 0:
+        yield path[:at]
+        at = path.find(".", at + 1)
+
+
+def _merged_leaves(*texts: str | None) -> list[tuple[str, str]]:
+    """(path, value) of the leaves that are left of several layers.
+
+    Every path is looked up in maps of what the last layer is that has it as a leaf, as a leaf that is no object, or as an object with members, so the work is in
+    proportion to the leaves and their depth.
+    """
+    found: list[tuple[int, str, object]] = []
+    leaf: dict[str, int] = {}
+    closed: dict[str, int] = {}
+    inside: dict[str, int] = {}
+    for layer, text in enumerate(texts):
+        for path, _, _, _, v in _walk(_load(text)) if text is not None else ():
+            if not path or (isinstance(v, dict) and v):
+                continue
+            found.append((layer, path, v))
+            leaf[path] = layer
+            if not isinstance(v, dict):
+                closed[path] = layer
+            for up in _above(path):
+                inside[up] = layer
+    left = [
+        (path, v)
+        for layer, path, v in found
+        if leaf[path] <= layer and inside.get(path, -1) <= layer and all(closed.get(up, -1) <= layer for up in _above(path))
+    ]
+    filled = {up for path, _ in left for up in _above(path)}
+    # an empty object next to members of the same object adds nothing
+    return [(path, _dump(v)) for path, v in left if not (isinstance(v, dict) and path in filled)]
+
+
+_merged = _per_row("array<struct<path:string,raw:string>>", _merged_leaves)
 
 
 def merge_configs(df: DataFrame, layers: Sequence[str], key: str = "config_id") -> DataFrame:
@@ -140,23 +216,7 @@ def merge_configs(df: DataFrame, layers: Sequence[str], key: str = "config_id")
     A leaf goes when a later layer holds the same path, a value in place of one of its
     ancestors, or an object in its place. The configs of one row are merged within the row.
     """
-    rows = df.select(key, *layers)
-    deepest = nesting(df, *layers)
-    levels = []
-    for i, c in enumerate(layers):
-        rows, names = _with_levels(rows, c, f"_n{i}_", False, deepest)
-        levels.append(f"concat({', '.join(names)})")
-    leaf = "n.path <> '' AND (n.type <> 'object' OR size(try_variant_get(n.v, '$', 'map<string,variant>')) = 0)"
-    stack = [f"transform(filter({levels[i]}, n -> {leaf}), n -> struct({i} AS layer, n.path AS path, n.type AS type, n.v AS v))" for i in range(len(layers))]
-    rows = rows.select(key, F.expr(f"concat({', '.join(stack)})").alias("_all"))
-    gone = """exists(_all, o -> o.layer > l.layer AND (o.path = l.path
-        OR (o.type <> 'object' AND startswith(l.path, o.path || '.')) OR startswith(o.path, l.path || '.')))"""
-    rows = rows.withColumn("_left", F.expr(f"filter(_all, l -> NOT {gone})"))
-    # an empty object next to members of the same object adds nothing
-    filled = "l.type = 'object' AND exists(_left, o -> startswith(o.path, l.path || '.'))"
-    rows = rows.select(key, F.explode(F.expr(f"filter(_left, l -> NOT ({filled}))")).alias("l"))
-    v, kind = F.col("l.v"), F.col("l.type")
-    return rows.select(key, "l.path", "l.type", _value(v, kind).alias("value"), _number(v, kind).alias("num"))
+    return _leaf_rows(df.select(key, F.explode(_merged(*map(F.col, layers))).alias("n")), [key])
 
 
 def apply_patch(df: DataFrame, base: str = "base", patch: str = "patch", key: str = "config_id") -> DataFrame:
@@ -183,60 +243,79 @@ def diff_configs(df: DataFrame, old: str = "old", new: str = "new", key: str = "
     """(key, path, line): changes between two config columns. An added or removed subtree is one
     line; an added or removed null is none. ``loose`` compares 1, 1.0 and true as equal."""
 
-    def shape(n: Column) -> Column:
-        v, kind = n["v"], n["type"]
-        if loose:
-            same = F.when(kind == "boolean", (F.try_variant_get(v, "$", "string") == "true").cast("double")).otherwise(_number(v, kind))
-            canon = F.coalesce(same.cast("string"), F.concat(kind, F.lit(":"), F.to_json(v)))
-        else:
-            canon = F.concat(kind, F.lit(":"), _value(v, kind))
-        return F.struct(n["path"], n["parent"], kind.alias("type"), canon.alias("canon"), _diff_text(v, kind).alias("text"))
-
-    rows = df.select(key, old, new)
-    deepest = nesting(df, old, new)
-    rows, a = _with_levels(rows, old, "_a", False, deepest)
-    rows, b = _with_levels(rows, new, "_b", False, deepest)
-    rows = rows.select(key, F.transform(F.concat(*a), shape).alias("_o"), F.transform(F.concat(*b), shape).alias("_n"))
-    # old and new nodes side by side; a config has some dozens of nodes
-    rows = rows.withColumn(
-        "_both",
-        F.expr(
-            """concat(transform(_o, o -> struct(o.path AS path, o.parent AS parent, o AS o, get(filter(_n, n -> n.path = o.path), 0) AS n)),
-            transform(filter(_n, n -> NOT exists(_o, o -> o.path = n.path)),
-              n -> struct(n.path AS path, n.parent AS parent, get(filter(_o, o -> false), 0) AS o, n AS n)))"""
-        ),
-    )
-    rows = rows.withColumn("_in", F.expr("transform(filter(_both, p -> p.o.type = 'object' AND p.n.type = 'object'), p -> p.path)"))
-    changed = """p -> p.path <> '' AND array_contains(_in, p.parent) AND NOT array_contains(_in, p.path)
-        AND coalesce(p.o.canon <> p.n.canon, true)
-        AND NOT (p.o IS NULL AND p.n.type = 'null') AND NOT (p.n IS NULL AND p.o.type = 'null')"""
+    def canon(v: Column, kind: Column) -> Column:
+        if not loose:
+            return F.concat(kind, F.lit(":"), _value(v, kind))
+        same = F.when(kind == "boolean", (F.try_variant_get(v, "$", "string") == "true").cast("double")).otherwise(_number(v, kind))
+        return F.coalesce(same.cast("string"), F.concat(kind, F.lit(":"), F.to_json(v)))
+
+    rows = df.select(key, F.explode(_pairs(F.col(old), F.col(new))).alias("p")).select(key, "p.*")
+    for side in "on":
+        rows = rows.withColumn(f"{side}_v", F.try_parse_json(side)).withColumn(f"{side}_type", _kind(F.col(f"{side}_v")))
+        rows = rows.withColumn(f"{side}_type", F.when(F.col(side).isNotNull(), F.col(f"{side}_type")))
+        v, kind = F.col(f"{side}_v"), F.col(f"{side}_type")
+        rows = rows.withColumns({f"{side}_canon": canon(v, kind), f"{side}_text": _diff_text(v, kind)})
+    added, removed = F.col("o").isNull(), F.col("n").isNull()
+    changed = F.coalesce(F.col("o_canon") != F.col("n_canon"), F.lit(True))
+    empty = (added & (F.col("n_type") == "null")) | (removed & (F.col("o_type") == "null"))
     line = (
-        F.when(F.col("p.o").isNull(), F.format_string("+ %s: %s", F.col("p.path"), F.col("p.n.text")))
-        .when(F.col("p.n").isNull(), F.format_string("- %s: %s", F.col("p.path"), F.col("p.o.text")))
-        .otherwise(F.format_string("  %s: %s → %s", F.col("p.path"), F.col("p.o.text"), F.col("p.n.text")))
+        F.when(added, F.format_string("+ %s: %s", "path", "n_text"))
+        .when(removed, F.format_string("- %s: %s", "path", "o_text"))
+        .otherwise(F.format_string("  %s: %s → %s", "path", "o_text", "n_text"))
     )
-    return rows.select(key, F.explode(F.expr(f"filter(_both, {changed})")).alias("p")).select(key, "p.path", line.alias("line"))
+    return rows.filter(changed & ~empty).select(key, "path", line.alias("line"))
+
+
+def _side_by_side(old: str | None, new: str | None) -> list[tuple[str, str | None, str | None]]:
+    """(path, old value, new value) of the nodes whose parents are objects in both configs and which are not objects in both themselves."""
+    if old is None or new is None:
+        return []
+    a, b = ({path: v for path, _, _, _, v in _walk(_load(text))} for text in (old, new))
+    both = {path for path, v in a.items() if isinstance(v, dict) and isinstance(b.get(path), dict)}
+    out = []
+    for path in [*a, *(p for p in b if p not in a)]:
+        up = path.rpartition(".")[0]
+        if path and up in both and path not in both:
+            out.append((path, _sketch(a[path]) if path in a else None, _sketch(b[path]) if path in b else None))
+    return out
+
+
+_pairs = _per_row("array<struct<path:string,o:string,n:string>>", _side_by_side)
 
 
 def config_hash(df: DataFrame, key: str = "config_id", config: str = "config") -> DataFrame:
     """(key, config_hash): 16 hex digits over the sorted ``path=value`` lines of a config."""
-    rows, levels = _with_levels(df.select(key, config), config, "_n", False, nesting(df, config))
-    leaves = F.filter(
-        F.concat(*levels), lambda n: (n["path"] != "") & ((n["type"] != OBJECT) | (F.size(_as_map(n["v"])) == 0))
-    )
-    lines = F.array_sort(F.transform(leaves, lambda n: F.concat_ws("=", n["path"], _value(n["v"], n["type"]))))
+    def line(n: Column) -> Column:
+        v = F.try_parse_json(n["raw"])
+        return F.concat_ws("=", n["path"], _value(v, _kind(v)))
+
+    # a config that does not parse has no lines
+    lines = F.array_sort(F.transform(F.col("_leaves"), line))
+    rows = df.select(key, _merged(F.col(config)).alias("_leaves"))
     return rows.select(key, F.left(F.sha2(F.array_join(lines, "\n"), 256), F.lit(16)).alias("config_hash"))
 
 
+def _params(text: str | None, max_depth: int, max_chars: int) -> list[tuple[str, str]]:
+    if text is None:
+        return []
+    found = json.loads(text)
+    if not isinstance(found, dict):
+        return []
+    out, todo = [], [("", 0, found)]
+    while todo:
+        path, depth, v = todo.pop()
+        if isinstance(v, dict) and depth <= max_depth:
+            todo += [(f"{path}.{_plain(k)}" if path else _plain(k), depth + 1, x) for k, x in v.items()]
+        elif path:
+            out.append((path, _plain(str(v))[:max_chars]))
+    return out
+
+
 def flatten_params(df: DataFrame, key: str = "config_id", config: str = "config", max_depth: int = 3, max_chars: int = 250) -> DataFrame:
-    """(key, name, value): parameters as a tracker logs them; objects below ``max_depth`` levels
-    of nesting stay whole."""
-    nodes = config_nodes(df, [key], config, max_depth=max_depth + 1)
-    depth = F.size(F.split("path", r"\."))
-    leaf = (F.col("path") != "") & ((F.col("type") != OBJECT) | (depth > max_depth))
-    v = F.col("v")
-    text = F.when(F.col("type") == "array", _list_text(v)).otherwise(_shown(v, False, F.col("type")))
-    return nodes.filter(leaf).select(key, F.col("path").alias("name"), F.left(text, F.lit(max_chars)).alias("value"))
+    """(key, name, value): parameters as a tracker logs them, each as Python writes it; objects below ``max_depth`` levels
+    of nesting stay whole, in the order of their members."""
+    params = _per_row("array<struct<name:string,value:string>>", lambda text: _params(text, max_depth, max_chars))
+    return df.select(key, F.explode(params(F.col(config))).alias("n")).select(key, "n.name", "n.value")
 
 
 def clean_metric_name(name: Column) -> Column:
