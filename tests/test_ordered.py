@@ -61,3 +61,27 @@ def test_no_window_over_the_rows_of_a_whole_key(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert len(windows) == 3 and "_l1" in windows[0] and "Join" not in plan
+
+
+def test_chunk_lookup(spark):
+    from pyspark.sql import types as T
+
+    from trialweave.plans.lookup import chunk_lookup
+
+    rows = [(i, ["the"] * (i % 5) + [f"w{i % 7}", "rare"]) for i in range(60)] + [(60, []), (61, None), (62, [None, "the"])]
+    df = spark.createDataFrame(rows, "doc_id bigint, ws array<string>")
+    known = spark.createDataFrame([("the", 1), ("w3", 3), ("unused", 9)], "tok string, value int")
+    asked = []
+
+    def find(words):
+        asked.append(words)
+        return words.join(known, "tok")
+
+    out = chunk_lookup(df, "doc_id", "ws", find, "ids", T.IntegerType(), chunks=6)
+    got = {r["doc_id"]: (r["ws"], r["ids"]) for r in out.collect()}
+    ids = {"the": 1, "w3": 3}
+    assert got == {i: (ws, None if ws is None else [ids.get(w) for w in ws]) for i, ws in rows}
+    # a word is asked for once a chunk, and making the questions moves whole rows only
+    assert asked[0].filter("tok = 'the'").count() <= 6
+    plan = asked[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -200,22 +200,6 @@ SELECT d.doc_id, md5(coalesce(j.text, d.text)) AS text_md5 FROM documents d LEFT
 """
 
 
-def c7_back_translation_model(spark, d):
-    """The same operator through a model loaded in the tasks; a tiny stand-in model reverses words."""
-
-    def load():
-        return lambda texts: [" ".join(reversed(t.split())) for t in texts]
-
-    return _digest(T.back_translation(_docs(spark, d), probability=0.3, model=load))
-
-
-QUERIES["c7_back_translation_model"] = c7_back_translation_model
-SQL["c7_back_translation_model"] = (
-    f"SELECT doc_id, md5(CASE WHEN {gate_sql(42, 'back_translation', 'doc_id', 0.3)} "
-    f"THEN array_to_string(list_reverse({words_sql('text')}), ' ') ELSE text END) AS text_md5 FROM documents"
-)
-
-
 def c8_contextual_insertion(spark, d):
     docs = _docs(spark, d)
     return _digest(T.contextual_insertion(docs, probability=0.3, bigrams=materialize(T.bigram_counts(docs), "bigrams")))

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.draws import u
 from ..functions.texts import unfolded, words
+from ..plans.lookup import chunk_lookup
 from ..plans.ordered import draw_levels, number_rows, range_cells, running_before
 from ..plans.session import materialize
 
@@ -47,15 +49,11 @@ def build_vocab(
 
 
 def encode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", unk: int = 1) -> DataFrame:
-    """(key, input_ids); a text without tokens has no ids. Texts are clustered by key before their tokens are exploded.
-
-    Spark broadcasts a stored vocabulary that its size check admits, and texts are then put together where they are; beyond
-    that it shuffles tokens, and adaptive execution splits the partitions of common ones."""
-    cells = df.select(key, tokens).repartition(F.col(key)).select(key, F.posexplode_outer(unfolded(F.col(tokens))).alias("pos", "tok"))
-    found = cells.join(vocab.select("tok", "id"), "tok", "left")
-    ids = found.select(key, F.struct("pos", F.coalesce("id", F.lit(unk)).alias("id")).alias("c"))
-    real = F.filter(F.array_sort(F.collect_list("c")), lambda c: c["pos"].isNotNull())
-    return ids.groupBy(key).agg(F.transform(real, lambda c: c["id"]).alias("input_ids"))
+    """(key, input_ids); a text without tokens has no ids. The distinct tokens of chunks of texts look their ids up, see ``chunk_lookup``."""
+    rows = df.select(key, F.col(tokens).alias("_tokens"))
+    found = chunk_lookup(rows, key, "_tokens", lambda asked: asked.join(vocab.select("tok", F.col("id").cast("int").alias("value")), "tok"), "_ids", T.IntegerType())
+    ids = F.transform(F.coalesce("_ids", F.array().cast("array<int>")), lambda i: F.coalesce(i, F.lit(unk)))
+    return found.select(key, ids.alias("input_ids"))
 
 
 def truncate_pad(

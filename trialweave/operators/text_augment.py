@@ -13,10 +13,11 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.draws import gate, pick, randint, u
 from ..functions.texts import join_words, unfolded, words
-from ..plans.lookup import salted_lookup, sparse_lookup
+from ..plans.lookup import chunk_lookup, salted_lookup, sparse_lookup
 from ..plans.session import materialize
 from .vector_augment import image_steps
 
@@ -194,7 +195,7 @@ def back_translation(
     first words, as translation models with a limit of 512 tokens do.
 
     With ``forward`` (word, pivot) and ``backward`` (pivot, word) phrase tables the trip is
-    two equi-joins over the distinct words; a word unknown to a table is kept. With ``model`` - a function without
+    two equi-joins over the distinct words of chunks of texts; a word unknown to a table is kept. With ``model`` - a function without
     arguments returning ``translate(list[str]) -> list[str]`` - batches go through the
     model, loaded once per task; a text whose translation fails is returned as it was,
     while a model that cannot be loaded fails the job.
@@ -210,39 +211,46 @@ def back_translation(
 
     def act(rows: DataFrame) -> DataFrame:
         rows = _gated_words(rows, key, text, probability, seed, tag)
-        kept = unfolded(F.col("_w")) if max_tokens is None else F.slice("_w", 1, int(max_tokens))
-        # one row per word of a gated text
-        cells = rows.filter(F.col("_n") > 0).select(key, F.posexplode(kept).alias("pos", "word"))
-        # the trip of every distinct word; no word is hot here
-        there = cells.select("word").distinct().join(forward, "word", "left")
-        there = there.select("word", F.coalesce("pivot", "word").alias("pivot"))
-        trips = there.join(backward.select("pivot", F.col("word").alias("_back")), "pivot", "left")
-        trips = trips.select("word", F.coalesce("_back", "pivot").alias("_said"))
-        told = salted_lookup(cells, trips, ["word"], [key, "pos"]).select(key, F.struct("pos", F.col("_said").alias("w")).alias("c"))
-        said = told.groupBy(key).agg(
-            F.array_join(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["w"]), " ").alias("_said")
-        )
-        return (
-            rows.join(said, key, "left").withColumn(text, F.coalesce("_said", text)).drop("_w", "_n", "_said")
-        )
+        kept = F.col("_w") if max_tokens is None else F.slice("_w", 1, int(max_tokens))
+
+        def trips(asked: DataFrame) -> DataFrame:
+            there = asked.join(forward.withColumnRenamed("word", "tok"), "tok", "left").withColumn("pivot", F.coalesce("pivot", "tok"))
+            back = backward.select("pivot", F.col("word").alias("_back"))
+            return there.join(back, "pivot", "left").select("chunk", "tok", F.coalesce("_back", "pivot").alias("value"))
+
+        told = chunk_lookup(rows.withColumn("_w", kept), key, "_w", trips, "_said", T.StringType())
+        said = F.when(F.size("_said") > 0, F.array_join("_said", " "))
+        return told.withColumn(text, F.coalesce(said, text)).drop("_w", "_n", "_said")
 
     return _only_gated(df, on, act, key) if split else act(df)
 
 
+def _all_or_each(model: Callable[[list[str]], list], texts: list[str]) -> list:
+    """What a model makes of some texts: called once, or, where that fails, text by text, with None for those that fail alone."""
+    if not texts:
+        return []
+    try:
+        return list(model(texts))
+    except Exception:  # some text of the batch
+        out = []
+        for t in texts:
+            try:
+                out.append(model([t])[0])
+            except Exception:  # this text
+                out.append(None)
+        return out
+
+
 def _through_model(df: DataFrame, text: str, load) -> DataFrame:
     everything = "_on" not in df.columns
 
     def run(batches: Iterator) -> Iterator:
         translate = load()
         for pdf in batches:
-            new = []
-            act = [True] * len(pdf) if everything else list(pdf["_on"])
-            for t, a in zip(pdf[text], act):
-                try:
-                    new.append(translate([t])[0] if a else t)
-                except Exception:  # the text stays as it was
-                    new.append(t)
-            yield pdf.assign(**{text: new})
+            act = [True] * len(pdf) if everything else [bool(a) for a in pdf["_on"]]
+            asked = [t for t, a in zip(pdf[text], act) if a]
+            told = iter(_all_or_each(translate, asked))
+            yield pdf.assign(**{text: [t if not a or (new := next(told)) is None else new for t, a in zip(pdf[text], act)]})
 
     return df.mapInPandas(run, df.schema)
 
@@ -344,17 +352,13 @@ def contextual_insertion(
         def run(batches: Iterator) -> Iterator:
             fill = model()
             for pdf in batches:
+                masked = [None if ws is None or at is None or at != at else " ".join([*ws[: int(at)], "[MASK]", *ws[int(at) :]]) for ws, at in zip(pdf["_w"], pdf["_at"])]
+                told = iter(_all_or_each(fill, [t for t in masked if t is not None]))
                 new = []
-                for ws, at, d in zip(pdf["_w"], pdf["_at"], pdf["_d"]):
-                    try:
-                        if ws is None or at != at or at is None:
-                            new.append(None)
-                            continue
-                        ws, at = list(ws), int(at)
-                        found = fill([" ".join(ws[:at] + ["[MASK]"] + ws[at:])])[0][:top_k]
-                        new.append(found[int(d * len(found))].strip() if found else None)
-                    except Exception:  # the text stays as it was
-                        new.append(None)
+                for t, d in zip(masked, pdf["_d"]):
+                    found = (next(told) if t is not None else None) or []
+                    found = found[:top_k]
+                    new.append(found[int(d * len(found))].strip() if found else None)
                 yield pdf.assign(_new=new)
 
         return insert(rows.mapInPandas(run, rows.schema))

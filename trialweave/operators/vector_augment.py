@@ -226,17 +226,22 @@ def beta_draw(seed: int, tag: str, key: Column, alpha: float) -> Column:
     return F.coalesce(F.get(F.filter(tries, lambda x: x.isNotNull()), F.lit(0)), F.lit(0.5))
 
 
-def pair_up(df: DataFrame, key: str, pixels: str, label: str, batch_size: int, seed: int, tag: str) -> DataFrame:
-    """Adds ``_partner`` (pixels, label): the next row of the batch in a random cyclic order.
-    A batch has a fixed number of rows, so a window over it stays small."""
-    draw = u(seed, f"{tag}:order", F.col(key), 0)
-    df = df.withColumn("_u", draw)
-    ranked = number_rows(df, [], draw_levels(F.col("_u")), [F.col("_u"), F.col(key)], "_rank")
+def pair_up(df: DataFrame, key: str, pixels: str, label: str, batch_size: int, seed: int, tag: str, on: Column) -> DataFrame:
+    """Adds ``_on`` and, where it holds, ``_partner`` (pixels, label): the next row of the batch in a random cyclic order.
+
+    Keys, which name rows, are ranked and paired alone; a batch has a fixed number of rows, so a window over it stays small. Only rows that are acted
+    on fetch their partners; all others pass by untouched.
+    """
+    keys = df.select(key).withColumn("_u", u(seed, f"{tag}:order", F.col(key), 0))
+    ranked = number_rows(keys, [], draw_levels(F.col("_u")), [F.col("_u"), F.col(key)], "_rank")
     ranked = ranked.withColumn("_batch", F.floor((F.col("_rank") - 1) / F.lit(batch_size)))
     w = W.partitionBy("_batch").orderBy("_rank")
-    me = F.struct(F.col(pixels).alias("pixels"), F.col(label).alias("label"))
-    partner = F.coalesce(F.lead(me).over(w), F.first(me).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
-    return ranked.withColumn("_partner", partner).drop("_u", "_rank", "_batch")
+    next_key = F.coalesce(F.lead(key).over(w), F.first(key).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    pairs = ranked.withColumn("_next", next_key).filter(on).select(key, "_next")
+    others = df.select(F.col(key).alias("_next"), F.struct(F.col(pixels).alias("pixels"), F.col(label).alias("label")).alias("_partner"))
+    met = df.filter(on).join(pairs.join(others, "_next").drop("_next"), key, "left")
+    rest = df.filter(F.coalesce(~on, F.lit(True)))
+    return met.unionByName(rest, allowMissingColumns=True).withColumn("_on", F.col("_partner").isNotNull())
 
 
 def _soft(label: Column, other: Column, weight: Column) -> Column:
@@ -250,7 +255,7 @@ def cutmix(
 ) -> DataFrame:
     """Pastes a random box of a partner; ``labels`` weighs both labels by their share of the area."""
     k = F.col(key)
-    df = pair_up(df, key, pixels, label, batch_size, seed, tag).withColumn("_on", gate(seed, tag, k, probability))
+    df = pair_up(df, key, pixels, label, batch_size, seed, tag, gate(seed, tag, k, probability))
     df = df.withColumn("_side", F.sqrt(1 - beta_draw(seed, f"{tag}:lambda", k, alpha)))
     for name, extent, i in (("y", shape.height, 0), ("x", shape.width, 1)):
         mid = pick(u(seed, f"{tag}:box", k, i), extent)
@@ -276,7 +281,7 @@ def mixup(
 ) -> DataFrame:
     """Blends a sample with a partner; ``labels`` weighs both labels alike."""
     k = F.col(key)
-    df = pair_up(df, key, pixels, label, batch_size, seed, tag).withColumn("_on", gate(seed, tag, k, probability))
+    df = pair_up(df, key, pixels, label, batch_size, seed, tag, gate(seed, tag, k, probability))
     df = df.withColumn("_l", beta_draw(seed, f"{tag}:lambda", k, alpha))
     blend = F.zip_with(pixels, "_partner.pixels", lambda a, b: F.col("_l") * a.cast("double") + (1 - F.col("_l")) * b.cast("double"))
     soft = F.when(F.col("_on"), _soft(F.col(label), F.col("_partner.label"), F.col("_l"))).otherwise(

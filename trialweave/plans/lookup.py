@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Chunks of texts for each shuffle partition: a partition of 100 to 200 MB gives chunks of some 10 MB.
+CHUNKS_PER_PARTITION = 16
 
 
 def salted_lookup(
@@ -28,3 +37,32 @@ def sparse_lookup(rows: DataFrame, dimension: DataFrame, on: list[str], salt_by:
     """
     asked = rows.select(*on).distinct()
     return salted_lookup(rows, dimension.join(asked, on, "left_semi"), on, salt_by, how)
+
+
+def chunk_lookup(rows: DataFrame, key: str, tokens: str, find: Callable[[DataFrame], DataFrame], out: str, kind: T.DataType, chunks: int | None = None) -> DataFrame:
+    """Adds ``out``: for each of a row's tokens its value in a dictionary, null where it has none.
+
+    Rows are dealt by key into chunks, and only the distinct tokens of a chunk look for their values, so the commonest word is asked for once a chunk and tokens are not
+    shuffled. ``find`` gets ``chunk`` and ``tok`` and returns them with ``value``, once each. Values come back to their chunk, whose rows are then translated together by Arrow's
+    kernels. A chunk is held by one task; its size follows from the number of shuffle partitions (or of ``chunks``).
+    """
+    spark = rows.sparkSession
+    chunks = chunks or CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")).repartition("_chunk")
+    # already clustered by chunk, so this takes no shuffle of its own
+    asked = dealt.select(F.col("_chunk").alias("chunk"), F.explode(F.concat(tokens)).alias("tok")).distinct()
+    found = find(asked).select(F.col("chunk").alias("_chunk"), "tok", "value")
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.ArrayType(kind))])
+
+    def translate(texts: pa.Table, known: pa.Table) -> pa.Table:
+        column = texts.column(tokens).combine_chunks()
+        if isinstance(column, pa.ChunkedArray):
+            column = pa.concat_arrays(column.chunks)
+        flat = column.flatten()
+        places = pc.index_in(flat, value_set=known.column("tok").combine_chunks())
+        values = known.column("value").combine_chunks().take(places)
+        sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        return texts.drop_columns("_chunk").append_column(out, pa.ListArray.from_arrays(offsets, values, mask=column.is_null()))
+
+    return dealt.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(translate, schema)
