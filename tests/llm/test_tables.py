@@ -21,12 +21,14 @@ def test_round_trip(spark):
     big = "<p>\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\nä" * 40
     rows = [(3, "http://a", big), (1, None, big), (2, "http://b\nx", "small"), (4, "u", "small"), (None, "n", big), (5, "e", None), (6, "e", ""), (1, None, big), (7, "l", "y" * 900_000)]
     path = capture(spark, [(*r, "clash") for r in rows], records_per_file=5)
-    out = warc.transactions(warc.read_records(spark, path)).collect()
+    out = warc.resolved(warc.transactions(warc.read_records(spark, path))).collect()
     assert len(out) == len(rows)
     found = sorted(
-        (dict(r["metadata"]["fields"]).get("page-id", ""), r["response"]["warc_type"], dict(r["metadata"]["fields"]).get("refers-to", ""), len(r["response"]["payload"] or b""))
+        (dict(r["metadata"]["fields"]).get("page-id", ""), r["response"]["warc_type"], r["held"]["page_id"] if r["held"] else "", len(r["response"]["payload"] or b""))
         for r in out
     )
+    holders = {r["capture_id"] for r in out if r["response"]["warc_type"] == "response"}
+    assert all((r["response"]["refers_to"] in holders) == (r["response"]["warc_type"] == "revisit") for r in out)
     n = len(big.encode())
     assert found == [("", "revisit", "1", 0), ("1", "response", "", n), ("1", "response", "", n), ("2", "response", "", 5), ("3", "revisit", "1", 0), ("4", "response", "", 5), ("5", "response", "", 0), ("6", "response", "", 0), ("7", "response", "", 900_000)]
     assert {r["response"]["payload_digest"] for r in out} == {hashlib.sha256((h or "").encode()).hexdigest() for _, _, h in rows}
@@ -41,6 +43,18 @@ def test_foreign_archives():
         assert [(f[0], f[6], f[7], f[9]) for f in found] == [("<x>", 2, 404, b"hi")] * 2
 
 
+def test_malformed_records():
+    good = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: 13\r\n\r\nHTTP/1.1 \r\n\r\n\r\n\r\n"
+    odd = [good.replace(b"13", n) for n in (b"x", b"-5", b"1e3", "\u0661".encode(), b"", b"9" * 40)]
+    short = [good.replace(b"HTTP/1.1 ", b"HTTP/1.1x"), good.replace(b"HTTP/1.1 ", b"HTTP/1 ab"), good.replace(b"HTTP/1.1 ", b"\xff\xfe\x00 1 22")]
+    for bad in odd:
+        assert [f[0] for f in warc.parse_archive(bad + good)] == ["<x>"]
+    for bad in (good, *short):
+        assert [(f[0], f[7]) for f in warc.parse_archive(bad + good)] == [("<x>", None)] * 2
+    assert list(warc.parse_archive(gzip.compress(good)[:-30] + b"\x1f\x8bxxxxxxxxxxxxxxx")) is not None
+    assert list(warc.parse_archive(b"\x1f\x8bnot gzip")) == []
+
+
 def test_no_pages(spark):
     path = capture(spark, [])
     assert warc.transactions(warc.read_records(spark, path)).count() == 0

@@ -58,10 +58,11 @@ def plan_captures(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
         F.regexp_replace(F.col(url_col).cast("string"), r"[\r\n]+", " ").alias("_url"),
         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("_payload"),
     ).withColumns({"_digest": F.sha2("_payload", 256), "_bytes": F.octet_length("_payload").cast("long")})
-    shared = own.filter(F.col("_bytes") >= min_bytes).groupBy("_digest").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    holder = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_url"))).alias("_first")
+    shared = own.filter(F.col("_bytes") >= min_bytes).groupBy("_digest").agg(holder, F.count(F.lit(1)).alias("_n"))
     shared = materialize(shared.filter("_n > 1 and _first is not null").drop("_n"), "warc-shared")
     out = own.join(shared, "_digest", "left")
-    revisit = F.col("_first").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_first"))
+    revisit = F.col("_first").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_first._id"))
     return out.withColumns({"_type": F.when(revisit, "revisit").otherwise("response"), "_refers": F.when(revisit, F.col("_first"))}).drop("_first")
 
 
@@ -77,12 +78,13 @@ def write_archive(
 ) -> None:
     """Writes request, response or revisit, and metadata records of every page into gzipped files under ``path``.
 
-    ``records_per_file`` bounds what a reader holds at once.
+    A revisit names the record that holds its payload in WARC-Refers-To. ``records_per_file`` bounds what a reader holds at once, for pages of usual sizes; a file is one gzip member.
     """
     p = plan_captures(pages, id_col, url_col, payload_col, min_bytes)
-    key, first = F.col("_id").cast("string"), F.col("_refers").cast("string")
+    key, first = F.col("_id").cast("string"), F.col("_refers._id").cast("string")
     # the row's place tells equal rows apart only through their url; equal captures share their ids
     capture = _urn("capture", key, F.col("_digest"), F.col("_url"))
+    holder = F.when(first.isNotNull(), _urn("capture", first, F.col("_digest"), F.col("_refers._url")))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "), F.col("_bytes").cast("string"), F.lit(RECORD_END))
     is_revisit = F.col("_type") == "revisit"
     digest = F.concat(F.lit("sha256:"), F.col("_digest"))
@@ -92,13 +94,13 @@ def write_archive(
         capture,
         date,
         F.col("_url"),
-        [("WARC-Payload-Digest", digest), ("WARC-Profile", profile)],
+        [("WARC-Payload-Digest", digest), ("WARC-Refers-To", holder), ("WARC-Refers-To-Target-URI", F.col("_refers._url")), ("WARC-Profile", profile)],
         "application/http; msgtype=response",
         F.when(is_revisit, http).otherwise(F.concat(http, F.col("_payload"))),
     )
     ask = F.concat(F.lit("GET "), F.coalesce(F.col("_url"), F.lit("/")), F.lit(f" HTTP/1.1{RECORD_END}"))
     request = _record("request", _urn("request", key, F.col("_digest"), F.col("_url")), date, F.col("_url"), [("WARC-Concurrent-To", capture)], "application/http; msgtype=request", ask)
-    facts = [("page-id", key), ("refers-to", first), ("payload-bytes", F.col("_bytes").cast("string"))]
+    facts = [("page-id", key)]
     body = F.concat(*[F.coalesce(F.concat(F.lit(n + ": "), v, F.lit(EOL)), F.lit("")) for n, v in facts])
     metadata = _record("metadata", _urn("metadata", key, F.col("_digest"), F.col("_url")), date, F.col("_url"), [("WARC-Concurrent-To", capture)], "application/warc-fields", body)
     records = p.select(F.explode(F.array(request, main, metadata)).alias("record"))
@@ -114,13 +116,31 @@ def _headers(raw: bytes) -> dict[str, str]:
     return out
 
 
+def _whole(text: str | bytes) -> int | None:
+    """A whole number, None if it is written otherwise."""
+    text = text.decode("ascii", "replace") if isinstance(text, bytes) else text
+    text = text.strip()
+    return int(text) if text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
+def _status(http: bytes) -> int | None:
+    parts = http.split(None, 2)
+    return _whole(parts[1][:9]) if http.startswith(b"HTTP/") and len(parts) > 1 else None
+
+
 def parse_archive(data: bytes, with_payload: bool = True) -> Iterator[tuple]:
-    """The records of one archive, gzipped (in one or many members) or not; a damaged end closes the archive."""
+    """The records of one archive, gzipped (in one or many members) or not; a damaged end closes the archive.
+
+    A record whose length is no number is passed over, and a status that is none comes back as null.
+    """
     if data[:2] == b"\x1f\x8b":
         parts = []
         while data[:2] == b"\x1f\x8b":
             one = zlib.decompressobj(31)
-            parts.append(one.decompress(data))
+            try:
+                parts.append(one.decompress(data))
+            except zlib.error:  # a damaged member ends what can be read
+                break
             data = one.unused_data
         data = b"".join(parts)
     at, end = 0, RECORD_END.encode()
@@ -130,14 +150,18 @@ def parse_archive(data: bytes, with_payload: bool = True) -> Iterator[tuple]:
             return
         head = _headers(data[at:head_end])
         start = head_end + 4
-        stop = start + int(head.get("content-length", 0))
+        size = _whole(head.get("content-length", "0"))
+        if size is None:
+            at = start
+            continue
+        stop = start + size
         if stop > len(data):
             return
         block, at = data[start:stop], stop
         kind, fields, payload, status = head.get("warc-type"), None, None, None
         if kind in ("response", "revisit"):
             http, _, body = block.partition(end)
-            status = int(http.split(b" ", 2)[1]) if http.startswith(b"HTTP/") else None
+            status = _status(http)
             payload = body if kind == "response" else None
         elif kind == "metadata":
             fields = [tuple(x.split(": ", 1)) for x in block.decode("utf-8", "replace").split(EOL) if ": " in x]
@@ -197,7 +221,7 @@ def transactions(records: DataFrame) -> DataFrame:
     main = records.filter(F.col("warc_type").isin("response", "revisit"))
     main = main.select(
         F.col("record_id").alias("capture_id"),
-        F.struct("warc_type", "target_uri", "payload_digest", "payload_bytes", "http_status", "payload").alias("response"),
+        F.struct("warc_type", "refers_to", "target_uri", "payload_digest", "payload_bytes", "http_status", "payload").alias("response"),
     )
 
     def side(kind: str, name: str, *columns: str) -> DataFrame:
@@ -207,17 +231,30 @@ def transactions(records: DataFrame) -> DataFrame:
     return main.join(side("request", "request", "target_uri"), "capture_id", "left").join(side("metadata", "metadata", "fields"), "capture_id", "left")
 
 
+def resolved(captures: DataFrame) -> DataFrame:
+    """Captures with ``held``: the capture that a revisit refers to (``page_id`` from its metadata, ``payload_bytes``), null for responses and where it isn't there.
+
+    Captures that hold something are one row each, and those that refer to one of them, however many, are the other side of the join.
+    """
+    number = F.element_at("metadata.fields", F.lit("page-id"))
+    holders = captures.filter(F.col("response.warc_type") == "response").groupBy(F.col("capture_id").alias("_held_id"))
+    holders = holders.agg(F.first(F.struct(number.alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"))).alias("held"))
+    asked = captures.filter(F.col("response.refers_to").isNotNull()).select(F.col("response.refers_to").alias("_held_id")).distinct()
+    holders = materialize(holders.join(asked, "_held_id", "left_semi"), "warc-holders")
+    return captures.join(holders, F.col("response.refers_to") == F.col("_held_id"), "left").drop("_held_id")
+
+
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     write_archive(read(spark, folder, "pages", "page_id", "url", "html"), path)
     records = materialize(read_records(spark, path, with_payload=False), "warc-records")
-    fact = lambda name: F.element_at("metadata.fields", F.lit(name))
-    return transactions(records).select(
-        fact("page-id").cast("long").alias("page_id"),
-        F.coalesce("response.payload_bytes", fact("payload-bytes").cast("long")).alias("payload_bytes"),
+    out = resolved(materialize(transactions(records), "warc-captures"))
+    return out.select(
+        F.element_at("metadata.fields", F.lit("page-id")).cast("long").alias("page_id"),
+        F.coalesce("response.payload_bytes", "held.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
         F.col("response.warc_type").alias("record_type"),
-        fact("refers-to").cast("long").alias("refers_to"),
+        F.col("held.page_id").cast("long").alias("refers_to"),
     )
 
 
