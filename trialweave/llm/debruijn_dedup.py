@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .kit import batches_of, join_text, keyed, materialize, read, schema_with
+from .kit import batches_of, discard, join_text, keyed, materialize, read, schema_with
 from .suffix_dedup import Hasher
 from .word_strings import PIECE, find_spots, mixed, symbols
 
@@ -50,13 +51,12 @@ def _edges(asked: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             for i, (text, wanted) in enumerate(zip(batch.column("_text").cast(pa.binary()), batch.column("asked"))):
                 nodes = node_names(symbols(text.as_py()), hasher, window - 1)
-                ranges = wanted.as_py()
-                for k in range(0, len(ranges), 5000):
-                    part = ranges[k : k + 5000]
-                    sizes = np.array([x["b"] - x["a"] + 1 for x in part])
+                first, last, cids = (wanted.values.field(c).to_numpy() for c in ("a", "b", "cid"))
+                for k in range(0, len(first), 5000):
+                    sizes = last[k : k + 5000] - first[k : k + 5000] + 1
                     off = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                    pos = np.repeat(np.array([x["a"] for x in part]), sizes) + off
-                    cid = np.repeat(np.array([x["cid"] for x in part]), sizes)
+                    pos = np.repeat(first[k : k + 5000], sizes) + off
+                    cid = np.repeat(cids[k : k + 5000], sizes)
                     owner = pa.array(np.full(len(pos), i))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(nodes[pos]), pa.array(nodes[pos + 1]), batch.column("_id").take(owner), batch.column("_h").take(owner), pa.array(pos), pa.array(cid), pa.array(off)],
@@ -73,13 +73,14 @@ def node_names(sym: np.ndarray, hasher: Hasher, size: int) -> np.ndarray:
     return np.concatenate(parts or [np.empty(0, np.uint64)]).view(np.int64)
 
 
-def compacted(edges: DataFrame) -> DataFrame:
-    """Per edge (``src``, ``dst``): its source ``hid``, ``hh``, ``hpos`` and ``path``, the place in the source where its nonbranching path begins.
-
-    ``edges`` has one row for each edge and source candidate: ``_id``, ``_h``, ``pos``.
-    """
+def sources(edges: DataFrame) -> DataFrame:
+    """Per edge (``src``, ``dst``) of ``edges`` (which has one row for each context it is in): its source ``hid``, ``hh``, ``hpos``, the smallest ``_id``, ``_h``, ``pos``."""
     found = edges.groupBy("src", "dst").agg(F.min(F.struct("_id", "_h", "pos")).alias("at"))
-    found = materialize(found.select("src", "dst", F.col("at._id").alias("hid"), F.col("at._h").alias("hh"), F.col("at.pos").alias("hpos")), "debruijn-edges")
+    return found.select("src", "dst", F.col("at._id").alias("hid"), F.col("at._h").alias("hh"), F.col("at.pos").alias("hpos"))
+
+
+def compacted(found: DataFrame) -> DataFrame:
+    """Edges with their sources and ``path``, the place in the source where an edge's nonbranching path begins."""
     ins = found.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n_in"), F.max(F.struct("hid", "hh", "hpos")).alias("last"))
     outs = found.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("n_out"))
     plain = ins.filter("n_in = 1").join(outs.filter("n_out = 1"), "node").select("node", "last")
@@ -93,17 +94,27 @@ def compacted(edges: DataFrame) -> DataFrame:
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces of a document that go on in the document and in the source become one span."""
     for batch in batches:
-        out = []
-        for pieces in batch.column("pieces").to_pylist():
-            spans: list[list] = []
-            for x in sorted(pieces, key=lambda x: (x["start"], x["hpos"])):
-                last = spans[-1] if spans else None
-                if last and last[2] == x["hid"] and last[3] == x["hh"] and last[0] - last[4] == x["start"] - x["hpos"] and x["start"] <= last[0] + last[1]:
-                    last[1] = max(last[1], x["start"] + x["n"] - last[0])
-                else:
-                    spans.append([x["start"], x["n"], x["hid"], x["hh"], x["hpos"]])
-            out.append([dict(zip(("start", "n", "hid", "hh", "hpos"), s)) for s in spans])
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_h"), pa.array(out, batch.schema.field("pieces").type)], names=["_id", "_h", "spans"])
+        column = batch.column("pieces")
+        flat = column.flatten()
+        if not len(flat):
+            continue
+        start, n, hh, hpos = (flat.field(c).to_numpy() for c in ("start", "n", "hh", "hpos"))
+        hid = flat.field("hid")
+        name = pc.fill_null(hid.dictionary_encode().indices, -1).to_numpy()
+        doc = np.repeat(np.arange(len(column)), pc.list_value_length(column).to_numpy())
+        order = np.lexsort((start, start - hpos, hh, name, doc))
+        doc, start, end, name, hh, hpos = doc[order], start[order], (start + n)[order], name[order], hh[order], hpos[order]
+        along = start - hpos
+        new = np.ones(len(start), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (name[1:] != name[:-1]) | (hh[1:] != hh[:-1]) | (along[1:] != along[:-1]) | (start[1:] > end[:-1])
+        head = np.flatnonzero(new)
+        length = np.maximum.reduceat(end, head) - start[head]
+        sizes = np.bincount(doc[head], minlength=len(column))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        kind = batch.schema.field("pieces").type
+        parts = [pa.array(start[head]), pa.array(length), hid.take(pa.array(order[head])), pa.array(hh[head]), pa.array(hpos[head])]
+        spans = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(parts, names=["start", "n", "hid", "hh", "hpos"]))
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_h"), spans.cast(kind)], names=["_id", "_h", "spans"])
 
 
 def repeated_spans(own: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -115,23 +126,27 @@ def repeated_spans(own: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     found = found.withColumns({"low": F.min(F.struct("_id")).over(w), "high": F.max(F.struct("_id")).over(w)}).filter("low < high").drop("low", "high")
     found = materialize(found.withColumns({"a": F.col("a").cast("long"), "b": F.col("b").cast("long")}), "spots-shared")
     contexts = found.groupBy("anchor", "context").agg(F.min(F.struct("_id", "_h", "a", "b")).alias("rep"))
+    contexts = contexts.withColumn("kinds", F.count(F.lit(1)).over(w))
     contexts = materialize(contexts.withColumn("cid", F.monotonically_increasing_id()), "contexts")
-    kinds = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    contexts = materialize(contexts.join(kinds, "anchor"), "contexts-counted")
     asked = contexts.filter("kinds > 1").select("rep.*", "cid").groupBy("_id", "_h").agg(F.collect_list(F.struct("a", "b", "cid")).alias("asked"))
     edges = materialize(_edges(join_text(own.select("_id", "_h", "_text"), asked, "inner"), window), "edges")
-    in_paths = edges.select("src", "dst", "cid", "off").join(compacted(edges), ["src", "dst"])
+    held_by = materialize(sources(edges), "debruijn-edges")
+    in_paths = edges.select("src", "dst", "cid", "off").join(compacted(held_by), ["src", "dst"])
     pieces = in_paths.groupBy("cid", "hid", "hh", "path", (F.col("hpos") - F.col("off")).alias("along")).agg(F.min("off").alias("lo"), F.max("off").alias("hi"), F.min("hpos").alias("hpos"))
     piece = F.struct("lo", "hi", "hid", "hh", "hpos")
     pieces = pieces.groupBy("cid").agg(F.collect_list(piece).alias("many"))
     one = F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("rep.b") - F.col("rep.a")).alias("hi"), F.col("rep._id").alias("hid"), F.col("rep._h").alias("hh"), F.col("rep.a").alias("hpos")))
     held = contexts.join(pieces, "cid", "left").select("anchor", "context", F.when(F.col("kinds") == 1, one).otherwise(F.col("many")).alias("many"))
-    back = found.join(materialize(held, "contexts-held"), ["anchor", "context"])
+    held = materialize(held, "contexts-held")
+    discard(edges, held_by)
+    back = found.join(held, ["anchor", "context"])
     later = F.filter("many", lambda x: before(x["hid"], F.col("_id")))
     moved = F.transform(later, lambda x: F.struct((F.col("a") + x["lo"]).alias("start"), (x["hi"] - x["lo"] + 1).alias("n"), x["hid"].alias("hid"), x["hh"].alias("hh"), x["hpos"].alias("hpos")))
     back = back.select("_id", "_h", moved.alias("pieces")).filter(F.size("pieces") > 0)
     per_doc = back.groupBy("_id", "_h").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
-    return per_doc.mapInArrow(_merged, f"_id {id_type}, _h long, spans array<{_SPAN.format(id=id_type)}>")
+    spans = materialize(per_doc.mapInArrow(_merged, f"_id {id_type}, _h long, spans array<{_SPAN.format(id=id_type)}>"), "debruijn-spans")
+    discard(found, contexts, held)
+    return spans
 
 
 def _with_digests(own: DataFrame, spans: DataFrame, window: int) -> DataFrame:
@@ -182,7 +197,7 @@ def kept_words(words: list[bytes], spans: list[dict], window: int) -> tuple[list
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per row: ``id``, the columns of ``keep`` as a struct, ``text`` (the words left, joined by blanks), ``n_words``, ``n_removed``, ``n_spans`` and ``n_unverified``."""
     own = keyed(docs, id_col, text_col, keep)
-    spans = _with_digests(own, materialize(repeated_spans(own, window, gram), "debruijn-spans"), window)
+    spans = _with_digests(own, repeated_spans(own, window, gram), window)
     passed = {"_id": "id", "_keep": "keep"} if keep else {"_id": "id"}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

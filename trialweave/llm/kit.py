@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.session import fresh_path, materialize, shared_dir  # noqa: F401
+from ..plans.session import discard, fresh_path, materialize, shared_dir  # noqa: F401
 
 # task functions travel with their code, so executors need not have the library installed
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
