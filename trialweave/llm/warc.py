@@ -74,7 +74,7 @@ def write_archive(
     payload_col: str = "html",
     min_bytes: int = MIN_REVISIT_BYTES,
     date: str = "1970-01-01T00:00:00Z",
-    records_per_file: int = 3000,
+    records_per_file: int = 999,
 ) -> None:
     """Writes request, response or revisit, and metadata records of every page into gzipped files under ``path``.
 
@@ -142,7 +142,8 @@ def parse_archive(data: bytes, with_payload: bool = True) -> Iterator[tuple]:
             except zlib.error:  # a damaged member ends what can be read
                 break
             data = one.unused_data
-        data = b"".join(parts)
+        data = parts[0] if len(parts) == 1 else b"".join(parts)
+        parts.clear()
     at, end = 0, RECORD_END.encode()
     while (at := data.find(b"WARC/", at)) >= 0:
         head_end = data.find(end, at)
