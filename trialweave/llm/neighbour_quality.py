@@ -7,7 +7,8 @@ labelled rows, chosen by the hash of their id: that bound is the only thing that
 label, weighted by a power of the cosine, with a small share of the voters' mean.
 
 Labels are learnt where ``learn`` holds. Defined results: null and empty texts, which have no direction, get the voters' mean; labels that are null are
-left out; without any voters every score is 0.5; repeated rows get equal scores; a labelled id that is there twice votes twice.
+left out; without any voters every score is 0.5; repeated rows get equal scores; an id that is labelled twice votes twice, with
+the smallest of the texts it has.
 """
 
 from __future__ import annotations
@@ -83,7 +84,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, labelled: int = LABEL
     """The model: weights, space, voters and their labels. ``labels``: ``doc_id`` and ``quality``; ``learn``: condition on ``doc_id``."""
     chosen = labels.filter(learn & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").cast("double").alias("label"))
     chosen = materialize(chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(labelled), "quality-voters")
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(chosen, "doc_id")
+    # one text of an id, however often it is there, so that the sample's bound is one on texts as well
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    rows = texts.groupBy("doc_id").agg(F.min("text").alias("text")).join(chosen, "doc_id")
 
     def learn_space(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "label"], kind="stable")
