@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from trialweave.operators import safety as S
@@ -101,3 +102,25 @@ def test_license_names_and_tags(spark):
     named = df.withColumn("source", F.when(F.col("doc_id") < 3, "a").otherwise("b"))
     report = {r.source: (r.passed, r.licenses) for r in S.license_report(S.license_mentions(named, keep=("source",)), "source", named).collect()}
     assert report == {"a": (False, ["bsd-3-clause", "gpl-3.0-only", "mit"]), "b": (True, [])}
+
+
+def test_persons_pass_the_filter_of_names(spark):
+    names = spark.createDataFrame([(f"Given{i}", f"Family{i % 50}") for i in range(300)] + [("Ann", None), ("Zoë", "Åberg")], "given string, family string")
+    rows = [(i, f"x Given{i}  Family{i % 50} Given{i} Family{(i + 1) % 50} y") for i in range(300)] + [(900, None), (901, ""), (902, "Ann"), (903, "　Zoë\tÅberg"), (904, "Zoë Åberg Zoë Åberg")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bits = S.name_filter(names.dropna())
+    assert 8 * len(bits) >= S.NAME_BITS[0] and 0 < np.unpackbits(bits).sum() <= 3 * 301
+    got = sorted((r["doc_id"], r["start"], r["text"]) for r in S.person_scan(df, names).collect())
+    want = [(i, 2, f"Given{i}  Family{i % 50}") for i in range(300)] + [(903, 1, "Zoë\tÅberg"), (904, 0, "Zoë Åberg"), (904, 10, "Zoë Åberg")]
+    assert got == sorted(want)
+    plan = S.person_scan(df, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate posexplode" not in plan
+    assert S.person_scan(df, names.limit(0)).count() == 0
+
+
+def test_phone_forms(spark):
+    forms = ["+1 (555) 123-4567", "(555) 123-4567", "555-123-4567", "+1-555-123-4567", "555.123.4567"]
+    others = ["5551234567", "55-123-4567", "1555-123-45678"]
+    df = docs(spark, *[f"call {x} now" for x in forms + others])
+    found = {r["doc_id"]: r["text"] for r in S.pii_scan(df).collect() if r["type"] == "PHONE_NUMBER"}
+    assert found == dict(enumerate(forms))

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +19,7 @@ from ..plans.lookup import salted_lookup
 # classes only and mean the same in Java and RE2. A score of None is decided by a check.
 PII_RULES = (
     ("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 0.95),
-    ("PHONE_NUMBER", r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}", 0.75),
+    ("PHONE_NUMBER", r"(?:\+1 )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}|(?:\+1[ .-])?\b[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}\b", 0.75),
     ("US_SSN", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", 0.85),
     ("CREDIT_CARD", r"\b[0-9]{13,19}\b", None),
     (
@@ -137,22 +143,75 @@ def pii_scan(
     return out
 
 
+#: Bits of the filter of names: about ten a name, between these bounds, so at most 16 MB are handed to the tasks.
+NAME_BITS = (1 << 16, 1 << 27)
+
+
+def _pair_hashes(given, family) -> np.ndarray:
+    """Three hashes of each pair of words, the same in every process."""
+    return _mixed(*(pd.util.hash_array(np.asarray(x, object), categorize=False) for x in (given, family)))
+
+
+def _mixed(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    both = one * np.uint64(0x9E3779B97F4A7C15) ^ (two + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xD6E8FEB86659FD93)
+    return np.stack([both >> np.uint64(s) ^ both << np.uint64(64 - s) for s in (11, 27, 43)])
+
+
+def name_filter(names: DataFrame) -> np.ndarray:
+    """A Bloom filter of (given, family): bits set by tasks and united in a tree."""
+    wanted = names.count() * 10
+    size = min(max(1 << max(wanted - 1, 1).bit_length(), NAME_BITS[0]), NAME_BITS[1])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size, bool)
+        for batch in batches:
+            given, family = (batch.column(c).to_pylist() for c in ("given", "family"))
+            if given:
+                bits[(_pair_hashes(given, family) % np.uint64(size)).ravel().astype(np.int64)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+    parts = names.mapInArrow(fill, "bits binary").rdd.map(lambda r: np.frombuffer(bytes(r["bits"]), np.uint8))
+    if parts.getNumPartitions() == 0:
+        return np.zeros(size // 8, np.uint8)
+    return parts.treeReduce(np.bitwise_or)
+
+
 def person_scan(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Two neighbouring words that are listed as given and family name. Offsets are worked
+    """Two neighbouring words that are listed as given and family name.
+
+    Neighbours are tested where the text is read, against a Bloom filter of the names; only those that pass it, with their text, are joined with the names. Offsets are worked
     out for the hits only."""
-    ws = words(F.col(text))
-    pairs = df.select(key, ws.alias("w")).select(
-        key,
-        F.posexplode(
-            F.arrays_zip(F.col("w").alias("given"), F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1))).alias("family"))
-        ).alias("pos", "p"),
-    )
-    names = gazetteer.select("given", "family").distinct()
-    hits = salted_lookup(
-        pairs.select(key, "pos", "p.given", "p.family").filter("family is not null"),
-        names, ["given", "family"], [key, "pos"], how="inner",
-    )
-    rows = hits.select(key, "pos").join(df.select(key, text), key)
+    spark = df.sparkSession
+    names = gazetteer.select("given", "family").filter("given IS NOT NULL AND family IS NOT NULL").distinct()
+    known = spark.sparkContext.broadcast(name_filter(names))
+    kind = dict(df.dtypes)[key]
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = known.value
+        size = np.uint64(len(bits) * 8)
+        for batch in batches:
+            column = batch.column("_w")
+            flat = column.flatten().to_pandas()
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            given, family = flat.to_numpy(object)[:-1], flat.to_numpy(object)[1:]
+            hit = row[1:] == row[:-1]
+            if len(given):
+                codes, words_ = pd.factorize(flat)  # every distinct word is hashed once
+                hashed = pd.util.hash_array(np.asarray(words_, object), categorize=False)[codes]
+                for at in _mixed(hashed[:-1], hashed[1:]):
+                    at = at % size
+                    hit = hit & (bits[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+            found = np.flatnonzero(hit)
+            take = pa.array(row[found])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).take(take), pa.array(pos[found], pa.int32()), pa.array(given[found], pa.string()), pa.array(family[found], pa.string()), batch.column(text).take(take)],
+                names=[key, "pos", "given", "family", text],
+            )
+
+    near = df.select(key, text, words(F.col(text)).alias("_w")).mapInArrow(test, f"`{key}` {kind}, pos int, given string, family string, `{text}` string")
+    rows = salted_lookup(near, names, ["given", "family"], [key, "pos"], how="inner")
     w, blanks = F.col("_w"), F.col("_b")
     rows = rows.withColumn("_w", words(F.col(text))).withColumn("_b", F.regexp_extract_all(F.col(text), F.lit(BLANKS), F.lit(0)))
     rows = rows.withColumn("_lead", F.col(text).rlike("^" + BLANKS).cast("int"))
