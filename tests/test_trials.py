@@ -142,3 +142,38 @@ def test_accepted_read_prunes_partitions(spark, tmp_path):
     append_trials(spark.createDataFrame([(0, "accepted"), (1, "rejected")], "trial_id bigint, decision string"), path)
     plan = H.accepted_trials(read_trials(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(decision" in plan
+
+
+def test_largest_accepted_is_exact():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    refs = np.concatenate([rng.normal(size=200) * 10.0 ** rng.integers(-12, 12, 200), [0.0, -0.0, np.nan, np.inf, -np.inf, 5e-324, 1e308, -1e308, 1.0, -1.0]])
+    for threshold in (1e-20, 0.005, 0.1, 1.0, 3.0):
+        found = H.largest_accepted(refs, threshold)
+        for ref, best in zip(refs.tolist(), found.tolist()):
+            if ref == 0 or not np.isfinite(ref):
+                assert np.isnan(best)
+                continue
+            with np.errstate(over="ignore"):
+                gain = lambda v: (np.float64(ref) - v) / abs(np.float64(ref))  # noqa: B023, E731
+                assert gain(best) >= threshold and not gain(np.nextafter(best, np.inf)) >= threshold
+
+
+def test_gate_over_a_long_fall(spark):
+    """Every trial is a record, and a few hundred of them move the best value."""
+    values = [1000.0 * 0.999**i for i in range(3000)]
+    rows = [("fall", i, v) for i, v in enumerate(values)] + [("nan", 0, float("nan")), ("nan", 1, 1.0), ("zero", 0, 0.0), ("zero", 1, -5.0), ("based", 0, 9.99), ("based", 1, 9.0), ("dead", 0, 1.0)]
+    df = spark.createDataFrame(rows, "experiment string, trial_id bigint, primary_metric double").repartition(8)
+    base = spark.createDataFrame([("based", 10.0), ("dead", 0.0)], "experiment string, baseline double")
+    best, want = None, []
+    for i, v in enumerate(values):
+        if best is None or (best - v) / abs(best) >= 0.005:
+            best = v
+            want.append(i)
+    out = H.sequential_gate(df, baselines=base, patience=None)
+    got = {}
+    for r in out.filter("accepted").collect():
+        got.setdefault(r["experiment"], []).append(r["trial_id"])
+    assert sorted(got.pop("fall")) == want and len(want) > 500 - 100
+    assert {k: sorted(v) for k, v in got.items()} == {"nan": [0], "zero": [0], "based": [1]}

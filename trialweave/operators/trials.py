@@ -120,7 +120,7 @@ def largest_accepted(ref: np.ndarray, threshold: float) -> np.ndarray:
         return np.where(i < 0, np.iinfo(np.int64).min - i, i)
 
     with np.errstate(over="ignore", invalid="ignore"):
-        good, bad = key(r - 2 * threshold * np.abs(r) - np.finfo(float).tiny), key(r)
+        good, bad = key(np.minimum(r - 2 * threshold * np.abs(r), np.nextafter(r, -np.inf))), key(r)
         for _ in range(64):
             middle = (good >> 1) + (bad >> 1) + (good & bad & 1)
             hit = (r - number(middle)) / np.abs(r) >= threshold
