@@ -125,27 +125,31 @@ def repeated_spans(own: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     w = W.partitionBy("anchor")
     found = found.withColumns({"low": F.min(F.struct("_id")).over(w), "high": F.max(F.struct("_id")).over(w)}).filter("low < high").drop("low", "high")
     found = materialize(found.withColumns({"a": F.col("a").cast("long"), "b": F.col("b").cast("long")}), "spots-shared")
-    contexts = found.groupBy("anchor", "context").agg(F.min(F.struct("_id", "_h", "a", "b")).alias("rep"))
+    contexts = found.groupBy("anchor", "context").agg(F.min(F.struct("_id", "_h", "a", "b")).alias("rep"), F.max(F.struct("_id")).alias("last"))
     contexts = contexts.withColumn("kinds", F.count(F.lit(1)).over(w))
     contexts = materialize(contexts.withColumn("cid", F.monotonically_increasing_id()), "contexts")
     asked = contexts.filter("kinds > 1").select("rep.*", "cid").groupBy("_id", "_h").agg(F.collect_list(F.struct("a", "b", "cid")).alias("asked"))
     edges = materialize(_edges(join_text(own.select("_id", "_h", "_text"), asked, "inner"), window), "edges")
     held_by = materialize(sources(edges), "debruijn-edges")
-    in_paths = edges.select("src", "dst", "cid", "off").join(compacted(held_by), ["src", "dst"])
+    paths = materialize(compacted(held_by), "debruijn-paths")
+    discard(held_by)
+    in_paths = edges.select("src", "dst", "cid", "off").join(paths, ["src", "dst"])
     pieces = in_paths.groupBy("cid", "hid", "hh", "path", (F.col("hpos") - F.col("off")).alias("along")).agg(F.min("off").alias("lo"), F.max("off").alias("hi"), F.min("hpos").alias("hpos"))
     piece = F.struct("lo", "hi", "hid", "hh", "hpos")
     pieces = pieces.groupBy("cid").agg(F.collect_list(piece).alias("many"))
     one = F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("rep.b") - F.col("rep.a")).alias("hi"), F.col("rep._id").alias("hid"), F.col("rep._h").alias("hh"), F.col("rep.a").alias("hpos")))
-    held = contexts.join(pieces, "cid", "left").select("anchor", "context", F.when(F.col("kinds") == 1, one).otherwise(F.col("many")).alias("many"))
+    held = contexts.join(pieces, "cid", "left").select("anchor", "context", "last", F.when(F.col("kinds") == 1, one).otherwise(F.col("many")).alias("many"))
+    # a piece counts where some document with the context comes behind its source
+    held = held.withColumn("many", F.filter("many", lambda x: before(x["hid"], F.col("last._id")))).filter(F.size("many") > 0).drop("last")
     held = materialize(held, "contexts-held")
-    discard(edges, held_by)
-    back = found.join(held, ["anchor", "context"])
+    discard(edges, paths, contexts)
+    back = found.drop("b").join(held, ["anchor", "context"])
     later = F.filter("many", lambda x: before(x["hid"], F.col("_id")))
     moved = F.transform(later, lambda x: F.struct((F.col("a") + x["lo"]).alias("start"), (x["hi"] - x["lo"] + 1).alias("n"), x["hid"].alias("hid"), x["hh"].alias("hh"), x["hpos"].alias("hpos")))
     back = back.select("_id", "_h", moved.alias("pieces")).filter(F.size("pieces") > 0)
     per_doc = back.groupBy("_id", "_h").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
     spans = materialize(per_doc.mapInArrow(_merged, f"_id {id_type}, _h long, spans array<{_SPAN.format(id=id_type)}>"), "debruijn-spans")
-    discard(found, contexts, held)
+    discard(found, held)
     return spans
 
 
