@@ -5,6 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from trialweave.catalog import streams as S
 from trialweave.operators import metrics as M
 from trialweave.operators import trials as H
 from trialweave.operators.text_augment import TextAugmenter
@@ -173,3 +174,19 @@ def test_run_log(spark, tmp_path):
     assert metrics.count() == 3
     got = {r.run: (r.closed, r.accepted, r.reason, r.points) for r in runs.collect()}
     assert got == {"r1": (True, True, "better", 1), "r2": (False, None, None, 2)}
+
+
+def test_tables_of_one_or_many_files_are_streamed(spark, tmp_path):
+    rows = [(i, f"call {i} or write to a{i}@example.com" if i % 3 else f"nothing {i}") for i in range(12)] + [(12, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    many, one = str(tmp_path / "many"), str(tmp_path / "one")
+    docs.repartition(3).write.parquet(f"{many}/documents.parquet")
+    os.makedirs(one)
+    docs.coalesce(1).write.parquet(f"{one}/.made")
+    made = [f for f in os.listdir(f"{one}/.made") if f.endswith(".parquet")][0]
+    os.link(f"{one}/.made/{made}", f"{one}/documents.parquet")
+    docs.write.parquet(f"{one}/other.parquet")  # a table beside it is no part of it
+    for query in (S.k3_stream_augment, S.k4_stream_safety):
+        found = [sorted(map(str, query(spark, d).collect())) for d in (many, one)]
+        assert len(found[0]) == 13
+        assert found[0] == found[1]
