@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trialweave.functions.numbers import fixed, short_float
 from trialweave.operators import configs as I
+from trialweave.plans.session import spread
 from trialweave.sources.configs import read_config_files, read_configs
 
 TUNING = {
@@ -317,3 +318,37 @@ def test_params_as_python_writes_them(spark):
     df = spark.createDataFrame([(1, json.dumps(config)), (2, "[1]"), (3, "{")], "config_id int, config string")
     got = {r.name: r.value for r in I.flatten_params(df).collect()}
     assert got == {"a.b.c.d": str(config["a"]["b"]["c"]["d"]), "t": "True", "n": "None", "l": str(config["l"])}
+
+
+def test_texts_that_are_no_config_have_no_nodes(spark):
+    texts = [None, "", '{"a":1} more', '{"a":1,"a":2}', '{"a":NaN}', "{\"a\":\"\n\"}", '{"a":01}', "[" * 1200 + "]" * 1200, "{", '{"a":[1,{"b":"x\\n"}]}']
+    df = spark.createDataFrame(list(enumerate(texts)), "config_id int, config string")
+    schema = '{"type": "object", "additionalProperties": false, "properties": {"b": {"type": "string"}}}'
+    assert [r.config_id for r in I.validate(df, schema).collect()] == [9]
+    assert {r.config_id for r in I.flatten_config(df).collect()} == {9}
+    assert {r.config_id for r in I.flatten_params(df).collect()} == {9}
+    assert I.diff_configs(df.select("config_id", F.col("config").alias("old"), F.lit('{"a":1}').alias("new"))).count() == 1
+    assert [r.raw for r in df.select(F.explode(I._unfolded(arrays=True, whole=True)(F.col("config"))).alias("n")).select("n.raw").collect()] == [
+        texts[9], '[1,{"b":"x\\n"}]', '{"b":"x\\n"}', '"x\\n"', "1",
+    ]
+
+
+def test_neighbours_are_worked_out_once(spark):
+    df = spark.createDataFrame([(i, '{"pipeline":{"enabled":true}}', '{"optimizer":{"learning_rate":0.001}}') for i in range(5)], "config_id int, augmentations string, tuning string")
+    plan = I.mutate_configs(df, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "parseJson" not in plan
+
+
+def test_a_file_of_one_row_group_is_many_tasks(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"id": list(range(1000)), "x": [f"{i:08d}" * 40 for i in range(1000)]}), str(tmp_path / "t.parquet"), compression="none")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = spark.read.parquet(str(tmp_path / "t.parquet"))
+        assert df.rdd.getNumPartitions() > 1
+        assert spread(df).groupBy(F.spark_partition_id()).count().count() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
