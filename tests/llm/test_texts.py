@@ -8,6 +8,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
+import regex
 from cases import prose
 from pyspark.sql import functions as F
 
@@ -177,6 +178,21 @@ def test_packing(odd, texts):
         assert end <= 1024
 
 
+def test_matches_are_those_of_the_parts_of_a_text():
+    import public_tokenizers as P
+
+    blanks = [chr(c) for c in range(0x110000) if regex.match(r"\s", chr(c))]
+    rng = random.Random(8)
+    letters = [*blanks, *"  \n\n", *"ab1'.é中\x1c\u200b", "'s", "'ll", "don't"]
+    for n in range(4000):
+        text = "".join(rng.choice(letters) for _ in range(n % 40))
+        parts = byte_bpe.units_of(P.PATTERN)(text)
+        assert "".join(parts) == text
+        assert [m for part in parts for m in regex.findall(P.PATTERN, part)] == regex.findall(P.PATTERN, text)
+    assert byte_bpe.units_of(P.PATTERN)("one two\nthree") == ["one", " two", "\nthree"]
+    assert byte_bpe.units_of("[a-z ]+")("one two") == ["one two"]
+
+
 def test_patterns_hold_every_piece_and_little_else():
     rng = np.random.default_rng(0)
     for n, top in ((3, 256), (500, 256), (30_000, 256), (30_000, 60)):

@@ -8,6 +8,8 @@ Folded that way are the distinct words: the commonest of the corpus (at most ``W
 are broadcast, and texts are encoded by Arrow batches; a rarer word is merged there by the same rule, with a heap, so a word of any length costs no more
 than n log n. Which words are common changes the speed only. Decoding concatenates the pieces of the ids.
 
+Texts are cut at blanks first, where no match of the pattern is divided, as such parts repeat: most are found whole, without the pattern.
+
 Texts are not encoded inside the plan, too, because a lookup in interpreted lambda functions takes microseconds: see the README.
 
 Defined results: null and empty texts have no tokens; strings of special tokens are ordinary text; rows are encoded one by one, whatever their ids.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import struct
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +35,10 @@ from .kit import let, materialize, read, schema_with
 
 RANKS = "byte_bpe_50k.tiktoken"
 WORDS, WORD_BYTES = 1 << 17, 40
+#: What ``regex`` takes for a blank.
+_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_UNITS = re.compile(f"[{_BLANK}]?[^{_BLANK}]+|[{_BLANK}]+(?=[{_BLANK}][^{_BLANK}])|[{_BLANK}]+").findall
+UNIT_CHARS = 64
 SEPARATOR = "\x1f"
 
 
@@ -147,18 +154,34 @@ class Bpe:
         return let(self.rank_of(h), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(start(h)))
 
 
+def units_of(pattern: str):
+    """Cuts a text into parts in which the pattern's matches are those in the text.
+
+    The tokenizers' pattern has a match begin at the last of several blanks before a word, and at a single blank; no match goes beyond. So a text is cut
+    there, into words with the blank before them and what is left of runs of blanks, of which most come again. Other patterns are given whole texts.
+    """
+    import public_tokenizers
+
+    return _UNITS if pattern == public_tokenizers.PATTERN else lambda text: [text]
+
+
 def count_words(texts: DataFrame, pattern: str) -> DataFrame:
     """``word`` and ``n`` of the pattern's matches in all texts."""
+    units = units_of(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, held = regex.compile(pattern).findall, Counter()
 
         def flush():
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+            words: Counter = Counter()
+            for unit, n in held.items():
+                for word in find(unit):
+                    words[word] += n
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
         for batch in batches:
             for text in batch.column("text"):
-                held.update(find(text.as_py()))
+                held.update(units(text.as_py()))
                 if len(held) > 300_000:
                     yield flush()
                     held.clear()
@@ -211,20 +234,19 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def _merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same for a few bytes: all pairs are looked over at each merge."""
     get, none = ranks.get, 1 << 60
-    parts = [word[i : i + 1] for i in range(len(word))]
-    pairs = [get(word[i : i + 2], none) for i in range(len(word) - 1)]
+    at = list(range(len(word) + 1))  # where parts begin
+    pairs = [get(word[i : i + 2], none) for i in at[:-2]]
     while pairs:
         least = min(pairs)
         if least == none:
             break
         i = pairs.index(least)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
+        del at[i + 1], pairs[i]
         if i:
-            pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+            pairs[i - 1] = get(word[at[i - 1] : at[i + 1]], none)
         if i < len(pairs):
-            pairs[i] = get(parts[i] + parts[i + 1], none)
-    return [ranks[x] for x in parts]
+            pairs[i] = get(word[at[i] : at[i + 2]], none)
+    return [ranks[word[i:j]] for i, j in zip(at, at[1:])]
 
 
 class _Pieces(dict):
@@ -259,26 +281,41 @@ class _Packed(dict):
         return packed
 
 
+class _Units(dict):
+    """Packed ids by part of a text (see ``units_of``); short ones are kept while there is room."""
+
+    def __init__(self, find, packed: _Packed, room: int = 200_000):
+        super().__init__()
+        self.find, self.packed, self.room = find, packed, room
+
+    def __missing__(self, unit: str) -> bytes:
+        found = b"".join(map(self.packed.__getitem__, self.find(unit)))
+        if len(unit) <= UNIT_CHARS and len(self) < self.room:
+            self[unit] = found
+        return found
+
+
 def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words: int = WORDS, decoded: bool = False) -> DataFrame:
     """Adds ``ids``, the packed token ids (little-endian unsigned 32-bit), to a table with the column ``text`` (no nulls).
 
-    With ``decoded``, the ids are decoded again in the same pass, word by word, into the column ``decoded``.
+    With ``decoded``, the ids are decoded again in the same pass, part by part (see ``units_of``), into the column ``decoded``.
     """
     import public_tokenizers
 
     pattern = pattern or public_tokenizers.PATTERN
-    ranks = load_ranks(path)
+    ranks, units = load_ranks(path), units_of(pattern)
     words, ids = common_words(Bpe(ranks, pattern), texts, most_words)
     # at most most_words * (WORD_BYTES + 4 * WORD_BYTES) bytes
     known = texts.sparkSession.sparkContext.broadcast({w: np.array(i, "<u4").tobytes() for w, i in zip(words, ids)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(path)
-        find, packed, pieces = regex.compile(pattern).findall, _Packed(known.value, ranks), _Pieces(ranks)
+        pieces = _Pieces(ranks)
+        packed = _Units(regex.compile(pattern).findall, _Packed(known.value, ranks))
         for batch in batches:
             ids, back = [], []
             for text in batch.column("text"):
-                words = list(map(packed.__getitem__, find(text.as_py())))
+                words = list(map(packed.__getitem__, units(text.as_py())))
                 ids.append(b"".join(words))
                 if decoded:
                     back.append(b"".join(map(pieces.__getitem__, words)))
