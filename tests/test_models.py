@@ -1,9 +1,12 @@
+import collections
 import json
 import math
+import re
 
 from pyspark.sql import functions as F
 
 from trialweave.operators import models as J
+from trialweave.operators.counts import neighbour_counts
 
 
 def docs(spark, *texts):
@@ -28,6 +31,24 @@ def test_bigram_by_hand(spark):
     assert r.tokens == 2 and math.isclose(r.loss, want)
 
 
+def test_neighbours_counted_by_tasks(spark):
+    texts = ["a b a b\u2003a\x1cc", None, "", " b ", "a  b\n\nc", "é é\x85é", "a b"] * 3
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    want = collections.Counter()
+    for t in texts:
+        ws = re.split(r"[\s\x1c]+", (t or "").strip())
+        want.update(zip(ws, ws[1:]))
+    for held_words in (1, 4, 1000):
+        got = neighbour_counts(rows, "text", "x", "y", "n", held_words).collect()
+        assert {(r.x, r.y): r.n for r in got} == want and len(got) == len(want)
+
+
+def test_few_texts_do_not_shuffle_the_model(spark):
+    model = J.train_lm(docs(spark, "a b a b a c", "d e"), order=2, k=0.5)
+    plan = J.score_lm(model, docs(spark, "a b q"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2  # grams and contexts are cut to those asked for
+
+
 def test_sweep_equals_single_models(spark):
     train, held = docs(spark, "a b c a", "b b d e f g"), docs(spark, "a b zz", "g g")
     got = {r.trial_id: r for r in J.trial_sweep(train, held, [{}, {"pipeline": {"enabled": False}}]).collect()}

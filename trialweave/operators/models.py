@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.texts import words
 from ..plans.ordered import number_rows, range_cells
 from ..plans.session import materialize
+from .counts import neighbour_counts
 from .metrics import bits_per_byte, perplexity
 from .prepare import exact_split
 from .text_augment import TextAugmenter
@@ -50,7 +51,11 @@ def train_lm(df: DataFrame, text: str = "text", order: int = 1, k: float = ADD_K
     if order not in (1, 2):
         raise ValueError("order must be 1 or 2")
     # the counts are the model: written once, read by everything after
-    grams = materialize(_grams(df, text, order).groupBy("ctx", "tok").agg(F.count(F.lit(1)).alias("c")), "grams")
+    if order == 1:
+        counted = _grams(df, text, order).groupBy("ctx", "tok").agg(F.count(F.lit(1)).alias("c"))
+    else:
+        counted = neighbour_counts(df.select(F.lower(F.col(text)).alias("text")), "text", "ctx", "tok", "c")
+    grams = materialize(counted, "grams")
     contexts = grams.groupBy("ctx").agg(F.sum("c").alias("total"))
     vocabulary = grams.count() if order == 1 else grams.select("tok").distinct().count()
     return CountLM(grams, contexts, vocabulary, order, k)
@@ -65,7 +70,11 @@ def score_lm(model: CountLM, df: DataFrame, text: str = "text", keys: Sequence[s
         joined = seen.join(model.grams.drop("ctx"), "tok", "left")
         joined = joined.withColumn("total", model.contexts.agg(F.sum("total")).scalar())
     else:
-        joined = seen.join(model.grams, ["ctx", "tok"], "left").join(model.contexts, "ctx", "left")
+        # stored, so that its size is known: the grams and contexts of a few texts are found by a scan of the model, without shuffling it
+        seen = materialize(seen, "lm-seen")
+        grams = model.grams.join(seen.select("ctx", "tok").distinct(), ["ctx", "tok"], "left_semi")
+        contexts = model.contexts.join(seen.select("ctx").distinct(), "ctx", "left_semi")
+        joined = seen.join(grams, ["ctx", "tok"], "left").join(contexts, "ctx", "left")
     k = F.lit(float(model.k))
     p = (F.coalesce("c", F.lit(0)) + k) / (F.coalesce("total", F.lit(0)) + k * model.vocabulary)
     out = joined.groupBy(*keys).agg(F.sum("n").alias("tokens"), (-F.sum(F.col("n") * F.log(p)) / F.sum("n")).alias("loss"))

@@ -19,6 +19,7 @@ from ..functions.draws import gate, pick, randint, u
 from ..functions.texts import join_words, words
 from ..plans.lookup import chunk_lookup, salted_lookup, sparse_lookup
 from ..plans.session import materialize
+from .counts import neighbour_counts
 from .vector_augment import image_steps
 
 
@@ -260,16 +261,7 @@ def _through_model(df: DataFrame, text: str, load) -> DataFrame:
 
 def bigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """(word, follower, n) over all neighbouring words of the corpus."""
-    ws = df.select(words(F.col(text)).alias("w"))
-    pairs = ws.filter(F.size("w") > 1).select(
-        F.explode(
-            F.arrays_zip(
-                F.slice("w", F.lit(1), F.size("w") - 1).alias("word"),
-                F.slice("w", F.lit(2), F.size("w") - 1).alias("follower"),
-            )
-        ).alias("p")
-    )
-    return pairs.select("p.word", "p.follower").groupBy("word", "follower").agg(F.count(F.lit(1)).alias("n"))
+    return neighbour_counts(df, text, "word", "follower", "n")
 
 
 def _top(bigrams: DataFrame, by: str, of: str, k: int) -> DataFrame:
