@@ -130,3 +130,55 @@ def test_sweep_reads_the_texts_once(spark, tmp_path):
         finally:
             J.materialize = real
         assert scans[0] == 1
+
+
+def test_word_counts_of_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from trialweave.functions.texts import BLANKS, words
+    from trialweave.operators.counts import token_counts, word_counts
+
+    texts = ["a b a c", None, "", " \x1c", "b\x85b", "a"] * 3
+    df = spark.createDataFrame([(i % 4 if i % 4 else None, i % 3 - 1, t) for i, t in enumerate(texts)], "g bigint, s int, text string").repartition(3)
+    plain = df.select("g", "s", F.explode(F.filter(F.split("text", BLANKS), lambda w: w != "")).alias("tok"))
+    rows = lambda x: sorted(map(str, x.collect()))
+    for held in (2, 1000):
+        assert rows(word_counts(df, "text", "tok", "c", held_counts=held)) == rows(plain.groupBy("tok").agg(F.count(F.lit(1)).alias("c")))
+        got = word_counts(df, "text", "tok", "c", by="g", weight="s", held_counts=held)
+        assert rows(got) == rows(plain.groupBy("g", "tok").agg(F.sum("s").alias("c")))
+        # words become rows of a task's counts, not of their own
+        assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    arrays = df.select(words("text").alias("ws")).union(spark.createDataFrame([([None, "a", ""],)], "ws array<string>"))
+    assert rows(token_counts(arrays, "ws", "tok", "cnt")) == rows(arrays.select(F.explode("ws").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def test_words_of_every_blank(spark):
+    from pyspark.sql import functions as F
+
+    from trialweave.functions.texts import BLANKS, words
+
+    points = [c for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(f"a{chr(c)}b{chr(c)}{chr(c)} c",) for c in points], "text string")
+    old = F.filter(F.split("text", BLANKS), lambda w: w != "")
+    assert df.filter(~words(F.col("text")).eqNullSafe(old)).isEmpty()
+
+
+def test_whole_vocabulary_counts_and_deals_texts_once(spark):
+    from trialweave.operators import prepare as P
+    from trialweave.plans import ordered
+
+    df = P.tokenize(spark.createDataFrame([(i, f"a b{i % 5} c{i}") for i in range(40)], "doc_id bigint, text string"))
+    given = []
+    cells, ordered_cells = P.range_cells, ordered.range_cells
+    try:
+        P.range_cells = lambda counts, order: given.append(counts) or ordered_cells(counts, order)
+        vocab = P.build_vocab(df).cache()
+    finally:
+        P.range_cells = cells
+    # the counts that cells are cut from are stored: their plan reads a file and counts nothing
+    assert "Aggregate" not in given[0]._jdf.queryExecution().executedPlan().toString()
+    out = P.encode(df, vocab)
+    ids = {r["tok"]: r["id"] for r in vocab.collect()}
+    assert {r["doc_id"]: r["input_ids"] for r in out.collect()} == {i: [ids["a"], ids[f"b{i % 5}"], ids[f"c{i}"]] for i in range(40)}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan, plan

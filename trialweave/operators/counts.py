@@ -1,17 +1,68 @@
-"""Counts of neighbouring words, made per task before rows are shuffled."""
+"""Counts of words and of neighbouring words, made per task before rows are shuffled."""
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words that a task holds before it hands its counts on, and rows it hands on at once.
 HELD_WORDS, HANDED_ROWS = 4_000_000, 200_000
+#: Different words that a task holds before it hands their counts on.
+HELD_COUNTS = 400_000
+
+
+def token_counts(df: DataFrame, tokens: str, word: str, n: str) -> DataFrame:
+    """(word, n): how often each token of the arrays ``tokens`` occurs; a null token counts as one of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pc.value_counts(batch.column(0).flatten())
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=[word, n])
+
+    rows = df.select(tokens)
+    kind = rows.schema[tokens].dataType.elementType.simpleString()
+    return rows.mapInArrow(run, f"{word} {kind}, {n} long").groupBy(word).agg(F.sum(n).alias(n))
+
+
+def word_counts(df: DataFrame, text: str, word: str, n: str, by: str | None = None, weight: str | None = None, held_counts: int = HELD_COUNTS) -> DataFrame:
+    """(by, word, n): how often each word of ``text`` occurs, a row counting ``weight`` times. Words are those of ``functions.texts.words``."""
+    group, times = F.col(by) if by else F.lit(None).cast("long"), F.col(weight) if weight else F.lit(1)
+    rows = df.select(F.col(text).cast("string").alias("text"), group.alias("group"), times.cast("long").alias("times"))
+    kind = rows.schema["group"].dataType
+    arrow = pa.string() if kind.simpleString() == "string" else pa.int64()
+    if kind.simpleString() not in ("string", "bigint"):
+        raise ValueError(f"words are counted by texts or long numbers, not by {kind.simpleString()}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: defaultdict = defaultdict(Counter)
+        size = 0
+        for batch in batches:
+            for value, g, t in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                counts = held[g, t]
+                size -= len(counts)
+                # str.split() takes the same blanks for blanks as ``words`` does
+                counts.update((value.as_py() or "").split())
+                size += len(counts)
+                if size >= held_counts:
+                    yield from flush(held)
+                    held, size = defaultdict(Counter), 0
+        yield from flush(held)
+
+    def flush(held):
+        for (g, t), counts in held.items():
+            numbers = np.fromiter(counts.values(), np.int64, len(counts)) * (t or 0)
+            yield pa.RecordBatch.from_arrays([pa.array([g] * len(counts), arrow), pa.array(list(counts), pa.string()), pa.array(numbers)], names=["group", word, n])
+
+    counted = rows.mapInArrow(run, f"group {kind.simpleString()}, {word} string, {n} long")
+    if by is None:
+        return counted.groupBy(word).agg(F.sum(n).alias(n))
+    return counted.groupBy(F.col("group").alias(by), word).agg(F.sum(n).alias(n))
 
 
 def neighbour_counts(df: DataFrame, text: str, first: str, second: str, n: str, held_words: int = HELD_WORDS) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.draws import u
-from ..functions.texts import unfolded, words
+from ..functions.texts import words
 from ..plans.lookup import chunk_lookup
 from ..plans.ordered import draw_levels, number_rows, range_cells, running_before
 from ..plans.session import materialize
+from . import counts as task_counts
 
 # Reserved tokens come first in every vocabulary; padding has id 0.
 SPECIALS = ("<pad>", "<unk>")
@@ -25,14 +26,16 @@ def tokenize(df: DataFrame, text: str = "text", out: str = "tokens", lower: bool
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    return df.select(F.explode(unfolded(F.col(tokens))).alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("cnt"))
+    """(tok, cnt), counted per task before rows are shuffled."""
+    return task_counts.token_counts(df, tokens, "tok", "cnt")
 
 
 def rank_tokens(counts: DataFrame) -> DataFrame:
     """Adds the 0-based rank by (count descending, token), within cells whose bounds follow the data, so neither the long
     tail of rare tokens nor tokens of one beginning are one task."""
     order = [F.col("cnt").desc(), F.col("tok")]
-    ranked = number_rows(range_cells(counts, order), [], ["_l0", "_l1"], order, "rank")
+    # stored, as cells are cut in several passes, each of which would count the corpus anew
+    ranked = number_rows(range_cells(materialize(counts, "token-counts"), order), [], ["_l0", "_l1"], order, "rank")
     return ranked.withColumn("rank", F.col("rank") - 1).drop("_l0", "_l1")
 
 
@@ -41,8 +44,7 @@ def build_vocab(
     specials: Sequence[str] = SPECIALS,
 ) -> DataFrame:
     """(tok, cnt, id): ids follow the reserved tokens by descending count. ``max_size`` keeps the commonest only."""
-    counts = token_counts(df, tokens).filter(F.col("cnt") >= min_count)
-    ranked = rank_tokens(counts)
+    ranked = rank_tokens(token_counts(df, tokens).filter(F.col("cnt") >= min_count))
     if max_size is not None:
         ranked = ranked.filter(F.col("rank") < max_size)
     return ranked.select("tok", "cnt", (F.col("rank") + len(specials)).cast("int").alias("id"))
@@ -51,9 +53,9 @@ def build_vocab(
 def encode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", unk: int = 1) -> DataFrame:
     """(key, input_ids); a text without tokens has no ids. The distinct tokens of chunks of texts look their ids up, see ``chunk_lookup``."""
     rows = df.select(key, F.col(tokens).alias("_tokens"))
-    found = chunk_lookup(rows, key, "_tokens", lambda asked: asked.join(vocab.select("tok", F.col("id").cast("int").alias("value")), "tok"), "_ids", T.IntegerType())
-    ids = F.transform(F.coalesce("_ids", F.array().cast("array<int>")), lambda i: F.coalesce(i, F.lit(unk)))
-    return found.select(key, ids.alias("input_ids"))
+    ids = vocab.select("tok", F.col("id").cast("int").alias("value"))
+    found = chunk_lookup(rows, key, "_tokens", lambda asked: asked.join(ids, "tok"), "_ids", T.IntegerType(), keep=False, missing=unk)
+    return found.select(key, F.coalesce("_ids", F.array().cast("array<int>")).alias("input_ids"))
 
 
 def truncate_pad(

@@ -219,9 +219,9 @@ def back_translation(
             back = backward.select("pivot", F.col("word").alias("_back"))
             return there.join(back, "pivot", "left").select("chunk", "tok", F.coalesce("_back", "pivot").alias("value"))
 
-        told = chunk_lookup(rows.withColumn("_w", kept), key, "_w", trips, "_said", T.StringType())
+        told = chunk_lookup(rows.withColumn("_w", kept), key, "_w", trips, "_said", T.StringType(), keep=False)
         said = F.when(F.size("_said") > 0, F.array_join("_said", " "))
-        return told.withColumn(text, F.coalesce(said, text)).drop("_w", "_n", "_said")
+        return told.withColumn(text, F.coalesce(said, text)).drop("_n", "_said")
 
     return _only_gated(df, on, act, key) if split else act(df)
 

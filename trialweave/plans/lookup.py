@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 #: Chunks of texts for each shuffle partition: a partition of 100 to 200 MB gives chunks of some 10 MB.
 CHUNKS_PER_PARTITION = 16
 
+#: Tokens of chunks that a task gathers before it drops those it has.
+DISTINCT_ROWS = 1_000_000
+
 
 def salted_lookup(
     rows: DataFrame, dimension: DataFrame, on: list[str], salt_by: list[str], how: str = "left", salts: int = 8
@@ -39,8 +42,8 @@ def sparse_lookup(rows: DataFrame, dimension: DataFrame, on: list[str], salt_by:
     return salted_lookup(rows, dimension.join(asked, on, "left_semi"), on, salt_by, how)
 
 
-def chunk_lookup(rows: DataFrame, key: str, tokens: str, find: Callable[[DataFrame], DataFrame], out: str, kind: T.DataType, chunks: int | None = None) -> DataFrame:
-    """Adds ``out``: for each of a row's tokens its value in a dictionary, null where it has none.
+def chunk_lookup(rows: DataFrame, key: str, tokens: str, find: Callable[[DataFrame], DataFrame], out: str, kind: T.DataType, chunks: int | None = None, keep: bool = True, missing: int | str | None = None) -> DataFrame:
+    """Adds ``out``: for each of a row's tokens its value in a dictionary, ``missing`` where it has none. Without ``keep`` the tokens do not come back.
 
     Rows are dealt by key into chunks, and only the distinct tokens of a chunk look for their values, so the commonest word is asked for once a chunk and tokens are not
     shuffled. ``find`` gets ``chunk`` and ``tok`` and returns them with ``value``, once each. Values come back to their chunk, whose rows are then translated together by Arrow's
@@ -49,10 +52,32 @@ def chunk_lookup(rows: DataFrame, key: str, tokens: str, find: Callable[[DataFra
     spark = rows.sparkSession
     chunks = chunks or CHUNKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")).repartition("_chunk")
-    # already clustered by chunk, so this takes no shuffle of its own
-    asked = dealt.select(F.col("_chunk").alias("chunk"), F.explode(F.concat(tokens)).alias("tok")).distinct()
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, least = [], 0, DISTINCT_ROWS
+
+        def once() -> pa.Table:
+            return pa.concat_tables(held).group_by(["chunk", "tok"]).aggregate([]).select(["chunk", "tok"])
+
+        for batch in batches:
+            column, chunk = batch.column(tokens), batch.column("_chunk")
+            pairs = pa.table({"chunk": chunk.take(pc.list_parent_indices(column)), "tok": column.flatten()})
+            held.append(pairs.group_by(["chunk", "tok"]).aggregate([]).select(["chunk", "tok"]))
+            size += len(held[-1])
+            if size > least:
+                held = [once()]
+                size = len(held[0])
+                least = 2 * size + DISTINCT_ROWS
+        if held:
+            yield from once().to_batches(DISTINCT_ROWS)
+
+    # A chunk is one task's, so what is distinct there is distinct, and this takes no shuffle of its own. All columns are read, so that these rows are the
+    # ones translated below and are dealt out once.
+    kind_of = rows.schema[tokens].dataType.elementType.simpleString()
+    asked = dealt.mapInArrow(distinct, f"chunk int, tok {kind_of}")
     found = find(asked).select(F.col("chunk").alias("_chunk"), "tok", "value")
-    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.ArrayType(kind))])
+    kept = [f for f in rows.schema.fields if keep or f.name != tokens]
+    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(kind))])
 
     def translate(texts: pa.Table, known: pa.Table) -> pa.Table:
         column = texts.column(tokens).combine_chunks()
@@ -61,8 +86,10 @@ def chunk_lookup(rows: DataFrame, key: str, tokens: str, find: Callable[[DataFra
         flat = column.flatten()
         places = pc.index_in(flat, value_set=known.column("tok").combine_chunks())
         values = known.column("value").combine_chunks().take(places)
+        if missing is not None:
+            values = pc.fill_null(values, missing)
         sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-        return texts.drop_columns("_chunk").append_column(out, pa.ListArray.from_arrays(offsets, values, mask=column.is_null()))
+        return texts.drop_columns(["_chunk"] if keep else ["_chunk", tokens]).append_column(out, pa.ListArray.from_arrays(offsets, values, mask=column.is_null()))
 
     return dealt.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(translate, schema)
