@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.texts import words
 from ..plans.ordered import number_rows, range_cells
 from ..plans.session import materialize
-from .counts import neighbour_counts
+from .counts import neighbour_counts, word_counts
 from .metrics import bits_per_byte, perplexity
 from .prepare import exact_split
 from .text_augment import TextAugmenter
@@ -52,7 +52,7 @@ def train_lm(df: DataFrame, text: str = "text", order: int = 1, k: float = ADD_K
         raise ValueError("order must be 1 or 2")
     # the counts are the model: written once, read by everything after
     if order == 1:
-        counted = _grams(df, text, order).groupBy("ctx", "tok").agg(F.count(F.lit(1)).alias("c"))
+        counted = word_counts(df.select(F.lower(F.col(text)).alias("text")), "text", "tok", "c").select(F.lit("").alias("ctx"), "tok", "c")
     else:
         counted = neighbour_counts(df.select(F.lower(F.col(text)).alias("text")), "text", "ctx", "tok", "c")
     grams = materialize(counted, "grams")
@@ -280,8 +280,8 @@ def trial_sweep(
     changes = [F.when(F.col(f"_text{i}") != F.col("_text"), F.array(part(F.lit(i), 1, F.col(f"_text{i}")), part(F.lit(i), -1, F.col("_text")))) for i in acting]
     parts = F.array(F.array(part(F.lit(None), 1, F.col("_text"))), *changes)
     each = rows.select(F.explode(F.flatten(F.array_compact(parts))).alias("p")).select("p.*")
-    words_of = each.select("trial_id", "sign", F.explode(words(F.lower(F.col("text")))).alias("tok"))
-    counts = materialize(words_of.groupBy("trial_id", "tok").agg(F.sum("sign").alias("c")), "sweep-counts")
+    lowered = each.withColumn("text", F.lower("text"))
+    counts = materialize(word_counts(lowered, "text", "tok", "c", by="trial_id", weight="sign"), "sweep-counts")
 
     seen = materialize(_grams(validation, text, 1).groupBy("tok").agg(F.count(F.lit(1)).alias("n")), "sweep-validation")
     base = counts.filter("trial_id IS NULL").select("tok", F.col("c").alias("base")).join(seen, "tok", "left")
