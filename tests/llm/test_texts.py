@@ -155,6 +155,45 @@ def test_fold_equals_merges(spark):
     assert got == {w: byte_bpe.merge_word(w.encode(), ranks) for w in words}
 
 
+def test_rare_words_are_merged_together(monkeypatch):
+    import public_tokenizers as P
+    import pyarrow as pa
+    import tiktoken
+
+    ranks = byte_bpe.load_ranks(P.path(byte_bpe.RANKS))
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(8)
+    rare = ["".join(rng.choice(k) for _ in range(rng.randint(1, 14))) for k in ["abcdefghi", "ab", "éèçà中", "tion", "12$'"] for _ in range(200)]
+    texts = [" ".join(rng.choice(rare) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    texts += ["", " ", "a  b", " a", "a ", "a\n b", "a \n", "a\u3000 b \u3000c", "\x1c \x1cx", "it's  they'll 'S\n\n\n x", "z" * 300 + " " + "é" * 90]
+    monkeypatch.setattr(byte_bpe, "_merge_short", None)  # not one by one
+    encoder, pieces = byte_bpe._Encoder({}, ranks, P.PATTERN, room=50), byte_bpe.Pieces(ranks)
+    for part in byte_bpe.slices(pa.array(texts * 2), 500):
+        ids, counts = encoder.encode(part)
+        want = [enc.encode_ordinary(t) for t in part.to_pylist()]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert pieces.join(ids, counts).to_pylist() == [t.encode() for t in part.to_pylist()]
+    assert sum(map(len, byte_bpe.slices(pa.array(texts), 500))) == len(texts)
+
+
+def test_parts_hold_the_words_of_their_text():
+    import public_tokenizers as P
+    import pyarrow as pa
+    import regex
+
+    blanks = "\t\n\x0b\x0c\r\x1c\x1f \x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\u200b"
+    texts = [f"a{x}{y}b{y} {x}c {y}" for x in blanks for y in blanks] + [f"a{x} b" for x in blanks] + ["don't 1a!'s ''ll x"]
+    find, words = regex.compile(P.PATTERN).findall, byte_bpe.words_of(P.PATTERN)
+    parts, counts = byte_bpe.cut(pa.array(texts), P.PATTERN)
+    parts = iter(parts.to_pylist())
+    for text, n in zip(texts, counts.tolist()):
+        own = [next(parts) for _ in range(n)]
+        assert "".join(own) == text
+        assert [w for p in own for w in words(p)] == find(text)
+    assert byte_bpe.cut(pa.array(["a b", ""]), "[a-z ]+")[0].to_pylist() == ["a b", ""]
+    assert all(words(chr(i)) == find(chr(i)) and words(f"a{chr(i)}1") == find(f"a{chr(i)}1") for i in range(128))
+
+
 def test_packing(odd, texts):
     import public_tokenizers as P
     from tokenizers import Tokenizer

@@ -5,10 +5,12 @@ each step of a fold over it, in Spark's higher-order functions, merges the leftm
 as two hex digits, so that joining pieces is joining strings.
 
 Folded that way are the distinct words: the commonest of the corpus (at most ``WORDS``, each of at most ``WORD_BYTES`` bytes), counted over all texts. Their ids
-are broadcast, and texts are encoded by Arrow batches; a rarer word is merged there by the same rule, with a heap, so a word of any length costs no more
-than n log n. Which words are common changes the speed only. Decoding concatenates the pieces of the ids.
+are broadcast, and texts are encoded by Arrow batches. Rarer words are merged there by the same rule, some megabytes' words at a time: each step merges one pair in every
+word (``PairTable``). Words above ``WORD_BYTES`` go through a heap, so a word of any length costs no more than n log n. Which words are common changes the
+speed only. Decoding concatenates the pieces of the ids.
 
-Texts are cut at blanks first, where no match of the pattern is divided, as such parts repeat: most are found whole, without the pattern.
+Texts are cut at blanks first, where no match of the pattern is divided, as such parts repeat: most are found whole, without the pattern. Arrow cuts and
+numbers them, so Python sees a distinct part of some megabytes of text once.
 
 Texts are not encoded inside the plan, too, because a lookup in interpreted lambda functions takes microseconds: see the README.
 
@@ -21,11 +23,13 @@ import base64
 import heapq
 import re
 import struct
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +42,11 @@ WORDS, WORD_BYTES = 1 << 17, 40
 #: What ``regex`` takes for a blank.
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNITS = re.compile(f"[{_BLANK}]?[^{_BLANK}]+|[{_BLANK}]+(?=[{_BLANK}][^{_BLANK}])|[{_BLANK}]+").findall
+#: The tokenizers' pattern on ASCII.
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
+#: A space with a blank or nothing behind it, for Arrow.
+_CROWDED = r" ([\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
+_LETTERS = r"\A ?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+\z"
 UNIT_CHARS = 64
 SEPARATOR = "\x1f"
 
@@ -165,28 +174,84 @@ def units_of(pattern: str):
     return _UNITS if pattern == public_tokenizers.PATTERN else lambda text: [text]
 
 
+def words_of(pattern: str):
+    """Finds the pattern's matches in such a part. A part of ASCII goes through Python's ``re``, whose classes are those of ``regex`` there."""
+    import public_tokenizers
+
+    find = regex.compile(pattern).findall
+    return (lambda part: _ASCII_WORDS(part) if part.isascii() else find(part)) if pattern == public_tokenizers.PATTERN else find
+
+
+def single(parts, pattern: str):
+    """Which parts are surely one match: letters that every version of Unicode takes for letters, with a space before them or not."""
+    import public_tokenizers
+
+    return pc.match_substring_regex(parts, _LETTERS if pattern == public_tokenizers.PATTERN else r"\z\A.")
+
+
+def cut(texts: pa.Array, pattern: str) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Parts of all texts in order (see ``units_of``), and how many each text has.
+
+    A part may hold several units: a cut before a blank with a word behind it does as well. So a text in which every space is such a one is
+    split at its spaces by Arrow.
+    """
+    import public_tokenizers
+
+    units = units_of(pattern)
+    crowded = np.ones(len(texts), bool)
+    if pattern == public_tokenizers.PATTERN:
+        crowded = pc.match_substring_regex(texts, _CROWDED).to_numpy(zero_copy_only=False)
+    held, counts = [], []
+    # stretches of texts of one kind
+    edges = np.flatnonzero(np.diff(crowded)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(texts)]):
+        if a == b:
+            continue
+        own = texts.slice(a, b - a)
+        if crowded[a]:
+            found = [units(t) for t in own.to_pylist()]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            held.append(pa.array(list(chain.from_iterable(found)), pa.string()))
+        else:
+            lists = pc.split_pattern(own, " ")
+            words = lists.flatten()
+            counts.append(pc.list_value_length(lists).to_numpy().astype(np.int64))
+            first = np.zeros(len(words), bool)
+            first[np.cumsum(counts[-1]) - counts[-1]] = True
+            held.append(pc.binary_join_element_wise(pc.if_else(pa.array(first), "", " "), words, ""))
+    return pa.concat_arrays([*held, pa.array([], pa.string())]).dictionary_encode(), np.concatenate([np.empty(0, np.int64), *counts])
+
+
 def count_words(texts: DataFrame, pattern: str) -> DataFrame:
     """``word`` and ``n`` of the pattern's matches in all texts."""
-    units = units_of(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, held = regex.compile(pattern).findall, Counter()
+        find, held = words_of(pattern), pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
 
-        def flush():
-            words: Counter = Counter()
-            for unit, n in held.items():
-                for word in find(unit):
+        def summed(parts: pa.Table) -> pa.Table:
+            return parts.group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        def flush(parts: pa.Table) -> Iterator[pa.RecordBatch]:
+            whole = single(parts.column("word"), pattern)
+            yield from parts.filter(whole).to_batches()
+            rest, words = parts.filter(pc.invert(whole)), Counter()
+            for part, n in zip(rest.column("word").to_pylist(), rest.column("n").to_pylist()):
+                for word in find(part):
                     words[word] += n
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                held.update(units(text.as_py()))
-                if len(held) > 300_000:
-                    yield flush()
-                    held.clear()
-        if held:
-            yield flush()
+            for texts in slices(batch.column("text")):
+                parts = cut(texts, pattern)[0]
+                n = pa.array(np.bincount(parts.indices.to_numpy(), minlength=len(parts.dictionary)).astype(np.int64))
+                held = pa.concat_tables([held, pa.table({"word": parts.dictionary, "n": n})])
+                if len(held) > 400_000:
+                    held = summed(held)
+                    if len(held) > 300_000:
+                        yield from flush(held)
+                        held = held.slice(0, 0)
+        if len(held):
+            yield from flush(summed(held))
 
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -249,50 +314,208 @@ def _merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:j]] for i, j in zip(at, at[1:])]
 
 
-class _Pieces(dict):
-    """Bytes by the packed ids of a word, from the pieces of the ids; kept while there is room."""
+class PairTable:
+    """Ranks of two tokens joined, for many pairs at once, and merges of many words by them."""
 
-    def __init__(self, ranks: dict[bytes, int], room: int = 200_000):
-        super().__init__()
-        self.pieces = [b""] * (max(ranks.values()) + 1)
+    def __init__(self, ranks: dict[bytes, int]):
+        self.none = self.base = max(ranks.values()) + 1
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        pairs = {}
         for token, rank in ranks.items():
-            self.pieces[rank] = token
-        self.room = room
-
-    def __missing__(self, packed: bytes) -> bytes:
-        found = b"".join([self.pieces[i] for i in struct.unpack(f"<{len(packed) // 4}I", packed)])
-        if len(self) < self.room:
-            self[packed] = found
-        return found
-
-
-class _Packed(dict):
-    """Packed ids by word; a word that is not there is merged and kept, while there is room."""
-
-    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int], room: int = 150_000):
-        super().__init__(known)
-        self.ranks, self.room = ranks, len(known) + room
-
-    def __missing__(self, word: str) -> bytes:
-        ids = merge_word(word.encode(), self.ranks)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) < self.room:
-            self[word] = packed
-        return packed
-
-
-class _Units(dict):
-    """Packed ids by part of a text (see ``units_of``); short ones are kept while there is room."""
-
-    def __init__(self, find, packed: _Packed, room: int = 200_000):
-        super().__init__()
-        self.find, self.packed, self.room = find, packed, room
-
-    def __missing__(self, unit: str) -> bytes:
-        found = b"".join(map(self.packed.__getitem__, self.find(unit)))
-        if len(unit) <= UNIT_CHARS and len(self) < self.room:
-            self[unit] = found
-        return found
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    pairs[left * self.base + right] = rank
+        bits = max(len(pairs), 1).bit_length() + 2
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.ranks = np.full(1 << bits, self.none, np.int64)
+        keys, found = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64)
+        at = self._slot(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several keys for a slot, one stays
+            own = self.keys[at] == keys
+            self.ranks[at[own]] = found[own]
+            keys, found, at = keys[~own], found[~own], (at[~own] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs; ``none`` where there is none."""
+        keys = left * self.base + right
+        at = self._slot(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.ranks[at], self.none)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.last
+            there = self.keys[at[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.ranks[at[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words, none empty: in each, the leftmost pair of lowest rank is merged until none has a rank."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        tokens = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
+        word = np.arange(len(words))
+        out = [b""] * len(words)
+        pairs = self._pairs(tokens, sizes)
+        while len(word):
+            starts = np.cumsum(sizes) - sizes
+            # leftmost of the lowest
+            least = np.minimum.reduceat(pairs * (1 << 32) + np.arange(len(pairs)), starts)
+            rank, at = least >> 32, least & ((1 << 32) - 1)
+            done = rank == self.none
+            if done.any():
+                ids = tokens.astype("<u4").tobytes()
+                for w, a, n in zip(word[done].tolist(), (4 * starts[done]).tolist(), (4 * sizes[done]).tolist()):
+                    out[w] = ids[a : a + n]
+            tokens[at[~done]] = rank[~done]
+            keep = np.repeat(~done, sizes)
+            keep[at[~done] + 1] = False
+            place = np.cumsum(keep) - 1  # where a token goes
+            tokens, pairs = tokens[keep], pairs[keep]
+            word, sizes, at = word[~done], sizes[~done] - 1, place[at[~done]]
+            ends = np.cumsum(sizes)
+            right = at + 1 < ends
+            pairs[at] = self.none
+            pairs[at[right]] = self.rank(tokens[at[right]], tokens[at[right] + 1])
+            left = at[at > ends - sizes]
+            pairs[left - 1] = self.rank(tokens[left - 1], tokens[left])
+        return out
+
+    def _pairs(self, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The rank of each token with the next one of its word."""
+        pairs = np.full(len(tokens), self.none, np.int64)
+        if len(tokens):
+            pairs[:-1] = self.rank(tokens[:-1], tokens[1:])
+            pairs[np.cumsum(sizes) - 1] = self.none
+        return pairs
+
+
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` that begin at ``starts``, one behind the other."""
+    out = [values[:0]]
+    for a in range(0, len(starts), 1 << 18):
+        n = sizes[a : a + (1 << 18)]
+        ends = np.cumsum(n)
+        out.append(values[np.repeat(starts[a : a + (1 << 18)] - (ends - n), n) + np.arange(ends[-1])])
+    return np.concatenate(out)
+
+
+def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary values from their bytes."""
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("a batch above 2 GB; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+class Pieces:
+    """The bytes of ids, one piece behind the other."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.all = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def join(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """One binary value for every text; ``counts``: how many of the ids are its own."""
+        sizes = self.sizes[ids]
+        return binary_array(gather(self.all, self.starts[ids], sizes), _offsets(sizes)[_offsets(counts)])
+
+
+class _Recent:
+    """Values by key, made for all missing keys at once; those not asked for of late go when there is no room."""
+
+    def __init__(self, make, room: int):
+        self.make, self.room, self.new, self.old = make, room, {}, {}
+
+    def holding(self, keys: list) -> dict:
+        """A dict with all of the keys, which are distinct."""
+        if len(self.new) > self.room:
+            self.new, self.old = {}, self.new
+        new, old = self.new, self.old
+        missing = [k for k in keys if k not in new]
+        made = [k for k in missing if k not in old]
+        if len(made) < len(missing):
+            new.update([(k, old[k]) for k in missing if k in old])
+        new.update(zip(made, self.make(made)))
+        return new
+
+
+class _Encoder:
+    """Ids of texts: parts (see ``units_of``) that came of late are looked up, words of the others too, and rare words are merged together."""
+
+    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int], pattern: str, room: int = 150_000):
+        self.known, self.ranks, self.pattern, self.find, self.pairs = known, ranks, pattern, words_of(pattern), PairTable(ranks)
+        self.words, self.parts = _Recent(self._merge, room), _Recent(self._encode, room)
+
+    def _merge(self, words: list[str]) -> list[bytes]:
+        out, short, places = [b""] * len(words), [], []
+        for i, word in enumerate(words):
+            raw = word.encode()
+            if raw in self.ranks or len(raw) > WORD_BYTES:
+                ids = merge_word(raw, self.ranks)
+                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+            elif raw:
+                short.append(raw)
+                places.append(i)
+        for i, ids in zip(places, self.pairs.merge(short)):
+            out[i] = ids
+        return out
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        known, words, counts = self.known, [], []
+        whole = single(pa.array(parts, pa.string()), self.pattern).to_pylist()
+        for part, one in zip(parts, whole):  # one flat list: lists by part would be walked by the collector again and again
+            if one:
+                words.append(part)
+                counts.append(1)
+            else:
+                found = self.find(part)
+                words += found
+                counts.append(len(found))
+        rare = self.words.holding(list({w for w in words if w not in known}))
+        packed = [known[w] if w in known else rare[w] for w in words]
+        out, at = [], 0
+        for n in counts:
+            out.append(packed[at] if n == 1 else b"".join(packed[at : at + n]))
+            at += n
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        parts, counts = cut(texts, self.pattern)
+        distinct, index = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+        long = [p for p in distinct if len(p) > UNIT_CHARS]  # these are not kept
+        held = self.parts.holding([p for p in distinct if len(p) <= UNIT_CHARS] if long else distinct)
+        if long:
+            held = ChainMap(dict(zip(long, self._encode(long))), held)
+        packed = [held[p] for p in distinct]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        ids = gather(np.frombuffer(b"".join(packed), "<u4"), (np.cumsum(sizes) - sizes)[index], sizes[index])
+        return ids, np.diff(_offsets(sizes[index])[_offsets(counts)])
+
+
+def slices(texts: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
+    """The texts in stretches of some megabytes."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most)) + 1
+        yield texts.slice(start, end - start)
+        start = end
 
 
 def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words: int = WORDS, decoded: bool = False) -> DataFrame:
@@ -303,24 +526,21 @@ def encode(texts: DataFrame, path: str, pattern: str | None = None, most_words:
     import public_tokenizers
 
     pattern = pattern or public_tokenizers.PATTERN
-    ranks, units = load_ranks(path), units_of(pattern)
+    ranks = load_ranks(path)
     words, ids = common_words(Bpe(ranks, pattern), texts, most_words)
     # at most most_words * (WORD_BYTES + 4 * WORD_BYTES) bytes
     known = texts.sparkSession.sparkContext.broadcast({w: np.array(i, "<u4").tobytes() for w, i in zip(words, ids)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(path)
-        pieces = _Pieces(ranks)
-        packed = _Units(regex.compile(pattern).findall, _Packed(known.value, ranks))
+        pieces, encoder = Pieces(ranks), _Encoder(known.value, ranks, pattern)
         for batch in batches:
-            ids, back = [], []
-            for text in batch.column("text"):
-                words = list(map(packed.__getitem__, units(text.as_py())))
-                ids.append(b"".join(words))
-                if decoded:
-                    back.append(b"".join(map(pieces.__getitem__, words)))
-            out = batch.append_column("ids", pa.array(ids, pa.binary()))
-            yield out.append_column("decoded", pa.array(back, pa.binary())) if decoded else out
+            done = 0
+            for part in slices(batch.column("text")):
+                ids, counts = encoder.encode(part)
+                out = batch.slice(done, len(part)).append_column("ids", binary_array(ids, 4 * _offsets(counts)))
+                yield out.append_column("decoded", pieces.join(ids, counts)) if decoded else out
+                done += len(part)
 
     more = "ids binary, decoded binary" if decoded else "ids binary"
     return texts.mapInArrow(run, schema_with(texts, {c: c for c in texts.columns}, more))
@@ -330,10 +550,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded``, the bytes of the pieces of ``ids`` one behind the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _Pieces(load_ranks(path)).pieces
+        pieces = Pieces(load_ranks(path))
         for batch in batches:
-            found = [b"".join(map(pieces.__getitem__, np.frombuffer(i.as_py(), "<u4").tolist())) for i in batch.column("ids")]
-            yield batch.append_column("decoded", pa.array(found, pa.binary()))
+            ids = [i.as_py() for i in batch.column("ids")]
+            counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            yield batch.append_column("decoded", pieces.join(np.frombuffer(b"".join(ids), "<u4"), counts))
 
     return encoded.mapInArrow(run, schema_with(encoded, {c: c for c in encoded.columns}, "decoded binary"))
 
