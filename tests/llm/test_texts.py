@@ -167,7 +167,7 @@ def test_rare_words_are_merged_together(monkeypatch):
     texts = [" ".join(rng.choice(rare) for _ in range(rng.randint(0, 30))) for _ in range(200)]
     texts += ["", " ", "a  b", " a", "a ", "a\n b", "a \n", "a\u3000 b \u3000c", "\x1c \x1cx", "it's  they'll 'S\n\n\n x", "z" * 300 + " " + "é" * 90]
     monkeypatch.setattr(byte_bpe, "_merge_short", None)  # not one by one
-    encoder, pieces = byte_bpe._Encoder({}, ranks, P.PATTERN, room=50), byte_bpe.Pieces(ranks)
+    encoder, pieces = byte_bpe._Encoder({"aab": np.array(enc.encode_ordinary("aab"), "<u4").tobytes()}, ranks, P.PATTERN), byte_bpe.Pieces(ranks)
     for part in byte_bpe.slices(pa.array(texts * 2), 500):
         ids, counts = encoder.encode(part)
         want = [enc.encode_ordinary(t) for t in part.to_pylist()]

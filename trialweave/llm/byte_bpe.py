@@ -9,8 +9,8 @@ are broadcast, and texts are encoded by Arrow batches. Rarer words are merged th
 word (``PairTable``). Words above ``WORD_BYTES`` go through a heap, so a word of any length costs no more than n log n. Which words are common changes the
 speed only. Decoding concatenates the pieces of the ids.
 
-Texts are cut at blanks first, where no match of the pattern is divided, as such parts repeat: most are found whole, without the pattern. Arrow cuts and
-numbers them, so Python sees a distinct part of some megabytes of text once.
+Texts are cut at blanks first, where no match of the pattern is divided, as such parts repeat: most are words, without the pattern. Arrow cuts and
+numbers them, so a distinct part of some megabytes of text is looked at once.
 
 Texts are not encoded inside the plan, too, because a lookup in interpreted lambda functions takes microseconds: see the README.
 
@@ -22,8 +22,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-import struct
-from collections import ChainMap, Counter
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -47,7 +46,6 @@ _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-
 #: A space with a blank or nothing behind it, for Arrow.
 _CROWDED = r" ([\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
 _LETTERS = r"\A ?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+\z"
-UNIT_CHARS = 64
 SEPARATOR = "\x1f"
 
 
@@ -357,12 +355,13 @@ class PairTable:
             open_ = open_[~hit & (there >= 0)]
         return out
 
-    def merge(self, words: list[bytes]) -> list[bytes]:
-        """Packed ids of words, none empty: in each, the leftmost pair of lowest rank is merged until none has a rank."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        tokens = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
-        word = np.arange(len(words))
-        out = [b""] * len(words)
+    def merge(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each word's begin and how many there are; ``data``: the bytes of words, none empty, of those sizes.
+
+        In each word the leftmost pair of lowest rank is merged until none has a rank.
+        """
+        tokens, word = self.bytes[data], np.arange(len(sizes))
+        ids, order, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         pairs = self._pairs(tokens, sizes)
         while len(word):
             starts = np.cumsum(sizes) - sizes
@@ -370,12 +369,11 @@ class PairTable:
             least = np.minimum.reduceat(pairs * (1 << 32) + np.arange(len(pairs)), starts)
             rank, at = least >> 32, least & ((1 << 32) - 1)
             done = rank == self.none
-            if done.any():
-                ids = tokens.astype("<u4").tobytes()
-                for w, a, n in zip(word[done].tolist(), (4 * starts[done]).tolist(), (4 * sizes[done]).tolist()):
-                    out[w] = ids[a : a + n]
-            tokens[at[~done]] = rank[~done]
             keep = np.repeat(~done, sizes)
+            ids.append(tokens[~keep])
+            order.append(word[done])
+            counts.append(sizes[done])
+            tokens[at[~done]] = rank[~done]
             keep[at[~done] + 1] = False
             place = np.cumsum(keep) - 1  # where a token goes
             tokens, pairs = tokens[keep], pairs[keep]
@@ -386,7 +384,9 @@ class PairTable:
             pairs[at[right]] = self.rank(tokens[at[right]], tokens[at[right] + 1])
             left = at[at > ends - sizes]
             pairs[left - 1] = self.rank(tokens[left - 1], tokens[left])
-        return out
+        order, counts = np.concatenate(order), np.concatenate(counts)
+        back = np.argsort(order)
+        return np.concatenate(ids), (np.cumsum(counts) - counts)[back], counts[back]
 
     def _pairs(self, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The rank of each token with the next one of its word."""
@@ -414,8 +414,8 @@ def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
 
-def _offsets(sizes: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(sizes)])
+def _offsets(sizes) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 class Pieces:
@@ -435,80 +435,58 @@ class Pieces:
         return binary_array(gather(self.all, self.starts[ids], sizes), _offsets(sizes)[_offsets(counts)])
 
 
-class _Recent:
-    """Values by key, made for all missing keys at once; those not asked for of late go when there is no room."""
-
-    def __init__(self, make, room: int):
-        self.make, self.room, self.new, self.old = make, room, {}, {}
-
-    def holding(self, keys: list) -> dict:
-        """A dict with all of the keys, which are distinct."""
-        if len(self.new) > self.room:
-            self.new, self.old = {}, self.new
-        new, old = self.new, self.old
-        missing = [k for k in keys if k not in new]
-        made = [k for k in missing if k not in old]
-        if len(made) < len(missing):
-            new.update([(k, old[k]) for k in missing if k in old])
-        new.update(zip(made, self.make(made)))
-        return new
-
-
 class _Encoder:
-    """Ids of texts: parts (see ``units_of``) that came of late are looked up, words of the others too, and rare words are merged together."""
-
-    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int], pattern: str, room: int = 150_000):
-        self.known, self.ranks, self.pattern, self.find, self.pairs = known, ranks, pattern, words_of(pattern), PairTable(ranks)
-        self.words, self.parts = _Recent(self._merge, room), _Recent(self._encode, room)
-
-    def _merge(self, words: list[str]) -> list[bytes]:
-        out, short, places = [b""] * len(words), [], []
-        for i, word in enumerate(words):
-            raw = word.encode()
-            if raw in self.ranks or len(raw) > WORD_BYTES:
-                ids = merge_word(raw, self.ranks)
-                out[i] = struct.pack(f"<{len(ids)}I", *ids)
-            elif raw:
-                short.append(raw)
-                places.append(i)
-        for i, ids in zip(places, self.pairs.merge(short)):
-            out[i] = ids
-        return out
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        known, words, counts = self.known, [], []
-        whole = single(pa.array(parts, pa.string()), self.pattern).to_pylist()
-        for part, one in zip(parts, whole):  # one flat list: lists by part would be walked by the collector again and again
-            if one:
-                words.append(part)
-                counts.append(1)
-            else:
-                found = self.find(part)
-                words += found
-                counts.append(len(found))
-        rare = self.words.holding(list({w for w in words if w not in known}))
-        packed = [known[w] if w in known else rare[w] for w in words]
-        out, at = [], 0
-        for n in counts:
-            out.append(packed[at] if n == 1 else b"".join(packed[at : at + n]))
-            at += n
-        return out
+    """Ids of texts: distinct words are looked up, and those not known are merged together."""
+
+    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.pattern, self.find, self.pairs = ranks, pattern, words_of(pattern), PairTable(ranks)
+        self.words = pa.array([*(w.encode() for w in known), *ranks], pa.binary())  # a word that is a token is that token
+        self.sizes = np.array([*(len(i) // 4 for i in known.values()), *[1] * len(ranks)], np.int64)
+        self.ids = np.concatenate([np.frombuffer(b"".join(known.values()), "<u4"), np.array(list(ranks.values()), "<u4")])
+
+    def _look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each word's begin and how many there are."""
+        words = words.cast(pa.binary())
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        starts, sizes = (np.cumsum(self.sizes) - self.sizes)[at], np.where(at < 0, 0, self.sizes[at])
+        length = pc.binary_length(words).to_numpy()
+        short, long = (np.flatnonzero((at < 0) & (length > 0) & ((length <= WORD_BYTES) == x)) for x in (True, False))
+        rare = words.take(pa.array(short))
+        ids = [self.ids]
+        merged, begin, n = self.pairs.merge(np.frombuffer(b"".join(rare.to_pylist()), np.uint8), length[short].astype(np.int64))
+        ids.append(merged.astype("<u4"))
+        starts[short], sizes[short] = begin + len(self.ids), n
+        end = len(self.ids) + len(merged)
+        for i in long.tolist():
+            ids.append(np.array(merge_word(words[i].as_py(), self.ranks), "<u4"))
+            starts[i], sizes[i] = end, len(ids[-1])
+            end += len(ids[-1])
+        return np.concatenate(ids), starts, sizes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each has."""
         parts, counts = cut(texts, self.pattern)
-        distinct, index = parts.dictionary.to_pylist(), parts.indices.to_numpy()
-        long = [p for p in distinct if len(p) > UNIT_CHARS]  # these are not kept
-        held = self.parts.holding([p for p in distinct if len(p) <= UNIT_CHARS] if long else distinct)
-        if long:
-            held = ChainMap(dict(zip(long, self._encode(long))), held)
-        packed = [held[p] for p in distinct]
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        ids = gather(np.frombuffer(b"".join(packed), "<u4"), (np.cumsum(sizes) - sizes)[index], sizes[index])
-        return ids, np.diff(_offsets(sizes[index])[_offsets(counts)])
-
-
-def slices(texts: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
+        index = parts.indices.to_numpy()
+        whole = single(parts.dictionary, self.pattern)
+        found, n = [], []
+        for part in parts.dictionary.filter(pc.invert(whole)).to_pylist():
+            words = self.find(part)
+            found += words
+            n.append(len(words))
+        words = pa.concat_arrays([parts.dictionary.filter(whole), pa.array(found, pa.string())]).dictionary_encode()
+        # words of each part: whole ones come first
+        whole = whole.to_numpy(zero_copy_only=False)
+        of_part = np.ones(len(whole), np.int64)
+        of_part[~whole] = n
+        first = np.empty(len(whole), np.int64)
+        first[whole], first[~whole] = np.arange(whole.sum()), whole.sum() + _offsets(n)[:-1]
+        ids, starts, sizes = self._look_up(words.dictionary)
+        word = gather(words.indices.to_numpy(), first[index], of_part[index])
+        before = _offsets(sizes[word])[_offsets(of_part[index])]
+        return gather(ids, starts[word], sizes[word]), np.diff(before[_offsets(counts)])
+
+
+def slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
     """The texts in stretches of some megabytes."""
     sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     start = 0
