@@ -112,6 +112,42 @@ def test_contextual_insertion(spark):
     assert all("new" in t.split()[1:-1] for t in filled[:3]) and filled[3] == "q"
 
 
+def test_contextual_insertion_repeats_no_bigrams(spark, monkeypatch):
+    import collections
+
+    from trialweave.functions.draws import u
+    from trialweave.plans import lookup
+
+    rows = ["the a b the c", "the b the a the b", "x the b y the", "a b a b c", "the the the the", "lone pair", "q"]
+    counts = collections.Counter(p for t in rows for p in zip(t.split(), t.split()[1:]))
+    counts.update({("the", f"w{i}"): 1 + i % 3 for i in range(300)} | {(f"v{i}", "the"): 2 for i in range(300)} | {(f"v{i}", f"w{i}"): 9 for i in range(300)})
+    bigrams = spark.createDataFrame([(*p, n) for p, n in counts.items()], "word string, follower string, n long")
+    repeated = []
+
+    def counted(rows, dimension, on, salt_by, how="left"):
+        repeated.append(dimension.count())
+        return plain(rows, dimension, on, salt_by, how)
+
+    plain = lookup.salted_lookup
+    monkeypatch.setattr(lookup, "salted_lookup", counted)
+    monkeypatch.setattr(T, "salted_lookup", counted)
+    d = docs(spark, *rows)
+    got = texts(T.contextual_insertion(d, probability=1.0, bigrams=bigrams, top_k=3, seed=7))
+    draws = d.select("doc_id", *[u(7, "contextual_insertion", F.col("doc_id"), i).alias(f"u{i}") for i in (0, 1)]).orderBy("doc_id").collect()
+    for text, new, (_, u0, u1) in zip(rows, got, draws):
+        w = text.split()
+        if len(w) >= 3:
+            at = 1 + int(u0 * (len(w) - 1))
+            left, right = w[at - 1], w[at]
+            after = sorted((-n, b) for (a, b), n in counts.items() if a == left)[:3]
+            ahead = sorted((-n, a) for (a, b), n in counts.items() if b == right)[:3]
+            best = sorted((-(1 + counts.get((left, c), 0)) * (1 + counts.get((c, right), 0)), c) for c in {c for _, c in after + ahead})[:3]
+            w.insert(at, best[int(u1 * len(best))][1])
+            text = " ".join(w)
+        assert new == text
+    assert len(repeated) >= 4 and max(repeated) < 60 < len(counts)
+
+
 def config(enabled, *entries):
     return {"pipeline": {"enabled": enabled, "text_augmentations": list(entries)}}
 

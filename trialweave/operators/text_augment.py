@@ -265,12 +265,10 @@ def bigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _top(bigrams: DataFrame, by: str, of: str, k: int) -> DataFrame:
-    # the k best of each sixteenth of a word's neighbours first, so that no task ranks all neighbours of a common word
-    part = F.pmod(F.xxhash64(of), F.lit(16))
-    for keys in ([by, part], [by]):
-        w = W.partitionBy(*keys).orderBy(F.desc("n"), F.col(of))
-        bigrams = bigrams.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    return bigrams.groupBy(by).agg(F.collect_list(of).alias("_best"))
+    # Spark keeps the k best of a word in every task before rows are shuffled, so that no task ranks all neighbours of a common word
+    w = W.partitionBy(by).orderBy(F.desc("n"), F.col(of))
+    best = bigrams.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    return best.groupBy(by).agg(F.collect_list(F.struct(F.col(of).alias("cand"), "n")).alias("_best"))
 
 
 def contextual_insertion(
@@ -307,35 +305,35 @@ def contextual_insertion(
             F.get("_w", F.col("_at") - 1).alias("left"),
             F.get("_w", F.col("_at")).alias("right"),
         )
-        # every pair of neighbours is worked out once, however many rows have it; neighbours are ranked for the words asked about only
+        # every pair of neighbours is worked out once, however many rows have it. The table of bigrams is never repeated for salts: what is salted are the
+        # neighbours of words asked about and the counts of pairs asked about, and what is asked is stored, as it is read several times
+        spots = materialize(spots, "spots")
         asked = spots.select("left", "right").distinct()
-        lefts, rights = spots.select(F.col("left").alias("word")).distinct(), spots.select(F.col("right").alias("follower")).distinct()
-        after = _top(bigrams.join(lefts, "word", "left_semi"), "word", "follower", top_k)
-        after = after.select(F.col("word").alias("left"), F.col("_best").alias("_after"))
-        ahead = _top(bigrams.join(rights, "follower", "left_semi"), "follower", "word", top_k)
-        ahead = ahead.select(F.col("follower").alias("right"), F.col("_best").alias("_ahead"))
-        asked = salted_lookup(salted_lookup(asked, after, ["left"], ["right"]), ahead, ["right"], ["left"])
-        nothing = F.array().cast("array<string>")
-        cands = asked.select(
-            "left",
-            "right",
-            F.explode(
-                F.array_union(F.coalesce("_after", nothing), F.coalesce("_ahead", nothing))
-            ).alias("cand"),
+        after = _top(bigrams, "word", "follower", top_k).select(F.col("word").alias("left"), "_best")
+        ahead = _top(bigrams, "follower", "word", top_k).select(F.col("follower").alias("right"), "_best")
+        after = sparse_lookup(asked, after, ["left"], ["right"], how="inner").select("left", "right", F.inline("_best"))
+        ahead = sparse_lookup(asked, ahead, ["right"], ["left"], how="inner").select("left", "right", F.inline("_best"))
+        nothing = F.lit(None).cast("long")
+        both = after.select("left", "right", "cand", F.col("n").alias("_ln"), nothing.alias("_rn")).unionByName(
+            ahead.select("left", "right", "cand", nothing.alias("_ln"), F.col("n").alias("_rn"))
         )
-        lc = bigrams.select(F.col("word").alias("left"), F.col("follower").alias("cand"), F.col("n").alias("_ln"))
-        rc = bigrams.select(F.col("word").alias("cand"), F.col("follower").alias("right"), F.col("n").alias("_rn"))
-        scored = salted_lookup(salted_lookup(cands, lc, ["left", "cand"], ["right"]), rc, ["cand", "right"], ["left"]).select(
-            "left",
-            "right",
-            F.struct(
-                (-(1 + F.coalesce("_ln", F.lit(0))) * (1 + F.coalesce("_rn", F.lit(0)))).alias("s"), F.col("cand").alias("w")
-            ).alias("c"),
+        cands = both.groupBy("left", "right", "cand").agg(F.max("_ln").alias("_ln"), F.max("_rn").alias("_rn"))
+        # a candidate comes with the count on one side; the other side is a pair to look up, if it did not come with both
+        ask_left, ask_right = F.col("_ln").isNull(), F.col("_rn").isNull()
+        cands = cands.withColumn("word", F.when(ask_left, F.col("left")).when(ask_right, F.col("cand")))
+        cands = cands.withColumn("follower", F.when(ask_left, F.col("cand")).when(ask_right, F.col("right")))
+        cands = materialize(cands, "candidates")
+        wanted = cands.filter(F.col("word").isNotNull()).select("word", "follower").distinct()
+        known = bigrams.select("word", "follower", "n").join(wanted, ["word", "follower"], "left_semi")
+        lc, rc = (F.coalesce(c, "n", F.lit(0)) for c in ("_ln", "_rn"))
+        scored = salted_lookup(cands, known, ["word", "follower"], ["left", "right"]).select(
+            "left", "right", F.struct((-(1 + lc) * (1 + rc)).alias("s"), F.col("cand").alias("w")).alias("c")
         )
         # at most 2 * top_k candidates per pair
         best = scored.groupBy("left", "right").agg(F.slice(F.array_sort(F.collect_list("c")), 1, top_k).alias("_c"))
         best = salted_lookup(spots, best, ["left", "right"], [key], how="inner")
         best = best.select(key, F.get("_c", pick(u(seed, tag, k, 1), F.size("_c")))["w"].alias("_new"))
+        best = materialize(best, "insertions")
         return insert(rows.join(best, key, "left"))
 
     def act_model(rows: DataFrame) -> DataFrame:
